@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_class
 from ..operators import chat as C
+from ..operators import masks as M
 from ..operators import text as T
-from ..options import CHUNK_WIDTH, GENERATION_PROMPT, PREPARE_SYSTEM_PROMPT, SAMPLING_SYSTEM_PROMPT
+from ..operators import tokens as TK
+from . import samples as SP
+from ..options import (BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
+                       SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
 from ..sources.lines import read_table
 
 # --------------------------------------------------------------------------
@@ -135,6 +139,183 @@ FROM conversations WHERE role = 'user'
 """
 
 
+
+# --------------------------------------------------------------------------
+# tokens and samples
+# --------------------------------------------------------------------------
+_PUA = 57344  # private-use code points stand in for the special tokens in the oracle
+
+
+def _d_encode(src: str, keys: str, text: str, tag: str) -> str:
+    """DuckDB CTEs: ``{tag}`` = (keys, pos, id) for the text of ``src``.
+
+    Character-level route: special tokens are first replaced by private-use
+    characters, then each character becomes its special id or the ids of its
+    UTF-8 bytes; byte ids come from a ranked 256-row table."""
+    t = text
+    for i, tok in enumerate(SPECIAL_TOKENS):
+        t = f"replace({t}, '{tok}', chr({_PUA + i}))"
+    return f"""
+{tag}_bt AS (
+  SELECT b, 4 + row_number() OVER (ORDER BY CASE WHEN b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172
+                                               OR b BETWEEN 174 AND 255 THEN 0 ELSE 1 END, b) AS id
+  FROM range(256) r(b)
+), {tag}_s AS (
+  SELECT {keys}, {t} AS t_ FROM ({src})
+), {tag}_c AS (
+  SELECT {keys}, ch, ci FROM {tag}_s, unnest(str_split(t_, '')) WITH ORDINALITY AS u(ch, ci)
+  WHERE ch <> ''
+), {tag}_b AS (
+  SELECT {keys}, ci, 0 AS bi, unicode(ch) - {_PUA} AS id FROM {tag}_c
+  WHERE unicode(ch) BETWEEN {_PUA} AND {_PUA + len(SPECIAL_TOKENS) - 1}
+  UNION ALL
+  SELECT {keys}, ci, bi, bt.id FROM (
+    SELECT {keys}, ci, ch, unnest(range(0, octet_length(encode(ch)))) AS bi FROM {tag}_c
+    WHERE NOT unicode(ch) BETWEEN {_PUA} AND {_PUA + len(SPECIAL_TOKENS) - 1}
+  ) x JOIN {tag}_bt bt ON bt.b = ('0x' || substring(hex(encode(ch)), 2 * bi + 1, 2))::INTEGER
+), {tag} AS (
+  SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY ci, bi) - 1 AS pos, id FROM {tag}_b
+)"""
+
+
+def _join_ids(col: str):
+    return F.array_join(F.col(col), " ")
+
+
+def q_byte_encode(spark: SparkSession, sf: str) -> DataFrame:
+    d = TK.encode(_docs(spark, sf).select("doc_id", "text"), "text", "ids")
+    return d.select("doc_id", F.size("ids").alias("n_ids"), _join_ids("ids").alias("ids_text"))
+
+
+SQL_BYTE_ENCODE = f"""
+WITH {_d_encode("SELECT doc_id, text FROM documents", "doc_id", "text", "e")}
+SELECT doc_id, count(*) AS n_ids, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
+FROM e GROUP BY doc_id
+"""
+
+
+def q_byte_decode(spark: SparkSession, sf: str) -> DataFrame:
+    d = TK.encode(_docs(spark, sf).select("doc_id", "text"), "text", "ids")
+    return TK.decode(d, "ids", "decoded").select("doc_id", "decoded")
+
+
+SQL_BYTE_DECODE = "SELECT doc_id, text AS decoded FROM documents"
+
+
+def _chunks(spark, sf):
+    return T.chunk_text(_docs(spark, sf).select("doc_id", "text"), "text", CHUNK_WIDTH)
+
+
+_SQL_CHUNK_SRC = ("SELECT doc_id, chunk_no, '" + BOS_TOKEN + "' || chunk AS t FROM ("
+                  + SQL_CHUNK_TEXT + ")")
+
+
+def _pretrain_fitted(spark, sf):
+    d = C.with_bos(_chunks(spark, sf), "chunk", out="t")
+    d = TK.encode(d.select("doc_id", "chunk_no", "t"), "t", "ids")
+    return TK.fit_length(d, "ids", MAX_LENGTH, 0)
+
+
+def q_pad_truncate(spark: SparkSession, sf: str) -> DataFrame:
+    d = _pretrain_fitted(spark, sf)
+    return d.select("doc_id", "chunk_no", "n_real", _join_ids("ids").alias("ids_text"))
+
+
+_SQL_PADDED = f"""
+WITH {_d_encode(_SQL_CHUNK_SRC, "doc_id, chunk_no", "t", "e")},
+k AS (SELECT doc_id, chunk_no, least(count(*), {MAX_LENGTH}) AS n_real FROM e GROUP BY doc_id, chunk_no),
+p AS (
+  SELECT k.doc_id, k.chunk_no, k.n_real, r.pos, coalesce(e.id, 0) AS id,
+         CASE WHEN r.pos < k.n_real THEN 1 ELSE 0 END AS m
+  FROM k CROSS JOIN range({MAX_LENGTH}) r(pos)
+  LEFT JOIN e ON e.doc_id = k.doc_id AND e.chunk_no = k.chunk_no AND e.pos = r.pos
+)"""
+
+SQL_PAD_TRUNCATE = _SQL_PADDED + """
+SELECT doc_id, chunk_no, n_real, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
+FROM p GROUP BY doc_id, chunk_no, n_real
+"""
+
+
+def q_pretrain_mask(spark: SparkSession, sf: str) -> DataFrame:
+    d = M.real_mask(_pretrain_fitted(spark, sf), "n_real", MAX_LENGTH)
+    return d.select("doc_id", "chunk_no", "n_real", _join_ids("loss_mask").alias("mask_text"))
+
+
+SQL_PRETRAIN_MASK = _SQL_PADDED + """
+SELECT doc_id, chunk_no, n_real, string_agg(CAST(m AS VARCHAR), ' ' ORDER BY pos) AS mask_text
+FROM p GROUP BY doc_id, chunk_no, n_real
+"""
+
+
+def q_shift_xy(spark: SparkSession, sf: str) -> DataFrame:
+    d = SP.pretrain_samples(_chunks(spark, sf).select("doc_id", "chunk_no", F.col("chunk").alias("text")),
+                            "text", ["doc_id", "chunk_no"])
+    return d.select("doc_id", "chunk_no", _join_ids("x").alias("x_text"), _join_ids("y").alias("y_text"),
+                    _join_ids("loss_mask").alias("mask_text"))
+
+
+SQL_SHIFT_XY = _SQL_PADDED + f"""
+SELECT doc_id, chunk_no,
+  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos < {MAX_LENGTH - 1}) AS x_text,
+  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos >= 1) AS y_text,
+  string_agg(CAST(m AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos >= 1) AS mask_text
+FROM p GROUP BY doc_id, chunk_no
+"""
+
+
+def _chat_text(spark, sf):
+    return C.render_long(C.messages_long(_turns(spark, sf)))
+
+
+def q_answer_mask(spark: SparkSession, sf: str) -> DataFrame:
+    d = SP.chat_samples(_chat_text(spark, sf), messages=None, text="text", keys=["conv_id"])
+    return d.select("conv_id", "n_real",
+                    F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x).alias("n_marked"),
+                    _join_ids("loss_mask").alias("mask_text"))
+
+
+def _d_header_match(tok: str = "id") -> str:
+    hdr = M.answer_header()
+    h = len(hdr)
+    conds = []
+    for k, hid in enumerate(hdr):
+        lagn = h - 1 - k
+        ref = tok if lagn == 0 else f"lag({tok}, {lagn}) OVER (PARTITION BY conv_id ORDER BY pos)"
+        conds.append(f"coalesce({ref} = {hid}, false)")
+    return " AND ".join(conds)
+
+
+SQL_ANSWER_MASK = f"""
+WITH m AS ({SQL_TO_MESSAGES}),
+ct AS (SELECT conv_id, string_agg({_dpiece('role', 'content')}, '' ORDER BY seq) AS text FROM m GROUP BY conv_id),
+{_d_encode("SELECT conv_id, text FROM ct", "conv_id", "text", "e")},
+k AS (SELECT conv_id, least(count(*), {MAX_LENGTH}) AS n_real FROM e GROUP BY conv_id),
+p AS (
+  SELECT k.conv_id, k.n_real, r.pos, coalesce(e.id, 0) AS id
+  FROM k CROSS JOIN range({MAX_LENGTH}) r(pos)
+  LEFT JOIN e ON e.conv_id = k.conv_id AND e.pos = r.pos
+), h AS (
+  SELECT *, {_d_header_match()} AS hdr,
+         coalesce(sum(CASE WHEN id = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
+  FROM p
+), g AS (
+  SELECT *, max(CASE WHEN hdr THEN seg END) OVER (PARTITION BY conv_id ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hseg,
+         max(CASE WHEN id = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS end_after
+  FROM h
+), mk AS (
+  SELECT conv_id, n_real, pos, CASE WHEN hseg = seg AND end_after = 1 THEN 1 ELSE 0 END AS mark FROM g
+)
+SELECT conv_id, n_real,
+  CAST(sum(mark) FILTER (WHERE pos >= 1) AS INTEGER) AS n_marked,
+  string_agg(CAST(mark AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos >= 1) AS mask_text
+FROM mk GROUP BY conv_id, n_real
+"""
+
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -142,6 +323,12 @@ QUERIES = {
     "to_messages": q_to_messages,
     "render_chat": q_render_chat,
     "render_prompt": q_render_prompt,
+    "byte_encode": q_byte_encode,
+    "byte_decode": q_byte_decode,
+    "pad_truncate": q_pad_truncate,
+    "pretrain_mask": q_pretrain_mask,
+    "shift_xy": q_shift_xy,
+    "answer_mask": q_answer_mask,
 }
 
 ORACLE = {
@@ -151,4 +338,10 @@ ORACLE = {
     "to_messages": SQL_TO_MESSAGES,
     "render_chat": SQL_RENDER_CHAT,
     "render_prompt": SQL_RENDER_PROMPT,
+    "byte_encode": SQL_BYTE_ENCODE,
+    "byte_decode": SQL_BYTE_DECODE,
+    "pad_truncate": SQL_PAD_TRUNCATE,
+    "pretrain_mask": SQL_PRETRAIN_MASK,
+    "shift_xy": SQL_SHIFT_XY,
+    "answer_mask": SQL_ANSWER_MASK,
 }
