@@ -17,8 +17,9 @@ from ..operators import chat as C
 from ..operators import masks as M
 from ..operators import text as T
 from ..operators import tokens as TK
+from ..operators import batching as B
 from . import samples as SP
-from ..options import (BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
+from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
 from ..sources.lines import read_table
 
@@ -316,6 +317,74 @@ FROM mk GROUP BY conv_id, n_real
 """
 
 
+
+# --------------------------------------------------------------------------
+# order, batches, plan
+# --------------------------------------------------------------------------
+def q_shuffle_batch(spark: SparkSession, sf: str) -> DataFrame:
+    c = _chunks(spark, sf).select("doc_id", "chunk_no")
+    b = B.assign_batches(c, ["doc_id", "chunk_no"], batch=BATCH_SIZE, epochs=1, seed=SEED)
+    return b.select("doc_id", "chunk_no", "batch_id", "batch_pos")
+
+
+SQL_SHUFFLE_BATCH = f"""
+WITH c AS ({SQL_CHUNK_TEXT}),
+o AS (
+  SELECT doc_id, chunk_no,
+         row_number() OVER (ORDER BY md5('{SEED}:0:' || doc_id || ':' || chunk_no), doc_id, chunk_no) - 1 AS idx
+  FROM c
+)
+SELECT doc_id, chunk_no, idx // {BATCH_SIZE} AS batch_id, CAST(idx % {BATCH_SIZE} AS INTEGER) AS batch_pos FROM o
+"""
+
+
+def _plan_cols(df):
+    return df.select("epoch", "step", "global_step", "steps_per_epoch",
+                     F.round("lr", 12).alias("lr"), "is_update", "is_log", "is_save",
+                     "is_tagged_save", "carries_over")
+
+
+def q_run_plan(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan_cols(B.run_plan(spark, _chunks(spark, sf), RunOptions()))
+
+
+def _sql_plan(o: RunOptions) -> str:
+    base, floor, w = o.learning_rate, o.learning_rate / 10, o.warmup_iters
+    warm = f"{base} * g / {w}" if w > 0 else "NULL"
+    return f"""
+WITH c AS ({SQL_CHUNK_TEXT}),
+n AS (SELECT CAST(ceil(count(*) / {o.batch_size}.0) AS BIGINT) AS per FROM c),
+s AS (SELECT r.g, n.per, n.per * {o.epochs} AS total FROM n, range(n.per * {o.epochs}) r(g)),
+t AS (
+  SELECT CAST(g // per AS INTEGER) AS epoch, g % per AS step, g AS global_step, per AS steps_per_epoch,
+    CASE WHEN g < {w} THEN {warm}
+         WHEN g > total THEN {floor}
+         WHEN total = {w} THEN {floor}
+         ELSE {floor} + 0.5 * (1 + cos(pi() * (g - {w}) / (total - {w}))) * ({base} - {floor}) END AS lr,
+    per
+  FROM s
+)
+SELECT epoch, step, global_step, steps_per_epoch, round(lr, 12) AS lr,
+  (step + 1) % {o.accumulation_steps} = 0 AS is_update,
+  step % {o.log_interval} = 0 AS is_log,
+  (step + 1) % {o.save_interval} = 0 AS is_save,
+  (step + 1) % {o.tagged_save_interval} = 0 AS is_tagged_save,
+  step >= (per // {o.accumulation_steps}) * {o.accumulation_steps} AS carries_over
+FROM t
+"""
+
+
+SQL_RUN_PLAN = _sql_plan(RunOptions())
+
+LR_OPTS = RunOptions(epochs=2, warmup_iters=10)
+
+
+def q_lr_schedule(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan_cols(B.run_plan(spark, _chunks(spark, sf), LR_OPTS)).select("global_step", "lr")
+
+
+SQL_LR_SCHEDULE = "SELECT global_step, lr FROM (" + _sql_plan(LR_OPTS) + ")"
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -329,6 +398,9 @@ QUERIES = {
     "pretrain_mask": q_pretrain_mask,
     "shift_xy": q_shift_xy,
     "answer_mask": q_answer_mask,
+    "shuffle_batch": q_shuffle_batch,
+    "run_plan": q_run_plan,
+    "lr_schedule": q_lr_schedule,
 }
 
 ORACLE = {
@@ -344,4 +416,7 @@ ORACLE = {
     "pretrain_mask": SQL_PRETRAIN_MASK,
     "shift_xy": SQL_SHIFT_XY,
     "answer_mask": SQL_ANSWER_MASK,
+    "shuffle_batch": SQL_SHUFFLE_BATCH,
+    "run_plan": SQL_RUN_PLAN,
+    "lr_schedule": SQL_LR_SCHEDULE,
 }
