@@ -27,7 +27,8 @@ def chunk_text(df: DataFrame, col: str = "text", width: int = CHUNK_WIDTH,
     keep = [c for c in (keep if keep is not None else df.columns) if c != col]
     return (df.filter(not_blank(col))
             .select(*keep, F.posexplode(pieces(col, width)).alias("chunk_no", "chunk"))
-            .filter(not_blank("chunk")))
+            .filter(not_blank("chunk"))
+            .withColumn("chunk_no", F.col("chunk_no").cast("long")))
 
 
 def chunk_counts(chunks: DataFrame, by: str = "source") -> DataFrame:

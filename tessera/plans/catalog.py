@@ -18,6 +18,7 @@ from ..operators import masks as M
 from ..operators import text as T
 from ..operators import tokens as TK
 from ..operators import batching as B
+from ..operators import scoring as S
 from . import samples as SP
 from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
@@ -55,7 +56,7 @@ def _turns(spark, sf):
 # --------------------------------------------------------------------------
 def q_blank_filter(spark: SparkSession, sf: str) -> DataFrame:
     d = T.drop_blank(_docs(spark, sf).select("doc_id", "source", "text"))
-    return d.select("doc_id", "source", F.length("text").alias("text_chars"))
+    return d.select("doc_id", "source", F.length("text").cast("long").alias("text_chars"))
 
 
 SQL_BLANK_FILTER = f"""
@@ -66,7 +67,7 @@ FROM documents WHERE regexp_matches(text, '{NOT_BLANK_RX}')
 
 def q_chunk_text(spark: SparkSession, sf: str) -> DataFrame:
     c = T.chunk_text(_docs(spark, sf).select("doc_id", "text"), "text", CHUNK_WIDTH)
-    return c.select("doc_id", "chunk_no", F.length("chunk").alias("chunk_chars"), "chunk")
+    return c.select("doc_id", "chunk_no", F.length("chunk").cast("long").alias("chunk_chars"), "chunk")
 
 
 _SQL_CHUNKS = f"""
@@ -95,7 +96,7 @@ def q_chunk_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_CHUNK_COUNTS = _SQL_CHUNKS.replace(
     "SELECT * FROM c WHERE regexp_matches(chunk, '" + NOT_BLANK_RX + "')",
-    "SELECT source, count(*) AS n_chunks, sum(length(chunk)) AS n_chars FROM c "
+    "SELECT source, count(*) AS n_chunks, CAST(sum(length(chunk)) AS BIGINT) AS n_chars FROM c "
     "WHERE regexp_matches(chunk, '" + NOT_BLANK_RX + "') GROUP BY source")
 
 
@@ -185,7 +186,7 @@ def _join_ids(col: str):
 
 def q_byte_encode(spark: SparkSession, sf: str) -> DataFrame:
     d = TK.encode(_docs(spark, sf).select("doc_id", "text"), "text", "ids")
-    return d.select("doc_id", F.size("ids").alias("n_ids"), _join_ids("ids").alias("ids_text"))
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_ids"), _join_ids("ids").alias("ids_text"))
 
 
 SQL_BYTE_ENCODE = f"""
@@ -219,7 +220,7 @@ def _pretrain_fitted(spark, sf):
 
 def q_pad_truncate(spark: SparkSession, sf: str) -> DataFrame:
     d = _pretrain_fitted(spark, sf)
-    return d.select("doc_id", "chunk_no", "n_real", _join_ids("ids").alias("ids_text"))
+    return d.select("doc_id", "chunk_no", F.col("n_real").cast("long").alias("n_real"), _join_ids("ids").alias("ids_text"))
 
 
 _SQL_PADDED = f"""
@@ -240,7 +241,7 @@ FROM p GROUP BY doc_id, chunk_no, n_real
 
 def q_pretrain_mask(spark: SparkSession, sf: str) -> DataFrame:
     d = M.real_mask(_pretrain_fitted(spark, sf), "n_real", MAX_LENGTH)
-    return d.select("doc_id", "chunk_no", "n_real", _join_ids("loss_mask").alias("mask_text"))
+    return d.select("doc_id", "chunk_no", F.col("n_real").cast("long").alias("n_real"), _join_ids("loss_mask").alias("mask_text"))
 
 
 SQL_PRETRAIN_MASK = _SQL_PADDED + """
@@ -271,7 +272,7 @@ def _chat_text(spark, sf):
 
 def q_answer_mask(spark: SparkSession, sf: str) -> DataFrame:
     d = SP.chat_samples(_chat_text(spark, sf), messages=None, text="text", keys=["conv_id"])
-    return d.select("conv_id", "n_real",
+    return d.select("conv_id", F.col("n_real").cast("long").alias("n_real"),
                     F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x).alias("n_marked"),
                     _join_ids("loss_mask").alias("mask_text"))
 
@@ -385,6 +386,165 @@ def q_lr_schedule(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_LR_SCHEDULE = "SELECT global_step, lr FROM (" + _sql_plan(LR_OPTS) + ")"
 
+
+# --------------------------------------------------------------------------
+# scores, selection, losses
+# --------------------------------------------------------------------------
+TOPK_TIES_K = 5
+SAMPLE_TEMPERATURE = 0.7
+SAMPLE_TOP_K = 300
+NUM_SAMPLES = 3
+
+
+def _samples(spark, sf):
+    c = _chunks(spark, sf).select("doc_id", "chunk_no", F.col("chunk").alias("text"))
+    return SP.pretrain_samples(c, "text", ["doc_id", "chunk_no"])
+
+
+def _bigram(spark, sf):
+    return S.bigram_scores(S.pairs_from_samples(_samples(spark, sf)))
+
+
+def q_bigram_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _bigram(spark, sf).select("prev_id", "next_id", "n", F.round("score", 9).alias("score"))
+
+
+_SQL_SCORES = _SQL_PADDED + """,
+pr AS (
+  SELECT id AS prev_id,
+         lead(id) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS next_id,
+         lead(m) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS m1
+  FROM p
+), bg AS (
+  SELECT CAST(prev_id AS INTEGER) AS prev_id, CAST(next_id AS INTEGER) AS next_id, count(*) AS n
+  FROM pr WHERE m1 = 1 GROUP BY 1, 2
+), sc AS (
+  SELECT prev_id, next_id, n, ln(n / sum(n) OVER (PARTITION BY prev_id)) AS score FROM bg
+)"""
+
+SQL_BIGRAM_SCORES = _SQL_SCORES + """
+SELECT prev_id, next_id, n, round(score, 9) AS score FROM sc
+"""
+
+
+def q_topk_ties(spark: SparkSession, sf: str) -> DataFrame:
+    d = S.top_k(_bigram(spark, sf), "prev_id", "next_id", "score", TOPK_TIES_K)
+    return d.select("prev_id", "next_id", "rank")
+
+
+SQL_TOPK_TIES = _SQL_SCORES + f"""
+SELECT prev_id, next_id, rank FROM (
+  SELECT prev_id, next_id, CAST(rank() OVER (PARTITION BY prev_id ORDER BY score DESC) AS INTEGER) AS rank
+  FROM sc) WHERE rank <= {TOPK_TIES_K}
+"""
+
+
+def q_softmax(spark: SparkSession, sf: str) -> DataFrame:
+    d = S.softmax_top_k(_bigram(spark, sf), "prev_id", "next_id", "score", SAMPLE_TOP_K,
+                        SAMPLE_TEMPERATURE)
+    return d.select("prev_id", "next_id", F.round("prob", 9).alias("prob"))
+
+
+SQL_SOFTMAX = _SQL_SCORES + f""",
+kt AS (
+  SELECT prev_id, next_id, score / {SAMPLE_TEMPERATURE} AS s FROM (
+    SELECT *, rank() OVER (PARTITION BY prev_id ORDER BY score DESC) AS r FROM sc) WHERE r <= {SAMPLE_TOP_K}
+), mx AS (
+  SELECT *, max(s) OVER (PARTITION BY prev_id) AS m FROM kt
+)
+SELECT prev_id, next_id, round(exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY prev_id), 9) AS prob FROM mx
+"""
+
+
+def q_greedy_pick(spark: SparkSession, sf: str) -> DataFrame:
+    return S.greedy(_bigram(spark, sf), "prev_id", "next_id", "score")
+
+
+SQL_GREEDY_PICK = _SQL_SCORES + """
+SELECT prev_id, next_id FROM (
+  SELECT prev_id, next_id, row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id ASC) AS r
+  FROM sc) WHERE r = 1
+"""
+
+
+def q_seeded_draw(spark: SparkSession, sf: str) -> DataFrame:
+    return S.draw(_bigram(spark, sf), "prev_id", "next_id", "score", n=NUM_SAMPLES, seed=SEED,
+                  temperature=SAMPLE_TEMPERATURE, k=SAMPLE_TOP_K)
+
+
+SQL_SEEDED_DRAW = _SQL_SCORES + f""",
+kt AS (
+  SELECT prev_id, next_id, score FROM (
+    SELECT *, rank() OVER (PARTITION BY prev_id ORDER BY score DESC) AS r FROM sc) WHERE r <= {SAMPLE_TOP_K}
+), dr AS (
+  SELECT kt.*, CAST(d.draw AS INTEGER) AS draw,
+    (('0x' || substring(md5('{SEED}:' || prev_id || ':' || next_id || ':' || d.draw), 1, 13))::BIGINT + 0.5)
+      / {float(2 ** 52)} AS u
+  FROM kt, range({NUM_SAMPLES}) d(draw)
+)
+SELECT prev_id, draw, arg_max(next_id, score / {SAMPLE_TEMPERATURE} - ln(-ln(u))) AS next_id
+FROM dr GROUP BY prev_id, draw
+"""
+
+
+def _token_losses(spark, sf, samples=None):
+    smp = samples if samples is not None else _samples(spark, sf)
+    keys = [c for c in smp.columns if c not in ("n_real", "x", "y", "loss_mask")]
+    t = S.targets_from_samples(smp, keys)
+    return S.cross_entropy(t, _bigram(spark, sf))
+
+
+def q_cross_entropy(spark: SparkSession, sf: str) -> DataFrame:
+    d = _token_losses(spark, sf)
+    return (d.groupBy("doc_id", "chunk_no")
+            .agg(F.round(F.sum(F.col("loss") * F.col("mask")), 6).alias("loss_sum"),
+                 F.sum("mask").cast("long").alias("n_targets")))
+
+
+_SQL_TOKEN_LOSS = _SQL_SCORES + """,
+tg AS (
+  SELECT doc_id, chunk_no, pos, id AS prev_id,
+         lead(id) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS next_id,
+         lead(m) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS mask
+  FROM p
+), lse AS (
+  SELECT prev_id, max(score) + ln(sum(exp(score - mx))) AS lse FROM (
+    SELECT *, max(score) OVER (PARTITION BY prev_id) AS mx FROM sc) GROUP BY prev_id
+), tl AS (
+  SELECT tg.doc_id, tg.chunk_no, tg.mask,
+         CASE WHEN tg.next_id = 0 THEN 0.0 ELSE lse.lse - sc.score END AS loss
+  FROM tg LEFT JOIN lse ON lse.prev_id = tg.prev_id
+  LEFT JOIN sc ON sc.prev_id = tg.prev_id AND sc.next_id = tg.next_id
+  WHERE tg.next_id IS NOT NULL
+)"""
+
+SQL_CROSS_ENTROPY = _SQL_TOKEN_LOSS + """
+SELECT doc_id, chunk_no, round(sum(loss * mask), 6) AS loss_sum, CAST(sum(mask) AS BIGINT) AS n_targets
+FROM tl GROUP BY doc_id, chunk_no
+"""
+
+
+def q_masked_loss(spark: SparkSession, sf: str) -> DataFrame:
+    smp = _samples(spark, sf)
+    b = B.assign_batches(smp, ["doc_id", "chunk_no"], batch=BATCH_SIZE, epochs=1, seed=SEED)
+    b = b.select("batch_id", "n_real", "x", "y", "loss_mask")
+    t = S.targets_from_samples(b, ["batch_id"])
+    d = S.cross_entropy(t, _bigram(spark, sf))
+    m = S.masked_loss(d, "batch_id", "loss", "mask")
+    return m.select("batch_id", F.round("loss", 6).alias("loss"), F.col("n_tokens").cast("long").alias("n_tokens"))
+
+
+SQL_MASKED_LOSS = _SQL_TOKEN_LOSS + f""",
+o AS (
+  SELECT doc_id, chunk_no,
+         (row_number() OVER (ORDER BY md5('{SEED}:0:' || doc_id || ':' || chunk_no), doc_id, chunk_no) - 1)
+           // {BATCH_SIZE} AS batch_id
+  FROM (SELECT DISTINCT doc_id, chunk_no FROM p)
+)
+SELECT o.batch_id, round(sum(loss * mask) / sum(mask), 6) AS loss, CAST(sum(mask) AS BIGINT) AS n_tokens
+FROM tl JOIN o USING (doc_id, chunk_no) GROUP BY o.batch_id
+"""
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -401,6 +561,13 @@ QUERIES = {
     "shuffle_batch": q_shuffle_batch,
     "run_plan": q_run_plan,
     "lr_schedule": q_lr_schedule,
+    "bigram_scores": q_bigram_scores,
+    "topk_ties": q_topk_ties,
+    "softmax": q_softmax,
+    "greedy_pick": q_greedy_pick,
+    "seeded_draw": q_seeded_draw,
+    "cross_entropy": q_cross_entropy,
+    "masked_loss": q_masked_loss,
 }
 
 ORACLE = {
@@ -419,4 +586,11 @@ ORACLE = {
     "shuffle_batch": SQL_SHUFFLE_BATCH,
     "run_plan": SQL_RUN_PLAN,
     "lr_schedule": SQL_LR_SCHEDULE,
+    "bigram_scores": SQL_BIGRAM_SCORES,
+    "topk_ties": SQL_TOPK_TIES,
+    "softmax": SQL_SOFTMAX,
+    "greedy_pick": SQL_GREEDY_PICK,
+    "seeded_draw": SQL_SEEDED_DRAW,
+    "cross_entropy": SQL_CROSS_ENTROPY,
+    "masked_loss": SQL_MASKED_LOSS,
 }
