@@ -42,30 +42,43 @@ def real_mask(n_real, n: int) -> Column:
     return F.concat(F.array_repeat(F.lit(1), r), F.array_repeat(F.lit(0), F.lit(n) - r))
 
 
-def span_mask_sql(ids_sql: str, header, end: int) -> str:
-    """SQL for the answer-span mask.
+def span_list_sql(ids_sql: str, header, end: int) -> str:
+    """SQL for the answer spans ``array<struct<s:int, p:int>>``.
 
     Every occurrence of ``header`` (scanning left to right, resuming after a
-    matched header) opens a span from the position right after the header to
-    the first ``end`` id at or after it, inclusive. No ``end`` after a header
-    (cut by truncation) gives no span. Positions outside spans are 0.
-    """
+    matched header) opens a span from the position right after the header
+    (``s``, 0-based) to the first ``end`` id at or after it, inclusive; ``p``
+    is that id's 1-based offset from ``s``. No ``end`` after a header (cut by
+    truncation) gives no span."""
     h = len(header)
     if h == 0:
         raise ValueError("header must not be empty")
     H = _sql_ints(header)
     n = f"size({ids_sql})"
-    starts_all = (f"filter(sequence(0, {n} - {h}), i_ -> element_at({ids_sql}, i_ + 1) = {int(header[0])} "
+    starts_all = (f"filter(sequence(0, greatest({n} - {h}, 0)), i_ -> element_at({ids_sql}, i_ + 1) = {int(header[0])} "
                   f"AND slice({ids_sql}, i_ + 1, {h}) = {H})")
     # drop starts that overlap an earlier kept header (scan resumes after it)
     starts = (f"aggregate({starts_all}, CAST(array() AS array<int>), (acc_, i_) -> "
               f"IF(size(acc_) = 0 OR i_ >= element_at(acc_, -1) + {h}, array_append(acc_, i_), acc_))")
     spans = (f"filter(transform({starts}, i_ -> named_struct('s', i_ + {h}, 'p', "
-             f"array_position(slice({ids_sql}, i_ + {h} + 1, {n}), {int(end)}))), x_ -> x_.p > 0)")
-    mask = (f"transform(sequence(0, {n} - 1), q_ -> IF(exists({spans}, x_ -> q_ >= x_.s AND "
-            f"q_ <= x_.s + CAST(x_.p AS int) - 1), 1, 0))")
-    return (f"CAST(CASE WHEN {n} < {h} THEN array_repeat(0, {n}) "
-            f"ELSE {mask} END AS array<int>)")
+             f"array_position(slice({ids_sql}, i_ + {h} + 1, greatest({n} - i_ - {h}, 1)), {int(end)}))), "
+             f"x_ -> x_.p > 0)")
+    return f"CASE WHEN {n} < {h} THEN filter(array(named_struct('s', 0, 'p', 0L)), x_ -> false) ELSE {spans} END"
+
+
+def span_mask_from_spans_sql(ids_sql: str, spans_sql: str) -> str:
+    """0/1 per position, 1 inside any span. The span list is the input of an
+    ``aggregate`` (not referenced inside a per-position lambda), so it is
+    evaluated once per row; cost O(spans x length)."""
+    n = f"size({ids_sql})"
+    return (f"CAST(aggregate({spans_sql}, array_repeat(0, {n}), (acc_, x_) -> "
+            f"transform(acc_, (v_, q_) -> IF(q_ >= x_.s AND q_ <= x_.s + CAST(x_.p AS int) - 1, 1, v_))) "
+            f"AS array<int>)")
+
+
+def span_mask_sql(ids_sql: str, header, end: int) -> str:
+    """Answer-span mask as one SQL expression (see ``span_list_sql``)."""
+    return span_mask_from_spans_sql(ids_sql, span_list_sql(ids_sql, header, end))
 
 
 def shift_x(col, n: int) -> Column:
