@@ -1,8 +1,12 @@
 """Token operators on DataFrames: encode, decode, fit to a fixed length.
 
-Merge-free encoding is a pure SQL expression (special-token split, then one
-id per UTF-8 byte). With a merge table (from ``bpe.train_bpe``) the byte ids
-of each pre-token are merged by rank; see ``bpe.encode_with_merges``.
+Merge-free encoding maps special-token strings to their ids and every other
+UTF-8 byte to its byte id. Two interchangeable implementations:
+``impl="arrow"`` (default) runs one vectorized lookup per Arrow batch;
+``impl="sql"`` is a pure SQL expression (higher-order functions, one lambda
+call per byte, about 7x slower at sf0.1, no Python worker). With a merge
+table (from ``bpe.train_bpe``) the byte ids of each pre-token are merged by
+rank; see ``bpe.encode_with_merges``.
 """
 
 from __future__ import annotations
@@ -16,22 +20,28 @@ from ..options import MAX_LENGTH, PAD_ID
 
 
 def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame | None = None,
-           max_merges: int = 65536) -> DataFrame:
+           max_merges: int = 65536, impl: str = "arrow") -> DataFrame:
     """Text to token ids. Special-token strings become their ids (a literal
     ``<|im_end|>`` in content becomes id 4, as when a rendered chat is
     tokenized); everything else becomes byte ids, merged when ``merges`` is
     given."""
     if merges is None:
-        return df.withColumn(out, F.expr(encode_sql(f"`{col}`")))
+        if impl == "sql":
+            return df.withColumn(out, F.expr(encode_sql(f"`{col}`")))
+        from ..functions.arrow_codec import encode_bytes_arrow
+        return df.withColumn(out, encode_bytes_arrow(F.col(col)))
     from .bpe import encode_with_merges
     return encode_with_merges(df, col, merges, out=out, max_merges=max_merges)
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "text", merges: DataFrame | None = None,
-           max_merges: int = 65536) -> DataFrame:
+           max_merges: int = 65536, impl: str = "arrow") -> DataFrame:
     """Token ids back to text (special tokens as their strings)."""
     if merges is None:
-        return df.withColumn(out, F.expr(decode_sql(f"`{ids}`")))
+        if impl == "sql":
+            return df.withColumn(out, F.expr(decode_sql(f"`{ids}`")))
+        from ..functions.arrow_codec import decode_bytes_arrow
+        return df.withColumn(out, decode_bytes_arrow(F.col(ids)))
     from .bpe import decode_with_merges
     return decode_with_merges(df, ids, merges, out=out, max_merges=max_merges)
 
