@@ -18,6 +18,7 @@ from ..operators import masks as M
 from ..operators import text as T
 from ..operators import tokens as TK
 from ..operators import batching as B
+from ..operators import beam as BM
 from ..operators import scoring as S
 from . import samples as SP
 from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
@@ -545,6 +546,139 @@ SELECT o.batch_id, round(sum(loss * mask) / sum(mask), 6) AS loss, CAST(sum(mask
 FROM tl JOIN o USING (doc_id, chunk_no) GROUP BY o.batch_id
 """
 
+
+# --------------------------------------------------------------------------
+# decoding over the score table
+# --------------------------------------------------------------------------
+BEAM_WIDTH = 2
+BEAM_STEPS = 3
+GEN_STEPS = 8
+STOP_ID = 4
+
+
+def _prompts(spark, sf):
+    """Plain prompts: BOS + each user turn, encoded (prompt_id = conv*1000+turn)."""
+    t = _turns(spark, sf).filter(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+        F.concat(F.lit(BOS_TOKEN), F.col("text")).alias("t"))
+    return TK.encode(t, "t", "ids").select("prompt_id", "ids")
+
+
+def _scores9(spark, sf):
+    """Bigram log-probabilities rounded to 9 places (a quantised score table)."""
+    return _bigram(spark, sf).select("prev_id", "next_id", F.round("score", 9).alias("score"))
+
+
+def q_beam_step(spark: SparkSession, sf: str) -> DataFrame:
+    cands = BM.candidate_table(_scores9(spark, sf), BEAM_WIDTH, normalise=False)
+    b = BM.beam_step(BM.init_beams(_prompts(spark, sf)), cands, BEAM_WIDTH)
+    return b.select("prompt_id", "beam_rank", F.col("last_id").alias("next_id"),
+                    F.round("score", 9).alias("score"))
+
+
+def q_beam_search(spark: SparkSession, sf: str) -> DataFrame:
+    b = BM.beam_search(_prompts(spark, sf), _scores9(spark, sf), BEAM_STEPS, BEAM_WIDTH,
+                       stop_id=STOP_ID, normalise=False)
+    return b.select("prompt_id", _join_ids("new_ids").alias("new_ids_text"),
+                    F.round("score", 9).alias("score"))
+
+
+def q_greedy_generate(spark: SparkSession, sf: str) -> DataFrame:
+    g = BM.generate(_prompts(spark, sf), _scores9(spark, sf), GEN_STEPS, stop_id=STOP_ID, greedy=True)
+    return g.select("prompt_id", "sample_no", _join_ids("new_ids").alias("new_ids_text"))
+
+
+def q_sample_generate(spark: SparkSession, sf: str) -> DataFrame:
+    g = BM.generate(_prompts(spark, sf), _scores9(spark, sf), GEN_STEPS, stop_id=STOP_ID,
+                    temperature=SAMPLE_TEMPERATURE, top_k=SAMPLE_TOP_K, num_samples=NUM_SAMPLES, seed=SEED)
+    return g.select("prompt_id", "sample_no", _join_ids("new_ids").alias("new_ids_text"))
+
+
+_SQL_DECODE_BASE = _SQL_SCORES + f""",
+{_d_encode("SELECT conv_id * 1000 + turn AS prompt_id, '" + BOS_TOKEN + "' || text AS t FROM conversations WHERE role = 'user'", "prompt_id", "t", "pe")},
+pl AS (SELECT prompt_id, CAST(arg_max(id, pos) AS INTEGER) AS last_id FROM pe GROUP BY prompt_id),
+sc9 AS (SELECT prev_id, next_id, round(score, 9) AS score FROM sc)"""
+
+
+def _sql_beam_search() -> str:
+    parts = [_SQL_DECODE_BASE + f""",
+cands AS (
+  SELECT prev_id, next_id, score AS log_prob,
+         row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) - 1 AS cand_rank
+  FROM sc9 QUALIFY cand_rank < {BEAM_WIDTH}
+),
+b0 AS (SELECT prompt_id, 0 AS beam_rank, CAST([] AS INTEGER[]) AS toks, last_id, CAST(0.0 AS DOUBLE) AS score FROM pl)"""]
+    for s in range(1, BEAM_STEPS + 1):
+        parts.append(f""",
+b{s} AS (
+  SELECT prompt_id, row_number() OVER (PARTITION BY prompt_id ORDER BY sc DESC, beam_rank, cand_rank) - 1 AS beam_rank,
+         list_append(toks, next_id) AS toks, next_id AS last_id, sc AS score
+  FROM (SELECT b.prompt_id, b.beam_rank, b.toks, c.next_id, c.cand_rank, b.score + c.log_prob AS sc
+        FROM b{s - 1} b JOIN cands c ON c.prev_id = b.last_id)
+  QUALIFY beam_rank < {BEAM_WIDTH}
+)""")
+    best = " UNION ALL ".join(f"SELECT {s} AS st, prompt_id, toks, score FROM b{s} WHERE beam_rank = 0"
+                              for s in range(0, BEAM_STEPS + 1))
+    parts.append(f""",
+bb AS ({best})
+SELECT prompt_id, array_to_string(arg_max(toks, st), ' ') AS new_ids_text, round(arg_max(score, st), 9) AS score
+FROM bb GROUP BY prompt_id
+""")
+    return "".join(parts)
+
+
+SQL_BEAM_SEARCH = _sql_beam_search()
+
+SQL_BEAM_STEP = _SQL_DECODE_BASE + f""",
+cands AS (
+  SELECT prev_id, next_id, score AS log_prob,
+         row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) - 1 AS cand_rank
+  FROM sc9 QUALIFY cand_rank < {BEAM_WIDTH}
+)
+SELECT pl.prompt_id, CAST(row_number() OVER (PARTITION BY pl.prompt_id ORDER BY 0.0 + c.log_prob DESC, c.cand_rank) - 1 AS INTEGER) AS beam_rank,
+       c.next_id, round(0.0 + c.log_prob, 9) AS score
+FROM pl JOIN cands c ON c.prev_id = pl.last_id
+QUALIFY beam_rank < {BEAM_WIDTH}
+"""
+
+
+def _sql_generate(greedy: bool) -> str:
+    n = 1 if greedy else NUM_SAMPLES
+    parts = [_SQL_DECODE_BASE + f""",
+g AS (SELECT prev_id, arg_max(next_id, score * 1000000 - next_id * 0.0) AS pick FROM (
+        SELECT prev_id, next_id, score, row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) AS r
+        FROM sc9) WHERE r = 1 GROUP BY prev_id),
+kt AS (SELECT prev_id, next_id, score FROM (
+        SELECT *, rank() OVER (PARTITION BY prev_id ORDER BY score DESC) AS r FROM sc9) WHERE r <= {SAMPLE_TOP_K}),
+s0 AS (SELECT prompt_id, CAST(d.n AS INTEGER) AS sample_no, last_id, CAST([] AS INTEGER[]) AS toks, true AS alive
+       FROM pl, range({n}) d(n))"""]
+    for k in range(1, GEN_STEPS + 1):
+        if greedy:
+            pick = f"""(SELECT s.*, g.pick FROM s{k - 1} s LEFT JOIN g ON g.prev_id = s.last_id)"""
+        else:
+            pick = f"""(SELECT s.*, d.pick FROM s{k - 1} s LEFT JOIN (
+                SELECT s.prompt_id, s.sample_no,
+                  arg_max(c.next_id, c.score / {SAMPLE_TEMPERATURE} - ln(-ln(
+                    (('0x' || substring(md5('{SEED}:' || s.prompt_id || ':' || s.sample_no || ':{k - 1}:' || c.next_id), 1, 13))::BIGINT + 0.5)
+                    / {float(2 ** 52)}))) AS pick
+                FROM s{k - 1} s JOIN kt c ON c.prev_id = s.last_id WHERE s.alive
+                GROUP BY s.prompt_id, s.sample_no) d USING (prompt_id, sample_no))"""
+        go = f"(alive AND pick IS NOT NULL AND pick <> {STOP_ID})"
+        parts.append(f""",
+s{k} AS (
+  SELECT prompt_id, sample_no, CASE WHEN {go} THEN pick ELSE last_id END AS last_id,
+         CASE WHEN {go} THEN list_append(toks, pick) ELSE toks END AS toks, {go} AS alive
+  FROM {pick} x
+)""")
+    parts.append(f"""
+SELECT prompt_id, sample_no, array_to_string(toks, ' ') AS new_ids_text FROM s{GEN_STEPS}
+""")
+    return "".join(parts)
+
+
+SQL_GREEDY_GENERATE = _sql_generate(True)
+SQL_SAMPLE_GENERATE = _sql_generate(False)
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -568,6 +702,10 @@ QUERIES = {
     "seeded_draw": q_seeded_draw,
     "cross_entropy": q_cross_entropy,
     "masked_loss": q_masked_loss,
+    "beam_step": q_beam_step,
+    "beam_search": q_beam_search,
+    "greedy_generate": q_greedy_generate,
+    "sample_generate": q_sample_generate,
 }
 
 ORACLE = {
@@ -593,4 +731,8 @@ ORACLE = {
     "seeded_draw": SQL_SEEDED_DRAW,
     "cross_entropy": SQL_CROSS_ENTROPY,
     "masked_loss": SQL_MASKED_LOSS,
+    "beam_step": SQL_BEAM_STEP,
+    "beam_search": SQL_BEAM_SEARCH,
+    "greedy_generate": SQL_GREEDY_GENERATE,
+    "sample_generate": SQL_SAMPLE_GENERATE,
 }
