@@ -19,6 +19,8 @@ from ..operators import text as T
 from ..operators import tokens as TK
 from ..operators import batching as B
 from ..operators import beam as BM
+from ..operators import bpe as BPE
+from ..operators import lookup as L
 from ..operators import scoring as S
 from . import samples as SP
 from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
@@ -679,6 +681,52 @@ SELECT prompt_id, sample_no, array_to_string(toks, ' ') AS new_ids_text FROM s{G
 SQL_GREEDY_GENERATE = _sql_generate(True)
 SQL_SAMPLE_GENERATE = _sql_generate(False)
 
+
+# --------------------------------------------------------------------------
+# vectors and byte-pair merges
+# --------------------------------------------------------------------------
+BPE_MERGES = 8
+
+
+def q_vector_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    smp = _samples(spark, sf).select("doc_id", "chunk_no", "x")
+    vec = read_table(spark, sf, "embeddings")
+    j = L.vector_lookup(smp, "x", ["doc_id", "chunk_no"], vec, "vec_id", ("embedding", "label"))
+    return (j.groupBy("doc_id", "chunk_no")
+            .agg(F.count("label").alias("n_found"),
+                 F.sum("label").cast("long").alias("label_sum"),
+                 F.round(F.sum(F.element_at("embedding", 1).cast("double")), 4).alias("e0_sum")))
+
+
+SQL_VECTOR_LOOKUP = _SQL_PADDED + f"""
+SELECT p.doc_id, p.chunk_no, count(v.label) AS n_found, CAST(sum(v.label) AS BIGINT) AS label_sum,
+       round(sum(CAST(v.embedding[1] AS DOUBLE)), 4) AS e0_sum
+FROM p LEFT JOIN embeddings v ON v.vec_id = p.id
+WHERE p.pos < {MAX_LENGTH - 1}
+GROUP BY p.doc_id, p.chunk_no
+"""
+
+
+def q_bpe_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted byte-pair counts over the pre-token table (first training
+    round). Rows-only: DuckDB's regex engine has no look-ahead for the
+    pre-token pattern; tests compare with a plain-Python count."""
+    return BPE.pair_counts(BPE.word_table(_docs(spark, sf), "text"))
+
+
+def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """The first BPE_MERGES merges learned from the whole corpus."""
+    return BPE.train_bpe(_docs(spark, sf), "text", n_merges=BPE_MERGES).drop("piece")
+
+
+def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
+    d = _docs(spark, sf).select("doc_id", "text")
+    m = BPE.train_bpe(d, "text", n_merges=BPE_MERGES)
+    e = TK.encode(d, "text", "ids", merges=m)
+    back = TK.decode(e, "ids", "back", merges=m)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                       (F.col("back") == F.col("text")).alias("round_trip"))
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -706,6 +754,10 @@ QUERIES = {
     "beam_search": q_beam_search,
     "greedy_generate": q_greedy_generate,
     "sample_generate": q_sample_generate,
+    "vector_lookup": q_vector_lookup,
+    "bpe_pair_counts": q_bpe_pair_counts,
+    "bpe_merges": q_bpe_merges,
+    "bpe_encode": q_bpe_encode,
 }
 
 ORACLE = {
@@ -735,4 +787,5 @@ ORACLE = {
     "beam_search": SQL_BEAM_SEARCH,
     "greedy_generate": SQL_GREEDY_GENERATE,
     "sample_generate": SQL_SAMPLE_GENERATE,
+    "vector_lookup": SQL_VECTOR_LOOKUP,
 }
