@@ -22,6 +22,7 @@ from ..operators import beam as BM
 from ..operators import bpe as BPE
 from ..operators import lookup as L
 from ..operators import scoring as S
+from . import jobs as JB
 from . import samples as SP
 from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
@@ -727,6 +728,102 @@ def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                        (F.col("back") == F.col("text")).alias("round_trip"))
 
+
+# --------------------------------------------------------------------------
+# composite preparation jobs over line files derived from the tables
+# --------------------------------------------------------------------------
+PAGE_LINE_BASE = 2_000_000_000
+EVENT_LINE_BASE = 1_000_000_000
+PAGE_LINE_STRIDE = 1_000_000
+
+
+def _corpus_lines(spark, sf):
+    """Untrusted corpus lines: every document as ``{"text": ...}``, every
+    event's ``props`` object, and every raw line of every web page."""
+    docs = _docs(spark, sf).select(F.col("doc_id").alias("line_id"),
+                                   F.to_json(F.struct("text")).alias("value"))
+    props = read_table(spark, sf, "events").select(
+        (F.lit(EVENT_LINE_BASE) + F.col("event_id")).alias("line_id"), F.col("props").alias("value"))
+    pages = read_table(spark, sf, "pages").select(
+        "page_id", F.posexplode(F.split("html", "\r\n|\r|\n")).alias("ln", "value"))
+    pages = pages.select((F.lit(PAGE_LINE_BASE) + F.col("page_id") * PAGE_LINE_STRIDE + F.col("ln")).alias("line_id"),
+                         "value")
+    return docs.unionByName(props).unionByName(pages)
+
+
+_SQL_LINES = f"""
+lines AS (
+  SELECT doc_id AS line_id, CAST(to_json({{'text': text}}) AS VARCHAR) AS value FROM documents
+  UNION ALL SELECT {EVENT_LINE_BASE} + event_id, props FROM events
+  UNION ALL SELECT {PAGE_LINE_BASE} + page_id * {PAGE_LINE_STRIDE} + i - 1, l
+  FROM (SELECT page_id, unnest(string_split_regex(html, '\r\n|\r|\n')) AS l,
+               generate_subscripts(string_split_regex(html, '\r\n|\r|\n'), 1) AS i FROM pages)
+), sl AS (
+  SELECT line_id, value, regexp_replace(value, '^[{blank_class()}]+|[{blank_class()}]+$', '', 'g') AS sv FROM lines
+), cl AS (
+  SELECT line_id, value, sv,
+    CASE WHEN NOT regexp_matches(value, '{NOT_BLANK_RX}') THEN 'blank'
+         WHEN NOT json_valid(sv) THEN 'error'
+         WHEN json_type(sv) <> 'OBJECT' THEN 'error'
+         WHEN json_type(sv, '$.text') IS NULL THEN 'skip'
+         WHEN json_type(sv, '$.text') <> 'VARCHAR' THEN 'error'
+         WHEN NOT regexp_matches(json_extract_string(sv, '$.text'), '{NOT_BLANK_RX}') THEN 'skip'
+         ELSE 'ok' END AS outcome,
+    CASE WHEN NOT json_valid(sv) THEN 'json' WHEN json_type(sv) <> 'OBJECT' THEN 'not_object' END AS reason
+  FROM sl
+)"""
+
+
+def q_corpus_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    r = JB.prepare_corpus(_corpus_lines(spark, sf))
+    return r.counters
+
+
+SQL_CORPUS_OUTCOMES = "WITH " + _SQL_LINES + """
+SELECT outcome, count(*) AS n FROM cl GROUP BY outcome
+"""
+
+
+def q_prepare_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    r = JB.prepare_corpus(_corpus_lines(spark, sf))
+    return r.output.select("line_id", "chunk_no", "text")
+
+
+SQL_PREPARE_CORPUS = (
+    "SELECT doc_id AS line_id, chunk_no, chunk AS text FROM (" + SQL_CHUNK_TEXT + ")")
+
+
+def q_reject_samples(spark: SparkSession, sf: str) -> DataFrame:
+    return JB.prepare_corpus(_corpus_lines(spark, sf)).rejects
+
+
+SQL_REJECT_SAMPLES = "WITH " + _SQL_LINES + """
+SELECT line_id, reason, substring(sv, 1, 50) AS excerpt FROM cl WHERE outcome = 'error'
+ORDER BY line_id LIMIT 10
+"""
+
+
+def _chat_lines(spark, sf):
+    """One chat JSON line per conversation: ``{"conversations": [{from, value}]}``
+    in turn order, ``user`` written as ``human``."""
+    t = _turns(spark, sf).select(
+        "conv_id", "turn",
+        F.when(F.col("role") == "user", F.lit("human")).otherwise(F.col("role")).alias("from"),
+        F.col("text").alias("value"))
+    g = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "from", "value"))).alias("c"))
+    conv = F.transform("c", lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value")))
+    return g.select(F.col("conv_id").alias("line_id"),
+                    F.to_json(F.struct(conv.alias("conversations"))).alias("value"))
+
+
+def q_prepare_chats(spark: SparkSession, sf: str) -> DataFrame:
+    r = JB.prepare_chats(_chat_lines(spark, sf))
+    out = C.render_messages(r.output, "messages", out="text")
+    return out.select(F.col("line_id").alias("conv_id"), "text")
+
+
+SQL_PREPARE_CHATS = SQL_RENDER_CHAT
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -758,6 +855,10 @@ QUERIES = {
     "bpe_pair_counts": q_bpe_pair_counts,
     "bpe_merges": q_bpe_merges,
     "bpe_encode": q_bpe_encode,
+    "corpus_outcomes": q_corpus_outcomes,
+    "prepare_corpus": q_prepare_corpus,
+    "reject_samples": q_reject_samples,
+    "prepare_chats": q_prepare_chats,
 }
 
 ORACLE = {
@@ -788,4 +889,8 @@ ORACLE = {
     "greedy_generate": SQL_GREEDY_GENERATE,
     "sample_generate": SQL_SAMPLE_GENERATE,
     "vector_lookup": SQL_VECTOR_LOOKUP,
+    "corpus_outcomes": SQL_CORPUS_OUTCOMES,
+    "prepare_corpus": SQL_PREPARE_CORPUS,
+    "reject_samples": SQL_REJECT_SAMPLES,
+    "prepare_chats": SQL_PREPARE_CHATS,
 }
