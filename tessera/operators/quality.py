@@ -23,43 +23,53 @@ BLANK, SKIP, OK, ERROR = "blank", "skip", "ok", "error"
 
 
 def strip_blank(col: Column) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace."""
+    """Python ``str.strip()``: drop leading and trailing whitespace. The
+    regex runs only when the first or last character is blank."""
     cls = blank_class()
-    return F.regexp_replace(col, F.lit(f"^[{cls}]+|[{cls}]+\\z"), F.lit(""))
+    edge = (F.substring(col, 1, 1).rlike(f"[{cls}]") |
+            F.substring(col, -1, 1).rlike(f"[{cls}]"))
+    return F.when(edge, F.regexp_replace(col, F.lit(f"^[{cls}]+|[{cls}]+\\z"), F.lit(""))).otherwise(col)
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def _is_object(top: Column) -> Column:
+    return F.coalesce(top.startswith("OBJECT"), F.lit(False))
 
 
+# Classification is built as stacked projections in which every derived
+# column (parsed variant, its type, the field, the field's type) is used at
+# least twice, so the optimizer keeps each in its own projection and computes
+# it once per line. Consumers must not filter on ``outcome`` directly above
+# this (a pushed-down filter would inline the parse into the predicate);
+# use ``ok_rows`` / ``first_errors``.
 def classify_corpus(df: DataFrame, line_col: str = "value", field: str = "text") -> DataFrame:
     """Adds ``outcome``, ``reason`` and ``text`` (the field's string value for
     ``ok`` rows). Stateless, no shuffle."""
     line = F.col(line_col)
-    out = df.withColumn("v_", F.try_parse_json(strip_blank(line)))
-    v = F.col("v_")
-    fv = F.expr(f"variant_get(v_, '$.{field}')")
-    ftype = F.schema_of_variant(fv)
-    text = F.expr(f"try_variant_get(v_, '$.{field}', 'string')")
+    d = df.withColumn("v_", F.try_parse_json(strip_blank(line)))
+    d = (d.withColumn("top_", F.schema_of_variant("v_"))
+          .withColumn("fv_", F.expr(f"variant_get(v_, '$.{field}')")))
+    d = (d.withColumn("ft_", F.schema_of_variant("fv_"))
+          .withColumn("txt_", F.expr("try_variant_get(fv_, '$', 'string')")))
+    v, top, fv, ft, txt = (F.col(c) for c in ("v_", "top_", "fv_", "ft_", "txt_"))
     outcome = (
         F.when(~F.coalesce(not_blank(line), F.lit(False)), F.lit(BLANK))
         .when(v.isNull(), F.lit(ERROR))
-        .when(~_is_object(v), F.lit(ERROR))
+        .when(~_is_object(top), F.lit(ERROR))
         .when(fv.isNull(), F.lit(SKIP))
-        .when(ftype != F.lit("STRING"), F.lit(ERROR))
-        .when(~not_blank(text), F.lit(SKIP))
+        .when(ft != F.lit("STRING"), F.lit(ERROR))
+        .when(~not_blank(txt), F.lit(SKIP))
         .otherwise(F.lit(OK))
     )
     reason = (
-        F.when(outcome != F.lit(ERROR), F.lit(None).cast("string"))
+        F.when(F.col("outcome") != F.lit(ERROR), F.lit(None).cast("string"))
         .when(v.isNull(), F.lit("json"))
-        .when(~_is_object(v), F.lit("not_object"))
-        .otherwise(F.concat(F.lit("type:"), ftype))
+        .when(~_is_object(top), F.lit("not_object"))
+        .otherwise(F.concat(F.lit("type:"), ft))
     )
-    return (out.withColumn("outcome", outcome)
+    return (d.withColumn("outcome", outcome)
             .withColumn("reason", reason)
-            .withColumn("text", F.when(F.col("outcome") == OK, text))
-            .drop("v_"))
+            .withColumn("text", F.when(F.col("outcome") == OK, txt))
+            .drop("v_", "top_", "fv_", "ft_", "txt_"))
 
 
 CHAT_ITEMS = "array<variant>"
@@ -70,34 +80,53 @@ def classify_chats(df: DataFrame, line_col: str = "value", key: str = "conversat
     items for ``ok`` rows). ``key`` missing, null, not an array, or holding a
     non-object item is an error; ``[]`` is kept."""
     line = F.col(line_col)
-    out = df.withColumn("v_", F.try_parse_json(strip_blank(line)))
-    v = F.col("v_")
-    conv = F.expr(f"variant_get(v_, '$.{key}')")
-    ctype = F.schema_of_variant(conv)
-    items = F.expr(f"try_variant_get(v_, '$.{key}', '{CHAT_ITEMS}')")
+    d = df.withColumn("v_", F.try_parse_json(strip_blank(line)))
+    d = (d.withColumn("top_", F.schema_of_variant("v_"))
+          .withColumn("cv_", F.expr(f"variant_get(v_, '$.{key}')")))
+    d = (d.withColumn("ct_", F.schema_of_variant("cv_"))
+          .withColumn("it_", F.expr(f"try_variant_get(cv_, '$', '{CHAT_ITEMS}')")))
+    v, top, conv, ctype, items = (F.col(c) for c in ("v_", "top_", "cv_", "ct_", "it_"))
     bad_item = F.exists(items, lambda x: ~F.coalesce(
         F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
     outcome = (
         F.when(~F.coalesce(not_blank(line), F.lit(False)), F.lit(BLANK))
         .when(v.isNull(), F.lit(ERROR))
-        .when(~_is_object(v), F.lit(ERROR))
+        .when(~_is_object(top), F.lit(ERROR))
         .when(conv.isNull(), F.lit(ERROR))
         .when(~ctype.startswith("ARRAY"), F.lit(ERROR))
         .when(bad_item, F.lit(ERROR))
         .otherwise(F.lit(OK))
     )
     reason = (
-        F.when(outcome != F.lit(ERROR), F.lit(None).cast("string"))
+        F.when(F.col("outcome") != F.lit(ERROR), F.lit(None).cast("string"))
         .when(v.isNull(), F.lit("json"))
-        .when(~_is_object(v), F.lit("not_object"))
+        .when(~_is_object(top), F.lit("not_object"))
         .when(conv.isNull(), F.lit("missing"))
         .when(~ctype.startswith("ARRAY"), F.concat(F.lit("type:"), ctype))
         .otherwise(F.lit("item"))
     )
-    return (out.withColumn("outcome", outcome)
+    return (d.withColumn("outcome", outcome)
             .withColumn("reason", reason)
             .withColumn("items", F.when(F.col("outcome") == OK, items))
-            .drop("v_"))
+            .drop("v_", "top_", "cv_", "ct_", "it_"))
+
+
+def ok_rows(classified: DataFrame, payload: str, keep: list[str]) -> DataFrame:
+    """Rows whose outcome is ``ok`` with their payload column, selected by a
+    generator over ``[payload]`` or ``[]``: unlike a filter it cannot be
+    pushed below the classification, so the parse is not repeated."""
+    one = F.when(F.col("outcome") == OK, F.array(F.col(payload))).otherwise(
+        F.array().cast(f"array<{classified.schema[payload].dataType.simpleString()}>"))
+    return classified.select(*keep, F.explode(one).alias(payload))
+
+
+def first_errors(classified: DataFrame, n: int, line_id: str, cols) -> DataFrame:
+    """The first ``n`` error rows by ``line_id``: a top-k on a sort key that is
+    null for non-errors (no filter below the classification)."""
+    key = F.when(F.col("outcome") == ERROR, F.col(line_id))
+    return (classified.select(*cols, key.alias("k_"))
+            .orderBy(F.col("k_").asc_nulls_last()).limit(n)
+            .filter(F.col("k_").isNotNull()).drop("k_"))
 
 
 def run_counters(classified: DataFrame, group_cols: tuple = ()) -> DataFrame:
@@ -108,8 +137,9 @@ def run_counters(classified: DataFrame, group_cols: tuple = ()) -> DataFrame:
 
 def reject_samples(classified: DataFrame, n: int, line_id: str = "line_id",
                    line_col: str = "value", chars: int = 50) -> DataFrame:
-    """The first ``n`` error lines by line number, with a short excerpt.
-    ``orderBy().limit()`` plans as a top-k: each task keeps n rows."""
-    return (classified.filter(F.col("outcome") == ERROR)
-            .select(line_id, "reason", excerpt(line_col, chars).alias("excerpt"))
-            .orderBy(line_id).limit(n))
+    """The first ``n`` error lines by line number, with a short excerpt of the
+    stripped line. ``orderBy().limit()`` plans as a top-k: each task keeps n
+    rows."""
+    cols = [F.col(line_id), F.col("reason"),
+            excerpt(strip_blank(F.col(line_col)), chars).alias("excerpt")]
+    return first_errors(classified, n, line_id, cols)

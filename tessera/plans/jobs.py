@@ -26,7 +26,8 @@ from ..operators import quality as Q
 from ..operators import scoring as S
 from ..operators import tokens as TK
 from ..operators.chat import render_prompt, to_messages
-from ..operators.text import chunk_text
+from ..functions.text import not_blank
+from ..functions.text import pieces as F_pieces
 from ..options import ChatOptions, CorpusOptions, RunOptions, SelectOptions
 from ..sinks import write_chunks, write_messages
 from ..sources import read_lines
@@ -41,10 +42,7 @@ class JobResult:
 
 
 def _rejects(classified: DataFrame, n: int, chars: int) -> DataFrame:
-    return (classified.filter(F.col("outcome") == Q.ERROR)
-            .select("line_id", "reason",
-                    F.substring(Q.strip_blank(F.col("value")), 1, chars).alias("excerpt"))
-            .orderBy("line_id").limit(n))
+    return Q.reject_samples(classified, n, "line_id", "value", chars)
 
 
 def prepare_corpus(lines: DataFrame, opts: CorpusOptions = CorpusOptions(),
@@ -53,8 +51,12 @@ def prepare_corpus(lines: DataFrame, opts: CorpusOptions = CorpusOptions(),
     every valid line, counters per outcome and the first rejects."""
     keys = keys or []
     c = Q.classify_corpus(lines)
-    ok = c.filter(F.col("outcome") == Q.OK).select("line_id", *keys, "text")
-    chunks = chunk_text(ok, "text", opts.chunk_width).withColumnRenamed("chunk", "text")
+    # one generator: pieces of ok texts, nothing for other rows (blank texts
+    # are already 'skip'), then the blank-chunk filter on the generated column
+    pieces = F.when(F.col("outcome") == Q.OK, F_pieces("text", opts.chunk_width))
+    chunks = (c.select("line_id", *keys, F.posexplode(pieces).alias("chunk_no", "text"))
+              .filter(not_blank("text"))
+              .withColumn("chunk_no", F.col("chunk_no").cast("long")))
     return JobResult(chunks, Q.run_counters(c), _rejects(c, opts.reject_samples, opts.excerpt_chars))
 
 
@@ -63,7 +65,7 @@ def prepare_chats(lines: DataFrame, opts: ChatOptions = ChatOptions(),
     """D2 over ``(line_id, value, *keys)``: messages of every valid line."""
     keys = keys or []
     c = Q.classify_chats(lines)
-    ok = c.filter(F.col("outcome") == Q.OK).select("line_id", *keys, "items")
+    ok = Q.ok_rows(c, "items", ["line_id", *keys])
     msgs = to_messages(ok, "items", opts.role_map, opts.system_prompt).drop("items")
     return JobResult(msgs, Q.run_counters(c), _rejects(c, opts.reject_samples, 200))
 

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality as Q
 from ..operators.chat import to_messages
-from ..operators.text import chunk_text
 from ..options import ChatOptions, CorpusOptions
 from ..sinks.writers import messages_json
 
@@ -30,14 +29,14 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def corpus_chunks_stream(lines: DataFrame, opts: CorpusOptions = CorpusOptions()) -> DataFrame:
-    c = Q.classify_corpus(lines)
-    ok = c.filter(F.col("outcome") == Q.OK).select("file", "text")
-    return chunk_text(ok, "text", opts.chunk_width).withColumnRenamed("chunk", "text")
+    from ..plans.jobs import prepare_corpus
+    return prepare_corpus(lines.withColumn("line_id", F.lit(None).cast("long")), opts,
+                          keys=["file"]).output.drop("line_id")
 
 
 def chat_messages_stream(lines: DataFrame, opts: ChatOptions = ChatOptions()) -> DataFrame:
     c = Q.classify_chats(lines)
-    ok = c.filter(F.col("outcome") == Q.OK).select("file", "items")
+    ok = Q.ok_rows(c, "items", ["file"])
     return to_messages(ok, "items", opts.role_map, opts.system_prompt).drop("items")
 
 
