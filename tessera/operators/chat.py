@@ -117,6 +117,26 @@ def render_long(long: DataFrame, conv: str = "conv_id", seq: str = "seq",
     return pieces.groupBy(conv).agg(body.alias(out))
 
 
+def render_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                 text: str = "text", role_map=TURN_ROLE_MAP,
+                 system_prompt: str = PREPARE_SYSTEM_PROMPT, generation_prompt: bool = False,
+                 out: str = "text") -> DataFrame:
+    """Render a turn table per conversation in one aggregation: kept turns
+    are rendered row by row before the shuffle, joined in turn order, and
+    the system message is prepended after grouping (same text as
+    ``render_long(messages_long(...))`` without the extra distinct pass)."""
+    srcs = [s for s, _ in role_map]
+    r = _role_map_expr(F.col(role), role_map)
+    piece = F.when(F.col(role).isin(*srcs), message_piece(r, F.col(text))).otherwise(F.lit(""))
+    pieces = turns.select(conv, F.col(turn).cast("long").alias("t_"), piece.alias("p_"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("t_", "p_"))),
+                                    lambda x: x["p_"]), "")
+    full = F.concat(message_piece(F.lit("system"), F.lit(system_prompt)), body)
+    if generation_prompt:
+        full = F.concat(full, F.lit(GENERATION_PROMPT))
+    return pieces.groupBy(conv).agg(full.alias(out))
+
+
 def render_prompt(df: DataFrame, prompt_col: str = "prompt",
                   system_prompt: str = SAMPLING_SYSTEM_PROMPT, out: str = "text") -> DataFrame:
     """Generation prompt: system message, the prompt as user message, and the

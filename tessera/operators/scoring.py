@@ -146,14 +146,16 @@ def cross_entropy(targets: DataFrame, scores: DataFrame, prev: str = "prev_id",
     0 when the target is ``ignore``; null when the pair has no score.
 
     ``targets`` holds one row per predicted position with the context id in
-    ``prev`` and the target in ``target``. The log-sum-exp is an aggregate
-    over the score table; the lookups are equi-joins (AQE broadcasts the
-    score side when small and splits hot pairs otherwise)."""
-    mx = scores.groupBy(prev).agg(F.max(score).alias("mx_"))
-    lse = (scores.join(mx, prev).groupBy(prev)
-           .agg((F.max("mx_") + F.log(F.sum(F.exp(F.col(score) - F.col("mx_"))))).alias("lse_")))
-    sc = scores.select(F.col(prev), F.col(target), F.col(score).alias("s_"))
-    d = targets.join(lse, prev, "left").join(sc, [prev, target], "left")
+    ``prev`` and the target in ``target``. The score table is read once: the
+    log-sum-exp is a window per context, whose rows are that context's
+    candidate ids and so at most the vocabulary size; the lookup is one
+    equi-join on ``(prev, target)`` (AQE broadcasts the score side when small
+    and splits hot pairs of the target side otherwise)."""
+    w = Window.partitionBy(prev)
+    sc = (scores.select(F.col(prev), F.col(target), F.col(score).alias("s_"))
+          .withColumn("mx_", F.max("s_").over(w)))
+    sc = sc.withColumn("lse_", F.col("mx_") + F.log(F.sum(F.exp(F.col("s_") - F.col("mx_"))).over(w)))
+    d = targets.join(sc.select(prev, target, "s_", "lse_"), [prev, target], "left")
     loss = F.when(F.col(target) == F.lit(ignore), F.lit(0.0)).otherwise(F.col("lse_") - F.col("s_"))
     return d.withColumn(out, loss).drop("lse_", "s_")
 

@@ -121,7 +121,7 @@ FROM conversations WHERE role IN ('user', 'assistant')
 
 
 def q_render_chat(spark: SparkSession, sf: str) -> DataFrame:
-    return C.render_long(C.messages_long(_turns(spark, sf)))
+    return C.render_turns(_turns(spark, sf))
 
 
 SQL_RENDER_CHAT = f"""
@@ -271,7 +271,7 @@ FROM p GROUP BY doc_id, chunk_no
 
 
 def _chat_text(spark, sf):
-    return C.render_long(C.messages_long(_turns(spark, sf)))
+    return C.render_turns(_turns(spark, sf))
 
 
 def q_answer_mask(spark: SparkSession, sf: str) -> DataFrame:

@@ -60,3 +60,11 @@ def test_cross_entropy_and_masked_loss(spark):
     ce = S.cross_entropy(t, scores)
     m = {r.batch_id: r.loss for r in S.masked_loss(ce, "batch_id", "loss", "mask").collect()}
     assert abs(m[0] - math.log(2)) < 1e-12 and m[1] is None
+
+
+def test_render_turns_equals_long_form(spark):
+    from tessera.operators import chat as C
+    t = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    a = {r.conv_id: r.text for r in C.render_turns(t).collect()}
+    b = {r.conv_id: r.text for r in C.render_long(C.messages_long(t)).collect()}
+    assert a == b and len(a) > 0
