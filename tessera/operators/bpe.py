@@ -16,18 +16,21 @@ The merge table ``(rank, a, b, new_id, n, piece)`` has one row per merge and
 is bounded by the vocabulary size; ``piece`` holds the new token's bytes as a
 Latin-1 string.
 
-Encoding with merges runs per Arrow batch: the same pre-token pattern, then
-the merges by rank inside each pre-token (a per-batch cache avoids repeating
-frequent pre-tokens). The merge table travels with the function; its size is
-bounded by the vocabulary.
+Encoding with merges: the JVM splits special tokens off and pre-tokenizes
+(``regexp_extract_all``); an Arrow batch function dictionary-encodes the
+units of the batch, merges each distinct unit once by rank (a per-worker
+cache keeps frequent ones) and gathers all ids in one vectorized pass. The
+merge table travels with the function; its size is bounded by the
+vocabulary.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType
@@ -40,13 +43,32 @@ from .tokens import encode as encode_bytes_op
 MERGES_SCHEMA = "rank int, a int, b int, new_id int, n long, piece string"
 
 
+# Java regex needs UNICODE_CHARACTER_CLASS for \s to mean Unicode white space
+JAVA_PRETOKEN = "(?U)" + PRETOKEN_PATTERN
+
+
 def pretokens(df: DataFrame, col: str = "text", out: str = "word", keep: list[str] | None = None) -> DataFrame:
     """One row per pre-token, in text order (``pos``)."""
     keep = keep or []
-    return df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(col), F.lit(PRETOKEN_PATTERN), F.lit(0)))
+    return df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(col), F.lit(JAVA_PRETOKEN), F.lit(0)))
                      .alias("pos", out))
 
 
+def units(col: str) -> Column:
+    """Pre-tokens of a text with special-token strings as whole units (the
+    specials are split off first, then each piece is pre-tokenized). No
+    pre-token can equal a special string, so a unit is unambiguous."""
+    from ..functions.bytes import special_regex
+    c = F.col(col)
+    rx = special_regex()
+    plain = F.regexp_extract_all(c, F.lit(JAVA_PRETOKEN), F.lit(0))
+    split = F.flatten(F.zip_with(
+        F.split(c, rx, -1), F.regexp_extract_all(c, F.lit("(" + rx + ")"), F.lit(1)),
+        lambda p, m: F.concat(F.regexp_extract_all(p, F.lit(JAVA_PRETOKEN), F.lit(0)),
+                              F.when(m.isNull(), F.array().cast("array<string>")).otherwise(F.array(m)))))
+    return F.when(F.instr(c, "<") == 0, plain).otherwise(split)
+
+
 def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
     return pretokens(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -140,41 +162,62 @@ def _bpe_word(sym: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) ->
     return sym
 
 
-def make_merge_encoder(merge_rows: list[tuple[int, int, int, int]]):
-    """Arrow batch function text -> ids with merges ``(rank, a, b, new_id)``."""
-    import regex
+_CACHE_LIMIT = 1_000_000
 
-    from ..functions.arrow_codec import _SPECIAL_IDS, _SPECIAL_RE
+
+def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
+    """Arrow batch function: list of units -> ids. Per batch the units are
+    dictionary-encoded, each distinct unit is merged once (and kept in a
+    per-worker cache), and the ids of all units are gathered in one
+    vectorized pass."""
+    from ..functions.arrow_codec import _SPECIAL_IDS
 
     ranks = {(a, b): (r, new) for r, a, b, new in merge_rows}
     lut = np.asarray(byte_to_id_table(), dtype=np.int32)
-    pat = regex.compile(PRETOKEN_PATTERN)
-
-    def encode_batch(texts: pa.Array) -> pa.Array:
-        cache: dict[str, list[int]] = {}
-        out = []
-        for t in texts.to_pylist():
-            if t is None:
-                out.append(None)
-                continue
-            ids: list[int] = []
-            for part in _SPECIAL_RE.split(t):
-                if not part:
-                    continue
-                sid = _SPECIAL_IDS.get(part)
-                if sid is not None:
-                    ids.append(sid)
-                    continue
-                for w in pat.findall(part):
-                    enc = cache.get(w)
-                    if enc is None:
-                        enc = _bpe_word(lut[np.frombuffer(w.encode("utf-8"), np.uint8)].tolist(), ranks)
-                        cache[w] = enc
-                    ids.extend(enc)
-            out.append(ids)
-        return pa.array(out, pa.list_(pa.int32()))
-
-    return encode_batch
+    cache: dict[str, np.ndarray] = {}
+
+    def one(u: str) -> np.ndarray:
+        sid = _SPECIAL_IDS.get(u)
+        if sid is not None:
+            return np.asarray([sid], dtype=np.int32)
+        return np.asarray(_bpe_word(lut[np.frombuffer(u.encode("utf-8"), np.uint8)].tolist(), ranks),
+                          dtype=np.int32)
+
+    def encode_units(arr: pa.Array) -> pa.Array:
+        if isinstance(arr, pa.ChunkedArray):
+            arr = arr.combine_chunks()
+        loff = np.asarray(arr.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
+        loff = loff - loff[0]
+        vals = arr.flatten()
+        if len(cache) > _CACHE_LIMIT:
+            cache.clear()
+        if len(vals):
+            de = pc.dictionary_encode(vals)
+            idx = np.asarray(de.indices.to_numpy(zero_copy_only=False), dtype=np.int64)
+            enc = []
+            for u in de.dictionary.to_pylist():
+                e = cache.get(u)
+                if e is None:
+                    e = one(u)
+                    cache[u] = e
+                enc.append(e)
+            ulen = np.fromiter((len(e) for e in enc), dtype=np.int64, count=len(enc))
+            uflat = np.concatenate(enc) if enc else np.zeros(0, dtype=np.int32)
+            ustart = np.concatenate([[0], np.cumsum(ulen)[:-1]])
+            lens = ulen[idx]
+            ends = np.cumsum(lens)
+            total = int(ends[-1]) if len(ends) else 0
+            gather = np.repeat(ustart[idx] - (ends - lens), lens) + np.arange(total, dtype=np.int64)
+            flat = uflat[gather]
+            cum = np.concatenate([[0], ends])
+        else:
+            flat = np.zeros(0, dtype=np.int32)
+            cum = np.zeros(1, dtype=np.int64)
+        row_off = cum[loff].astype(np.int32)
+        mask = pa.array(arr.is_null().to_numpy(zero_copy_only=False)) if arr.null_count else None
+        return pa.ListArray.from_arrays(pa.array(row_off), pa.array(flat, pa.int32()), mask=mask)
+
+    return encode_units
 
 
 def _merge_rows(merges: DataFrame, max_merges: int):
@@ -187,9 +230,9 @@ def encode_with_merges(df: DataFrame, col: str, merges: DataFrame, out: str = "i
     """Text -> ids with merges (special tokens split first). The merge table
     is collected once (bounded: ``max_merges`` rows, the vocabulary size)."""
     rows = _merge_rows(merges, max_merges)
-    fn = arrow_udf(make_merge_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows]),
+    fn = arrow_udf(make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows]),
                    ArrayType(IntegerType()))
-    return df.withColumn(out, fn(F.col(col)))
+    return df.withColumn(out, fn(units(col)))
 
 
 def decode_with_merges(df: DataFrame, ids: str, merges: DataFrame, out: str = "text",

@@ -9,9 +9,34 @@ MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 CHUNK_SCHEMA = "text string"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the prepared parquet tables under ``sf_dir``."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+SPREAD_LIMIT_BYTES = 8 << 30
+
+
+def spread_small(df: DataFrame, limit_bytes: int = SPREAD_LIMIT_BYTES) -> DataFrame:
+    """Round-robin a small input over the session's parallelism.
+
+    A file stored as one row group is read by one task however many cores
+    there are, and per-row text work (parsing, regexes, encoding) then runs
+    on one core. When the optimizer's size estimate is at most
+    ``limit_bytes`` the rows are spread with ``repartition(parallelism)``
+    (deterministic: Spark sorts before a round-robin exchange). Larger
+    inputs are left as scanned: they come in many splits already, and a
+    full shuffle of them would cost more than it gains. Column pruning and
+    pushed filters still reach the scan below the exchange."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
+        return df
+    if target > 1 and size <= limit_bytes:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One of the prepared parquet tables under ``sf_dir`` (see ``spread_small``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(df) if spread else df
 
 
 def read_lines(spark: SparkSession, path: str, number: bool = False) -> DataFrame:

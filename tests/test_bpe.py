@@ -59,3 +59,15 @@ def test_train_matches_python(spark):
     back = TK.decode(e, "ids", "back", merges=m)
     assert back.filter("back <> text").count() == 0
     assert e.selectExpr("sum(size(ids))").first()[0] < TK.encode(docs, "text", "b").selectExpr("sum(size(b))").first()[0]
+
+
+def test_java_pretokens_match_python(spark):
+    from pyspark.sql import functions as F
+    texts = ["a　b\xa0c\x1cd  e f 12 x's  \xa0\xa0g", "Hello  world's  \n x 12!!", "  lead", "tail  ",
+             "<|im_start|>user\nhi <s> there</s><|im_end|>\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
+    got = {r.k: r.w for r in df.select("k", F.regexp_extract_all("text", F.lit(bpe.JAVA_PRETOKEN), F.lit(0)).alias("w")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == regex.findall(PRETOKEN_PATTERN, t), t
+    u = {r.k: r.u for r in df.select("k", bpe.units("text").alias("u")).collect()}
+    assert u[4][0] == "<|im_start|>" and "<s>" in u[4] and u[4][-2:] == ["<|im_end|>", "\n"]
