@@ -9,9 +9,11 @@ Every step is a DataFrame job over all live prompts at once: the per-context
 candidate table is bounded by vocabulary x width rows and is broadcast, so
 many prompts sharing one context id do not meet in one task; ranking happens
 inside a prompt (at most width x width rows). Prompts that finish are split
-off. Each step's state is read twice by the next one, so lineage is cut with
-a reliable checkpoint after every step (``spark.checkpoint.dir``); the state
-is small (live prompts x width rows).
+off. Each step reads the previous state once (one join to the broadcast
+candidates, one per-prompt window or aggregate), so the plan grows linearly
+and lineage is cut with a reliable checkpoint every ``checkpoint_every``
+steps (``spark.checkpoint.dir``); finished prompts ride along flagged
+``done``. The state is small (prompts x width rows).
 
 Differences from a dense per-step loop: candidates without a score (not in
 the table) are treated as impossible and never materialised, so a beam at
@@ -72,42 +74,60 @@ def beam_step(beams: DataFrame, cands: DataFrame, width: int) -> DataFrame:
                      key.alias("score"), "prompt_len"))
 
 
+def _search_step(state: DataFrame, cands: DataFrame, width: int, stop_id: int | None) -> DataFrame:
+    """One expansion over the whole beam state with a single per-prompt
+    window (one shuffle) and one projection.
+
+    Live beams propose their candidates; a prompt that got proposals keeps
+    its ``width`` best new beams and is ``done`` when the best one ends in
+    ``stop_id``. A prompt without proposals (already done, or no candidate
+    for any beam) keeps its best beam, flagged ``done``."""
+    cond = (state["last_id"] == cands["prev_id"]) & ~state["done"]
+    e = state.join(F.broadcast(cands), cond, "left")
+    key = F.col("score") + F.col("log_prob")
+    has = F.col("next_id").isNotNull()
+    wp = Window.partitionBy("prompt_id")
+    w = wp.orderBy((~has).asc(), key.desc(), F.col("beam_rank"), F.col("cand_rank"))
+    stop = F.lit(False) if stop_id is None else (F.col("next_id") == F.lit(stop_id))
+    e = (e.withColumn("nr_", F.row_number().over(w) - 1)
+          .withColumn("any_", F.max(has.cast("int")).over(wp) == 1)
+          .withColumn("stop_", F.max(((F.col("nr_") == 0) & has & stop).cast("int")).over(wp) == 1))
+    grown = F.col("any_")
+    keep = (grown & (F.col("nr_") < width)) | (~grown & (F.col("beam_rank") == 0))
+    return e.filter(keep).select(
+        "prompt_id",
+        F.when(grown, F.col("nr_")).otherwise(F.col("beam_rank")).cast("int").alias("beam_rank"),
+        F.when(grown, F.array_append("tokens", F.col("next_id").cast("int"))).otherwise(F.col("tokens")).alias("tokens"),
+        F.when(grown, F.col("next_id").cast("int")).otherwise(F.col("last_id")).alias("last_id"),
+        F.when(grown, key).otherwise(F.col("score")).alias("score"),
+        "prompt_len",
+        F.when(grown, F.col("stop_")).otherwise(F.lit(True)).alias("done"))
+
+
 def _best(beams: DataFrame) -> DataFrame:
     return beams.filter(F.col("beam_rank") == 0)
 
 
 def beam_search(prompts: DataFrame, scores: DataFrame, steps: int, width: int,
                 stop_id: int | None = None, temperature: float = 1.0, top_k: int | None = None,
-                normalise: bool = True, ids: str = "ids", checkpoint_every: int = 1) -> DataFrame:
+                normalise: bool = True, ids: str = "ids", checkpoint_every: int = 8) -> DataFrame:
     """Best beam per prompt after at most ``steps`` expansions; a prompt ends
     early when its best beam ends in ``stop_id`` (kept in the output).
-    Output ``(prompt_id, new_ids, score)``."""
+    Output ``(prompt_id, new_ids, score)``. Each step reads the previous
+    state once, so lineage is cut only every ``checkpoint_every`` steps."""
     # bounded by vocabulary x width rows; computed once, not once per step
     cands = cut_lineage(candidate_table(scores, width, temperature, top_k, normalise))
-    live = init_beams(prompts, ids)
-    finished = None
+    state = init_beams(prompts, ids).withColumn("done", F.lit(False))
     for s in range(steps):
-        nxt = beam_step(live, cands, width)
-        # prompts with no candidates at all keep their last beams
-        stuck = live.join(nxt.select("prompt_id").distinct(), "prompt_id", "left_anti")
-        done_ids = _best(nxt).filter(F.col("last_id") == F.lit(stop_id)).select("prompt_id") \
-            if stop_id is not None else None
-        ended = _best(stuck)
-        if done_ids is not None:
-            ended = ended.unionByName(_best(nxt).join(done_ids, "prompt_id", "left_semi"))
-            nxt = nxt.join(done_ids, "prompt_id", "left_anti")
-        finished = ended if finished is None else finished.unionByName(ended)
-        live = nxt
+        state = _search_step(state, cands, width, stop_id)
         if checkpoint_every and (s + 1) % checkpoint_every == 0 and s + 1 < steps:
-            live = cut_lineage(live)
-            finished = cut_lineage(finished)
-            if live.isEmpty():
+            state = cut_lineage(state)
+            if state.filter(~F.col("done")).isEmpty():
                 break
-    out = _best(live) if finished is None else finished.unionByName(_best(live))
-    return out.select("prompt_id",
-                      F.slice("tokens", F.col("prompt_len") + 1,
-                              F.size("tokens") - F.col("prompt_len")).alias("new_ids"),
-                      "score")
+    return _best(state).select(
+        "prompt_id",
+        F.slice("tokens", F.col("prompt_len") + 1, F.size("tokens") - F.col("prompt_len")).alias("new_ids"),
+        "score")
 
 
 def _next_greedy(cands_all: DataFrame) -> DataFrame:
@@ -117,7 +137,7 @@ def _next_greedy(cands_all: DataFrame) -> DataFrame:
 def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | None = None,
              temperature: float = 1.0, top_k: int | None = None, greedy: bool = False,
              num_samples: int = 1, seed: int = SEED, ids: str = "ids",
-             checkpoint_every: int = 1) -> DataFrame:
+             checkpoint_every: int = 8) -> DataFrame:
     """Greedy or sampled continuation, ``num_samples`` independent runs per
     prompt. A picked ``stop_id`` ends the run and is not kept. Sampling
     draws from ``softmax(score/temperature)`` over the top-k set with
@@ -141,11 +161,14 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
             picked = live.join(table, live["last_id"] == table["prev_id"], "left") \
                 .select("prompt_id", "sample_no", "alive", "new_ids", "last_id", "pick")
         else:
-            e = live.filter("alive").join(table, live["last_id"] == table["prev_id"])
+            # one aggregate per step: state columns ride along with the draw
+            cond = (live["last_id"] == table["prev_id"]) & live["alive"]
+            e = live.join(table, cond, "left")
             u = S.uniform(F.lit(seed), F.col("prompt_id"), F.col("sample_no"), F.lit(s), F.col("next_id"))
             g = F.col("score") / F.lit(float(temperature)) - F.log(-F.log(u))
-            draws = e.groupBy("prompt_id", "sample_no").agg(F.max_by("next_id", g).alias("pick"))
-            picked = live.join(draws, ["prompt_id", "sample_no"], "left")
+            picked = e.groupBy("prompt_id", "sample_no").agg(
+                F.first("alive").alias("alive"), F.first("new_ids").alias("new_ids"),
+                F.first("last_id").alias("last_id"), F.max_by("next_id", g).alias("pick"))
         stop = F.col("pick").isNull() | ((F.col("pick") == F.lit(stop_id)) if stop_id is not None
                                          else F.lit(False))
         live = picked.select(
