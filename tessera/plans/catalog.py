@@ -531,10 +531,7 @@ FROM tl GROUP BY doc_id, chunk_no
 def q_masked_loss(spark: SparkSession, sf: str) -> DataFrame:
     smp = _samples(spark, sf)
     b = B.assign_batches(smp, ["doc_id", "chunk_no"], batch=BATCH_SIZE, epochs=1, seed=SEED)
-    b = b.select("batch_id", "n_real", "x", "y", "loss_mask")
-    t = S.targets_from_samples(b, ["batch_id"])
-    d = S.cross_entropy(t, _bigram(spark, sf))
-    m = S.masked_loss(d, "batch_id", "loss", "mask")
+    m = JB.evaluate(b, _bigram(spark, sf), "batch_id")
     return m.select("batch_id", F.round("loss", 6).alias("loss"), F.col("n_tokens").cast("long").alias("n_tokens"))
 
 
@@ -824,6 +821,45 @@ def q_prepare_chats(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_PREPARE_CHATS = SQL_RENDER_CHAT
 
+
+# --------------------------------------------------------------------------
+# D6 prompt ids, D4 chat samples
+# --------------------------------------------------------------------------
+def q_prompt_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Chat prompts (every user turn) rendered with the sampling template and
+    encoded (special tokens become their ids)."""
+    p = _turns(spark, sf).filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
+    d = JB.render_prompts(p, chat=True, prompt_col="prompt")
+    return d.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"),
+                    _join_ids("ids").alias("ids_text"))
+
+
+SQL_PROMPT_IDS = f"""
+WITH rp AS ({SQL_RENDER_PROMPT}),
+{_d_encode("SELECT conv_id * 1000 + turn AS k, text FROM rp", "k", "text", "e")}
+SELECT CAST(k // 1000 AS BIGINT) AS conv_id, CAST(k % 1000 AS BIGINT) AS turn, count(*) AS n_ids,
+       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
+FROM e GROUP BY k
+"""
+
+
+def q_chat_samples(spark: SparkSession, sf: str) -> DataFrame:
+    d = SP.chat_samples(_chat_text(spark, sf), messages=None, text="text", keys=["conv_id"])
+    return d.select("conv_id", _join_ids("x").alias("x_text"), _join_ids("y").alias("y_text"),
+                    _join_ids("loss_mask").alias("mask_text"))
+
+
+SQL_CHAT_SAMPLES = SQL_ANSWER_MASK.replace(
+    """SELECT conv_id, n_real,
+  CAST(sum(mark) FILTER (WHERE pos >= 1) AS INTEGER) AS n_marked,
+  string_agg(CAST(mark AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos >= 1) AS mask_text
+FROM mk GROUP BY conv_id, n_real""",
+    f"""SELECT mk.conv_id,
+  string_agg(CAST(p.id AS VARCHAR), ' ' ORDER BY mk.pos) FILTER (WHERE mk.pos < {MAX_LENGTH - 1}) AS x_text,
+  string_agg(CAST(p.id AS VARCHAR), ' ' ORDER BY mk.pos) FILTER (WHERE mk.pos >= 1) AS y_text,
+  string_agg(CAST(mark AS VARCHAR), ' ' ORDER BY mk.pos) FILTER (WHERE mk.pos >= 1) AS mask_text
+FROM mk JOIN p ON p.conv_id = mk.conv_id AND p.pos = mk.pos GROUP BY mk.conv_id""")
+
 QUERIES = {
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
@@ -859,6 +895,8 @@ QUERIES = {
     "prepare_corpus": q_prepare_corpus,
     "reject_samples": q_reject_samples,
     "prepare_chats": q_prepare_chats,
+    "prompt_ids": q_prompt_ids,
+    "chat_samples": q_chat_samples,
 }
 
 ORACLE = {
@@ -893,4 +931,6 @@ ORACLE = {
     "prepare_corpus": SQL_PREPARE_CORPUS,
     "reject_samples": SQL_REJECT_SAMPLES,
     "prepare_chats": SQL_PREPARE_CHATS,
+    "prompt_ids": SQL_PROMPT_IDS,
+    "chat_samples": SQL_CHAT_SAMPLES,
 }
