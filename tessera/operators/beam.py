@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..options import SEED, SelectOptions
 from ..session import cut_lineage
 from . import scoring as S
+from .lookup import checked_broadcast
 
 
 def candidate_table(scores: DataFrame, width: int, temperature: float = 1.0,
@@ -62,8 +63,9 @@ def init_beams(prompts: DataFrame, ids: str = "ids") -> DataFrame:
 def beam_step(beams: DataFrame, cands: DataFrame, width: int) -> DataFrame:
     """Each beam proposes its candidates; per prompt keep the ``width`` best
     summed log-probabilities, ties by previous beam order then candidate
-    rank (a stable sort of the proposals)."""
-    e = beams.join(F.broadcast(cands), beams["last_id"] == cands["prev_id"])
+    rank (a stable sort of the proposals). ``cands`` is used as given: pass
+    it through ``checked_broadcast`` after materialising it."""
+    e = beams.join(cands, beams["last_id"] == cands["prev_id"])
     key = F.col("score") + F.col("log_prob")
     w = Window.partitionBy("prompt_id").orderBy(key.desc(), F.col("beam_rank"), F.col("cand_rank"))
     return (e.withColumn("nr_", F.row_number().over(w) - 1)
@@ -83,7 +85,7 @@ def _search_step(state: DataFrame, cands: DataFrame, width: int, stop_id: int |
     ``stop_id``. A prompt without proposals (already done, or no candidate
     for any beam) keeps its best beam, flagged ``done``."""
     cond = (state["last_id"] == cands["prev_id"]) & ~state["done"]
-    e = state.join(F.broadcast(cands), cond, "left")
+    e = state.join(cands, cond, "left")
     key = F.col("score") + F.col("log_prob")
     has = F.col("next_id").isNotNull()
     wp = Window.partitionBy("prompt_id")
@@ -116,7 +118,7 @@ def beam_search(prompts: DataFrame, scores: DataFrame, steps: int, width: int,
     Output ``(prompt_id, new_ids, score)``. Each step reads the previous
     state once, so lineage is cut only every ``checkpoint_every`` steps."""
     # bounded by vocabulary x width rows; computed once, not once per step
-    cands = cut_lineage(candidate_table(scores, width, temperature, top_k, normalise))
+    cands = checked_broadcast(cut_lineage(candidate_table(scores, width, temperature, top_k, normalise)))
     state = init_beams(prompts, ids).withColumn("done", F.lit(False))
     for s in range(steps):
         state = _search_step(state, cands, width, stop_id)
@@ -147,9 +149,9 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
     # the per-context table is bounded by vocabulary x (1 or top-k) rows;
     # computed once and broadcast to every step
     if greedy:
-        table = F.broadcast(cut_lineage(_next_greedy(sc)))
+        table = checked_broadcast(cut_lineage(_next_greedy(sc)))
     else:
-        table = F.broadcast(cut_lineage(sc if top_k is None else
+        table = checked_broadcast(cut_lineage(sc if top_k is None else
                                         S.top_k(sc, "prev_id", "next_id", "score", top_k).drop("rank")))
     runs = prompts.crossJoin(F.broadcast(
         prompts.sparkSession.range(num_samples).select(F.col("id").cast("int").alias("sample_no"))))

@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(table)`` when its row count is at most ``max_rows``, else
+    the table itself (a shuffle join, where AQE can still broadcast at run
+    time or split hot keys). Count it after materialising (checkpoint) so
+    the check does not recompute the table."""
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def explode_ids(df: DataFrame, ids: str, keys: list[str], pos: str = "pos", out: str = "id") -> DataFrame:
     """One row per id, position kept."""
     return df.select(*keys, F.posexplode(ids).alias(pos, out))
@@ -22,8 +30,7 @@ def explode_ids(df: DataFrame, ids: str, keys: list[str], pos: str = "pos", out:
 def lookup(long: DataFrame, table: DataFrame, id_col: str, key: str, how: str = "left",
            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join ``table`` rows onto ``long`` by ``long[id_col] == table[key]``."""
-    n = table.count()
-    t = F.broadcast(table) if n <= max_broadcast_rows else table
+    t = checked_broadcast(table, max_broadcast_rows)
     return long.join(t, long[id_col] == t[key], how)
 
 

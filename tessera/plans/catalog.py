@@ -26,6 +26,7 @@ from . import jobs as JB
 from . import samples as SP
 from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
+from ..session import cut_lineage
 from ..sources.lines import read_table
 
 # --------------------------------------------------------------------------
@@ -570,7 +571,7 @@ def _scores9(spark, sf):
 
 
 def q_beam_step(spark: SparkSession, sf: str) -> DataFrame:
-    cands = BM.candidate_table(_scores9(spark, sf), BEAM_WIDTH, normalise=False)
+    cands = L.checked_broadcast(cut_lineage(BM.candidate_table(_scores9(spark, sf), BEAM_WIDTH, normalise=False)))
     b = BM.beam_step(BM.init_beams(_prompts(spark, sf)), cands, BEAM_WIDTH)
     return b.select("prompt_id", "beam_rank", F.col("last_id").alias("next_id"),
                     F.round("score", 9).alias("score"))
