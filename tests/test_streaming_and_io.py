@@ -78,3 +78,15 @@ def test_preparation_jobs_have_no_exchange(spark):
     for out in (JB.prepare_corpus(lines).output, JB.prepare_chats(lines).output):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
+
+
+def test_streaming_counters(spark):
+    from tessera.streaming import start_counters_stream
+    d = tempfile.mkdtemp(prefix="tessera-counters-")
+    _write(os.path.join(d, "in"), "a.jsonl", CORPUS)
+    q = start_counters_stream(spark, os.path.join(d, "in"), os.path.join(d, "tbl"), os.path.join(d, "ckpt"))
+    q.awaitTermination(120)
+    got = {}
+    for r in spark.read.parquet(os.path.join(d, "tbl")).collect():
+        got[r.outcome] = got.get(r.outcome, 0) + r.n
+    assert got == {"ok": 3, "skip": 1, "error": 2, "blank": 1}
