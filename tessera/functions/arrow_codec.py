@@ -141,8 +141,11 @@ def make_decoder(extra: dict[int, bytes] | None = None):
     return decode_batch
 
 
-_encode_udf = arrow_udf(encode_batch, ArrayType(IntegerType()))
-_decode_udf = arrow_udf(make_decoder(), StringType())
+# The results are deterministic; the flag only stops the optimizer from
+# inlining a codec result into a later lambda (higher-order function), where
+# a Python UDF could not be extracted for evaluation.
+_encode_udf = arrow_udf(encode_batch, ArrayType(IntegerType())).asNondeterministic()
+_decode_udf = arrow_udf(make_decoder(), StringType()).asNondeterministic()
 
 
 def encode_bytes_arrow(col: str | Column) -> Column:
@@ -158,4 +161,4 @@ def decode_bytes_arrow(col: str | Column) -> Column:
 def decoder_for_pieces(extra: dict[int, bytes]):
     """Decoder UDF that also knows merged tokens ``{id: bytes}`` (bounded by
     the vocabulary size)."""
-    return arrow_udf(make_decoder(extra), StringType())
+    return arrow_udf(make_decoder(extra), StringType()).asNondeterministic()

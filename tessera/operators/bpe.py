@@ -231,7 +231,7 @@ def encode_with_merges(df: DataFrame, col: str, merges: DataFrame, out: str = "i
     is collected once (bounded: ``max_merges`` rows, the vocabulary size)."""
     rows = _merge_rows(merges, max_merges)
     fn = arrow_udf(make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows]),
-                   ArrayType(IntegerType()))
+                   ArrayType(IntegerType())).asNondeterministic()
     return df.withColumn(out, fn(units(col)))
 
 

@@ -17,15 +17,25 @@ from ..functions.bytes import byte_to_id_table
 from ..options import BOS_ID, EOS_ID, MAX_LENGTH
 
 
-def answer_header(role: str = "assistant", vocab: str = "bytes") -> list[int]:
-    """Ids of ``<|im_start|>{role}\\n`` under merge-free byte encoding.
-
-    The header is derived from the vocabulary in use; with merges pass the
-    encoded header explicitly."""
-    if vocab != "bytes":
-        raise ValueError("only the byte vocabulary is derived here")
-    table = byte_to_id_table()
-    return [BOS_ID] + [table[b] for b in (role + "\n").encode("utf-8")]
+def answer_header(role: str = "assistant", merges: DataFrame | None = None) -> list[int]:
+    """Ids of ``<|im_start|>{role}\n`` in the vocabulary in use.
+
+    Without merges: the BOS id and the byte ids of ``role + "\n"``. With a
+    merge table (bounded by the vocabulary size, collected once) the header
+    text is encoded exactly as chat text is: special token first, then the
+    pre-tokens of the rest merged by rank."""
+    if merges is None:
+        table = byte_to_id_table()
+        return [BOS_ID] + [table[b] for b in (role + "\n").encode("utf-8")]
+    import pyarrow as pa
+    import regex
+
+    from ..options import BOS_TOKEN, PRETOKEN_PATTERN
+    from .bpe import _merge_rows, make_unit_encoder
+    rows = _merge_rows(merges, 1 << 20)
+    enc = make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows])
+    units = [BOS_TOKEN] + regex.findall(PRETOKEN_PATTERN, role + "\n")
+    return enc(pa.array([units], pa.list_(pa.string()))).to_pylist()[0]
 
 
 def real_mask(df: DataFrame, n_real: str = "n_real", n: int = MAX_LENGTH,

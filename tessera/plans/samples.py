@@ -48,6 +48,8 @@ def chat_samples(df: DataFrame, messages: str | None = "messages", text: str | N
         src = "chat_text_"
     d = TK.encode(d, src, "ids", merges=merges)
     d = TK.fit_length(d, "ids", n, opts.pad_id)
+    if header is None:
+        header = M.answer_header("assistant", merges)
     d = M.span_mask(d, "ids", header, opts.end_id)
     d = M.shift(d, "ids", "loss_mask", n)
     return d.select(*keys, "n_real", "x", "y", "loss_mask")

@@ -71,3 +71,25 @@ def test_java_pretokens_match_python(spark):
         assert got[i] == regex.findall(PRETOKEN_PATTERN, t), t
     u = {r.k: r.u for r in df.select("k", bpe.units("text").alias("u")).collect()}
     assert u[4][0] == "<|im_start|>" and "<s>" in u[4] and u[4][-2:] == ["<|im_end|>", "\n"]
+
+
+def test_chat_samples_with_merges_mark_answers(spark):
+    """With merges the header is encoded with the same merges, and the marked
+    targets decode to exactly the assistant content plus the end token."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import chat as C, masks as M
+    from tessera.plans import samples as SP
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "hi there"), (1, 1, "assistant", "assistant answers assistant"),
+         (2, 0, "user", "q"), (2, 1, "assistant", "ok"), (2, 2, "user", "more"), (2, 3, "assistant", "yes")],
+        "conv_id long, turn long, role string, text string")
+    chats = C.render_turns(turns)
+    m = bpe.train_bpe(chats, "text", n_merges=12)
+    header = M.answer_header("assistant", m)
+    assert header[0] == 3 and len(header) < 11  # merged, shorter than bytes
+    s = SP.chat_samples(chats, messages=None, text="text", keys=["conv_id"], merges=m)
+    marked = s.select("conv_id", F.expr("filter(zip_with(y, loss_mask, (a, b) -> IF(b = 1, a, -1)), v -> v >= 0)").alias("ids"))
+    got = {r.conv_id: r.back for r in TK.decode(marked, "ids", "back", merges=m).collect()}
+    assert got[1] == "assistant answers assistant<|im_end|>"
+    assert got[2] == "ok<|im_end|>yes<|im_end|>"
