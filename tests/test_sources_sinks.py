@@ -67,3 +67,13 @@ def test_lookup_broadcast_guard(spark):
     rows = sorted((r.pos, r.label) for r in small.collect())
     assert rows == [(0, 1), (1, 2), (2, None)]
     assert sorted((r.pos, r.label) for r in big.collect()) == rows
+
+
+def test_spread_small_inputs_only(spark):
+    from tessera.sources.lines import read_table, spread_small
+    d = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan and "ReadSchema: struct<doc_id:bigint>" in plan
+    raw = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    big = spread_small(raw, limit_bytes=0)  # pretend the input is large: no exchange added
+    assert "RoundRobinPartitioning" not in big._jdf.queryExecution().executedPlan().toString()
