@@ -77,3 +77,26 @@ def test_spread_small_inputs_only(spark):
     raw = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     big = spread_small(raw, limit_bytes=0)  # pretend the input is large: no exchange added
     assert "RoundRobinPartitioning" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_input_fails_early(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        JB.prepare_corpus_files(spark, "/nonexistent/corpus.jsonl", tempfile.mkdtemp() + "/o")
+
+
+def test_metrics_and_generation_sinks(spark):
+    from tessera.operators import beam as BM
+    from tessera.sinks import append_metrics, write_generations
+    scores = spark.createDataFrame([(1, 2, 0.0), (2, 1, 0.0)], "prev_id int, next_id int, score double")
+    prompts = spark.createDataFrame([(7, [1])], "prompt_id long, ids array<int>")
+    gen = BM.generate(prompts, scores, 3, greedy=True)
+    d = tempfile.mkdtemp(prefix="tessera-sinks-")
+    write_generations(gen, os.path.join(d, "gen"))
+    back = spark.read.json(os.path.join(d, "gen")).first()
+    assert back.prompt_id == 7 and back.new_ids == [2, 1, 2]
+    m = spark.createDataFrame([(0, 0, 1.5, 2e-4)], "epoch int, step long, loss double, lr double")
+    append_metrics(m, os.path.join(d, "metrics"))
+    append_metrics(m.withColumn("step", F.lit(100).cast("long")), os.path.join(d, "metrics"))
+    assert spark.read.parquet(os.path.join(d, "metrics")).count() == 2
