@@ -92,6 +92,27 @@ def read_prompts(spark: SparkSession, path: str, whole_file: bool = False) -> Da
                      F.col("value").alias("prompt"))
 
 
+def expand_file_prompts(spark: SparkSession, prompts: DataFrame, col: str = "prompt",
+                        prefix: str = "FILE:") -> DataFrame:
+    """Replace prompts written as ``FILE:<path>`` by that file's whole text.
+
+    A task cannot open files named by the data, so the distinct paths (one
+    per such prompt, not per data row) are listed on the driver, read once
+    with ``read.text(wholetext=True)`` and joined back on the path."""
+    is_file = F.col(col).startswith(prefix)
+    path = F.substring(F.col(col), len(prefix) + 1, 1 << 30)
+    paths = [r[0] for r in prompts.filter(is_file).select(path).distinct().collect()]
+    if not paths:
+        return prompts
+    texts = (spark.read.text(paths, wholetext=True)
+             .select(F.col("_metadata.file_path").alias("fp_"), F.col("value").alias("ft_")))
+    # read.text reports absolute URIs; match on the path suffix as given
+    keyed = prompts.withColumn("p_", F.when(is_file, path))
+    j = keyed.join(F.broadcast(texts), F.col("fp_").endswith(F.col("p_")), "left")
+    return (j.withColumn(col, F.when(F.col("p_").isNotNull(), F.col("ft_")).otherwise(F.col(col)))
+             .drop("p_", "fp_", "ft_"))
+
+
 def prompts_from_list(spark: SparkSession, prompts: list[str]) -> DataFrame:
     """A prompt table from literal strings (interactive use)."""
     return spark.createDataFrame([(i, p) for i, p in enumerate(prompts)],

@@ -100,3 +100,14 @@ def test_metrics_and_generation_sinks(spark):
     append_metrics(m, os.path.join(d, "metrics"))
     append_metrics(m.withColumn("step", F.lit(100).cast("long")), os.path.join(d, "metrics"))
     assert spark.read.parquet(os.path.join(d, "metrics")).count() == 2
+
+
+def test_file_prompts(spark):
+    from tessera.sources import expand_file_prompts
+    d = tempfile.mkdtemp(prefix="tessera-fileprompt-")
+    path = os.path.join(d, "start.txt")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("<|im_start|>long\\nstart")
+    p = prompts_from_list(spark, ["plain", "FILE:" + path])
+    got = {r.prompt_id: r.prompt for r in expand_file_prompts(spark, p).collect()}
+    assert got == {0: "plain", 1: "<|im_start|>long\\nstart"}
