@@ -196,3 +196,12 @@ def select(prompts: DataFrame, scores: DataFrame, opts: SelectOptions) -> DataFr
         return b.select("prompt_id", F.lit(0).alias("sample_no"), "new_ids")
     return generate(prompts, scores, o.max_new_tokens, o.stop_id, o.temperature, o.top_k,
                     greedy=not o.do_sample, num_samples=o.num_samples, seed=o.seed)
+
+
+def basic_generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | None = None,
+                   temperature: float = 1.0, top_k: int | None = None, num_samples: int = 1,
+                   seed: int = SEED) -> DataFrame:
+    """The basic continuation rule: greedy exactly at temperature 0,
+    otherwise temperature, top-k (ties kept), softmax and a seeded draw."""
+    return generate(prompts, scores, steps, stop_id, temperature if temperature != 0 else 1.0,
+                    top_k, greedy=(temperature == 0), num_samples=num_samples, seed=seed)

@@ -88,3 +88,20 @@ def test_greedy_and_select(spark):
     samp = BM.select(pdf, scores, SelectOptions(max_new_tokens=4, do_sample=True, num_samples=2, seed=3))
     rows = samp.collect()
     assert len(rows) == 24 and all(len(r.new_ids) <= 4 for r in rows)
+
+
+def test_basic_generate_rule(spark):
+    table, scores, prompts, pdf = _setup(spark, 9)
+    g0 = {r.prompt_id: r.new_ids for r in BM.basic_generate(pdf, scores, 4, stop_id=4, temperature=0).collect()}
+    gg = {r.prompt_id: r.new_ids for r in BM.generate(pdf, scores, 4, stop_id=4, greedy=True).collect()}
+    assert g0 == gg
+    s1 = BM.basic_generate(pdf, scores, 4, stop_id=4, temperature=0.7, top_k=2, num_samples=2, seed=1).collect()
+    s2 = BM.basic_generate(pdf, scores, 4, stop_id=4, temperature=0.7, top_k=2, num_samples=2, seed=1).collect()
+    assert sorted((r.prompt_id, r.sample_no, tuple(r.new_ids)) for r in s1) == \
+        sorted((r.prompt_id, r.sample_no, tuple(r.new_ids)) for r in s2)
+    # top-2: every sampled id is among the two best candidates of its context
+    for r in s1:
+        last = dict(prompts)[r.prompt_id][-1]
+        for t in r.new_ids:
+            assert t in sorted(range(V), key=lambda j: -table[last][j])[:2]
+            last = t
