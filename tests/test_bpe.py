@@ -93,3 +93,13 @@ def test_chat_samples_with_merges_mark_answers(spark):
     got = {r.conv_id: r.back for r in TK.decode(marked, "ids", "back", merges=m).collect()}
     assert got[1] == "assistant answers assistant<|im_end|>"
     assert got[2] == "ok<|im_end|>yes<|im_end|>"
+
+
+def test_vocab_with_merges(spark):
+    from tessera.sources import byte_vocab
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    m = bpe.train_bpe(docs, "text", n_merges=3)
+    v = {r.token_id: (r.piece, r.kind) for r in byte_vocab(spark, m).collect()}
+    assert len(v) == 264 and v[263][1] == "merge"
+    for r in m.collect():
+        assert v[r.new_id][0] == v[r.a][0] + v[r.b][0]

@@ -1,3 +1,8 @@
+"""Write PLANS.md: per-query plan summary and formatted plans of key queries.
+
+Usage: python tools/plans_md.py  (reads /root/testdata/sf0.01)
+"""
+
 import sys, io, contextlib
 import os
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
