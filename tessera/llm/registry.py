@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from . import op03_mixing
+from .op01_decontamination import op1_decontamination
+from .op03_mixing import op3_mixing
 from .op07_jaccard import op7_jaccard
+from .op08_langid import op8_langid
+from .op09_token_ids import op9_token_ids
 
-QUERIES = {f.__name__: f for f in (op7_jaccard,)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_mixing, op7_jaccard, op8_langid, op9_token_ids)}
+ORACLE: dict[str, str] = {"op3_mixing": op03_mixing.SQL}
