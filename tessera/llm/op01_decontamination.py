@@ -1,6 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts become token sequences (runs of letters and digits, lower-cased) in which
+Texts become token sequences (runs of letters and digits, in lower
+case) in which
 numbers and number words, units behind a number, and names (capitalised words
 inside a sentence) are replaced by typed placeholders. Windows of ``WINDOW``
 template tokens of the benchmark items are hash-joined with those of the
@@ -64,10 +65,10 @@ class Template:
     """Template tokens of a segment: plain and named codes, values, document bounds."""
 
     def __init__(self, words: tk.Words):
-        data, start, end, h = words.data, words.start, words.end, words.hash
+        data, start, end, h = words.raw, words.start, words.end, words.hash
         n = len(start)
         doc = words.doc()
-        lead = data[start] if n else np.zeros(0, np.uint8)
+        lead = data[start]
         digit = (lead >= 48) & (lead <= 57)
         number = digit | _member(h, _hashes(NUMBER_WORDS))
         follows = np.zeros(n, bool)
@@ -80,9 +81,11 @@ class Template:
         unit = np.zeros(n, bool)
         after = np.flatnonzero(follows[1:] & number[:-1] & ~number[1:]) + 1
         unit[after] = _member(h[after], _hashes(UNIT_WORDS))
-        second = data[np.minimum(start + 1, len(data) - 1)] if n else lead
-        upper = ((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-        small = ((second >= 97) & (second <= 122)) | (second >= 0x80)
+        second = np.minimum(start + 1, len(data) - 1)
+        two = lead >= 0xC2
+        upper = (lead != words.data[start]) | (two & (data[second] != words.data[second]))
+        behind = np.minimum(start + np.where(two, 2, 1), end - 1)
+        small = data[behind] == words.data[behind]
         name = upper & small & (end - start > 1) & follows & (gap == 32) & ~number
         keep = ~joined
         value = h.copy()
@@ -121,7 +124,7 @@ class Template:
 def _rows(batches, lengths, keep, shortest_only):
     for batch in batches:
         ids = batch.column(0)
-        for first, words in tk.scan(batch.column(1), tk.ALNUM):
+        for first, words in tk.scan(batch.column(1), tk.ALNUM, fold=True):
             t = Template(words)
             size = np.diff(t.bounds)
             for k in lengths:

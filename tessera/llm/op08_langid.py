@@ -6,7 +6,7 @@ The likelihood of a word is the sum over all of its segmentations into pieces
 with the largest likelihood wins, ``score`` is its posterior under equal priors.
 
 A word is a maximal run of ASCII letters and non-ASCII characters, lower-cased
-(ASCII and Latin-1 letters), with a word-start mark before it. A run longer than
+(characters of one or two bytes), with a word-start mark before it. A run longer than
 ``MAX_WORD`` bytes is scored as consecutive words of that length, so whole texts
 count. Every byte is a piece of its own besides, so each word has a segmentation.
 
@@ -35,8 +35,6 @@ MAX_PIECE = 8
 FLOOR = 1e-6
 ROUNDS = 2
 MARK = 1
-_LUT = np.arange(256, dtype=np.uint8)
-_LUT[65:91] += 32
 _VALUE = tk.byte_table(lambda b: False, lower=False, seed=77)
 
 
@@ -164,26 +162,11 @@ def expected_counts(pieces: Pieces, prob: np.ndarray, lang: np.ndarray, weight:
     return total
 
 
-def _lowered(data: np.ndarray) -> np.ndarray:
-    out = _LUT[data]
-    if len(out) > 1:
-        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        out[1:][latin] += 0x20
-    return out
-
-
-def _scan(arr):
-    data, offs = tk.text_buffers(arr)
-    data = _lowered(data)
-    for i, j in tk.segments(offs):
-        yield i, tk.Words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], tk.LETTERS)
-
-
 def _word_counts(batches):
     for batch in batches:
         lang = batch.column(0).dictionary_encode()
         names, code = lang.dictionary, lang.indices.to_numpy(zero_copy_only=False)
-        for first, words in _scan(batch.column(1)):
+        for first, words in tk.scan(batch.column(1), tk.LETTERS, fold=True):
             of = code[first:first + len(words.bounds) - 1][words.doc()]
             key = tk.mix64(words.hash ^ tk.mix64(of.astype(np.uint64) + np.uint64(1)))
             _, at, n = np.unique(key, return_index=True, return_counts=True)
@@ -243,7 +226,7 @@ def _predict(model):
             total = np.zeros((batch.num_rows, len(langs)))
             letters = np.zeros(batch.num_rows, bool)
             text = batch.column(2)
-            for first, words in _scan(text):
+            for first, words in tk.scan(text, tk.LETTERS, fold=True):
                 n = len(words.bounds) - 1
                 seen = np.concatenate([[0], np.cumsum((words.data >= 97) & (words.data <= 122))])
                 offs = _segment_offsets(text, first, n)

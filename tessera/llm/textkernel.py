@@ -79,6 +79,34 @@ ALNUM = byte_table(lambda b: b < 48 or 58 <= b <= 96 or 123 <= b <= 127)
 LETTERS = byte_table(lambda b: b < 97 or 123 <= b <= 127)
 
 
+def _two_byte_lower() -> np.ndarray:
+    """Lower case of the characters U+0080 to U+07FF where it has two bytes too."""
+    out = np.arange(0x800)
+    for c in range(0x80, 0x800):
+        low = chr(c).lower()
+        if len(low) == 1 and 0x80 <= ord(low) < 0x800:
+            out[c] = ord(low)
+    return out
+
+
+_ASCII_LOWER = np.arange(256, dtype=np.uint8)
+_ASCII_LOWER[65:91] += 32
+_WIDE_LOWER = _two_byte_lower()
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with ASCII letters and two-byte characters in lower case; no
+    character changes its length."""
+    out = _ASCII_LOWER[data]
+    at = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
+    at = at[at + 1 < len(data)]
+    if len(at):
+        low = _WIDE_LOWER[((data[at].astype(np.int64) & 0x1F) << 6) | (data[at + 1] & 0x3F)]
+        out[at] = 0xC0 | (low >> 6)
+        out[at + 1] = 0x80 | (low & 0x3F)
+    return out
+
+
 def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as the empty text."""
     if isinstance(arr, pa.ChunkedArray):
@@ -107,10 +135,12 @@ def segments(offs: np.ndarray, limit: int = SEGMENT_BYTES):
 class Words:
     """Words of a segment: byte bounds, hashes, and each document's range."""
 
-    __slots__ = ("data", "start", "end", "hash", "bounds", "values")
+    __slots__ = ("data", "raw", "start", "end", "hash", "bounds")
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, table: np.ndarray):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, table: np.ndarray, fold: bool = False):
         n = len(data)
+        self.raw = data
+        self.data = data = lowered(data) if fold else data
         v = table[data]
         inside = v != 0
         first = inside.copy()
@@ -121,7 +151,6 @@ class Words:
         last[:-1] &= ~inside[1:]
         cut = offs[1:][offs[1:] > 0] - 1
         last[cut] = inside[cut]
-        self.data = data
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.start, offs)
@@ -130,7 +159,6 @@ class Words:
         np.cumsum(run, out=run)
         before = np.where(self.start > 0, run[self.start - 1], U64(0)) if n else run
         self.hash = mix64((run[self.end - 1] - before) * q[self.start])
-        self.values = v
 
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
@@ -148,11 +176,12 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix64(s)
 
 
-def scan(arr: pa.Array, table: np.ndarray):
-    """Yield (first document, Words) for each segment of the column."""
+def scan(arr: pa.Array, table: np.ndarray, fold: bool = False):
+    """Yield (first document, Words) for each segment of the column; ``fold`` lower-cases
+    beyond ASCII (``Words.raw`` then has the text as it was)."""
     data, offs = text_buffers(arr)
     for i, j in segments(offs):
-        yield i, Words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], table)
+        yield i, Words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], table, fold)
 
 
 def list_array(parts: list[np.ndarray], typ: pa.DataType) -> pa.Array:
