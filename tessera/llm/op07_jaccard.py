@@ -8,10 +8,11 @@ empty set. Documents link when ``den * |x & y| >= num * |x | y|``.
 Method, after the set-relation view of exact set joins:
 
 1. *Equal sets* are one class, joined once through one representative.
-2. *Sketch filter*: a set that links with another one shares with it one of its
-   ``min(prefix, SKETCH)`` smallest hashes (for sets with longer prefixes the
-   chance to miss is at most ``(1 - num/den) ** SKETCH``, about 1e-29, below that
-   of a hash collision). Sets without such a shared hash leave.
+2. *Sketch filter*: two linked sets have many of their ``SKETCH`` smallest hashes
+   in common. A set leaves if fewer of its own than ``least_shared`` occur in any
+   other sketch. For sets no larger than the sketch the bound is exact; for larger
+   ones a linked set is lost with a chance below ``MISS`` (Chernoff bound on hash
+   order), of the size of that of a hash collision.
 3. *Index*: over the remaining sets elements are ordered by rising document
    frequency. Elements of frequency 1 cannot match; a set with too many of them
    leaves, the others index the rest of their prefix with positions.
@@ -35,6 +36,8 @@ component. Rows that repeat an id are separate rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .shared import components, small_enough, written
 
-SKETCH = 48
+SKETCH, MISS = 64, 1e-15
 BLOCK = 128
 WORDS, NUM, DEN = 5, 75, 100
 
@@ -69,11 +72,20 @@ def _key(u: np.ndarray, seed: int) -> int:
     return int(np.add.reduce(tk.mix64(u.view(np.uint64) ^ tk.GRAM[seed]), dtype=np.uint64).view(np.int64)) if len(u) else 0
 
 
-def _prefix(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
+def least_shared(num: int, den: int) -> tuple[int, int]:
+    """Sketch hashes that a set must share to stay: for sets larger than the
+    sketch, and the most asked of smaller ones (their share of num/den otherwise)."""
+    t, s = num / den, 0
+    while s + 1 < SKETCH * t:
+        f = s / SKETCH  # the chance that at most s of SKETCH are shared
+        kl = (f * math.log(f / t) if f else 0) + (1 - f) * math.log((1 - f) / (1 - t))
+        if math.exp(-SKETCH * kl) > MISS:
+            break
+        s += 1
+    return s, SKETCH - SKETCH * (den - num) // num
 
 
-def _sketches(k: int, num: int, den: int):
+def _sketches(k: int):
     def run(batches):
         for batch in batches:
             ids, keys, checks, sizes, parts = batch.column(0), [], [], [], []
@@ -82,7 +94,7 @@ def _sketches(k: int, num: int, den: int):
                     keys.append(_key(u, 40))
                     checks.append(_key(u, 41))
                     sizes.append(len(u))
-                    parts.append(u[:min(SKETCH, _prefix(len(u), num, den))] if len(u) else u)
+                    parts.append(u[:SKETCH])
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), pa.array(sizes, pa.int64()),
                  tk.list_array(parts, pa.int64())], names=["doc_id", "key", "check", "n", "sketch"])
@@ -191,15 +203,23 @@ def _sizes_fit(a, b, num: int, den: int):
     return F.least(a, b) * den >= F.greatest(a, b) * num
 
 
-def linked_classes(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame | None:
-    """(node, component) over class keys that link with another class."""
-    sketch = classes.select("key", F.explode("sketch").alias("token"))
+def _sketch_filter(classes: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """Classes (key, rep) whose sketch leaves a link possible."""
+    sketch = sketches.select("key", F.explode("sketch").alias("token"))
     shared = sketch.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    near = sketch.join(shared, "token", "left_semi").select("key").distinct()
-    picked = written(classes.join(near, "key", "left_semi").select(F.col("rep").alias("rep"), "key"), "picked")
+    near = sketch.join(shared, "token", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    large, most = least_shared(num, den)
+    need = F.when(F.col("n") >= SKETCH, large).otherwise(F.least(F.ceil(F.col("n") * num / den), F.lit(most)))
+    return classes.join(near, "key").where(F.col("c") >= need).select("key", "rep")
+
+
+def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(node, component) over class keys that link with another class."""
+    picked = written(_sketch_filter(classes, sketches, num, den), "picked")
     texts = docs.join(small_enough(picked, 16), docs["doc_id"] == picked["rep"]).select("text", "key")
-    sets = texts.mapInArrow(_sets(k), "key long, n long, items array<long>")
-    sets = written(sets.dropDuplicates(["key"]), "sets")
+    sets = written(texts.mapInArrow(_sets(k), "key long, n long, items array<long>"), "sets")
+    if sets.count() != sets.select("key").distinct().count():  # repeated rows
+        sets = written(sets.dropDuplicates(["key"]), "sets")
     index = written(_candidate_index(sets, num, den), "index")
     sets = sets.join(index.select("key").distinct(), "key", "left_semi")
     sets = written(sets, "sets")
@@ -262,12 +282,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(docs.mapInArrow(_sketches(k, num, den),
+    rows = written(docs.mapInArrow(_sketches(k),
                                    docs.select("doc_id").schema.simpleString()[7:-1].replace(":", " ")
                                    + ", key long, check long, n long, sketch array<long>"), "sketches")
-    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")
-                      .agg(F.min_by("sketch", "doc_id").alias("sketch"), F.min("doc_id").alias("rep")), "classes")
-    comp = linked_classes(classes.select("key", "rep", "sketch"), docs, k, num, den)
+    same = rows.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")
+    classes = written(same.agg(F.min("doc_id").alias("rep")), "classes")
+    sketches = same.agg(F.min_by("sketch", "doc_id").alias("sketch"))
+    comp = linked_classes(classes, sketches, docs, k, num, den)
     named = classes.select("key", "check", "n", "rep").join(
         comp.select(F.col("node").alias("key"), "component"), "key", "left")
     named = named.withColumn("component", F.coalesce("component", "key"))
