@@ -35,7 +35,7 @@ from . import textkernel as tk
 from .shared import small_enough, written
 
 WINDOW, SHORTEST = 8, 3
-MIN_COVERAGE, MIN_CONSISTENCY = 0.5, 0.8
+MIN_COVERAGE, MIN_CONSISTENCY = 0.5, 0.9
 MAP_BITS = 22
 
 # Number words and unit words.

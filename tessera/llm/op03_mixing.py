@@ -123,8 +123,8 @@ FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as often as the mix takes it. The documents are
-    read, not shuffled: a source's partial epoch is known by the key at its cut;
+    """Pipeline stage: each document as often as the mix takes it (texts without words
+    are not taken). The documents are read, not shuffled: a source's partial epoch is known by the key at its cut;
     rows below it come once more, the row(s) at the cut with their first words
     (``n_chars`` then is that of the cut text), rows above it not."""
     names = docs.columns
@@ -140,7 +140,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                             F.coalesce(F.col("text"), F.lit(""))))
     all_ = docs.withColumn("__key", key).join(cuts, F.col("source").eqNullSafe(F.col("__source")))
     whole = F.col("__epochs") + F.when(F.col("__key") < F.col("__cut"), 1).otherwise(0)
-    full = (all_.withColumn("__n", whole.cast("int")).where("__n > 0")
+    full = (all_.where(F.col("text").rlike(WORD)).withColumn("__n", whole.cast("int")).where("__n > 0")
             .select(*names, F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*names))
     tie = Window.partitionBy("__source", "__key").orderBy("doc_id")
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD))
