@@ -4,8 +4,9 @@ The SQL forms in ``bytes.py`` interpret one lambda call per byte. Here a
 whole Arrow batch is handled at once: the string column's UTF-8 data buffer
 *is* the byte sequence of all rows, so one vectorized table lookup over that
 buffer gives every byte id and the string offsets become the list offsets.
-Only rows that contain a special-token string take a per-row path (split on
-the special tokens, then the same lookup per piece).
+Special-token strings are searched in that buffer as a whole: the first byte of
+an occurrence takes the token's id, its other bytes are dropped, so no row is
+handled by itself.
 
 Decoding gathers each id's bytes from a flat piece table in one vectorized
 pass; rows whose bytes are not valid UTF-8 (ids cut inside a character) are
@@ -18,7 +19,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
@@ -28,8 +28,8 @@ from .bytes import byte_order, byte_to_id_table
 
 _LUT = np.asarray(byte_to_id_table(), dtype=np.int32)
 _SPECIAL_IDS = {t: i for i, t in enumerate(SPECIAL_TOKENS)}
-_SPECIAL_RE = re.compile("(" + "|".join(re.escape(t) for t in
-                                        sorted(SPECIAL_TOKENS, key=len, reverse=True)) + ")")
+_SPECIAL_BYTES = re.compile(b"|".join(re.escape(t.encode()) for t in
+                                       sorted(SPECIAL_TOKENS, key=len, reverse=True)))
 
 
 def _string_parts(arr: pa.Array):
@@ -44,46 +44,35 @@ def _string_parts(arr: pa.Array):
     return arr, offsets.astype(np.int64), data
 
 
-def _encode_row(text: str) -> np.ndarray:
-    out = []
-    for piece in _SPECIAL_RE.split(text):
-        if not piece:
-            continue
-        sid = _SPECIAL_IDS.get(piece)
-        if sid is not None:
-            out.append(np.asarray([sid], dtype=np.int32))
-        else:
-            out.append(_LUT[np.frombuffer(piece.encode("utf-8"), dtype=np.uint8)])
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
-
-
 def encode_batch(texts: pa.Array) -> pa.Array:
     arr, offsets, data = _string_parts(texts)
     n = len(arr)
-    values = _LUT[data[offsets[0]:offsets[-1]]] if n else np.zeros(0, dtype=np.int32)
-    list_off = offsets - offsets[0]
-    special = pc.fill_null(pc.match_substring(arr, "<"), False).to_numpy(zero_copy_only=False)
+    data = data[offsets[0]:offsets[-1]] if n else data[:0]
+    list_off = offsets - offsets[0] if n else np.zeros(1, np.int64)
+    values = _LUT[data]
     mask = arr.is_null().to_numpy(zero_copy_only=False) if arr.null_count else None
-    if special.any():
-        # rebuild with per-row results for rows holding special-token text
-        rows = np.nonzero(special)[0]
-        custom = {int(i): _encode_row(arr[int(i)].as_py()) for i in rows}
-        lens = np.diff(list_off)
-        for i, v in custom.items():
-            lens[i] = len(v)
-        new_off = np.zeros(n + 1, dtype=np.int64)
-        np.cumsum(lens, out=new_off[1:])
-        out = np.empty(int(new_off[-1]), dtype=np.int32)
-        prev = 0
-        for i in rows:  # copy untouched spans in bulk, custom rows in between
-            i = int(i)
-            a, b = list_off[prev], list_off[i]
-            out[new_off[prev]:new_off[i]] = values[a:b]
-            out[new_off[i]:new_off[i + 1]] = custom[i]
-            prev = i + 1
-        out[new_off[prev]:] = values[list_off[prev]:]
-        values, list_off = out, new_off
-    return pa.ListArray.from_arrays(pa.array(list_off.astype(np.int32)), pa.array(values, pa.int32()),
+    found = [(m.start(), m.end(), _SPECIAL_IDS[m.group().decode()]) for m in _SPECIAL_BYTES.finditer(data)]
+    if found:
+        start, end, ids = (np.array(x, np.int64) for x in zip(*found))
+        # the buffer holds the rows back to back: a string across two rows is none
+        same = np.searchsorted(list_off, start, "right") == np.searchsorted(list_off, end - 1, "right")
+        start, end, ids = start[same], end[same], ids[same]
+        values[start] = ids
+        step = np.zeros(len(data) + 1, np.int64)
+        np.add.at(step, start + 1, 1)
+        np.add.at(step, end, -1)
+        keep = np.cumsum(step[:-1]) == 0
+        values = values[keep]
+        list_off = np.concatenate([[0], np.cumsum(keep)])[list_off]
+    return list_array(list_off, values, mask)
+
+
+def list_array(offsets: np.ndarray, values: np.ndarray, mask: np.ndarray | None) -> pa.Array:
+    """``array<int>`` rows; refuses a batch whose offsets pass 32 bits."""
+    if len(offsets) and offsets[-1] >= 1 << 31:
+        raise OverflowError("more than 2^31 ids in one Arrow batch: lower "
+                            "spark.sql.execution.arrow.maxRecordsPerBatch")
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, pa.int32()),
                                     mask=pa.array(mask) if mask is not None else None)
 
 
@@ -126,6 +115,9 @@ def make_decoder(extra: dict[int, bytes] | None = None):
         idx = np.repeat(starts - (ends - lens), lens) + np.arange(total, dtype=np.int64)
         data = flat[idx] if total else np.zeros(0, dtype=np.uint8)
         cum = np.concatenate([[0], ends])
+        if total >= 1 << 31:
+            raise OverflowError("more than 2^31 bytes in one Arrow batch: lower "
+                                "spark.sql.execution.arrow.maxRecordsPerBatch")
         soff = cum[loff]
         validity = None if not ids.null_count else pa.array(
             ids.is_valid().to_numpy(zero_copy_only=False)).buffers()[1]

@@ -18,7 +18,8 @@ steps (``spark.checkpoint.dir``); finished prompts ride along flagged
 Differences from a dense per-step loop: candidates without a score (not in
 the table) are treated as impossible and never materialised, so a beam at
 -inf is not kept; when no live beam has any candidate the prompt ends with
-its current best beam.
+its current best beam. An empty prompt has no context and gets an empty
+continuation.
 """
 
 from __future__ import annotations
@@ -37,7 +38,10 @@ def candidate_table(scores: DataFrame, width: int, temperature: float = 1.0,
                     prev: str = "prev_id", nxt: str = "next_id", score: str = "score") -> DataFrame:
     """Per context: the ``width`` best next ids with their log-probabilities
     (temperature, top-k with ties, log-softmax), ranked by log-prob then id.
-    With ``normalise=False`` the scores are taken as log-probabilities."""
+    With ``normalise=False`` the scores are taken as log-probabilities, which
+    leaves no temperature or top-k to apply."""
+    if not normalise and (temperature != 1.0 or top_k is not None):
+        raise ValueError("temperature and top_k need normalise=True")
     d = scores.select(F.col(prev).alias("prev_id"), F.col(nxt).alias("next_id"),
                       F.col(score).alias("score"))
     if normalise:
@@ -56,7 +60,7 @@ def init_beams(prompts: DataFrame, ids: str = "ids") -> DataFrame:
     """One live beam per prompt, score 0."""
     return prompts.select("prompt_id", F.lit(0).alias("beam_rank"),
                           F.col(ids).cast("array<int>").alias("tokens"),
-                          F.element_at(ids, -1).cast("int").alias("last_id"),
+                          F.try_element_at(ids, F.lit(-1)).cast("int").alias("last_id"),
                           F.lit(0.0).alias("score"), F.size(ids).alias("prompt_len"))
 
 
@@ -157,7 +161,7 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
         prompts.sparkSession.range(num_samples).select(F.col("id").cast("int").alias("sample_no"))))
     live = runs.select("prompt_id", "sample_no", F.lit(True).alias("alive"),
                        F.array().cast("array<int>").alias("new_ids"),
-                       F.element_at(ids, -1).cast("int").alias("last_id"))
+                       F.try_element_at(ids, F.lit(-1)).cast("int").alias("last_id"))
     for s in range(steps):
         if greedy:
             picked = live.join(table, live["last_id"] == table["prev_id"], "left") \
@@ -181,6 +185,8 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
             F.when(F.col("alive") & ~stop, F.col("pick").cast("int")).otherwise(F.col("last_id")).alias("last_id"))
         if checkpoint_every and (s + 1) % checkpoint_every == 0 and s + 1 < steps:
             live = cut_lineage(live)
+            if live.filter("alive").isEmpty():
+                break
     return live.select("prompt_id", "sample_no", "new_ids")
 
 

@@ -4,13 +4,16 @@ Training
   1. pre-tokens: ``regexp_extract_all`` with the byte-level pre-token pattern,
      exploded and counted (``groupBy(word).count()``: partial aggregation, so
      a very frequent word costs one partial row per task);
-  2. each distinct word becomes its byte-id array;
-  3. per merge: weighted adjacent-pair counts (``groupBy(a, b).sum``), the
-     best pair by count, ties to the smallest ``(a, b)`` (a top-1, no full
-     sort), then every word holding the pair is rewritten left to right with
-     the new id. The word table is persisted per round and checkpointed every
-     ``checkpoint_every`` rounds (reliable folder), so a lost executor
-     recomputes from the last checkpoint only.
+  2. each distinct word becomes a string with one character per id
+     (``id_char``), so a merge is ``replace(word, pair, new)``: linear, left to
+     right, without overlaps, in the JVM;
+  3. per round: weighted adjacent-pair counts, and the ``ROUND_PAIRS`` best by
+     count, ties to the smallest ``(a, b)`` (a top-k, no full sort). As many of
+     them as are certain to be the next merges are taken at once (see
+     ``certain_merges``), then all words are rewritten. Each round's word table
+     is computed before the one before it is released, and is written to the
+     checkpoint folder every ``checkpoint_every`` rounds, so a lost executor
+     recomputes from there only.
 
 The merge table ``(rank, a, b, new_id, n, piece)`` has one row per merge and
 is bounded by the vocabulary size; ``piece`` holds the new token's bytes as a
@@ -26,6 +29,8 @@ vocabulary.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,7 +43,6 @@ from pyspark.sql.types import ArrayType, IntegerType
 from ..functions.bytes import byte_to_id_table
 from ..options import FIRST_MERGE_ID, PRETOKEN_PATTERN, SPECIAL_TOKENS
 from ..session import cut_lineage
-from .tokens import encode as encode_bytes_op
 
 MERGES_SCHEMA = "rank int, a int, b int, new_id int, n long, piece string"
 
@@ -73,64 +77,105 @@ def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
     return pretokens(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def id_char(i: int) -> str:
+    """The character that stands for id ``i`` in word strings (rising with the
+    id; surrogates are left out)."""
+    c = 0x100 + i
+    return chr(c if c < 0xD800 else c + 0x800)
+
+
+def char_id(c: str) -> int:
+    x = ord(c)
+    return x - 0x100 if x < 0xD800 else x - 0x900
+
+
+def _char_id(col: Column) -> Column:
+    x = F.ascii(col)
+    return F.when(x < 0xD800, x - 0x100).otherwise(x - 0x900)
+
+
 def word_table(df: DataFrame, col: str = "text") -> DataFrame:
-    """``(word, n, sym)``: distinct pre-tokens, their count and byte ids."""
-    w = word_counts(df, col)
-    return encode_bytes_op(w, "word", "sym")
+    """``(sym, n)``: distinct pre-tokens as strings of id characters, their count."""
+    ids = byte_to_id_table()
+    latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
+    # the null byte cannot be an argument of translate; it is replaced by itself
+    src = "".join(chr(b) for b in range(1, 256))
+    dst = "".join(id_char(ids[b]) for b in range(1, 256))
+    sym = F.replace(F.translate(latin, src, dst), F.lit("\0"), F.lit(id_char(ids[0])))
+    return word_counts(df, col).select(sym.alias("sym"), "n")
+
+
+def _pairs(words: DataFrame) -> DataFrame:
+    """Weighted adjacent pairs ``(pair, n)``, a pair being two id characters."""
+    size = F.length("sym")
+    two = F.when(size >= 2, F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.substring("sym", i, F.lit(2))))
+    return words.select(F.explode(two).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(words: DataFrame, sym: str = "sym", n: str = "n") -> DataFrame:
+def pair_counts(words: DataFrame) -> DataFrame:
     """Weighted adjacent-pair counts ``(a, b, n)`` over a word table."""
-    size = F.size(sym)
-    z = F.when(size >= 2, F.arrays_zip(F.slice(sym, 1, size - 1).alias("a"),
-                                       F.slice(sym, 2, size - 1).alias("b")))
-    return (words.select(F.explode(z).alias("p_"), F.col(n).alias("w_"))
-            .groupBy(F.col("p_.a").alias("a"), F.col("p_.b").alias("b"))
-            .agg(F.sum("w_").alias("n")))
+    return _pairs(words).select(_char_id(F.substring("pair", 1, 1)).alias("a"),
+                                _char_id(F.substring("pair", 2, 1)).alias("b"), "n")
 
 
-def _merge_sql(sym: str, a: int, b: int, new: int) -> str:
-    """Rewrite: non-overlapping ``(a, b)`` occurrences, left to right."""
-    body = (f"aggregate(sequence(1, size({sym})), named_struct('o', CAST(array() AS array<int>), 'k', false), "
-            f"(acc_, i_) -> IF(acc_.k, named_struct('o', acc_.o, 'k', false), "
-            f"IF(element_at({sym}, i_) = {a} AND i_ < size({sym}) AND element_at({sym}, i_ + 1) = {b}, "
-            f"named_struct('o', array_append(acc_.o, {new}), 'k', true), "
-            f"named_struct('o', array_append(acc_.o, element_at({sym}, i_)), 'k', false))), acc_ -> acc_.o)")
-    has = f"exists(sequence(1, greatest(size({sym}) - 1, 1)), i_ -> element_at({sym}, i_) = {a} AND element_at({sym}, i_ + 1) = {b})"
-    return f"CASE WHEN size({sym}) >= 2 AND {has} THEN {body} ELSE {sym} END"
+#: best pairs looked at per round
+ROUND_PAIRS = 256
+
+
+def certain_merges(best: list[tuple[str, int]], complete: bool) -> list[tuple[str, int]]:
+    """The longest head of ``best`` (pairs by count, then by ids) that training
+    one merge at a time would take too.
+
+    The first pair is taken. A further pair with count n is certain if it has no
+    symbol of a pair taken before, and if no other pair with count n or more has
+    one: a merge leaves the counts of pairs without its symbols alone, and a pair
+    made by it is at most as frequent as the old pair that it grows from, which
+    holds one of its symbols. ``complete`` says that ``best`` is all there is;
+    otherwise pairs as frequent as the last one listed are not certain."""
+    taken, used = best[:1], set(best[0][0]) if best else set()
+    for k in range(1, len(best)):
+        pair, n = best[k]
+        tied = [p for p, m in best[k:] if m == n]
+        if n == best[-1][1] and not complete or any(used & set(p) for p in tied):
+            break
+        taken.append(best[k])
+        used |= set(pair)
+    return taken
 
 
 def train_bpe(df: DataFrame, col: str = "text", n_merges: int = 100, min_frequency: int = 0,
               first_id: int = FIRST_MERGE_ID, checkpoint_every: int = 8) -> DataFrame:
-    """Learn up to ``n_merges`` merges from the text column (one Spark job
-    per merge). Returns the merge table, ``rank`` 0-based in merge order."""
+    """Learn up to ``n_merges`` merges from the text column, several per round
+    where they are certain. Returns the merge table, ``rank`` 0-based in merge
+    order."""
     spark = df.sparkSession
-    table = byte_to_id_table()
     pieces = {i: t for i, t in enumerate(SPECIAL_TOKENS)}
-    for byte, tid in enumerate(table):
+    for byte, tid in enumerate(byte_to_id_table()):
         pieces[tid] = chr(byte)
-    words = cut_lineage(word_table(df, col).select("sym", "n"))
-    merges = []
-    prev = None
-    for r in range(n_merges):
-        best = pair_counts(words).orderBy(F.col("n").desc(), F.col("a"), F.col("b")).limit(1).collect()
-        if not best or best[0]["n"] <= 0 or best[0]["n"] < min_frequency:
+    words = cut_lineage(word_table(df, col))
+    merges, old, rounds = [], None, 0
+    while len(merges) < n_merges:
+        best = [(r["pair"], r["n"]) for r in
+                _pairs(words).orderBy(F.col("n").desc(), "pair").limit(ROUND_PAIRS).collect()]
+        if old is not None:
+            old.unpersist()  # ``words`` has been computed by now
+            old = None
+        found = [(p, n) for p, n in certain_merges(best, len(best) < ROUND_PAIRS) if n > 0 and n >= min_frequency]
+        if not found:
             break
-        a, b, n = int(best[0]["a"]), int(best[0]["b"]), int(best[0]["n"])
-        new = first_id + r
-        pieces[new] = pieces[a] + pieces[b]
-        merges.append((r, a, b, new, n, pieces[new]))
-        nxt = words.select(F.expr(_merge_sql("sym", a, b, new)).alias("sym"), "n")
-        if checkpoint_every and (r + 1) % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
+        sym = F.col("sym")
+        for pair, n in found[:n_merges - len(merges)]:
+            a, b, new = char_id(pair[0]), char_id(pair[1]), first_id + len(merges)
+            pieces[new] = pieces[a] + pieces[b]
+            merges.append((len(merges), a, b, new, n, pieces[new]))
+            sym = F.replace(sym, F.lit(pair), F.lit(id_char(new)))
+        nxt, rounds = words.select(sym.alias("sym"), "n"), rounds + 1
+        old = words if words.storageLevel != StorageLevel.NONE else None
+        if checkpoint_every and rounds % checkpoint_every == 0:
+            words = cut_lineage(nxt)
         else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if prev is not None:
-            prev.unpersist()
-        prev = nxt if nxt.storageLevel != StorageLevel.NONE else None
-        words = nxt
-    if prev is not None:
-        prev.unpersist()
+            words = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+    words.unpersist()
     return spark.createDataFrame(merges, MERGES_SCHEMA)
 
 
@@ -138,31 +183,33 @@ def train_bpe(df: DataFrame, col: str = "text", n_merges: int = 100, min_frequen
 # encoding / decoding with merges (Arrow batches)
 # ---------------------------------------------------------------------------
 def _bpe_word(sym: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges by rank: repeatedly merge every non-overlapping
-    occurrence (left to right) of the lowest-ranked adjacent pair."""
-    while len(sym) > 1:
-        best, best_pair = None, None
-        for i in range(len(sym) - 1):
-            r = ranks.get((sym[i], sym[i + 1]))
-            if r is not None and (best is None or r[0] < best[0]):
-                best, best_pair = r, (sym[i], sym[i + 1])
-        if best is None:
-            break
-        new = best[1]
-        a, b = best_pair
-        out, i = [], 0
-        while i < len(sym):
-            if i < len(sym) - 1 and sym[i] == a and sym[i + 1] == b:
-                out.append(new)
-                i += 2
-            else:
-                out.append(sym[i])
-                i += 1
-        sym = out
-    return sym
-
-
-_CACHE_LIMIT = 1_000_000
+    """Apply merges by rank, leftmost first among equal ranks: a heap of
+    adjacent pairs over a linked list, so a unit of n bytes takes n log n."""
+    n = len(sym)
+    sym, left, right = list(sym), list(range(-1, n - 1)), [*range(1, n), -1]
+    heap = []
+    for i in range(n - 1):
+        r = ranks.get((sym[i], sym[i + 1]))
+        if r is not None:
+            heap.append((r[0], i, sym[i], sym[i + 1]))
+    heapq.heapify(heap)
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = right[i] if sym[i] == a else -1
+        if j < 0 or sym[j] != b:
+            continue  # one of the two has been merged meanwhile
+        sym[i], sym[j] = ranks[a, b][1], -1
+        right[i] = right[j]
+        if right[j] >= 0:
+            left[right[j]] = i
+        for x, y in ((left[i], i), (i, right[i])):
+            if x >= 0 and y >= 0 and (r := ranks.get((sym[x], sym[y]))) is not None:
+                heapq.heappush(heap, (r[0], x, sym[x], sym[y]))
+    return [x for x in sym if x >= 0]
+
+
+#: bytes of cached units and ids per worker (the cache starts anew beyond)
+_CACHE_BYTES = 128 << 20
 
 
 def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
@@ -170,11 +217,12 @@ def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
     dictionary-encoded, each distinct unit is merged once (and kept in a
     per-worker cache), and the ids of all units are gathered in one
     vectorized pass."""
-    from ..functions.arrow_codec import _SPECIAL_IDS
+    from ..functions.arrow_codec import _SPECIAL_IDS, list_array
 
     ranks = {(a, b): (r, new) for r, a, b, new in merge_rows}
     lut = np.asarray(byte_to_id_table(), dtype=np.int32)
     cache: dict[str, np.ndarray] = {}
+    held = [0]
 
     def one(u: str) -> np.ndarray:
         sid = _SPECIAL_IDS.get(u)
@@ -189,8 +237,9 @@ def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
         loff = np.asarray(arr.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
         loff = loff - loff[0]
         vals = arr.flatten()
-        if len(cache) > _CACHE_LIMIT:
+        if held[0] > _CACHE_BYTES:
             cache.clear()
+            held[0] = 0
         if len(vals):
             de = pc.dictionary_encode(vals)
             idx = np.asarray(de.indices.to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -200,6 +249,7 @@ def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
                 if e is None:
                     e = one(u)
                     cache[u] = e
+                    held[0] += 200 + 4 * len(u) + e.nbytes
                 enc.append(e)
             ulen = np.fromiter((len(e) for e in enc), dtype=np.int64, count=len(enc))
             uflat = np.concatenate(enc) if enc else np.zeros(0, dtype=np.int32)
@@ -213,31 +263,35 @@ def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
         else:
             flat = np.zeros(0, dtype=np.int32)
             cum = np.zeros(1, dtype=np.int64)
-        row_off = cum[loff].astype(np.int32)
-        mask = pa.array(arr.is_null().to_numpy(zero_copy_only=False)) if arr.null_count else None
-        return pa.ListArray.from_arrays(pa.array(row_off), pa.array(flat, pa.int32()), mask=mask)
+        mask = arr.is_null().to_numpy(zero_copy_only=False) if arr.null_count else None
+        return list_array(cum[loff], flat, mask)
 
     return encode_units
 
 
-def _merge_rows(merges: DataFrame, max_merges: int):
-    rows = merges.orderBy("rank").limit(max_merges).collect()
-    return rows
+#: a merge table is a vocabulary: more rows than this are refused, never cut
+MAX_VOCABULARY = 1 << 22
+
+
+def merge_rows(merges: DataFrame) -> list:
+    """All merges in rank order (one row per vocabulary entry)."""
+    rows = merges.select("rank", "a", "b", "new_id", "piece").limit(MAX_VOCABULARY + 1).collect()
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"merge table has more than {MAX_VOCABULARY} rows")
+    return sorted(rows, key=lambda r: r["rank"])
 
 
-def encode_with_merges(df: DataFrame, col: str, merges: DataFrame, out: str = "ids",
-                       max_merges: int = 65536) -> DataFrame:
-    """Text -> ids with merges (special tokens split first). The merge table
-    is collected once (bounded: ``max_merges`` rows, the vocabulary size)."""
-    rows = _merge_rows(merges, max_merges)
+def encode_with_merges(df: DataFrame, col: str, merges: DataFrame | list, out: str = "ids") -> DataFrame:
+    """Text -> ids with merges (special tokens split first). ``merges`` is the
+    merge table or its collected ``merge_rows``."""
+    rows = merges if isinstance(merges, list) else merge_rows(merges)
     fn = arrow_udf(make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows]),
                    ArrayType(IntegerType())).asNondeterministic()
     return df.withColumn(out, fn(units(col)))
 
 
-def decode_with_merges(df: DataFrame, ids: str, merges: DataFrame, out: str = "text",
-                       max_merges: int = 65536) -> DataFrame:
+def decode_with_merges(df: DataFrame, ids: str, merges: DataFrame | list, out: str = "text") -> DataFrame:
     from ..functions.arrow_codec import decoder_for_pieces
-    rows = _merge_rows(merges, max_merges)
+    rows = merges if isinstance(merges, list) else merge_rows(merges)
     extra = {int(r["new_id"]): r["piece"].encode("latin-1") for r in rows}
     return df.withColumn(out, decoder_for_pieces(extra)(F.col(ids)))

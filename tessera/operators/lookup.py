@@ -1,9 +1,9 @@
 """Id -> row lookups (vectors, text pieces) against a keyed table.
 
-The looked-up table is keyed by id (a vocabulary-sized table in practice).
-It is broadcast only after its row count is checked against
-``max_broadcast_rows``; above that the lookup is a shuffle join, where AQE
-splits hot ids (frequent tokens) across tasks.
+The looked-up table is keyed by id. ``lookup`` is a plain equi-join: Spark (and
+AQE, from measured sizes) broadcasts a small side, and otherwise splits hot ids
+of the large side. Loops that join the same written table in every step use
+``checked_broadcast``, which asks for a broadcast only below a size in bytes.
 """
 
 from __future__ import annotations
@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
+#: largest table, in bytes, that a loop broadcasts in every step
+BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(table)`` when its row count is at most ``max_rows``, else
-    the table itself (a shuffle join, where AQE can still broadcast at run
-    time or split hot keys). Count it after materialising (checkpoint) so
-    the check does not recompute the table."""
-    return F.broadcast(table) if table.count() <= max_rows else table
+def checked_broadcast(table: DataFrame, row_bytes: int = 32) -> DataFrame:
+    """``broadcast(table)`` when rows x ``row_bytes`` is at most
+    ``BROADCAST_BYTES``, else the table itself (a shuffle join). ``table`` must be
+    materialised (checkpoint): it is counted here."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
 
 
 def explode_ids(df: DataFrame, ids: str, keys: list[str], pos: str = "pos", out: str = "id") -> DataFrame:
@@ -27,19 +27,16 @@ def explode_ids(df: DataFrame, ids: str, keys: list[str], pos: str = "pos", out:
     return df.select(*keys, F.posexplode(ids).alias(pos, out))
 
 
-def lookup(long: DataFrame, table: DataFrame, id_col: str, key: str, how: str = "left",
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(long: DataFrame, table: DataFrame, id_col: str, key: str, how: str = "left") -> DataFrame:
     """Join ``table`` rows onto ``long`` by ``long[id_col] == table[key]``."""
-    t = checked_broadcast(table, max_broadcast_rows)
-    return long.join(t, long[id_col] == t[key], how)
+    return long.join(table, long[id_col] == table[key], how)
 
 
 def vector_lookup(df: DataFrame, ids: str, keys: list[str], vectors: DataFrame,
-                  key: str = "vec_id", cols: tuple = ("embedding",),
-                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                  key: str = "vec_id", cols: tuple = ("embedding",)) -> DataFrame:
     """``keys + (pos, id, *cols)``: the vector row of every id, in position
-    order (ids without a row get nulls)."""
+    order (ids without a row get nulls). ``cols`` may be expressions: pass the
+    needed elements rather than whole vectors."""
     long = explode_ids(df, ids, keys)
     v = vectors.select(F.col(key).cast("long").alias("k_"), *cols)
-    j = lookup(long, v, "id", "k_", "left", max_broadcast_rows)
-    return j.drop("k_")
+    return lookup(long, v, "id", "k_", "left").drop("k_")

@@ -17,7 +17,7 @@ from ..functions.bytes import byte_to_id_table
 from ..options import BOS_ID, EOS_ID, MAX_LENGTH
 
 
-def answer_header(role: str = "assistant", merges: DataFrame | None = None) -> list[int]:
+def answer_header(role: str = "assistant", merges: DataFrame | list | None = None) -> list[int]:
     """Ids of ``<|im_start|>{role}\n`` in the vocabulary in use.
 
     Without merges: the BOS id and the byte ids of ``role + "\n"``. With a
@@ -31,8 +31,8 @@ def answer_header(role: str = "assistant", merges: DataFrame | None = None) -> l
     import regex
 
     from ..options import BOS_TOKEN, PRETOKEN_PATTERN
-    from .bpe import _merge_rows, make_unit_encoder
-    rows = _merge_rows(merges, 1 << 20)
+    from .bpe import make_unit_encoder, merge_rows
+    rows = merges if isinstance(merges, list) else merge_rows(merges)
     enc = make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows])
     units = [BOS_TOKEN] + regex.findall(PRETOKEN_PATTERN, role + "\n")
     return enc(pa.array([units], pa.list_(pa.string()))).to_pylist()[0]

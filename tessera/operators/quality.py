@@ -9,7 +9,7 @@ usable text, not an error), ``ok``, ``error`` with a ``reason``.
 
 Known differences from a line-by-line ``json.loads``: trailing junk after a
 complete JSON value is accepted; an object with a duplicated key is rejected
-(``json.loads`` keeps the last value).
+(``json.loads`` keeps the last value), and so is one with ``NaN`` in any field.
 """
 
 from __future__ import annotations
@@ -17,24 +17,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_class, excerpt, not_blank
+from ..functions.text import excerpt, not_blank
+from ..options import BLANK_CODE_POINTS
 
 BLANK, SKIP, OK, ERROR = "blank", "skip", "ok", "error"
 
 
 def strip_blank(col: Column) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace. The
-    regex runs only when the first or last character is blank."""
-    cls = blank_class()
-    edge = (F.substring(col, 1, 1).rlike(f"[{cls}]") |
-            F.substring(col, -1, 1).rlike(f"[{cls}]"))
-    return F.when(edge, F.regexp_replace(col, F.lit(f"^[{cls}]+|[{cls}]+\\z"), F.lit(""))).otherwise(col)
+    """Python ``str.strip()``: drop leading and trailing whitespace (linear in the
+    line, however long its runs of blanks are)."""
+    return F.btrim(col, F.lit("".join(map(chr, BLANK_CODE_POINTS))))
 
 
 def _is_object(top: Column) -> Column:
     return F.coalesce(top.startswith("OBJECT"), F.lit(False))
 
 
+#: lines from this size on may pass the VARIANT size limit although they are valid
+LONG_LINE_BYTES = 16 << 20
+
+
+def _unparsed(line: Column) -> Column:
+    """Reason of a line that could not be parsed: ``too_long`` asks for another
+    route (the line may be valid), ``json`` says that it is malformed."""
+    return F.when(F.octet_length(line) >= LONG_LINE_BYTES, F.lit("too_long")).otherwise(F.lit("json"))
+
+
 # Classification is built as stacked projections in which every derived
 # column (parsed variant, its type, the field, the field's type) is used at
 # least twice, so the optimizer keeps each in its own projection and computes
@@ -62,7 +70,7 @@ def classify_corpus(df: DataFrame, line_col: str = "value", field: str = "text")
     )
     reason = (
         F.when(F.col("outcome") != F.lit(ERROR), F.lit(None).cast("string"))
-        .when(v.isNull(), F.lit("json"))
+        .when(v.isNull(), _unparsed(line))
         .when(~_is_object(top), F.lit("not_object"))
         .otherwise(F.concat(F.lit("type:"), ft))
     )
@@ -99,7 +107,7 @@ def classify_chats(df: DataFrame, line_col: str = "value", key: str = "conversat
     )
     reason = (
         F.when(F.col("outcome") != F.lit(ERROR), F.lit(None).cast("string"))
-        .when(v.isNull(), F.lit("json"))
+        .when(v.isNull(), _unparsed(line))
         .when(~_is_object(top), F.lit("not_object"))
         .when(conv.isNull(), F.lit("missing"))
         .when(~ctype.startswith("ARRAY"), F.concat(F.lit("type:"), ctype))
@@ -120,10 +128,10 @@ def ok_rows(classified: DataFrame, payload: str, keep: list[str]) -> DataFrame:
     return classified.select(*keep, F.explode(one).alias(payload))
 
 
-def first_errors(classified: DataFrame, n: int, line_id: str, cols) -> DataFrame:
-    """The first ``n`` error rows by ``line_id``: a top-k on a sort key that is
+def first_errors(classified: DataFrame, n: int, ids: list[str], cols) -> DataFrame:
+    """The first ``n`` error rows by ``ids``: a top-k on a sort key that is
     null for non-errors (no filter below the classification)."""
-    key = F.when(F.col("outcome") == ERROR, F.col(line_id))
+    key = F.when(F.col("outcome") == ERROR, F.struct(*ids))
     return (classified.select(*cols, key.alias("k_"))
             .orderBy(F.col("k_").asc_nulls_last()).limit(n)
             .filter(F.col("k_").isNotNull()).drop("k_"))
@@ -135,11 +143,11 @@ def run_counters(classified: DataFrame, group_cols: tuple = ()) -> DataFrame:
     return classified.groupBy("outcome", *group_cols).agg(F.count(F.lit(1)).alias("n"))
 
 
-def reject_samples(classified: DataFrame, n: int, line_id: str = "line_id",
+def reject_samples(classified: DataFrame, n: int, ids: list[str] = ("line_id",),
                    line_col: str = "value", chars: int = 50) -> DataFrame:
-    """The first ``n`` error lines by line number, with a short excerpt of the
-    stripped line. ``orderBy().limit()`` plans as a top-k: each task keeps n
-    rows."""
-    cols = [F.col(line_id), F.col("reason"),
+    """The first ``n`` error lines by ``ids`` (file and line number), with a
+    short excerpt of the stripped line. ``orderBy().limit()`` plans as a top-k:
+    each task keeps n rows."""
+    cols = [*(F.col(c) for c in ids), F.col("reason"),
             excerpt(strip_blank(F.col(line_col)), chars).alias("excerpt")]
-    return first_errors(classified, n, line_id, cols)
+    return first_errors(classified, n, list(ids), cols)

@@ -8,8 +8,8 @@ Skew: a group may be very large. Per-group statistics (max, sum, arg-max,
 draws) are aggregates, so partial aggregation runs map-side before the
 shuffle; results are joined back on the group key, where AQE broadcasts the
 per-group table when its measured size is small and splits hot keys
-otherwise. Top-k with ties first ranks inside ``(group, salt)`` slices and
-only then across the survivors, which is exact (see ``top_k``).
+otherwise. Top-k is a ranked window, before whose shuffle Spark keeps at most k
+ranks of a group per task (``WindowGroupLimit``).
 """
 
 from __future__ import annotations
@@ -75,23 +75,13 @@ def log_softmax(df: DataFrame, group: str, score: str, temperature: float = 1.0,
 
 
 def top_k(df: DataFrame, group: str, cand: str, score: str, k: int,
-          salts: int = 16, out: str = "rank") -> DataFrame:
+          out: str = "rank") -> DataFrame:
     """Keep candidates whose score is >= the k-th largest in their group;
-    ties may keep more than k (``rank()``, not ``row_number()``).
-
-    Two phases: rank inside ``(group, hash(cand) % salts)`` slices and keep
-    rank <= k there, then rank the survivors per group. Exact: any candidate
-    with group rank <= k has slice rank <= k, and every candidate ranked above
-    it in the group survives too, so its final rank is its group rank."""
+    ties may keep more than k (``rank()``, not ``row_number()``)."""
     if k is None:
         return df.withColumn(out, F.lit(None).cast("int"))
-    salt = F.pmod(F.xxhash64(F.col(cand)), F.lit(salts))
-    w1 = Window.partitionBy(group, "salt_").orderBy(F.col(score).desc())
-    w2 = Window.partitionBy(group).orderBy(F.col(score).desc())
-    return (df.withColumn("salt_", salt)
-              .withColumn("r1_", F.rank().over(w1)).filter(F.col("r1_") <= k)
-              .withColumn(out, F.rank().over(w2)).filter(F.col(out) <= k)
-              .drop("salt_", "r1_"))
+    w = Window.partitionBy(group).orderBy(F.col(score).desc())
+    return df.withColumn(out, F.rank().over(w)).filter(F.col(out) <= k)
 
 
 def softmax_top_k(df: DataFrame, group: str, cand: str, score: str, k: int | None = None,
@@ -161,13 +151,53 @@ def cross_entropy(targets: DataFrame, scores: DataFrame, prev: str = "prev_id",
 
 
 def masked_loss(tokens: DataFrame, batch: str = "batch_id", loss: str = "loss",
-                mask: str = "mask", out: str = "loss") -> DataFrame:
-    """Per batch ``sum(loss * mask) / sum(mask)`` (token-weighted); null when
-    the batch has no counted token. An aggregate: skew-safe."""
-    num = F.sum(F.col(loss) * F.col(mask))
+                mask: str = "mask", out: str = "loss", unscored: float | None = None) -> DataFrame:
+    """Per batch ``sum(loss * mask) / sum(mask)`` (token-weighted), with the
+    number of counted tokens and of those without a score (null loss).
+
+    The loss is null when the batch has no counted token, or when one of them
+    has no score; with ``unscored`` such a token costs that much instead. An
+    aggregate: skew-safe."""
+    cost = F.col(loss) if unscored is None else F.coalesce(F.col(loss), F.lit(float(unscored)))
     den = F.sum(F.col(mask))
+    lost = F.sum(F.when(F.col(loss).isNull(), F.col(mask)).otherwise(0))
+    whole = (den > 0) if unscored is not None else (den > 0) & (lost == 0)
     return tokens.groupBy(batch).agg(
-        F.when(den > 0, num / den).alias(out), den.alias("n_tokens"))
+        F.when(whole, F.sum(cost * F.col(mask)) / den).alias(out), den.alias("n_tokens"),
+        lost.alias("n_unscored"))
+
+
+def pair_targets(df: DataFrame, keys: list[str], x: str = "x", y: str = "y",
+                 mask: str = "loss_mask") -> DataFrame:
+    """``keys + (prev_id, next_id, mask)``: the targets of ``targets_from_samples``
+    with equal (context, target) pairs of a key added up, ``mask`` counting them;
+    uncounted positions are left out. Smaller than one row per position before
+    any join with scores."""
+    z = F.arrays_zip(F.col(x).alias("prev_id"), F.col(y).alias("next_id"), F.col(mask).alias("mask"))
+    counted = F.filter(z, lambda t: t["mask"] != 0)
+    return (df.select(*keys, F.explode(counted).alias("t_"))
+              .groupBy(*keys, F.col("t_.prev_id").alias("prev_id"), F.col("t_.next_id").alias("next_id"))
+              .agg(F.sum("t_.mask").alias("mask")))
+
+
+def sample_losses(df: DataFrame, scores: DataFrame, keys: list[str], unscored: float | None = None) -> DataFrame:
+    """``keys + (loss_sum, n_tokens, n_unscored)`` per key; ``loss_sum`` counts
+    scored targets, and unscored ones at ``unscored`` each when given."""
+    ce = cross_entropy(pair_targets(df, keys), scores)
+    lost = F.col("loss").isNull()
+    cost = F.when(lost, F.lit(float(unscored or 0))).otherwise(F.col("loss"))
+    return ce.groupBy(*keys).agg(
+        F.sum(cost * F.col("mask")).alias("loss_sum"), F.sum("mask").alias("n_tokens"),
+        F.sum(F.when(lost, F.col("mask")).otherwise(0)).alias("n_unscored"))
+
+
+def batch_losses(per_sample: DataFrame, batch: str = "batch_id", floored: bool = False) -> DataFrame:
+    """Per batch the token-weighted loss of ``sample_losses`` rows, by the rules
+    of ``masked_loss`` (``floored``: unscored targets carry a cost already)."""
+    den, lost = F.sum("n_tokens"), F.sum("n_unscored")
+    whole = (den > 0) if floored else (den > 0) & (lost == 0)
+    return per_sample.groupBy(batch).agg(
+        F.when(whole, F.sum("loss_sum") / den).alias("loss"), den.alias("n_tokens"), lost.alias("n_unscored"))
 
 
 def targets_from_samples(df: DataFrame, keys: list[str], x: str = "x", y: str = "y",

@@ -19,8 +19,8 @@ from ..functions.bytes import decode_sql, encode_sql
 from ..options import MAX_LENGTH, PAD_ID
 
 
-def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame | None = None,
-           max_merges: int = 65536, impl: str = "arrow") -> DataFrame:
+def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame | list | None = None,
+           impl: str = "arrow") -> DataFrame:
     """Text to token ids. Special-token strings become their ids (a literal
     ``<|im_end|>`` in content becomes id 4, as when a rendered chat is
     tokenized); everything else becomes byte ids, merged when ``merges`` is
@@ -31,11 +31,11 @@ def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame
         from ..functions.arrow_codec import encode_bytes_arrow
         return df.withColumn(out, encode_bytes_arrow(F.col(col)))
     from .bpe import encode_with_merges
-    return encode_with_merges(df, col, merges, out=out, max_merges=max_merges)
+    return encode_with_merges(df, col, merges, out=out)
 
 
-def decode(df: DataFrame, ids: str = "ids", out: str = "text", merges: DataFrame | None = None,
-           max_merges: int = 65536, impl: str = "arrow") -> DataFrame:
+def decode(df: DataFrame, ids: str = "ids", out: str = "text", merges: DataFrame | list | None = None,
+           impl: str = "arrow") -> DataFrame:
     """Token ids back to text (special tokens as their strings)."""
     if merges is None:
         if impl == "sql":
@@ -43,7 +43,7 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "text", merges: DataFrame
         from ..functions.arrow_codec import decode_bytes_arrow
         return df.withColumn(out, decode_bytes_arrow(F.col(ids)))
     from .bpe import decode_with_merges
-    return decode_with_merges(df, ids, merges, out=out, max_merges=max_merges)
+    return decode_with_merges(df, ids, merges, out=out)
 
 
 def fit_length(df: DataFrame, ids: str = "ids", n: int = MAX_LENGTH, pad: int = PAD_ID,

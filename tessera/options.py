@@ -82,6 +82,7 @@ class ChatOptions:
     system_prompt: str = PREPARE_SYSTEM_PROMPT
     role_map: tuple = CHAT_ROLE_MAP
     reject_samples: int = CHAT_REJECT_SAMPLES
+    excerpt_chars: int = 200
 
 
 @dataclass(frozen=True)

@@ -24,8 +24,8 @@ from ..operators import lookup as L
 from ..operators import scoring as S
 from . import jobs as JB
 from . import samples as SP
-from ..options import (BATCH_SIZE, SEED, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
-                       SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS)
+from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
+                       SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS, FIRST_MERGE_ID)
 from ..session import cut_lineage
 from ..sources.lines import read_table
 
@@ -283,7 +283,7 @@ def q_answer_mask(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _d_header_match(tok: str = "id") -> str:
-    hdr = M.answer_header()
+    hdr = [3, 69, 87, 87, 77, 87, 88, 69, 82, 88, 203]  # <|im_start|>, the bytes of "assistant", line feed
     h = len(hdr)
     conds = []
     for k, hid in enumerate(hdr):
@@ -397,7 +397,7 @@ SQL_LR_SCHEDULE = "SELECT global_step, lr FROM (" + _sql_plan(LR_OPTS) + ")"
 # --------------------------------------------------------------------------
 TOPK_TIES_K = 5
 SAMPLE_TEMPERATURE = 0.7
-SAMPLE_TOP_K = 300
+SAMPLE_TOP_K = 40
 NUM_SAMPLES = 3
 
 
@@ -492,18 +492,13 @@ FROM dr GROUP BY prev_id, draw
 """
 
 
-def _token_losses(spark, sf, samples=None):
-    smp = samples if samples is not None else _samples(spark, sf)
-    keys = [c for c in smp.columns if c not in ("n_real", "x", "y", "loss_mask")]
-    t = S.targets_from_samples(smp, keys)
-    return S.cross_entropy(t, _bigram(spark, sf))
+def _sample_losses(spark, sf):
+    return S.sample_losses(_samples(spark, sf), _bigram(spark, sf), ["doc_id", "chunk_no"])
 
 
 def q_cross_entropy(spark: SparkSession, sf: str) -> DataFrame:
-    d = _token_losses(spark, sf)
-    return (d.groupBy("doc_id", "chunk_no")
-            .agg(F.round(F.sum(F.col("loss") * F.col("mask")), 6).alias("loss_sum"),
-                 F.sum("mask").cast("long").alias("n_targets")))
+    return _sample_losses(spark, sf).select("doc_id", "chunk_no", F.round("loss_sum", 6).alias("loss_sum"),
+                                            F.col("n_tokens").cast("long").alias("n_targets"))
 
 
 _SQL_TOKEN_LOSS = _SQL_SCORES + """,
@@ -529,11 +524,17 @@ FROM tl GROUP BY doc_id, chunk_no
 """
 
 
+def _batched(spark, sf, per_sample):
+    """Batch numbers joined to per-sample sums: the order is made on keys alone."""
+    keys = B.assign_batches(_chunks(spark, sf).select("doc_id", "chunk_no"), ["doc_id", "chunk_no"],
+                            batch=BATCH_SIZE, epochs=1, seed=SEED).select("doc_id", "chunk_no", "batch_id")
+    return per_sample.join(keys, ["doc_id", "chunk_no"])
+
+
 def q_masked_loss(spark: SparkSession, sf: str) -> DataFrame:
-    smp = _samples(spark, sf)
-    b = B.assign_batches(smp, ["doc_id", "chunk_no"], batch=BATCH_SIZE, epochs=1, seed=SEED)
-    m = JB.evaluate(b, _bigram(spark, sf), "batch_id")
-    return m.select("batch_id", F.round("loss", 6).alias("loss"), F.col("n_tokens").cast("long").alias("n_tokens"))
+    m = S.batch_losses(_batched(spark, sf, _sample_losses(spark, sf)))
+    return m.select("batch_id", F.round("loss", 6).alias("loss"), F.col("n_tokens").cast("long").alias("n_tokens"),
+                    F.col("n_unscored").cast("long").alias("n_unscored"))
 
 
 SQL_MASKED_LOSS = _SQL_TOKEN_LOSS + f""",
@@ -543,7 +544,52 @@ o AS (
            // {BATCH_SIZE} AS batch_id
   FROM (SELECT DISTINCT doc_id, chunk_no FROM p)
 )
-SELECT o.batch_id, round(sum(loss * mask) / sum(mask), 6) AS loss, CAST(sum(mask) AS BIGINT) AS n_tokens
+SELECT o.batch_id, round(sum(loss * mask) / sum(mask), 6) AS loss, CAST(sum(mask) AS BIGINT) AS n_tokens,
+       CAST(0 AS BIGINT) AS n_unscored
+FROM tl JOIN o USING (doc_id, chunk_no) GROUP BY o.batch_id
+"""
+
+
+UNSCORED_LOSS = 12.0
+
+
+def q_held_out_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of ``documents`` under scores learned from ``benchmark``: targets
+    without a score are counted, make the loss null, and cost ``UNSCORED_LOSS``
+    in ``floored_loss``."""
+    bench = read_table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("doc_id"), F.lit(0).cast("long").alias("chunk_no"), "text")
+    scores = S.bigram_scores(S.pairs_from_samples(SP.pretrain_samples(bench, "text", ["doc_id", "chunk_no"])))
+    both = S.sample_losses(_samples(spark, sf), scores, ["doc_id", "chunk_no"], UNSCORED_LOSS)
+    m = (_batched(spark, sf, both).groupBy("batch_id")
+         .agg(F.sum("loss_sum").alias("s"), F.sum("n_tokens").alias("n"), F.sum("n_unscored").alias("u")))
+    return m.select("batch_id", F.when(F.col("u") == 0, F.round(F.col("s") / F.col("n"), 6)).alias("loss"),
+                    F.round(F.col("s") / F.col("n"), 6).alias("floored_loss"),
+                    F.col("n").cast("long").alias("n_tokens"), F.col("u").cast("long").alias("n_unscored"))
+
+
+SQL_HELD_OUT_LOSS = _SQL_PADDED + f""",
+{_d_encode("SELECT item_id, '" + BOS_TOKEN + "' || text AS t FROM benchmark", "item_id", "t", "be")},
+bp AS (SELECT CAST(id AS INTEGER) AS prev_id, lead(id) OVER (PARTITION BY item_id ORDER BY pos) AS next_id
+       FROM be WHERE pos < {MAX_LENGTH}),
+bg AS (SELECT prev_id, CAST(next_id AS INTEGER) AS next_id, count(*) AS n FROM bp WHERE next_id IS NOT NULL GROUP BY 1, 2),
+sc AS (SELECT prev_id, next_id, ln(n / sum(n) OVER (PARTITION BY prev_id)) AS score FROM bg),
+lse AS (SELECT prev_id, max(score) + ln(sum(exp(score - mx))) AS lse FROM (
+  SELECT *, max(score) OVER (PARTITION BY prev_id) AS mx FROM sc) GROUP BY prev_id),
+tg AS (
+  SELECT doc_id, chunk_no, id AS prev_id, lead(id) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS next_id,
+         lead(m) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS mask FROM p),
+tl AS (SELECT tg.doc_id, tg.chunk_no, lse.lse - sc.score AS loss FROM tg
+  LEFT JOIN lse ON lse.prev_id = tg.prev_id
+  LEFT JOIN sc ON sc.prev_id = tg.prev_id AND sc.next_id = tg.next_id WHERE mask = 1),
+o AS (
+  SELECT doc_id, chunk_no,
+         (row_number() OVER (ORDER BY md5('{SEED}:0:' || doc_id || ':' || chunk_no), doc_id, chunk_no) - 1)
+           // {BATCH_SIZE} AS batch_id
+  FROM (SELECT DISTINCT doc_id, chunk_no FROM p))
+SELECT o.batch_id, CASE WHEN count(*) = count(loss) THEN round(sum(loss) / count(*), 6) END AS loss,
+       round(sum(coalesce(loss, {UNSCORED_LOSS})) / count(*), 6) AS floored_loss, count(*) AS n_tokens,
+       count(*) - count(loss) AS n_unscored
 FROM tl JOIN o USING (doc_id, chunk_no) GROUP BY o.batch_id
 """
 
@@ -558,9 +604,9 @@ STOP_ID = 4
 
 
 def _prompts(spark, sf):
-    """Plain prompts: BOS + each user turn, encoded (prompt_id = conv*1000+turn)."""
+    """Plain prompts: BOS + each user turn, encoded (prompt_id = conv_id:turn)."""
     t = _turns(spark, sf).filter(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+        F.concat_ws(":", "conv_id", "turn").alias("prompt_id"),
         F.concat(F.lit(BOS_TOKEN), F.col("text")).alias("t"))
     return TK.encode(t, "t", "ids").select("prompt_id", "ids")
 
@@ -596,7 +642,7 @@ def q_sample_generate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SQL_DECODE_BASE = _SQL_SCORES + f""",
-{_d_encode("SELECT conv_id * 1000 + turn AS prompt_id, '" + BOS_TOKEN + "' || text AS t FROM conversations WHERE role = 'user'", "prompt_id", "t", "pe")},
+{_d_encode("SELECT conv_id || ':' || turn AS prompt_id, '" + BOS_TOKEN + "' || text AS t FROM conversations WHERE role = 'user'", "prompt_id", "t", "pe")},
 pl AS (SELECT prompt_id, CAST(arg_max(id, pos) AS INTEGER) AS last_id FROM pe GROUP BY prompt_id),
 sc9 AS (SELECT prev_id, next_id, round(score, 9) AS score FROM sc)"""
 
@@ -684,17 +730,18 @@ SQL_SAMPLE_GENERATE = _sql_generate(False)
 # --------------------------------------------------------------------------
 # vectors and byte-pair merges
 # --------------------------------------------------------------------------
-BPE_MERGES = 8
+BPE_MERGES = 48
 
 
 def q_vector_lookup(spark: SparkSession, sf: str) -> DataFrame:
     smp = _samples(spark, sf).select("doc_id", "chunk_no", "x")
     vec = read_table(spark, sf, "embeddings")
-    j = L.vector_lookup(smp, "x", ["doc_id", "chunk_no"], vec, "vec_id", ("embedding", "label"))
+    first = F.element_at("embedding", 1).cast("double").alias("e0")
+    j = L.vector_lookup(smp, "x", ["doc_id", "chunk_no"], vec, "vec_id", (first, "label"))
     return (j.groupBy("doc_id", "chunk_no")
             .agg(F.count("label").alias("n_found"),
                  F.sum("label").cast("long").alias("label_sum"),
-                 F.round(F.sum(F.element_at("embedding", 1).cast("double")), 4).alias("e0_sum")))
+                 F.round(F.sum("e0"), 4).alias("e0_sum")))
 
 
 SQL_VECTOR_LOOKUP = _SQL_PADDED + f"""
@@ -707,59 +754,127 @@ GROUP BY p.doc_id, p.chunk_no
 
 
 def q_bpe_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Weighted byte-pair counts over the pre-token table (first training
-    round). Rows-only: DuckDB's regex engine has no look-ahead for the
-    pre-token pattern; tests compare with a plain-Python count."""
+    """Weighted byte-pair counts over the pre-token table (first training round)."""
     return BPE.pair_counts(BPE.word_table(_docs(spark, sf), "text"))
 
 
+_CUT = f"chr({_PUA + 99})"
+
+
+def _sql_words(keys: str = "") -> str:
+    """Pre-tokens without look-ahead: a separator goes before the last white space
+    of a run that a visible character follows, then the pieces are matched by the
+    pattern's other branches."""
+    k = f"{keys}, " if keys else ""
+    return fr"""
+sp AS (SELECT {k}unnest(string_split(regexp_replace(text, '(\s)(\s\S)', '\1' || {_CUT} || '\2', 'g'), {_CUT})) AS part
+       FROM documents),
+wd AS (SELECT {k}unnest(regexp_extract_all(part,
+         '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+')) AS word FROM sp),
+wc AS (SELECT word, count(*) AS n FROM wd GROUP BY word),
+{_d_encode("SELECT word, n FROM wc", "word, n", "word", "we")}"""
+
+
+SQL_BPE_PAIR_COUNTS = "WITH " + _sql_words() + """,
+pr AS (SELECT n, id AS a, lead(id) OVER (PARTITION BY word ORDER BY pos) AS b FROM we)
+SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, CAST(sum(n) AS BIGINT) AS n FROM pr WHERE b IS NOT NULL GROUP BY 1, 2
+"""
+
+
 def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
     """The first BPE_MERGES merges learned from the whole corpus."""
     return BPE.train_bpe(_docs(spark, sf), "text", n_merges=BPE_MERGES).drop("piece")
 
 
+def _sql_merges(keys: str = "") -> str:
+    """Training one merge at a time: words as strings of ``<id>``."""
+    parts = ["WITH " + _sql_words(keys) + """,
+w0 AS MATERIALIZED (SELECT word, n, string_agg('<' || id || '>', '' ORDER BY pos) AS s FROM we GROUP BY word, n)"""]
+    for r in range(BPE_MERGES):
+        parts.append(f""",
+l{r} AS (SELECT n, CAST(regexp_extract_all(s, '[0-9]+') AS INTEGER[]) AS l FROM w{r}),
+p{r} AS (SELECT n, unnest(list_zip(l[:-2], l[2:])) AS p FROM l{r} WHERE len(l) > 1),
+m{r} AS MATERIALIZED (SELECT p[1] AS a, p[2] AS b, CAST(sum(n) AS BIGINT) AS n FROM p{r} GROUP BY 1, 2
+          ORDER BY n DESC, a, b LIMIT 1),
+w{r + 1} AS MATERIALIZED (SELECT word, w{r}.n, replace(s, '<' || m{r}.a || '><' || m{r}.b || '>', '<{FIRST_MERGE_ID + r}>') AS s
+          FROM w{r}, m{r})""")
+    return "".join(parts)
+
+
+SQL_BPE_MERGES = _sql_merges() + "\n" + " UNION ALL ".join(
+    f"SELECT {r} AS rank, a, b, {FIRST_MERGE_ID + r} AS new_id, n FROM m{r}" for r in range(BPE_MERGES))
+
+
 def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
     d = _docs(spark, sf).select("doc_id", "text")
-    m = BPE.train_bpe(d, "text", n_merges=BPE_MERGES)
+    m = BPE.merge_rows(BPE.train_bpe(d, "text", n_merges=BPE_MERGES))
     e = TK.encode(d, "text", "ids", merges=m)
     back = TK.decode(e, "ids", "back", merges=m)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                        (F.col("back") == F.col("text")).alias("round_trip"))
 
 
+SQL_BPE_ENCODE = _sql_merges("doc_id") + f"""
+SELECT doc_id, CAST(sum(length(s) - length(replace(s, '<', ''))) AS BIGINT) AS n_ids, true AS round_trip
+FROM wd JOIN w{BPE_MERGES} USING (word) GROUP BY doc_id
+"""
+
+
 # --------------------------------------------------------------------------
 # composite preparation jobs over line files derived from the tables
 # --------------------------------------------------------------------------
-PAGE_LINE_BASE = 2_000_000_000
-EVENT_LINE_BASE = 1_000_000_000
-PAGE_LINE_STRIDE = 1_000_000
+LINE_IDS = ["src", "id", "line_no"]
+REJECTS = 100_000  # a report that reaches past the first kind of error line
 
 
 def _corpus_lines(spark, sf):
-    """Untrusted corpus lines: every document as ``{"text": ...}``, every
-    event's ``props`` object, and every raw line of every web page."""
-    docs = _docs(spark, sf).select(F.col("doc_id").alias("line_id"),
+    """Untrusted corpus lines ``(src, id, line_no, value)``: every document as
+    ``{"text": ...}``, every event's ``props`` object, every raw line of every
+    web page, and for every turn of a conversation lines by its role: a text
+    with a blank chunk and blank edges (user), texts of another type (assistant),
+    a blank text, a missing key and blank lines (system)."""
+    zero = F.lit(0).cast("long")
+    docs = _docs(spark, sf).select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), zero.alias("line_no"),
                                    F.to_json(F.struct("text")).alias("value"))
     props = read_table(spark, sf, "events").select(
-        (F.lit(EVENT_LINE_BASE) + F.col("event_id")).alias("line_id"), F.col("props").alias("value"))
+        F.lit("events").alias("src"), F.col("event_id").alias("id"), zero.alias("line_no"), F.col("props").alias("value"))
     pages = read_table(spark, sf, "pages").select(
-        "page_id", F.posexplode(F.split("html", "\r\n|\r|\n")).alias("ln", "value"))
-    pages = pages.select((F.lit(PAGE_LINE_BASE) + F.col("page_id") * PAGE_LINE_STRIDE + F.col("ln")).alias("line_id"),
-                         "value")
-    return docs.unionByName(props).unionByName(pages)
+        F.lit("pages").alias("src"), F.col("page_id").alias("id"),
+        F.posexplode(F.split("html", "\r\n|\r|\n")).alias("ln", "value"))
+    pages = pages.select("src", "id", F.col("ln").cast("long").alias("line_no"), "value")
+    padded = F.concat("text", F.repeat(F.lit(" "), F.lit(2 * CHUNK_WIDTH)))
+    odd = F.when(F.col("role") == "user", F.array(
+        F.concat(F.lit(" \t"), F.to_json(F.struct(padded.alias("text"))), F.lit(" "))))
+    odd = odd.when(F.col("role") == "assistant", F.array(
+        F.to_json(F.struct(F.col("turn").alias("text"))), F.to_json(F.struct(F.array("text").alias("text"))),
+        F.lit('{"text":null}'), F.lit('{"text":true}'), F.to_json(F.array("text"))))
+    odd = odd.otherwise(F.array(F.lit('{"text":"  "}'), F.to_json(F.struct(F.col("text").alias("nt"))), F.lit(""),
+                                F.lit(" \t ")))
+    turns = _turns(spark, sf).select(
+        F.lit("turns").alias("src"), F.col("conv_id").alias("id"), "turn", F.posexplode(odd).alias("k", "value"))
+    turns = turns.select("src", "id", (F.col("turn") * 8 + F.col("k")).cast("long").alias("line_no"), "value")
+    return docs.unionByName(props).unionByName(pages).unionByName(turns)
 
 
 _SQL_LINES = f"""
 lines AS (
-  SELECT doc_id AS line_id, CAST(to_json({{'text': text}}) AS VARCHAR) AS value FROM documents
-  UNION ALL SELECT {EVENT_LINE_BASE} + event_id, props FROM events
-  UNION ALL SELECT {PAGE_LINE_BASE} + page_id * {PAGE_LINE_STRIDE} + i - 1, l
+  SELECT 'documents' AS src, doc_id AS id, 0 AS line_no, CAST(to_json({{'text': text}}) AS VARCHAR) AS value FROM documents
+  UNION ALL SELECT 'events', event_id, 0, props FROM events
+  UNION ALL SELECT 'pages', page_id, i - 1, l
   FROM (SELECT page_id, unnest(string_split_regex(html, '\r\n|\r|\n')) AS l,
                generate_subscripts(string_split_regex(html, '\r\n|\r|\n'), 1) AS i FROM pages)
+  UNION ALL SELECT 'turns', conv_id, turn * 8 + i - 1, l
+  FROM (SELECT conv_id, turn, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM (
+    SELECT conv_id, turn, CASE role
+      WHEN 'user' THEN [' ' || chr(9) || CAST(to_json({{'text': text || repeat(' ', {2 * CHUNK_WIDTH})}}) AS VARCHAR) || ' ']
+      WHEN 'assistant' THEN [CAST(to_json({{'text': turn}}) AS VARCHAR), CAST(to_json({{'text': [text]}}) AS VARCHAR),
+                             '{{"text":null}}', '{{"text":true}}', CAST(to_json([text]) AS VARCHAR)]
+      ELSE ['{{"text":"  "}}', CAST(to_json({{'nt': text}}) AS VARCHAR), '', ' ' || chr(9) || ' '] END AS ls
+    FROM conversations))
 ), sl AS (
-  SELECT line_id, value, regexp_replace(value, '^[{blank_class()}]+|[{blank_class()}]+$', '', 'g') AS sv FROM lines
+  SELECT src, id, line_no, value, regexp_replace(value, '^[{blank_class()}]+|[{blank_class()}]+$', '', 'g') AS sv FROM lines
 ), cl AS (
-  SELECT line_id, value, sv,
+  SELECT src, id, line_no, value, sv,
     CASE WHEN NOT regexp_matches(value, '{NOT_BLANK_RX}') THEN 'blank'
          WHEN NOT json_valid(sv) THEN 'error'
          WHEN json_type(sv) <> 'OBJECT' THEN 'error'
@@ -767,37 +882,52 @@ lines AS (
          WHEN json_type(sv, '$.text') <> 'VARCHAR' THEN 'error'
          WHEN NOT regexp_matches(json_extract_string(sv, '$.text'), '{NOT_BLANK_RX}') THEN 'skip'
          ELSE 'ok' END AS outcome,
-    CASE WHEN NOT json_valid(sv) THEN 'json' WHEN json_type(sv) <> 'OBJECT' THEN 'not_object' END AS reason
+    CASE WHEN NOT json_valid(sv) THEN 'json' WHEN json_type(sv) <> 'OBJECT' THEN 'not_object'
+         ELSE 'type:' || CASE json_type(sv, '$.text') WHEN 'NULL' THEN 'VOID' WHEN 'ARRAY' THEN 'ARRAY<STRING>'
+                                                      WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(sv, '$.text') END END AS reason
   FROM sl
 )"""
 
+_SQL_LINE_CHUNKS = "WITH " + _SQL_LINES + f""", okl AS (
+  SELECT src, id, line_no, json_extract_string(sv, '$.text') AS t FROM cl WHERE outcome = 'ok'
+), pc AS (
+  SELECT src, id, line_no, t, unnest(range(0, CAST(ceil(length(t) / {CHUNK_WIDTH}.0) AS BIGINT))) AS chunk_no FROM okl
+), ch AS (
+  SELECT src, id, line_no, chunk_no, substring(t, chunk_no * {CHUNK_WIDTH} + 1, {CHUNK_WIDTH}) AS text FROM pc
+), cks AS (SELECT * FROM ch WHERE regexp_matches(text, '{NOT_BLANK_RX}'))"""
+
 
 def q_corpus_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    r = JB.prepare_corpus(_corpus_lines(spark, sf))
-    return r.counters
+    """Lines per outcome, and the number of chunks written."""
+    r = JB.prepare_corpus(_corpus_lines(spark, sf), ids=LINE_IDS)
+    chunks = r.output.agg(F.count(F.lit(1)).alias("n")).select(F.lit("chunks").alias("outcome"), "n")
+    return r.counters.unionByName(chunks)
 
 
-SQL_CORPUS_OUTCOMES = "WITH " + _SQL_LINES + """
+SQL_CORPUS_OUTCOMES = _SQL_LINE_CHUNKS + """
 SELECT outcome, count(*) AS n FROM cl GROUP BY outcome
+UNION ALL SELECT 'chunks', count(*) FROM cks
 """
 
 
 def q_prepare_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    r = JB.prepare_corpus(_corpus_lines(spark, sf))
-    return r.output.select("line_id", "chunk_no", "text")
+    r = JB.prepare_corpus(_corpus_lines(spark, sf), ids=LINE_IDS)
+    return r.output.select(*LINE_IDS, "chunk_no", "text")
 
 
-SQL_PREPARE_CORPUS = (
-    "SELECT doc_id AS line_id, chunk_no, chunk AS text FROM (" + SQL_CHUNK_TEXT + ")")
+SQL_PREPARE_CORPUS = _SQL_LINE_CHUNKS + """
+SELECT src, id, line_no, chunk_no, text FROM cks
+"""
 
 
 def q_reject_samples(spark: SparkSession, sf: str) -> DataFrame:
-    return JB.prepare_corpus(_corpus_lines(spark, sf)).rejects
+    opts = CorpusOptions(reject_samples=REJECTS)
+    return JB.prepare_corpus(_corpus_lines(spark, sf), opts, ids=LINE_IDS).rejects
 
 
-SQL_REJECT_SAMPLES = "WITH " + _SQL_LINES + """
-SELECT line_id, reason, substring(sv, 1, 50) AS excerpt FROM cl WHERE outcome = 'error'
-ORDER BY line_id LIMIT 10
+SQL_REJECT_SAMPLES = "WITH " + _SQL_LINES + f"""
+SELECT src, id, line_no, reason, substring(sv, 1, 50) AS excerpt FROM cl WHERE outcome = 'error'
+ORDER BY src, id, line_no LIMIT {REJECTS}
 """
 
 
@@ -814,6 +944,68 @@ def _chat_lines(spark, sf):
                     F.to_json(F.struct(conv.alias("conversations"))).alias("value"))
 
 
+def _untrusted_chat_lines(spark, sf):
+    """Chat lines, every event's ``props``, and for every turn a line by its role:
+    a missing key, a key of another type, an item that is no object, an unknown
+    speaker, an item without text."""
+    zero = F.lit(0).cast("long")
+    chats = _chat_lines(spark, sf).select(F.lit("chats").alias("src"), F.col("line_id").alias("id"),
+                                          zero.alias("line_no"), "value")
+    props = read_table(spark, sf, "events").select(
+        F.lit("events").alias("src"), F.col("event_id").alias("id"), zero.alias("line_no"), F.col("props").alias("value"))
+    line = lambda items: F.to_json(F.struct(items.alias("conversations")))
+    odd = F.when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("other"))))
+    odd = odd.when(F.col("turn") == 1, line(F.col("text"))).when(F.col("role") == "user", line(F.array("text")))
+    odd = odd.otherwise(line(F.array(F.struct(F.lit("narrator").alias("from"), F.col("text").alias("value")),
+                                     F.struct(F.lit("human").alias("from"), F.lit(None).cast("string").alias("value")))))
+    turns = _turns(spark, sf).select(F.lit("turns").alias("src"), F.col("conv_id").alias("id"),
+                                     F.col("turn").cast("long").alias("line_no"), odd.alias("value"))
+    return chats.unionByName(props).unionByName(turns)
+
+
+_SQL_CHAT_LINES = """
+chl AS (
+  SELECT 'events' AS src, event_id AS id, 0 AS line_no, props AS value FROM events
+  UNION ALL SELECT 'turns', conv_id, turn, CASE
+    WHEN role = 'system' THEN CAST(to_json({'other': text}) AS VARCHAR)
+    WHEN turn = 1 THEN CAST(to_json({'conversations': text}) AS VARCHAR)
+    WHEN role = 'user' THEN CAST(to_json({'conversations': [text]}) AS VARCHAR)
+    ELSE '{"conversations":[{"from":"narrator","value":' || CAST(to_json(text) AS VARCHAR) || '},{"from":"human"}]}' END
+  FROM conversations
+), cc AS (
+  SELECT src, id, line_no, value,
+    CASE WHEN NOT json_valid(value) THEN 'json' WHEN json_type(value) <> 'OBJECT' THEN 'not_object'
+         WHEN json_type(value, '$.conversations') IS NULL OR json_type(value, '$.conversations') = 'NULL' THEN 'missing'
+         WHEN json_type(value, '$.conversations') <> 'ARRAY' THEN 'type:STRING'
+         WHEN json_type(value, '$.conversations[0]') <> 'OBJECT' THEN 'item' END AS reason
+  FROM chl
+), co AS (
+  SELECT src, id, line_no, value, reason, CASE WHEN reason IS NULL THEN 'ok' ELSE 'error' END AS outcome FROM cc
+  UNION ALL SELECT 'chats', conv_id, 0, '', NULL, 'ok' FROM (SELECT DISTINCT conv_id FROM conversations)
+)"""
+
+
+def q_chat_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    return JB.prepare_chats(_untrusted_chat_lines(spark, sf), ids=LINE_IDS).counters
+
+
+SQL_CHAT_OUTCOMES = "WITH " + _SQL_CHAT_LINES + """
+SELECT outcome, count(*) AS n FROM co GROUP BY outcome
+"""
+
+
+def q_chat_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    opts = ChatOptions(reject_samples=REJECTS)
+    return JB.prepare_chats(_untrusted_chat_lines(spark, sf), opts, ids=LINE_IDS).rejects
+
+
+SQL_CHAT_REJECTS = "WITH " + _SQL_CHAT_LINES + f"""
+SELECT src, id, line_no, reason,
+       substring(regexp_replace(value, '^[{blank_class()}]+|[{blank_class()}]+$', '', 'g'), 1, 200) AS excerpt
+FROM co WHERE outcome = 'error' ORDER BY src, id, line_no LIMIT {REJECTS}
+"""
+
+
 def q_prepare_chats(spark: SparkSession, sf: str) -> DataFrame:
     r = JB.prepare_chats(_chat_lines(spark, sf))
     out = C.render_messages(r.output, "messages", out="text")
@@ -837,10 +1029,9 @@ def q_prompt_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_PROMPT_IDS = f"""
 WITH rp AS ({SQL_RENDER_PROMPT}),
-{_d_encode("SELECT conv_id * 1000 + turn AS k, text FROM rp", "k", "text", "e")}
-SELECT CAST(k // 1000 AS BIGINT) AS conv_id, CAST(k % 1000 AS BIGINT) AS turn, count(*) AS n_ids,
-       string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
-FROM e GROUP BY k
+{_d_encode("SELECT conv_id, turn, text FROM rp", "conv_id, turn", "text", "e")}
+SELECT conv_id, turn, count(*) AS n_ids, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
+FROM e GROUP BY conv_id, turn
 """
 
 
@@ -892,6 +1083,9 @@ QUERIES = {
     "bpe_pair_counts": q_bpe_pair_counts,
     "bpe_merges": q_bpe_merges,
     "bpe_encode": q_bpe_encode,
+    "held_out_loss": q_held_out_loss,
+    "chat_outcomes": q_chat_outcomes,
+    "chat_rejects": q_chat_rejects,
     "corpus_outcomes": q_corpus_outcomes,
     "prepare_corpus": q_prepare_corpus,
     "reject_samples": q_reject_samples,
@@ -928,6 +1122,12 @@ ORACLE = {
     "greedy_generate": SQL_GREEDY_GENERATE,
     "sample_generate": SQL_SAMPLE_GENERATE,
     "vector_lookup": SQL_VECTOR_LOOKUP,
+    "held_out_loss": SQL_HELD_OUT_LOSS,
+    "chat_outcomes": SQL_CHAT_OUTCOMES,
+    "chat_rejects": SQL_CHAT_REJECTS,
+    "bpe_pair_counts": SQL_BPE_PAIR_COUNTS,
+    "bpe_merges": SQL_BPE_MERGES,
+    "bpe_encode": SQL_BPE_ENCODE,
     "corpus_outcomes": SQL_CORPUS_OUTCOMES,
     "prepare_corpus": SQL_PREPARE_CORPUS,
     "reject_samples": SQL_REJECT_SAMPLES,

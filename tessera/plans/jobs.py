@@ -8,16 +8,18 @@ D6 ``render_prompts``   prompts -> (chat template) -> ids
 D7 ``select``           prompts x scores -> continuations (beam / greedy / sample)
 D8 ``evaluate``         batched samples x scores -> per-batch masked loss
 
-D1 and D2 are one stage each (no exchange): classification, chunking and
-message building are per-line expressions; counters are a separate small
-aggregate and rejects a top-k over the error lines.
+D1 and D2 outputs are one stage each (no exchange): classification, chunking
+and message building are per-line expressions. The file jobs take the counters
+(chunks written included) with ``observe`` while they write, so output and
+counters cost one read; lines are numbered only for the rejects, a top-k over
+the error lines.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batching as B
@@ -41,53 +43,68 @@ class JobResult:
     rejects: DataFrame
 
 
-def _rejects(classified: DataFrame, n: int, chars: int) -> DataFrame:
-    return Q.reject_samples(classified, n, "line_id", "value", chars)
+def line_ids(lines: DataFrame) -> list[str]:
+    """The columns that name a line: its file, where known, and its number."""
+    return [c for c in ("file", "line_id") if c in lines.columns]
 
 
-def prepare_corpus(lines: DataFrame, opts: CorpusOptions = CorpusOptions(),
-                   keys: list[str] | None = None) -> JobResult:
-    """D1 over ``(line_id, value, *keys)``: chunks of the ``text`` field of
-    every valid line, counters per outcome and the first rejects."""
-    keys = keys or []
-    c = Q.classify_corpus(lines)
+def _chunks(classified: DataFrame, keep: list[str], opts: CorpusOptions) -> DataFrame:
     # one generator: pieces of ok texts, nothing for other rows (blank texts
     # are already 'skip'), then the blank-chunk filter on the generated column
     pieces = F.when(F.col("outcome") == Q.OK, F_pieces("text", opts.chunk_width))
-    chunks = (c.select("line_id", *keys, F.posexplode(pieces).alias("chunk_no", "text"))
-              .filter(not_blank("text"))
-              .withColumn("chunk_no", F.col("chunk_no").cast("long")))
-    return JobResult(chunks, Q.run_counters(c), _rejects(c, opts.reject_samples, opts.excerpt_chars))
+    return (classified.select(*keep, F.posexplode(pieces).alias("chunk_no", "text"))
+            .filter(not_blank("text"))
+            .withColumn("chunk_no", F.col("chunk_no").cast("long")))
+
+
+def _messages(classified: DataFrame, keep: list[str], opts: ChatOptions) -> DataFrame:
+    ok = Q.ok_rows(classified, "items", keep)
+    return to_messages(ok, "items", opts.role_map, opts.system_prompt).drop("items")
+
+
+def prepare_corpus(lines: DataFrame, opts: CorpusOptions = CorpusOptions(),
+                   ids: list[str] | None = None) -> JobResult:
+    """D1 over ``(*ids, value)``: chunks of the ``text`` field of every valid
+    line, counters per outcome and the first rejects by ``ids``."""
+    ids = line_ids(lines) if ids is None else ids
+    c = Q.classify_corpus(lines)
+    rejects = Q.reject_samples(c, opts.reject_samples, ids, "value", opts.excerpt_chars)
+    return JobResult(_chunks(c, ids, opts), Q.run_counters(c), rejects)
 
 
 def prepare_chats(lines: DataFrame, opts: ChatOptions = ChatOptions(),
-                  keys: list[str] | None = None) -> JobResult:
-    """D2 over ``(line_id, value, *keys)``: messages of every valid line."""
-    keys = keys or []
+                  ids: list[str] | None = None) -> JobResult:
+    """D2 over ``(*ids, value)``: messages of every valid line."""
+    ids = line_ids(lines) if ids is None else ids
     c = Q.classify_chats(lines)
-    ok = Q.ok_rows(c, "items", ["line_id", *keys])
-    msgs = to_messages(ok, "items", opts.role_map, opts.system_prompt).drop("items")
-    return JobResult(msgs, Q.run_counters(c), _rejects(c, opts.reject_samples, 200))
+    rejects = Q.reject_samples(c, opts.reject_samples, ids, "value", opts.excerpt_chars)
+    return JobResult(_messages(c, ids, opts), Q.run_counters(c), rejects)
+
+
+def _write_counted(classified: DataFrame, output, write, path: str, what: str) -> dict:
+    """Write ``output(classified)`` and count outcomes and written rows on the way."""
+    seen, done = Observation(), Observation()
+    counts = [F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in (Q.OK, Q.SKIP, Q.ERROR, Q.BLANK)]
+    write(output(classified.observe(seen, *counts)).observe(done, F.count(F.lit(1)).alias(what)), path)
+    return {k: n for k, n in {**seen.get, **done.get}.items() if n}
 
 
 def prepare_corpus_files(spark: SparkSession, in_path: str, out_path: str,
                          opts: CorpusOptions = CorpusOptions()) -> dict:
-    """Read a JSONL corpus, write chunk JSONL, return the counters and the
-    reject samples (small, bounded results)."""
-    lines = read_lines(spark, in_path, number=True)
-    r = prepare_corpus(lines, opts)
-    write_chunks(r.output, out_path)
-    return {"counters": {x["outcome"]: x["n"] for x in r.counters.collect()},
-            "rejects": [x.asDict() for x in r.rejects.collect()]}
+    """Read a JSONL corpus, write chunk JSONL, return the counters (``chunks``
+    written included) and the reject samples (small, bounded results)."""
+    counters = _write_counted(Q.classify_corpus(read_lines(spark, in_path)),
+                              lambda c: _chunks(c, [], opts), write_chunks, out_path, "chunks")
+    rejects = prepare_corpus(read_lines(spark, in_path, number=True), opts).rejects
+    return {"counters": counters, "rejects": [x.asDict() for x in rejects.collect()]}
 
 
 def prepare_chat_files(spark: SparkSession, in_path: str, out_path: str,
                        opts: ChatOptions = ChatOptions()) -> dict:
-    lines = read_lines(spark, in_path, number=True)
-    r = prepare_chats(lines, opts)
-    write_messages(r.output, out_path)
-    return {"counters": {x["outcome"]: x["n"] for x in r.counters.collect()},
-            "rejects": [x.asDict() for x in r.rejects.collect()]}
+    counters = _write_counted(Q.classify_chats(read_lines(spark, in_path)),
+                              lambda c: _messages(c, [], opts), write_messages, out_path, "chats")
+    rejects = prepare_chats(read_lines(spark, in_path, number=True), opts).rejects
+    return {"counters": counters, "rejects": [x.asDict() for x in rejects.collect()]}
 
 
 def plan_run(samples: DataFrame, id_cols: list[str], opts: RunOptions = RunOptions()):
@@ -112,10 +129,9 @@ def select(prompts: DataFrame, scores: DataFrame, opts: SelectOptions) -> DataFr
 
 def evaluate(batched: DataFrame, scores: DataFrame, batch: str = "batch_id") -> DataFrame:
     """D8: per-token cross-entropy under ``scores``, masked mean per batch
-    (token-weighted; null for a batch without counted tokens)."""
-    t = S.targets_from_samples(batched.select(batch, "x", "y", "loss_mask"), [batch])
-    ce = S.cross_entropy(t, scores)
-    return S.masked_loss(ce, batch, "loss", "mask")
+    (token-weighted; null for a batch without counted tokens, or with a target
+    that has no score: see ``n_unscored``)."""
+    return S.batch_losses(S.sample_losses(batched, scores, [batch]), batch)
 
 
 __all__ = ["JobResult", "prepare_corpus", "prepare_chats", "prepare_corpus_files",

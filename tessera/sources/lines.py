@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,34 +11,9 @@ MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 CHUNK_SCHEMA = "text string"
 
 
-SPREAD_LIMIT_BYTES = 8 << 30
-
-
-def spread_small(df: DataFrame, limit_bytes: int = SPREAD_LIMIT_BYTES) -> DataFrame:
-    """Round-robin a small input over the session's parallelism.
-
-    A file stored as one row group is read by one task however many cores
-    there are, and per-row text work (parsing, regexes, encoding) then runs
-    on one core. When the optimizer's size estimate is at most
-    ``limit_bytes`` the rows are spread with ``repartition(parallelism)``
-    (deterministic: Spark sorts before a round-robin exchange). Larger
-    inputs are left as scanned: they come in many splits already, and a
-    full shuffle of them would cost more than it gains. Column pruning and
-    pushed filters still reach the scan below the exchange."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
-        return df
-    if target > 1 and size <= limit_bytes:
-        return df.repartition(target)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the prepared parquet tables under ``sf_dir`` (see ``spread_small``)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_small(df) if spread else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the prepared parquet tables under ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_lines(spark: SparkSession, path: str, number: bool = False) -> DataFrame:
@@ -96,21 +73,33 @@ def expand_file_prompts(spark: SparkSession, prompts: DataFrame, col: str = "pro
                         prefix: str = "FILE:") -> DataFrame:
     """Replace prompts written as ``FILE:<path>`` by that file's whole text.
 
-    A task cannot open files named by the data, so the distinct paths (one
-    per such prompt, not per data row) are listed on the driver, read once
-    with ``read.text(wholetext=True)`` and joined back on the path."""
+    A task cannot open files named by the data, so the distinct paths (one per
+    named file, not per prompt) are listed on the driver, each resolved once to
+    the URI that the file source reports, read with
+    ``read.text(wholetext=True)`` and joined back on equality of that URI. A
+    path that does not name exactly one file is an error."""
     is_file = F.col(col).startswith(prefix)
-    path = F.substring(F.col(col), len(prefix) + 1, 1 << 30)
+    path = F.expr(f"substring(`{col}`, {len(prefix) + 1})")
     paths = [r[0] for r in prompts.filter(is_file).select(path).distinct().collect()]
     if not paths:
         return prompts
-    texts = (spark.read.text(paths, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("fp_"), F.col("value").alias("ft_")))
-    # read.text reports absolute URIs; match on the path suffix as given
+    conf = spark._jsc.hadoopConfiguration()
+    named = []
+    for p in paths:
+        hp = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if not fs.exists(hp) or not fs.getFileStatus(hp).isFile():
+            raise FileNotFoundError(f"prompt file not found: {p}")
+        named.append((p, re.sub("^([^:/]+):/+", r"\1:/", fs.getFileStatus(hp).getPath().toUri().toString())))
+    of = spark.createDataFrame(named, "p_ string, fp_ string")
+    escaped = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]  # names, not patterns
+    texts = (spark.read.text(escaped, wholetext=True)
+             .select(F.regexp_replace(F.col("_metadata.file_path"), "^([^:/]+):/+", "$1:/").alias("fp_"),
+                     F.col("value").alias("ft_")).distinct())
     keyed = prompts.withColumn("p_", F.when(is_file, path))
-    j = keyed.join(F.broadcast(texts), F.col("fp_").endswith(F.col("p_")), "left")
+    j = keyed.join(of.join(texts, "fp_").select("p_", "ft_"), "p_", "left")
     return (j.withColumn(col, F.when(F.col("p_").isNotNull(), F.col("ft_")).otherwise(F.col(col)))
-             .drop("p_", "fp_", "ft_"))
+             .select(*prompts.columns))
 
 
 def prompts_from_list(spark: SparkSession, prompts: list[str]) -> DataFrame:

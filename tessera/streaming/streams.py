@@ -4,9 +4,8 @@ Classification, chunking and message building are stateless per line, so
 the batch operators run unchanged on ``readStream.text``: no watermark, no
 state store. Each micro-batch is written by the file sink with its commit
 log in ``checkpoint``; a restarted query resumes from there (exactly-once
-files). Line numbers are not available on a stream: rows carry the source
-file path instead and rejects are reported per micro-batch via
-``foreachBatch`` when asked for.
+files). Line numbers are not available on a stream: rows carry the source file
+path instead, and rejects come from the batch job over the same files.
 """
 
 from __future__ import annotations
@@ -30,8 +29,7 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 def corpus_chunks_stream(lines: DataFrame, opts: CorpusOptions = CorpusOptions()) -> DataFrame:
     from ..plans.jobs import prepare_corpus
-    return prepare_corpus(lines.withColumn("line_id", F.lit(None).cast("long")), opts,
-                          keys=["file"]).output.drop("line_id")
+    return prepare_corpus(lines, opts, ids=["file"]).output
 
 
 def chat_messages_stream(lines: DataFrame, opts: ChatOptions = ChatOptions()) -> DataFrame:

@@ -105,3 +105,17 @@ def test_basic_generate_rule(spark):
         for t in r.new_ids:
             assert t in sorted(range(V), key=lambda j: -table[last][j])[:2]
             last = t
+
+
+def test_empty_prompt_and_ignored_options(spark):
+    import pytest
+
+    scores = spark.createDataFrame([(1, 2, 0.0), (2, 1, 0.0)], "prev_id int, next_id int, score double")
+    prompts = spark.createDataFrame([(1, []), (2, [1])], "prompt_id long, ids array<int>")
+    got = {r.prompt_id: r.new_ids for r in BM.beam_search(prompts, scores, 2, 2).collect()}
+    assert got == {1: [], 2: [2, 1]}
+    for greedy in (True, False):
+        got = {r.prompt_id: r.new_ids for r in BM.generate(prompts, scores, 2, greedy=greedy).collect()}
+        assert got == {1: [], 2: [2, 1]}
+    with pytest.raises(ValueError):
+        BM.beam_search(prompts, scores, 2, 2, temperature=0.5, normalise=False)

@@ -8,7 +8,7 @@ from tessera.functions.bytes import byte_to_id_table
 from tessera.operators import bpe, tokens as TK
 from tessera.options import PRETOKEN_PATTERN
 
-N = 6
+N = 60
 
 
 def _python_merges(texts, n):
@@ -103,3 +103,32 @@ def test_vocab_with_merges(spark):
     assert len(v) == 264 and v[263][1] == "merge"
     for r in m.collect():
         assert v[r.new_id][0] == v[r.a][0] + v[r.b][0]
+
+
+def test_certain_merges_rules():
+    pick = lambda best, complete=True: [p for p, _ in bpe.certain_merges(best, complete)]
+    assert pick([]) == []
+    assert pick([("ab", 9), ("cd", 8), ("ef", 7)]) == ["ab", "cd", "ef"]
+    assert pick([("ab", 9), ("bc", 8), ("ef", 7)]) == ["ab"]  # shares b: its count falls, and it may beat ef
+    assert pick([("ab", 9), ("cd", 8), ("da", 8)]) == ["ab"]  # a tie that shares a symbol
+    assert pick([("ab", 9), ("cd", 8)], complete=False) == ["ab"]  # more ties may follow the list
+
+
+def test_long_unit_is_merged_in_reasonable_time():
+    import time
+
+    ranks = {(1, 1): (0, 2), (2, 2): (1, 3)}
+    t = time.time()
+    assert bpe._bpe_word([1] * 100_000, ranks) == [3] * 25_000
+    assert time.time() - t < 5
+
+
+def test_all_merges_are_used_and_oversized_tables_refused(spark, monkeypatch):
+    import pytest
+
+    m = spark.createDataFrame([(0, 69, 69, 261, 5, "aa"), (1, 261, 261, 262, 4, "aaaa")], bpe.MERGES_SCHEMA)
+    df = spark.createDataFrame([("aaaa",)], "text string")
+    assert TK.encode(df, "text", "ids", merges=m).first().ids == [262]
+    monkeypatch.setattr(bpe, "MAX_VOCABULARY", 1)
+    with pytest.raises(ValueError):
+        TK.encode(df, "text", "ids", merges=m)

@@ -69,3 +69,25 @@ def test_chat_classes_and_messages(spark):
         assert got[i] == want, (i, got[i], want)
         if want_msgs is not None:
             assert msgs[i] == want_msgs
+
+
+def test_rejects_of_several_files_and_job_counters(spark, tmp_path):
+    from tessera.plans import jobs as JB
+
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.jsonl").write_text('{bad\n{"text":"' + "x" * 600 + '"}\n[1]\n\n{"nt":1}\n')
+    r = JB.prepare_corpus_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert r["counters"] == {"ok": 2, "skip": 2, "error": 4, "blank": 2, "chunks": 4}
+    assert [(x["file"][-7:], x["line_id"], x["reason"]) for x in r["rejects"]] == [
+        ("a.jsonl", 1, "json"), ("a.jsonl", 3, "not_object"), ("b.jsonl", 1, "json"), ("b.jsonl", 3, "not_object")]
+    assert spark.read.json(str(tmp_path / "out")).count() == 4
+
+
+def test_strip_is_linear_and_full(spark):
+    import time
+
+    df = spark.createDataFrame([(" \u3000a" + " " * 200_000 + "b\u001c\n",)], "value string")
+    t = time.time()
+    got = df.select(Q.strip_blank(F.col("value")).alias("v")).first().v
+    assert got == "a" + " " * 200_000 + "b" and time.time() - t < 10

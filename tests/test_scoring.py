@@ -15,7 +15,7 @@ def _table(spark):
 
 def test_top_k_keeps_ties(spark):
     df = _table(spark)
-    got = S.top_k(df, "g", "c", "s", 3, salts=4).collect()
+    got = S.top_k(df, "g", "c", "s", 3).collect()
     by = {}
     for r in got:
         by.setdefault(r.g, set()).add(r.c)
@@ -62,6 +62,22 @@ def test_cross_entropy_and_masked_loss(spark):
     assert abs(m[0] - math.log(2)) < 1e-12 and m[1] is None
 
 
+def test_unscored_targets_are_not_free(spark):
+    scores = spark.createDataFrame([(1, 2, 0.0)], "prev_id int, next_id int, score double")
+    t = spark.createDataFrame([(0, 1, 2, 1), (0, 1, 7, 1), (1, 1, 2, 1), (1, 1, 7, 0)],
+                              "batch_id long, prev_id int, next_id int, mask int")
+    ce = S.cross_entropy(t, scores)
+    got = {r.batch_id: (r.loss, r.n_tokens, r.n_unscored) for r in S.masked_loss(ce).collect()}
+    assert got == {0: (None, 2, 1), 1: (0.0, 1, 0)}
+    assert {r.batch_id: r.loss for r in S.masked_loss(ce, unscored=3.0).collect()} == {0: 1.5, 1: 0.0}
+    smp = spark.createDataFrame([(0, [1, 1, 1], [2, 7, 2], [1, 1, 1]), (1, [1, 1], [2, 7], [1, 0])],
+                                "batch_id long, x array<int>, y array<int>, loss_mask array<int>")
+    got = {r.batch_id: (r.loss, r.n_tokens, r.n_unscored) for r in S.batch_losses(S.sample_losses(smp, scores, ["batch_id"])).collect()}
+    assert got == {0: (None, 3, 1), 1: (0.0, 1, 0)}
+    got = S.batch_losses(S.sample_losses(smp, scores, ["batch_id"], 3.0), floored=True).collect()
+    assert {r.batch_id: r.loss for r in got} == {0: 1.0, 1: 0.0}
+
+
 def test_render_turns_equals_long_form(spark):
     from tessera.operators import chat as C
     t = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")

@@ -58,25 +58,22 @@ def test_progress(spark):
     assert got == [10 - 0, 10 - 1]
 
 
-def test_lookup_broadcast_guard(spark):
+def test_vector_lookup_and_checked_broadcast(spark, monkeypatch):
     vec = spark.createDataFrame([(i, [float(i)], i % 3) for i in range(10)], "vec_id long, embedding array<float>, label int")
     df = spark.createDataFrame([(1, [1, 2, 99])], "k long, ids array<int>")
-    small = L.vector_lookup(df, "ids", ["k"], vec, cols=("embedding", "label"))
-    big = L.vector_lookup(df, "ids", ["k"], vec, cols=("embedding", "label"), max_broadcast_rows=5)
-    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
-    rows = sorted((r.pos, r.label) for r in small.collect())
-    assert rows == [(0, 1), (1, 2), (2, None)]
-    assert sorted((r.pos, r.label) for r in big.collect()) == rows
+    got = L.vector_lookup(df, "ids", ["k"], vec, cols=("embedding", "label"))
+    assert sorted((r.pos, r.label) for r in got.collect()) == [(0, 1), (1, 2), (2, None)]
+    hinted = lambda t: "strategy=broadcast" in t._jdf.queryExecution().analyzed().toString()
+    assert hinted(L.checked_broadcast(vec, row_bytes=64))
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 100)
+    assert not hinted(L.checked_broadcast(vec, row_bytes=64))
 
 
-def test_spread_small_inputs_only(spark):
-    from tessera.sources.lines import read_table, spread_small
+def test_scan_reads_only_needed_columns(spark):
+    from tessera.sources.lines import read_table
     d = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id")
     plan = d._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in plan and "ReadSchema: struct<doc_id:bigint>" in plan
-    raw = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    big = spread_small(raw, limit_bytes=0)  # pretend the input is large: no exchange added
-    assert "RoundRobinPartitioning" not in big._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ReadSchema: struct<doc_id:bigint>" in plan
 
 
 def test_missing_input_fails_early(spark):
@@ -103,11 +100,18 @@ def test_metrics_and_generation_sinks(spark):
 
 
 def test_file_prompts(spark):
+    import pytest
+
     from tessera.sources import expand_file_prompts
     d = tempfile.mkdtemp(prefix="tessera-fileprompt-")
-    path = os.path.join(d, "start.txt")
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("<|im_start|>long\\nstart")
-    p = prompts_from_list(spark, ["plain", "FILE:" + path])
-    got = {r.prompt_id: r.prompt for r in expand_file_prompts(spark, p).collect()}
-    assert got == {0: "plain", 1: "<|im_start|>long\\nstart"}
+    files = {"a.txt": "short", "data.txt": "<|im_start|>long\nstart", "with space [1].txt": "third"}
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    p = prompts_from_list(spark, ["plain", *("FILE:" + os.path.join(d, n) for n in files), "FILE:" + os.path.join(d, "a.txt")])
+    df = expand_file_prompts(spark, p)
+    assert "NestedLoopJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r.prompt_id: r.prompt for r in df.collect()} == dict(enumerate(["plain", *files.values(), "short"]))
+    assert df.count() == 5 and df.columns == p.columns
+    with pytest.raises(FileNotFoundError):
+        expand_file_prompts(spark, prompts_from_list(spark, ["FILE:" + os.path.join(d, "ta.txt")]))

@@ -46,3 +46,12 @@ def test_fit_length(spark):
     rows = {r.k: r for r in TK.fit_length(df, "ids", 5, 0).collect()}
     assert rows[1].ids == [1, 2, 3, 4, 5] and rows[1].n_real == 5
     assert rows[2].ids == [0] * 5 and rows[2].n_real == 0
+
+
+def test_special_strings_in_a_batch_match_the_sql_form(spark):
+    texts = ["<|im_start|>a<s>b</s>", "<", "|im_end|>", "x<|im_end|>", "é<unk>é", None, "", "a < b <html> <|im_", "end|>",
+             "<|im_end|><|im_end|>"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string").coalesce(1)
+    fast = {r.k: r.ids for r in TK.encode(df, "text", "ids").collect()}
+    slow = {r.k: r.ids for r in TK.encode(df, "text", "ids", impl="sql").collect()}
+    assert fast == slow and fast[3][-1] == 4
