@@ -14,8 +14,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from ..options import FIRST_BYTE_ID, SPECIAL_TOKENS
 
@@ -77,14 +75,6 @@ def _byte_ids_sql(text_sql: str) -> str:
             f"ELSE transform(split({latin}, ''), c_ -> {body}) END")
 
 
-def byte_ids(col: Column | str) -> Column:
-    """Text to byte-symbol ids, no special-token handling."""
-    name = col if isinstance(col, str) else None
-    if name is None:
-        raise TypeError("byte_ids takes a column name")
-    return F.expr("CAST(" + _byte_ids_sql(f"`{name}`") + " AS array<int>)")
-
-
 def encode_sql(text_sql: str, tokens=SPECIAL_TOKENS) -> str:
     """SQL for text -> ids: special-token strings become their ids, all other
     text becomes byte ids. Texts without '<' skip the split."""
@@ -101,11 +91,6 @@ def encode_sql(text_sql: str, tokens=SPECIAL_TOKENS) -> str:
             f"ELSE {split_path} END AS array<int>)")
 
 
-def encode_bytes(col: str, tokens=SPECIAL_TOKENS) -> Column:
-    """Column: text -> array<int> of special and byte ids (merge-free)."""
-    return F.expr(encode_sql(f"`{col}`", tokens))
-
-
 def _piece_sql(i: str, tokens=SPECIAL_TOKENS, merged_sql: str | None = None) -> str:
     specials = " ".join(f"WHEN {i} = {k} THEN {_sql_str(t)}" for k, t in enumerate(tokens))
     byte_piece = f"chr({_id_to_byte_sql(i)})"
@@ -120,7 +105,3 @@ def decode_sql(ids_sql: str, tokens=SPECIAL_TOKENS, merged_sql: str | None = Non
     (ids cut inside a character) become U+FFFD."""
     joined = f"array_join(transform({ids_sql}, t_ -> {_piece_sql('t_', tokens, merged_sql)}), '')"
     return f"make_valid_utf8(CAST(encode({joined}, 'ISO-8859-1') AS string))"
-
-
-def decode_ids(col: str, tokens=SPECIAL_TOKENS) -> Column:
-    return F.expr(decode_sql(f"`{col}`", tokens))

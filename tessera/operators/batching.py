@@ -5,7 +5,7 @@ key itself), reproducible and identical in any SQL engine. A global position
 in that order is computed without a single-task window and without sampling:
 
 1. the md5 order key is uniform, so its first 32 bits split the order into
-   ``buckets`` equal, contiguous ranges (count from the size estimate):
+   ``buckets`` equal, contiguous ranges:
    ``bucket = prefix * buckets / 2^32``;
 2. a tiny aggregate counts rows per ``(epoch, bucket)``; a window over that
    summary (``epochs x buckets`` rows, broadcast) gives each bucket's offset;
@@ -34,23 +34,9 @@ def shuffle_key(id_cols: list[str], seed: int = SEED, epoch: Column | int = 0) -
                              *[F.col(c).cast("string") for c in id_cols]))
 
 
-# Buckets are independent of the task count (hash partitioning spreads them
-# over the shuffle partitions) and grow with the input: one per ~64 MB of the
-# optimizer's size estimate, at least the shuffle-partition count, at most
-# 2^16. A window partition then stays near 64 MB of input whatever the data
-# size, and the broadcast offset summary stays at most 65536 rows per epoch.
-MAX_BUCKETS = 1 << 16
-BYTES_PER_BUCKET = 64 << 20
-
-
-def choose_buckets(df: DataFrame) -> int:
-    spark = df.sparkSession
-    lo = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: the largest bucket count
-        return MAX_BUCKETS
-    return int(min(MAX_BUCKETS, max(lo, -(-size // BYTES_PER_BUCKET))))
+# Always the same number of buckets, whatever the input: their summary stays at
+# 65536 rows per epoch, and a bucket holds rows/65536 rows (1.5 million of 10^11).
+BUCKETS = 1 << 16
 
 
 def hex_bucket(key: Column, buckets: int) -> Column:
@@ -63,7 +49,7 @@ def global_index(df: DataFrame, key_col: str, tie_cols: list[str], group_col: st
                  buckets: int | None = None, out: str = "idx") -> DataFrame:
     """0-based position of each row within ``group_col`` in the order of
     ``(key_col, *tie_cols)``; ``key_col`` must be a uniform hex digest."""
-    nb = buckets or choose_buckets(df)
+    nb = buckets or BUCKETS
     d = df.withColumn("bkt_", hex_bucket(F.col(key_col), nb))
     counts = d.groupBy(group_col, "bkt_").agg(F.count(F.lit(1)).alias("n_"))
     before = Window.partitionBy(group_col).orderBy("bkt_").rowsBetween(

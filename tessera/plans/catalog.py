@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import arrays as A
 from ..functions.text import blank_class
 from ..operators import chat as C
 from ..operators import masks as M
@@ -1052,7 +1053,72 @@ FROM mk GROUP BY conv_id, n_real""",
   string_agg(CAST(mark AS VARCHAR), ' ' ORDER BY mk.pos) FILTER (WHERE mk.pos >= 1) AS mask_text
 FROM mk JOIN p ON p.conv_id = mk.conv_id AND p.pos = mk.pos GROUP BY mk.conv_id""")
 
+# --------------------------------------------------------------------------
+# context cut, prompt and stop cuts, truncation report
+# --------------------------------------------------------------------------
+CONTEXT_IDS = 64
+
+
+def q_context_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """The last CONTEXT_IDS ids of every prompt."""
+    d = _prompts(spark, sf)
+    return d.select("prompt_id", _join_ids_of(A.keep_last("ids", CONTEXT_IDS)).alias("ids_text"))
+
+
+def _join_ids_of(ids):
+    return F.array_join(ids, " ")
+
+
+_SQL_PROMPT_POS = f"""
+WITH {_d_encode("SELECT conv_id || ':' || turn AS prompt_id, '" + BOS_TOKEN + "' || text AS t FROM conversations WHERE role = 'user'", "prompt_id", "t", "pe")},
+pn AS (SELECT *, count(*) OVER (PARTITION BY prompt_id) AS n FROM pe)"""
+
+SQL_CONTEXT_CUT = _SQL_PROMPT_POS + f"""
+SELECT prompt_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids_text
+FROM pn WHERE pos >= n - {CONTEXT_IDS} GROUP BY prompt_id
+"""
+
+
+def q_stop_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every chat behind its first system message (the prompt), up to the
+    next stop id, with and without it."""
+    d = TK.encode(_chat_text(spark, sf), "text", "ids")
+    prompt = F.array_position("ids", F.lit(STOP_ID)).cast("int")
+    d = d.select("conv_id", A.drop_prompt("ids", prompt).alias("rest"))
+    return d.select("conv_id", _join_ids_of(A.cut_at("rest", STOP_ID, True)).alias("with_stop"),
+                    _join_ids_of(A.cut_at("rest", STOP_ID, False)).alias("without_stop"))
+
+
+SQL_STOP_CUT = f"""
+WITH m AS ({SQL_TO_MESSAGES}),
+ct AS (SELECT conv_id, string_agg({_dpiece('role', 'content')}, '' ORDER BY seq) AS text FROM m GROUP BY conv_id),
+{_d_encode("SELECT conv_id, text FROM ct", "conv_id", "text", "e")},
+s AS (SELECT *, coalesce(sum(CASE WHEN id = {STOP_ID} THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e)
+SELECT conv_id, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE before = 1), '') AS with_stop,
+       coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE before = 1 AND id <> {STOP_ID}), '') AS without_stop
+FROM s GROUP BY conv_id
+"""
+
+
+def q_truncation_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Chats that lose ids to the sample length."""
+    d = TK.encode(_chat_text(spark, sf), "text", "ids")
+    return TK.truncated_count(d).select(F.col("n_truncated").cast("long").alias("n_truncated"), "n_rows")
+
+
+SQL_TRUNCATION_REPORT = f"""
+WITH m AS ({SQL_TO_MESSAGES}),
+ct AS (SELECT conv_id, string_agg({_dpiece('role', 'content')}, '' ORDER BY seq) AS text FROM m GROUP BY conv_id),
+{_d_encode("SELECT conv_id, text FROM ct", "conv_id", "text", "e")},
+k AS (SELECT conv_id, count(*) AS n FROM e GROUP BY conv_id)
+SELECT count(*) FILTER (WHERE n > {MAX_LENGTH}) AS n_truncated, count(*) AS n_rows FROM k
+"""
+
 QUERIES = {
+    "context_cut": q_context_cut,
+    "stop_cut": q_stop_cut,
+    "truncation_report": q_truncation_report,
     "blank_filter": q_blank_filter,
     "chunk_text": q_chunk_text,
     "chunk_counts": q_chunk_counts,
@@ -1095,6 +1161,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "context_cut": SQL_CONTEXT_CUT,
+    "stop_cut": SQL_STOP_CUT,
+    "truncation_report": SQL_TRUNCATION_REPORT,
     "blank_filter": SQL_BLANK_FILTER,
     "chunk_text": SQL_CHUNK_TEXT,
     "chunk_counts": SQL_CHUNK_COUNTS,

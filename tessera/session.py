@@ -77,7 +77,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir() or path
@@ -90,7 +90,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (eager) into the session's checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")
