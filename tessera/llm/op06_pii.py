@@ -29,6 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textkernel as tk
+from .shared import prepare
+
 ROUNDS = 8
 KEY = b"replace this key in production"
 KINDS = ("card", "number", "phone", "ssn", "iban", "ip", "date", "email", "secret")
@@ -53,7 +56,11 @@ DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 
 
 class Permutation:
-    """Keyed permutation of range(n) that keeps ``allowed`` values among themselves."""
+    """Keyed permutation of range(n) that keeps ``allowed`` values among themselves.
+
+    The Feistel network orders all values in one keyed cycle; a value's pseudonym
+    is the next allowed value on it, so none is its own pseudonym (unless it is
+    the only allowed one)."""
 
     def __init__(self, key: bytes, kind: str, n: int, allowed=lambda x: True):
         self.a = math.isqrt(n - 1) + 1 if n > 1 else 1
@@ -89,10 +96,10 @@ class Permutation:
         return r * self.a + left
 
     def seal(self, x: int) -> int:
-        return self._walk(x, self._forth)
+        return self._walk(x, lambda v: self._back((self._forth(v) + 1) % (self.a * self.b)))
 
     def unseal(self, x: int) -> int:
-        return self._walk(x, self._back)
+        return self._walk(x, lambda v: self._back((self._forth(v) - 1) % (self.a * self.b)))
 
 
 def luhn(digits: str) -> bool:
@@ -288,9 +295,10 @@ def _apply(key: bytes):
 
 def hide_personal_data(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text with pseudonyms, n_<kind> ...) for every row."""
+    prepare(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(_apply(key), f"doc_id {kind}, text string, " + ", ".join(f"n_{k} long" for k in KINDS))
+    return docs.mapInArrow(tk.tidy(_apply(key)), f"doc_id {kind}, text string, " + ", ".join(f"n_{k} long" for k in KINDS))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,53 @@
+import pytest
+
+from tessera.llm import op01_decontamination as D
+
+ITEMS = [
+    (0, "Tom has 3 red apples and Anna gives Tom 12 more apples, so how many red apples does Tom have now?"),
+    (1, "A train travels 120 km in 2 hours; what is the average speed of that train in km per hour?"),
+    (2, "What is 3 plus 4"), (3, "hi"), (4, None), (5, "1 2 3 4 5 6 7 8 9 10"), (0, "Tom has 3 red apples and Anna gives Tom 12 more apples, so how many red apples does Tom have now?"),
+]
+FILL = "some other words stand here before and behind the passage in this long enough document"
+DOCS = [
+    (1, f"{FILL}. {ITEMS[0][1]} {FILL}"),
+    (2, f"{FILL}. " + ITEMS[0][1].upper() + f" {FILL}"),
+    (3, "Later Peter has 7 red apples and Maria gives Peter 25 more apples, so how many red apples does Peter have now? " + FILL),
+    (4, "Later Peter has 7 red apples and Maria gives John 25 more apples, so how many red apples does Paul have now? " + FILL),
+    (5, f"{FILL} a train travels 3,500.5 miles in 9 hours; what is the average speed of that train in miles per hour {FILL}"),
+    (6, f"{FILL} what is 5 plus 9 {FILL}"), (7, FILL), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"),
+    (None, ITEMS[1][1]), (None, ITEMS[1][1]), (9, None), (10, ""), (11, "train travels in hours what is the speed"),
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").selectExpr("*", "'x' as h", "1 as k", "2 as item_id")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string").selectExpr("*", "'y' as pos")
+    return {(r.doc_id, r.item_id): r for r in D.leaks(docs.repartition(3), items).collect()}
+
+
+def test_copies_and_reworded_questions(found):
+    assert set(found) == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (None, 1)}
+    assert not found[1, 0].reworded and found[1, 0].coverage == 1.0
+    assert found[3, 0].reworded and found[3, 0].consistency == 1.0
+
+
+def test_stage_and_edges(spark, edge, nothing, tmp_path):
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    assert sorted(r.doc_id for r in D.without_benchmark(spark, docs, str(tmp_path)).collect()) == [4, 7, 8, 9, 10, 11]
+    items = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
+    assert D.leaks(edge, items).count() == 0
+    assert D.leaks(nothing, items).count() == 0
+    assert D.leaks(docs, items.limit(0)).count() == 0
+
+
+def test_against_substring_search(spark):
+    import re
+
+    d = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "benchmark"))
+    flat = lambda x: " " + " ".join(re.findall(r"[^\W_]+", x.lower())) + " "
+    bench = [(r.item_id, flat(r.text)) for r in items.collect()]
+    want = {(r.doc_id, i) for r in docs.collect() for i, t in bench if t in flat(r.text)}
+    assert want and {(r.doc_id, r.item_id) for r in D.leaks(docs, items).collect()} == want

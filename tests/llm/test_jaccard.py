@@ -1,0 +1,103 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tessera.llm.op07_jaccard import jaccard_join, keep_one_per_group, least_shared
+
+
+def shingles(text, k=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+
+def brute(rows):
+    """{id: (size, component)} by comparing every pair."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            both = len(x & y)
+            if x and y and 100 * both >= 75 * (len(x) + len(y) - both):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Near copies at all distances around the threshold, chains, copies, a shared passage."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(60)]
+    rows, n = [], 0
+    for size in (3, 5, 6, 9, 40, 90, 150, 400):
+        base = [word() for _ in range(size)]
+        for _ in range(14):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(2, size // 25 + 1))):
+                w[rng.randrange(len(w))] = word()
+            if rng.random() < 0.2:
+                w = w + [word() for _ in range(rng.randrange(size // 3 + 1))]
+            rows.append((n, " ".join(w)))
+            n += 1
+    for _ in range(30):
+        rows.append((n, " ".join(passage + [word() for _ in range(rng.randrange(5, 80))])))
+        n += 1
+    chain = [word() for _ in range(100)]
+    for i in range(25):
+        chain = chain[3:] + [word() for _ in range(3)]
+        rows.append((n, " ".join(chain)))
+        n += 1
+    rows += [(n + i, rows[5][1].upper()) for i in range(20)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_against_all_pairs(spark, corpus):
+    got = jaccard_join(spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)).collect()
+    want = brute(corpus)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert max(Counter(c for _, c in want.values()).values()) > 20
+
+
+def test_many_blocks(spark):
+    """More near copies than a block holds, with outliers that link with a few of them only."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(80)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for p in rng.sample(range(80), rng.choice([0, 1, 1, 2, 3, 4])):
+            w[p] = word()
+        rows.append((i, " ".join(w)))
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
+def test_edges(spark, edge, nothing):
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(edge).collect())
+    n = len(shingles(" ".join(f"w{i % 977} q{i % 31}" for i in range(60_000))))
+    want = [(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 1, 3), (4, n, 4), (5, n, 4), (6, 16, 6), (6, 16, 6), (7, 17, 6), (8, 1, 8),
+            (9, 1, 9), (10, 1, 9), (None, 16, 6), (None, 0, None), (11, 1, 11), (12, 1, 12)]
+    assert got == Counter(want)
+    assert jaccard_join(nothing).count() == 0
+
+
+def test_stage_keeps_one_of_each_group(spark, edge):
+    kept = keep_one_per_group(spark, edge, "")
+    assert kept.columns == edge.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids == Counter([0, 1, 2, 3, 4, 6, 8, 9, 11, 12, None, None])
+
+
+def test_sketch_bound():
+    assert least_shared(75, 100) == (17, 43)

@@ -1,0 +1,92 @@
+import zlib
+
+import numpy as np
+
+from tessera.llm import op08_langid as L
+
+
+def model():
+    pieces = [b"\x01a", b"ab", b"abc", b"bc", b"\x01", *(bytes([c]) for c in b"abcd")]
+    prob = np.vstack([np.random.default_rng(1).random((len(pieces), 2)) / 10, np.zeros(2)])
+    return pieces, prob
+
+
+def segmentations(raw, pieces):
+    if not raw:
+        yield []
+    for p in pieces:
+        if raw.startswith(p):
+            for rest in segmentations(raw[len(p):], pieces):
+                yield [p, *rest]
+
+
+def buffers(words):
+    ends = np.cumsum([len(w) for w in words])
+    return np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends
+
+
+def test_forward_sums_all_segmentations():
+    pieces, prob = model()
+    words = [b"a", b"abc", b"abcabcd", b"dddd"]
+    got = L.word_scores(L.Pieces(pieces), prob, *buffers(words))
+    for w, s in zip(words, got):
+        for lang in (0, 1):
+            total = sum(np.prod([prob[pieces.index(p), lang] for p in seg]) for seg in segmentations(b"\x01" + w, pieces))
+            assert abs(np.log(total) - s[lang]) < 1e-9
+
+
+def test_expected_counts_by_enumeration():
+    pieces, prob = model()
+    words, langs, weight = [b"abc", b"abcd", b"ab"], np.array([0, 1, 0]), np.array([3.0, 2.0, 1.0])
+    got = L.expected_counts(L.Pieces(pieces), prob, langs, weight, *buffers(words))
+    want = np.zeros((2, len(pieces) + 1))
+    for w, lang, n in zip(words, langs, weight):
+        segs = list(segmentations(b"\x01" + w, pieces))
+        mass = np.array([np.prod([prob[pieces.index(p), lang] for p in s]) for s in segs])
+        for s, m in zip(segs, mass / mass.sum()):
+            for p in s:
+                want[lang, pieces.index(p)] += n * m
+    assert np.allclose(got, want.ravel())
+
+
+def test_long_run_is_scored_whole():
+    pieces, prob = model()
+    p = L.Pieces(pieces)
+    run = b"ab" * 100
+    parts = [run[i:i + L.MAX_WORD] for i in range(0, len(run), L.MAX_WORD)]
+    assert np.allclose(L.word_scores(p, prob, *buffers([run])), L.word_scores(p, prob, *buffers(parts)).sum(axis=0))
+
+
+def test_held_out_accuracy_and_columns(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in L.identify(df).collect()}
+    rows = df.select("doc_id", "lang").collect()
+    assert len(got) == len(rows)
+    assert all(got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if got[r.doc_id].held_out]
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.98 * len(held)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_labels_of_held_out_rows_change_nothing(spark):
+    from pyspark.sql import functions as F
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    other = df.withColumn("lang", F.when(out, "zz").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
+    a, b = (sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in L.identify(d).collect()) for d in (df, other))
+    assert a == b
+
+
+def test_edges(spark, edge, nothing):
+    rows = L.identify(edge).collect()
+    assert len(rows) == edge.count()
+    said = {r.doc_id: r.lang_pred for r in rows if r.doc_id is not None}
+    assert [said[i] for i in (0, 1, 2, 3)] == ["und"] * 4 and said[4] == said[5] == "en"
+    assert all(r.score == 0 for r in rows if r.lang_pred == "und")
+    assert L.identify(nothing).count() == 0
+    unlearned = L.identify(edge.withColumn("lang", edge["lang"].substr(1, 0).cast("int").cast("string")))
+    assert {r.lang_pred for r in unlearned.collect()} == {"und"}
+    kept = L.known_language(spark, edge, "")
+    assert kept.columns == edge.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert {4, 5, 6, 7}.issubset(ids) and not {0, 1, 2, 3} & set(ids)

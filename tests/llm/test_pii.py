@@ -1,0 +1,78 @@
+import datetime
+import random
+import re
+
+import pytest
+
+from tessera.llm import op06_pii as P
+
+KEY = b"test key"
+
+
+@pytest.fixture(scope="module")
+def names():
+    return P.Pseudonyms(KEY)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
+def test_permutation_is_one_to_one(n):
+    p = P.Permutation(KEY, "t", n)
+    sealed = [p.seal(x) for x in range(n)]
+    assert sorted(sealed) == list(range(n)) and [p.unseal(y) for y in sealed] == list(range(n))
+    assert n == 1 or all(x != y for x, y in enumerate(sealed))
+    even = P.Permutation(KEY, "t", n, lambda x: x % 2 == 0)
+    assert sorted(even.seal(x) for x in range(0, n, 2)) == list(range(0, n, 2))
+
+
+CASES = [
+    ("4111 1111 1111 1111", "card"), ("4111111111111111", "card"), ("9807915762804491", "number"), ("123-45-6789", "ssn"),
+    ("+1 (017) 555-7713", "phone"), ("(555) 123-4567", "phone"), ("97.51.17.173", "ip"), ("2020-02-29", "date"),
+    ("31/12/1999", "date"), ("1.2.2003", "date"), ("GB82WEST12345698765432", "iban"), ("04dbebab91ab85687d33eeaaf9ac699e1188f962", "secret"),
+]
+
+
+@pytest.mark.parametrize("value,kind", CASES)
+def test_format_and_validity_stay_and_the_key_inverts(names, value, kind):
+    text = f"before {value} after, {value}."
+    new, counts = P.pseudonymise(text, names)
+    assert counts[kind] == 2 and sum(counts.values()) == 2 and value not in new
+    a, b = re.fullmatch(r"before (.*) after, (.*)\.", new).groups()
+    assert a == b and P.classify(P.FOUND.search(a)) == kind
+    if kind not in ("ip", "date"):
+        assert re.sub(r"\w", "x", a) == re.sub(r"\w", "x", value)
+    assert P.pseudonymise(new, P.Pseudonyms(KEY, back=True))[0] == text
+
+
+def test_dates_link_across_notations(names):
+    new = P.pseudonymise("2020-03-04 and 04/03/2020", names)[0]
+    y, m, d = map(int, new[:10].split("-"))
+    assert new == f"{y}-{m:02d}-{d:02d} and {d:02d}/{m:02d}/{y}" and datetime.date(y, m, d)
+
+
+def test_other_text_stays(names):
+    for text in ("version 1.2.3 of 2020, pi 3.14159, 999.1.1.1, 2020-13-45 000-12-3456", "no digits", "", "a@b c 12345678"):
+        assert P.pseudonymise(text, names) == (text, dict.fromkeys(P.KINDS, 0))
+
+
+def test_mail_and_distinct_values(names):
+    new, counts = P.pseudonymise("x.34@mail7.example.com y", names)
+    assert counts["email"] == 1 and re.fullmatch(r"[a-z]\.\d\d@mail7\.example\.com y", new)
+    rng = random.Random(1)
+    phones = {f"555-{rng.randrange(1000):03d}-{rng.randrange(10000):04d}" for _ in range(2000)}
+    assert len({names.of("phone", p) for p in phones}) == len(phones)
+
+
+def test_lines_change_nothing(names):
+    text = "a 97.51.17.173\nx\n\n2020-02-29\nbcd\n4111111111111111"
+    assert P.pseudonymise(text, names)[0] == "\n".join(P.pseudonymise(t, names)[0] for t in text.split("\n"))
+
+
+def test_edges(spark, edge, nothing):
+    rows = P.hide_personal_data(edge).collect()
+    key = lambda x: str(x)
+    assert sorted(((r.doc_id, r.text) for r in rows), key=key) == sorted(((r.doc_id, r.text) for r in edge.collect()), key=key)
+    assert P.hide_personal_data(nothing).count() == 0
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    back = P.Pseudonyms(P.KEY, back=True)
+    sealed = {r.doc_id: r.text for r in P.hide_personal_data(df).collect()}
+    assert all(P.pseudonymise(sealed[r.doc_id], back)[0] == r.text for r in df.collect())

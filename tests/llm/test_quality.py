@@ -1,0 +1,38 @@
+from pyspark.sql import functions as F
+
+from tessera.llm import op04_quality as Q
+
+D = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{D}/{t}.parquet") for t in ("documents", "labels"))
+    train = labels.where("doc_id % 3 <> 0")
+    got = {r.doc_id: r for r in Q.quality(docs, train, F.col("source"), F.col("lang")).collect()}
+    held = labels.where("doc_id % 3 = 0").collect()
+    right = sum(got[r.doc_id].kept == bool(r.quality) for r in held)
+    assert len(got) == docs.count() and right >= 0.9 * len(held)
+    clean = [r for r in held if r.quality]
+    assert sum(got[r.doc_id].kept for r in clean) >= 0.95 * len(clean)
+
+
+def test_sparse_sites_shrink_to_their_parent(spark):
+    good, bad = "A plain sentence with some words in it. " * 5, "JUNK!!! ### | $$$ || 123 " * 9
+    rows = ([(i, good, "big", "p") for i in range(200)] + [(200 + i, bad, "bad", "p") for i in range(200)]
+            + [(400, good, "bad", "q"), (401, good, "tiny", "p"), (402, None, None, None)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    labels = docs.select("doc_id", (F.col("host") == "big").cast("int").alias("quality")).where("doc_id < 400")
+    got = {r.doc_id: r for r in Q.quality(docs, labels, F.col("host"), F.col("path")).collect()}
+    assert got[0].path_rate > 0.9 > 0.1 > got[200].path_rate
+    assert got[400].path_rate < 0.5 < got[0].path_rate  # a path of one page follows its host
+    assert abs(got[401].path_rate - 0.5) < 0.2  # a host of one page follows the world
+    assert len(got) == len(rows)
+
+
+def test_edges(spark, edge, nothing):
+    labels = spark.createDataFrame([(4, 1), (4, 0), (3, 0), (6, 1), (None, 1), (99, 1), (7, None)], "doc_id long, quality int")
+    rows = Q.quality(edge, labels, F.col("source"), F.col("lang")).collect()
+    assert len(rows) == edge.count() and all(0 <= r.score <= 1 for r in rows)
+    assert Q.quality(nothing, labels, F.col("source"), F.col("lang")).count() == 0
+    none = Q.quality(edge, labels.limit(0), F.col("source"), F.col("lang")).collect()
+    assert {r.evidence for r in none} == {0.0}

@@ -1,0 +1,69 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tessera.llm import op09_token_ids as T
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda x: t.encode(x or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(PATH, encoding="utf-8") as f:
+        return T.Encoder(f.read())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab 'stre9\n\t.,é  漢Ñ\x1c\x7f\x85|<>\u2003\xa0à\n\n\"", max_size=40)), max_size=5))
+def test_chunked_ids_equal_whole_text_ids(whole, encoder, texts):
+    got = [x.tolist() for x in encoder.documents(pa.array(texts, pa.string()), 2)]
+    assert got == [whole(t) + [2] for t in texts]
+
+
+def test_special_strings_are_text(whole, encoder):
+    t = "a <|endoftext|> b  don't   <|endoftext|>"
+    (got,) = encoder.documents(pa.array([t]), 2)
+    assert got.tolist() == whole(t) + [2] and 50256 not in got
+
+
+def test_round_trip_and_single_document_access(spark, whole, edge):
+    rows = sorted(((r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or "") for r in edge.collect()))
+    manifest, job = T.write_shards(edge)
+    got = T.read_shards(manifest, job).collect()
+    start = 0
+    assert len(got) == len(rows)
+    for r, (has, doc_id, _, text) in zip(sorted(got, key=lambda r: r.start), rows):
+        ids = np.array(whole(text) + [2], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id if has else None, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    files = sorted((r for r in manifest.collect() if r.docs), key=lambda r: r.shard)
+    store, _ = T.open_store(job.value["folder"])
+    shard = T.Shard(store, files[-1].path, job.value["dictionary"])
+    last = np.flatnonzero(shard.index["doc_id"] == 12)[0]
+    assert shard.document(int(last)).tolist() == whole("漢字 тест слово") + [2]
+    with pytest.raises(ValueError, match="dictionary"):
+        T.Shard(store, files[0].path, b"another")
+
+
+def test_dictionary_is_trained_and_used(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    manifest, job = T.write_shards(docs)
+    assert len(job.value["dictionary"]) > 10_000
+    assert T.read_shards(manifest, job).count() == docs.count()
+
+
+def test_empty_table(nothing):
+    assert T.token_ids(nothing).count() == 0
