@@ -166,7 +166,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    index = written(items.mapInArrow(_of_items, _schema(items, "item_id"))
+    index = written(items.mapInArrow(tk.tidy(_of_items), _schema(items, "item_id"))
                     .withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}), "windows")
     place = F.shiftrightunsigned("h", 64 - MAP_BITS)
     used = [r.p for r in index.select(place.alias("p")).distinct().collect()]  # at most 2**MAP_BITS
@@ -174,7 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     bits = np.zeros(1 << MAP_BITS, bool)
     bits[used] = True
     job = sc.broadcast((np.packbits(bits).tobytes(), lengths))
-    found = docs.mapInArrow(_of_documents(job), _schema(docs, "doc_id")).withColumnRenamed("id", "doc_id")
+    found = docs.mapInArrow(tk.tidy(_of_documents(job)), _schema(docs, "doc_id")).withColumnRenamed("id", "doc_id")
     of_item = index.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"))
     hits = found.join(small_enough(index, 256), ["h", "k"])
     pairs = F.transform(F.arrays_zip("item_slots", "slots"),

@@ -145,7 +145,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bits = np.zeros(1 << 16, bool)
     bits[[(r["h"] >> 48) & 0xFFFF for r in rows]] = True
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.mapInArrow(_scan(bits, sorted({r["k"] for r in rows})),
+    found = docs.mapInArrow(tk.tidy(_scan(bits, sorted({r["k"] for r in rows}))),
                             f"doc_id {kind}, n_words long, pos array<long>, h array<long>")
     found = written(found.withColumn("row", F.monotonically_increasing_id()), "grams")
     of_base = lambda x: F.when(F.col("base"), x)

@@ -130,7 +130,7 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_c
     docs = docs.select(F.col(id_col).alias("doc_id"), site(host).alias("host"), site(path).alias("path"),
                        F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = written(docs.mapInArrow(_measure, f"doc_id {kind}, host string, path string, "
+    rows = written(docs.mapInArrow(tk.tidy(_measure), f"doc_id {kind}, host string, path string, "
                                    + ", ".join(f"{m} double" for m in MEASURES)), "measures")
     said, rate = evidence(rows, labels.select("doc_id", "quality"))
     odds = math.log(rate / (1 - rate)) if 0 < rate < 1 else 0.0

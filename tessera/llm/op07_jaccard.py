@@ -217,7 +217,7 @@ def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k:
     """(node, component) over class keys that link with another class."""
     picked = written(_sketch_filter(classes, sketches, num, den), "picked")
     texts = docs.join(small_enough(picked, 16), docs["doc_id"] == picked["rep"]).select("text", "key")
-    sets = written(texts.mapInArrow(_sets(k), "key long, n long, items array<long>"), "sets")
+    sets = written(texts.mapInArrow(tk.tidy(_sets(k)), "key long, n long, items array<long>"), "sets")
     if sets.count() != sets.select("key").distinct().count():  # repeated rows
         sets = written(sets.dropDuplicates(["key"]), "sets")
     index = written(_candidate_index(sets, num, den), "index")
@@ -282,7 +282,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(docs.mapInArrow(_sketches(k),
+    rows = written(docs.mapInArrow(tk.tidy(_sketches(k)),
                                    docs.select("doc_id").schema.simpleString()[7:-1].replace(":", " ")
                                    + ", key long, check long, n long, sketch array<long>"), "sketches")
     same = rows.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")

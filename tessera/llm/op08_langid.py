@@ -200,7 +200,7 @@ def learn(rows: DataFrame, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[l
     """(languages, probability of each piece and language) from (lang, text) rows."""
     sc = rows.sparkSession.sparkContext
     counts = rows.where("lang is not null").select("lang", "text").mapInArrow(
-        _word_counts, "lang string, word binary, n long")
+        tk.tidy(_word_counts), "lang string, word binary, n long")
     counts = written(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     k = len(pieces)
@@ -208,7 +208,7 @@ def learn(rows: DataFrame, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[l
     prob[k] = 0
     table = counts.coalesce(max(1, sc.defaultParallelism))
     for _ in range(rounds if langs else 0):
-        mass = table.mapInArrow(_expect(sc.broadcast((pieces, langs, prob))), "slot long, mass double")
+        mass = table.mapInArrow(tk.tidy(_expect(sc.broadcast((pieces, langs, prob)))), "slot long, mass double")
         got = mass.groupBy("slot").agg(F.sum("mass").alias("mass")).collect()  # languages x pieces at most
         flat = np.zeros(len(langs) * (k + 1))
         flat[[r.slot for r in got]] = [r.mass for r in got]
@@ -282,7 +282,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     model = spark.sparkContext.broadcast((pieces, langs, prob))
     rows = docs.select("doc_id", "held_out", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_predict(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tk.tidy(_predict(model)), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,4 +307,4 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
                 good = (said.column(3).to_numpy() >= 0.5) & (said.column(2).to_numpy(zero_copy_only=False) != "und")
                 yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(keep, types)
+    return docs.mapInArrow(tk.tidy(keep), types)

@@ -181,10 +181,10 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     while ranges < MAX_RANGES and ranges * RANGE_BYTES < size:
         ranges *= 2
     store = written(docs.mapInArrow(
-        _blocks, f"block long, words long, ids array<{kind}>, sizes binary, vocabulary binary, numbers binary"), "blocks")
+        tk.tidy(_blocks), f"block long, words long, ids array<{kind}>, sizes binary, vocabulary binary, numbers binary"), "blocks")
     words = store.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first().n
     asked = store.select("block", "sizes", "vocabulary", "numbers").mapInArrow(
-        _requests(order, ranges), "block long, range long, hashes binary, counts binary")
+        tk.tidy(_requests(order, ranges)), "block long, range long, hashes binary, counts binary")
     told = asked.groupBy("range").applyInArrow(_count, "block long, range long, totals binary")
     return (store.groupBy("block").cogroup(told.groupBy("block"))
             .applyInArrow(_score(order, words, min_count, alpha),

@@ -18,9 +18,23 @@ from tessera.session import checkpoint_dir, ship_package
 BROADCAST_BYTES = 32 << 20
 
 
+#: bytes of rows handed to a Python worker at once (Spark's own default is 64 MB)
+ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the workers, and keep Arrow batches of long texts small
+    unless the session already asks for smaller ones."""
+    ship_package(spark)
+    key, most = ARROW_BATCH
+    said = str(spark.conf.get(key)).rstrip("b")  # the default reads 67108864b
+    if not said.isdigit() or int(said) > most:
+        spark.conf.set(key, str(most))
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    ship_package(spark)
+    prepare(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
 
 

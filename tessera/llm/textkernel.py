@@ -10,10 +10,14 @@ single text forms a segment of its own and is never cut.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
+
 import numpy as np
 import pyarrow as pa
 
-SEGMENT_BYTES = 1 << 21
+SEGMENT_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _POW: dict[str, np.ndarray] = {}
@@ -190,3 +194,16 @@ def list_array(parts: list[np.ndarray], typ: pa.DataType) -> pa.Array:
     offs = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
     flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, typ))
+
+
+def tidy(run):
+    """A batch function that gives its memory back to the system when its task
+    ends: Python workers stay alive between tasks and stages."""
+    def inner(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(ctypes.util.find_library("c"))
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+    return inner
