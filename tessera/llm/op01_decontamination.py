@@ -11,7 +11,8 @@ placeholders are compared: a re-parameterised question replaces a value by the
 same other value everywhere, so the distinct (benchmark value, document value)
 pairs should form a one-to-one relation. Diagonals with a consistency of
 ``MIN_CONSISTENCY`` count; a document leaks an item if they cover at least
-``MIN_COVERAGE`` of the item's windows.
+``MIN_COVERAGE`` of the item's windows, or ``MIN_WINDOWS`` of them (13 tokens in
+a row, the usual measure of contamination).
 
 Only windows whose hash is set in a bit map of fixed size (2**MAP_BITS bits, from
 all benchmark windows) leave the document scan; the join with the window table
@@ -35,7 +36,7 @@ from . import textkernel as tk
 from .shared import small_enough, written
 
 WINDOW, SHORTEST = 8, 3
-MIN_COVERAGE, MIN_CONSISTENCY = 0.5, 0.9
+MIN_COVERAGE, MIN_WINDOWS, MIN_CONSISTENCY = 0.5, 6, 0.9
 MAP_BITS = 22
 
 # Number words and unit words.
@@ -192,7 +193,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                   F.min("consistency").alias("consistency"), (F.max("other") > 0).alias("reworded"),
                   F.min("first").alias("first_token")))
     return (docs_.alias("l").join(of_item.alias("i"), F.expr("l.item_id <=> i.item_id"))
-            .withColumn("coverage", F.col("hit") / F.col("windows")).where(F.col("coverage") >= MIN_COVERAGE)
+            .withColumn("coverage", F.col("hit") / F.col("windows"))
+            .where((F.col("coverage") >= MIN_COVERAGE) | (F.col("hit") >= MIN_WINDOWS))
             .select("doc_id", "l.item_id", "coverage", "consistency", "windows", "reworded", "first_token"))
 
 

@@ -4,7 +4,7 @@ Evidence of a document: surface measures of its whole text (shares of upper case
 symbols and digits, word length and variety, sentence ends, repeated lines) are
 cut into bins at the percentiles of the labelled rows, and the log-likelihood
 ratio of good to bad per bin is read from counts over all labelled rows. The sum
-over the measures, scaled by ``EVIDENCE`` because they overlap, is the evidence.
+over the measures, times ``EVIDENCE``, is the evidence.
 
 Sites: with responsibilities r (probability of good given evidence and the global
 rate), hosts and, below them, paths get posterior means by shrinkage:
@@ -37,7 +37,8 @@ from .shared import written
 
 MEASURES = ("upper", "symbol", "digit", "word_length", "variety", "stops", "repeats", "length")
 BINS = 20
-EVIDENCE = 0.5
+DAMP = 50  # added to the sizes that counts are divided by: shares of short texts move towards 0
+EVIDENCE = 1.0
 STRENGTH = (1.0, 1e6)
 
 _CLASS = {name: np.array([test(chr(b)) if b < 128 else name == "letter" for b in range(256)])
@@ -69,11 +70,11 @@ def _measure(batches):
                 return run[at[1:]] - run[at[:-1]]
 
             words = tk.Words(seg, at, tk.SPACED)
-            n, size = np.maximum(np.diff(words.bounds), 1), np.maximum(np.diff(at), 1)
-            letters = count("letter")
+            n, size, letters = np.maximum(np.diff(words.bounds), 1), np.diff(at), count("letter")
             out[i:j] = np.column_stack([
-                count("upper") / np.maximum(letters, 1), count("symbol") / size, count("digit") / size, letters / n,
-                1 - _repeated(words), count("stop") / n, _repeated(tk.Words(seg, at, _LINES)), np.log1p(np.diff(words.bounds))])
+                count("upper") / (letters + DAMP), count("symbol") / (size + DAMP), count("digit") / (size + DAMP),
+                letters / n, 1 - _repeated(words), count("stop") / (n + DAMP / 5), _repeated(tk.Words(seg, at, _LINES)),
+                np.log1p(np.diff(words.bounds))])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2),
                                           *(pa.array(c) for c in out.T)], names=["doc_id", "host", "path", *MEASURES])
 

@@ -2,10 +2,11 @@ import pytest
 
 from tessera.llm import op01_decontamination as D
 
+LONG = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
 ITEMS = [
     (0, "Tom has 3 red apples and Anna gives Tom 12 more apples, so how many red apples does Tom have now?"),
     (1, "A train travels 120 km in 2 hours; what is the average speed of that train in km per hour?"),
-    (2, "What is 3 plus 4"), (3, "hi"), (4, None), (5, "1 2 3 4 5 6 7 8 9 10"), (0, "Tom has 3 red apples and Anna gives Tom 12 more apples, so how many red apples does Tom have now?"),
+    (2, "What is 3 plus 4"), (3, "hi"), (4, None), (5, "1 2 3 4 5 6 7 8 9 10"), (0, "Tom has 3 red apples and Anna gives Tom 12 more apples, so how many red apples does Tom have now?"), (6, LONG),
 ]
 FILL = "some other words stand here before and behind the passage in this long enough document"
 DOCS = [
@@ -15,6 +16,7 @@ DOCS = [
     (4, "Later Peter has 7 red apples and Maria gives John 25 more apples, so how many red apples does Paul have now? " + FILL),
     (5, f"{FILL} a train travels 3,500.5 miles in 9 hours; what is the average speed of that train in miles per hour {FILL}"),
     (6, f"{FILL} what is 5 plus 9 {FILL}"), (7, FILL), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"),
+    (12, FILL + " " + LONG[70:190] + " " + FILL), (13, FILL + " " + LONG[70:120] + " " + FILL),
     (None, ITEMS[1][1]), (None, ITEMS[1][1]), (9, None), (10, ""), (11, "train travels in hours what is the speed"),
 ]
 
@@ -27,7 +29,7 @@ def found(spark):
 
 
 def test_copies_and_reworded_questions(found):
-    assert set(found) == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (None, 1)}
+    assert set(found) == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (12, 6), (None, 1)}
     assert not found[1, 0].reworded and found[1, 0].coverage == 1.0
     assert found[3, 0].reworded and found[3, 0].consistency == 1.0
 
@@ -35,7 +37,7 @@ def test_copies_and_reworded_questions(found):
 def test_stage_and_edges(spark, edge, nothing, tmp_path):
     spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
-    assert sorted(r.doc_id for r in D.without_benchmark(spark, docs, str(tmp_path)).collect()) == [4, 7, 8, 9, 10, 11]
+    assert sorted(r.doc_id for r in D.without_benchmark(spark, docs, str(tmp_path)).collect()) == [4, 7, 8, 9, 10, 11, 13]
     items = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
     assert D.leaks(edge, items).count() == 0
     assert D.leaks(nothing, items).count() == 0
