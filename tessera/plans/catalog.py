@@ -25,10 +25,12 @@ from ..operators import lookup as L
 from ..operators import scoring as S
 from . import jobs as JB
 from . import samples as SP
-from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
+from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, SelectOptions, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS, FIRST_MERGE_ID)
-from ..session import cut_lineage
-from ..sources.lines import read_table
+from ..session import cut_lineage, run_folder
+from ..sinks.writers import append_metrics
+from ..sources.lines import read_chunks, read_messages, read_prompts, read_table
+from ..streaming.streams import start_corpus_stream
 
 # --------------------------------------------------------------------------
 # SQL helpers for the oracles (DuckDB dialect)
@@ -599,9 +601,10 @@ FROM tl JOIN o USING (doc_id, chunk_no) GROUP BY o.batch_id
 # decoding over the score table
 # --------------------------------------------------------------------------
 BEAM_WIDTH = 2
-BEAM_STEPS = 3
-GEN_STEPS = 8
-STOP_ID = 4
+BEAM_STEPS = 8
+GEN_STEPS = 16
+STOP_ID = 18  # the full stop: it occurs in the score table
+CHAT_STOP_ID = 4
 
 
 def _prompts(spark, sf):
@@ -631,14 +634,24 @@ def q_beam_search(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("score", 9).alias("score"))
 
 
+def q_select_beam(spark: SparkSession, sf: str) -> DataFrame:
+    """``select`` with several beams: temperature, top-k with ties and log-softmax."""
+    opts = SelectOptions(max_new_tokens=BEAM_STEPS, num_beams=BEAM_WIDTH, stop_id=STOP_ID,
+                         temperature=SAMPLE_TEMPERATURE, top_k=SAMPLE_TOP_K)
+    g = JB.select(_prompts(spark, sf), _scores9(spark, sf), opts)
+    return g.select("prompt_id", "sample_no", _join_ids("new_ids").alias("new_ids_text"))
+
+
 def q_greedy_generate(spark: SparkSession, sf: str) -> DataFrame:
-    g = BM.generate(_prompts(spark, sf), _scores9(spark, sf), GEN_STEPS, stop_id=STOP_ID, greedy=True)
+    opts = SelectOptions(max_new_tokens=GEN_STEPS, stop_id=STOP_ID)
+    g = JB.select(_prompts(spark, sf), _scores9(spark, sf), opts)
     return g.select("prompt_id", "sample_no", _join_ids("new_ids").alias("new_ids_text"))
 
 
 def q_sample_generate(spark: SparkSession, sf: str) -> DataFrame:
-    g = BM.generate(_prompts(spark, sf), _scores9(spark, sf), GEN_STEPS, stop_id=STOP_ID,
-                    temperature=SAMPLE_TEMPERATURE, top_k=SAMPLE_TOP_K, num_samples=NUM_SAMPLES, seed=SEED)
+    opts = SelectOptions(max_new_tokens=GEN_STEPS, stop_id=STOP_ID, do_sample=True, temperature=SAMPLE_TEMPERATURE,
+                         top_k=SAMPLE_TOP_K, num_samples=NUM_SAMPLES, seed=SEED)
+    g = JB.select(_prompts(spark, sf), _scores9(spark, sf), opts)
     return g.select("prompt_id", "sample_no", _join_ids("new_ids").alias("new_ids_text"))
 
 
@@ -648,34 +661,45 @@ pl AS (SELECT prompt_id, CAST(arg_max(id, pos) AS INTEGER) AS last_id FROM pe GR
 sc9 AS (SELECT prev_id, next_id, round(score, 9) AS score FROM sc)"""
 
 
-def _sql_beam_search() -> str:
+def _sql_beam_search(cands: str, out: str) -> str:
     parts = [_SQL_DECODE_BASE + f""",
-cands AS (
-  SELECT prev_id, next_id, score AS log_prob,
-         row_number() OVER (PARTITION BY prev_id ORDER BY score DESC, next_id) - 1 AS cand_rank
-  FROM sc9 QUALIFY cand_rank < {BEAM_WIDTH}
+lp AS ({cands}),
+cands AS MATERIALIZED (
+  SELECT prev_id, next_id, log_prob,
+         row_number() OVER (PARTITION BY prev_id ORDER BY log_prob DESC, next_id) - 1 AS cand_rank
+  FROM lp QUALIFY cand_rank < {BEAM_WIDTH}
 ),
-b0 AS (SELECT prompt_id, 0 AS beam_rank, CAST([] AS INTEGER[]) AS toks, last_id, CAST(0.0 AS DOUBLE) AS score FROM pl)"""]
+b0 AS MATERIALIZED (
+  SELECT prompt_id, 0 AS beam_rank, CAST([] AS INTEGER[]) AS toks, last_id, CAST(0.0 AS DOUBLE) AS score, false AS done FROM pl)"""]
     for s in range(1, BEAM_STEPS + 1):
         parts.append(f""",
-b{s} AS (
-  SELECT prompt_id, row_number() OVER (PARTITION BY prompt_id ORDER BY sc DESC, beam_rank, cand_rank) - 1 AS beam_rank,
-         list_append(toks, next_id) AS toks, next_id AS last_id, sc AS score
-  FROM (SELECT b.prompt_id, b.beam_rank, b.toks, c.next_id, c.cand_rank, b.score + c.log_prob AS sc
-        FROM b{s - 1} b JOIN cands c ON c.prev_id = b.last_id)
-  QUALIFY beam_rank < {BEAM_WIDTH}
+b{s} AS MATERIALIZED (
+  SELECT *, max(CASE WHEN beam_rank = 0 THEN last_id END) OVER (PARTITION BY prompt_id) = {STOP_ID} AS done FROM (
+    SELECT prompt_id, row_number() OVER (PARTITION BY prompt_id ORDER BY sc DESC, old_rank, cand_rank) - 1 AS beam_rank,
+           list_append(toks, next_id) AS toks, next_id AS last_id, sc AS score
+    FROM (SELECT b.prompt_id, b.beam_rank AS old_rank, b.toks, c.next_id, c.cand_rank, b.score + c.log_prob AS sc
+          FROM b{s - 1} b JOIN cands c ON c.prev_id = b.last_id WHERE NOT b.done)
+    QUALIFY beam_rank < {BEAM_WIDTH})
 )""")
     best = " UNION ALL ".join(f"SELECT {s} AS st, prompt_id, toks, score FROM b{s} WHERE beam_rank = 0"
                               for s in range(0, BEAM_STEPS + 1))
     parts.append(f""",
 bb AS ({best})
-SELECT prompt_id, array_to_string(arg_max(toks, st), ' ') AS new_ids_text, round(arg_max(score, st), 9) AS score
-FROM bb GROUP BY prompt_id
+SELECT prompt_id, {out} FROM bb GROUP BY prompt_id
 """)
     return "".join(parts)
 
 
-SQL_BEAM_SEARCH = _sql_beam_search()
+SQL_BEAM_SEARCH = _sql_beam_search(
+    "SELECT prev_id, next_id, score AS log_prob FROM sc9",
+    "array_to_string(arg_max(toks, st), ' ') AS new_ids_text, round(arg_max(score, st), 9) AS score")
+
+SQL_SELECT_BEAM = _sql_beam_search(
+    f"""SELECT prev_id, next_id, s - m - ln(sum(exp(s - m)) OVER (PARTITION BY prev_id)) AS log_prob FROM (
+      SELECT *, max(s) OVER (PARTITION BY prev_id) AS m FROM (
+        SELECT prev_id, next_id, score / {SAMPLE_TEMPERATURE} AS s,
+               rank() OVER (PARTITION BY prev_id ORDER BY score DESC) AS r FROM sc9) WHERE r <= {SAMPLE_TOP_K})""",
+    "CAST(0 AS INTEGER) AS sample_no, array_to_string(arg_max(toks, st), ' ') AS new_ids_text")
 
 SQL_BEAM_STEP = _SQL_DECODE_BASE + f""",
 cands AS (
@@ -713,7 +737,7 @@ s0 AS (SELECT prompt_id, CAST(d.n AS INTEGER) AS sample_no, last_id, CAST([] AS
                 GROUP BY s.prompt_id, s.sample_no) d USING (prompt_id, sample_no))"""
         go = f"(alive AND pick IS NOT NULL AND pick <> {STOP_ID})"
         parts.append(f""",
-s{k} AS (
+s{k} AS MATERIALIZED (
   SELECT prompt_id, sample_no, CASE WHEN {go} THEN pick ELSE last_id END AS last_id,
          CASE WHEN {go} THEN list_append(toks, pick) ELSE toks END AS toks, {go} AS alive
   FROM {pick} x
@@ -1053,6 +1077,87 @@ FROM mk GROUP BY conv_id, n_real""",
   string_agg(CAST(mark AS VARCHAR), ' ' ORDER BY mk.pos) FILTER (WHERE mk.pos >= 1) AS mask_text
 FROM mk JOIN p ON p.conv_id = mk.conv_id AND p.pos = mk.pos GROUP BY mk.conv_id""")
 
+# --------------------------------------------------------------------------
+# files: sources, sinks and streams over line files derived from the tables
+# --------------------------------------------------------------------------
+def _as_files(lines: DataFrame, name: str) -> str:
+    """The ``value`` column as line files in a fresh shared folder."""
+    path = run_folder(lines.sparkSession, name)
+    lines.select("value").write.text(path)
+    return path
+
+
+def q_corpus_files(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 from line files to chunk files and back; the job's own counters must
+    agree with the rows read back."""
+    src = _as_files(_corpus_lines(spark, sf), "corpus-lines")
+    out = run_folder(spark, "chunks")
+    counters = JB.prepare_corpus_files(spark, src, out)["counters"]
+    back = read_chunks(spark, out)
+    return back.select("text", F.lit(counters["chunks"]).cast("long").alias("n_chunks"))
+
+
+SQL_CORPUS_FILES = _SQL_LINE_CHUNKS + """
+SELECT text, count(*) OVER () AS n_chunks FROM cks
+"""
+
+
+def q_corpus_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files as a stream (all available files, then the end)."""
+    src = _as_files(_corpus_lines(spark, sf), "corpus-lines")
+    out = run_folder(spark, "chunks")
+    start_corpus_stream(spark, src, out, run_folder(spark, "stream-log")).awaitTermination()
+    return read_chunks(spark, out).select("text")
+
+
+SQL_CORPUS_STREAM = _SQL_LINE_CHUNKS + """
+SELECT text FROM cks
+"""
+
+
+def q_chat_files(spark: SparkSession, sf: str) -> DataFrame:
+    """D2 from line files to message files and back, rendered."""
+    src = _as_files(_chat_lines(spark, sf), "chat-lines")
+    out = run_folder(spark, "messages")
+    JB.prepare_chat_files(spark, src, out)
+    return C.render_messages(read_messages(spark, out), "messages", out="text").select("text")
+
+
+SQL_CHAT_FILES = f"SELECT text FROM ({SQL_RENDER_CHAT})"
+
+
+def q_prompt_files(spark: SparkSession, sf: str) -> DataFrame:
+    """User turns as prompt lines, read back."""
+    one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
+    src = _as_files(_turns(spark, sf).filter(F.col("role") == "user").select(one_line.alias("value")), "prompts")
+    return read_prompts(spark, src).select("prompt")
+
+
+SQL_PROMPT_FILES = """
+SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') AS prompt
+FROM conversations WHERE role = 'user'
+"""
+
+
+def q_metrics_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Loss of every step joined to the run plan, through the metrics sink."""
+    plan = B.run_plan(spark, _chunks(spark, sf), RunOptions())
+    loss = S.batch_losses(_batched(spark, sf, _sample_losses(spark, sf)))
+    m = plan.join(loss, plan["global_step"] == loss["batch_id"]).select(
+        "epoch", "step", "steps_per_epoch", F.round("loss", 6).alias("loss"), F.round("lr", 12).alias("lr"),
+        F.col("n_tokens").cast("long").alias("n_tokens"), "is_log")
+    path = run_folder(spark, "metrics")
+    append_metrics(m.filter("is_log"), path)
+    append_metrics(m.filter("not is_log"), path)
+    return spark.read.schema(m.schema).parquet(path)
+
+
+SQL_METRICS_TABLE = f"""
+SELECT p.epoch, p.step, p.steps_per_epoch, l.loss, p.lr, l.n_tokens, p.is_log
+FROM ({SQL_RUN_PLAN}) p JOIN ({SQL_MASKED_LOSS}) l ON l.batch_id = p.global_step
+"""
+
+
 # --------------------------------------------------------------------------
 # context cut, prompt and stop cuts, truncation report
 # --------------------------------------------------------------------------
@@ -1083,20 +1188,20 @@ def q_stop_cut(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every chat behind its first system message (the prompt), up to the
     next stop id, with and without it."""
     d = TK.encode(_chat_text(spark, sf), "text", "ids")
-    prompt = F.array_position("ids", F.lit(STOP_ID)).cast("int")
+    prompt = F.array_position("ids", F.lit(CHAT_STOP_ID)).cast("int")
     d = d.select("conv_id", A.drop_prompt("ids", prompt).alias("rest"))
-    return d.select("conv_id", _join_ids_of(A.cut_at("rest", STOP_ID, True)).alias("with_stop"),
-                    _join_ids_of(A.cut_at("rest", STOP_ID, False)).alias("without_stop"))
+    return d.select("conv_id", _join_ids_of(A.cut_at("rest", CHAT_STOP_ID, True)).alias("with_stop"),
+                    _join_ids_of(A.cut_at("rest", CHAT_STOP_ID, False)).alias("without_stop"))
 
 
 SQL_STOP_CUT = f"""
 WITH m AS ({SQL_TO_MESSAGES}),
 ct AS (SELECT conv_id, string_agg({_dpiece('role', 'content')}, '' ORDER BY seq) AS text FROM m GROUP BY conv_id),
 {_d_encode("SELECT conv_id, text FROM ct", "conv_id", "text", "e")},
-s AS (SELECT *, coalesce(sum(CASE WHEN id = {STOP_ID} THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos
+s AS (SELECT *, coalesce(sum(CASE WHEN id = {CHAT_STOP_ID} THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e)
 SELECT conv_id, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE before = 1), '') AS with_stop,
-       coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE before = 1 AND id <> {STOP_ID}), '') AS without_stop
+       coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE before = 1 AND id <> {CHAT_STOP_ID}), '') AS without_stop
 FROM s GROUP BY conv_id
 """
 
@@ -1116,6 +1221,11 @@ SELECT count(*) FILTER (WHERE n > {MAX_LENGTH}) AS n_truncated, count(*) AS n_ro
 """
 
 QUERIES = {
+    "corpus_files": q_corpus_files,
+    "corpus_stream": q_corpus_stream,
+    "chat_files": q_chat_files,
+    "prompt_files": q_prompt_files,
+    "metrics_table": q_metrics_table,
     "context_cut": q_context_cut,
     "stop_cut": q_stop_cut,
     "truncation_report": q_truncation_report,
@@ -1143,6 +1253,7 @@ QUERIES = {
     "masked_loss": q_masked_loss,
     "beam_step": q_beam_step,
     "beam_search": q_beam_search,
+    "select_beam": q_select_beam,
     "greedy_generate": q_greedy_generate,
     "sample_generate": q_sample_generate,
     "vector_lookup": q_vector_lookup,
@@ -1161,6 +1272,11 @@ QUERIES = {
 }
 
 ORACLE = {
+    "corpus_files": SQL_CORPUS_FILES,
+    "corpus_stream": SQL_CORPUS_STREAM,
+    "chat_files": SQL_CHAT_FILES,
+    "prompt_files": SQL_PROMPT_FILES,
+    "metrics_table": SQL_METRICS_TABLE,
     "context_cut": SQL_CONTEXT_CUT,
     "stop_cut": SQL_STOP_CUT,
     "truncation_report": SQL_TRUNCATION_REPORT,
@@ -1188,6 +1304,7 @@ ORACLE = {
     "masked_loss": SQL_MASKED_LOSS,
     "beam_step": SQL_BEAM_STEP,
     "beam_search": SQL_BEAM_SEARCH,
+    "select_beam": SQL_SELECT_BEAM,
     "greedy_generate": SQL_GREEDY_GENERATE,
     "sample_generate": SQL_SAMPLE_GENERATE,
     "vector_lookup": SQL_VECTOR_LOOKUP,

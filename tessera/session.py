@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +87,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "reliable folder to cut lineage")
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the checkpoint folder, which all executors share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (eager) into the session's checkpoint folder."""
     checkpoint_dir(df.sparkSession)
