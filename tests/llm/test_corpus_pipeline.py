@@ -11,7 +11,7 @@ import corpus_pipeline
 from tessera.llm import op03_mixing, registry
 from tessera.llm.shared import written
 
-from test_jaccard import brute
+from test_op07_jaccard import brute
 
 SF = "/root/testdata/sf0.001"
 
