@@ -49,7 +49,7 @@ MAGIC = b"TOKIDS01"
 END_ID = 2
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 16384, 64 << 10
 SHARD_ROWS = 8192
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 1_500_000
 TOGETHER = 2048
 _ANY = [tk.byte_table(lambda b: False, lower=False, seed=s) for s in (101, 202)]
 _KIND = np.zeros(256, np.uint8)  # 1 visible, 2 letter, 3 punctuation other than the apostrophe
@@ -79,13 +79,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
+        self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
 
     def clear(self):
         self.known = np.zeros((2, 0), np.uint64)
-        self.at = np.zeros((2, 0), np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.at = np.zeros((2, 0), np.int32)
+        self.pool = np.zeros(0, self.type)
 
     @staticmethod
     def chunks(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -153,7 +154,7 @@ class Encoder:
             h[0] = tk.mix64(h[0] ^ (h[1] * tk.GRAM[3]))
             u, first, back = np.unique(h[0], return_index=True, return_inverse=True)
             self.clear()
-        if self.known.shape[1] > CACHE_CHUNKS:
+        if self.known.shape[1] > CACHE_CHUNKS or len(self.pool) > 1 << 25:
             self.clear()
         pos = np.searchsorted(self.known[0], u)
         have = np.zeros(len(u), bool)
@@ -166,11 +167,11 @@ class Encoder:
         if new.any():
             got, size = self._new(data.tobytes(), start[first[new]], end[first[new]])
             lo = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, got])
+            self.pool = np.concatenate([self.pool, got.astype(self.type)])
             self.known = np.insert(self.known, pos[new], np.array([u[new], h[1][first[new]]]), axis=1)
-            self.at = np.insert(self.at, pos[new], np.array([lo, size]), axis=1)
+            self.at = np.insert(self.at, pos[new], np.array([lo, size], np.int32), axis=1)
             pos = np.searchsorted(self.known[0], u)
-        lo, size = self.at[0][pos][back], self.at[1][pos][back]
+        lo, size = self.at[:, pos][:, back].astype(np.int64)
         ends = np.cumsum(size)
         ids = self.pool[np.repeat(lo - (ends - size), size) + np.arange(int(ends[-1]))]
         bounds = np.concatenate([[0], ends])[np.searchsorted(start, offs)]
@@ -179,16 +180,28 @@ class Encoder:
     def documents(self, arr: pa.Array, end_id: int):
         """Yield the ids of each document, end id included."""
         data, offs = tk.text_buffers(arr)
-        tail = np.array([end_id], np.uint32)
+        tail = np.array([end_id], np.uint32)  # the ids become 32-bit with it
         for i, j in tk.segments(offs):
             ids, b = self.segment(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             for d in range(j - i):
                 yield np.concatenate([ids[b[d]:b[d + 1]], tail])
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(spec: str) -> Encoder:
+    """The worker's encoder of a tokenizer file: its cache outlives the task."""
+    key = hashlib.blake2b(spec.encode()).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(spec)
+    return _ENCODERS[key]
+
+
 def _sample(job):
     def run(batches):
-        encoder = Encoder(job.value["spec"])
+        encoder = encoder_of(job.value["spec"])
         for batch in batches:
             rows = [x.astype(job.value["type"]).tobytes() for x in encoder.documents(batch.column(0), job.value["end"])]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
@@ -218,11 +231,10 @@ def _write(job):
         part, final = (f"{folder}/{x}" for x in (f"{uuid.uuid4().hex}.part", f"shard-{shard:07d}.tokids"))
         shape = zstandard.ZstdCompressionDict(v["dictionary"]) if v["dictionary"] else None
         pack = zstandard.ZstdCompressor(level=3, dict_data=shape)
-        encoder, index, at = None, [], 32
+        encoder, index, at = encoder_of(v["spec"]), [], 32
         out = store.open_output_stream(part)
         out.write(MAGIC + struct.pack("<II", v["type"].itemsize, 0) + _hash(v["dictionary"]))
         for batch in batches:
-            encoder = encoder or Encoder(v["spec"])
             ids = batch.column(0).to_pylist()
             for doc_id, x in zip(ids, encoder.documents(batch.column(1), v["end"])):
                 frame = pack.compress(x.astype(v["type"]).tobytes())
