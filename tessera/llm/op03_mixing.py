@@ -131,7 +131,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = written(_sized(docs), "sizes")
     per = written(targets(rows), "targets")
     sums = _prefix_sums(rows, per)
-    at = (sums.where("before < budget and before + size >= budget")
+    keys = sums.groupBy("source", "key").agg(F.min("before").alias("before"), F.sum("size").alias("words"),
+                                             F.first("budget").alias("budget"))  # repeated rows share a key
+    at = (keys.where("before < budget and before + words >= budget")
           .groupBy("source").agg(F.min(F.struct("key", "before")).alias("at")))
     cuts = written(per.alias("s").join(at.alias("c"), F.expr("s.source <=> c.source"), "left").select(
         F.col("s.source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("budget").alias("__budget"),

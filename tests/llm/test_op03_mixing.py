@@ -64,3 +64,16 @@ def test_stage_writes_what_the_mix_takes(spark, edge):
     for r in M._prefix_sums(M._sized(edge), M.targets(M._sized(edge))).collect():
         want[r.source] += r.epochs * r.size + max(0, min(r.size, r.budget - r.before))
     assert {k: v for k, v in words.items() if v} == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_rows_at_the_cut(spark):
+    rows = [(1, "a b c d e f g", "en", "s", 13)] * 9 + [(2, "x y z", "en", "t", 5)] * 40 + [(3, "p q", "en", "u", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    want, got = defaultdict(int), defaultdict(int)
+    for r in M.mix(docs).collect():
+        want[r.doc_id] += r.taken
+    for r in M.mixed(spark, docs, "").collect():
+        got[r.doc_id] += count(r.text)
+        assert r.n_chars == len(r.text)
+    assert got == want and any(n % 7 for n in got.values())
