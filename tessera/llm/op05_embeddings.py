@@ -132,3 +132,19 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_aggregate(list_transform(embedding, lambda c: coalesce(CAST(isfinite(c) AS INTEGER), 0)), 'min') = 1
+    AND list_aggregate(list_transform(embedding, lambda c: abs(c)), 'max') > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+r AS (SELECT vec_id, vec_id AS x FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.x),
+m AS (SELECT vec_id, min(x) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.vec_id, coalesce(n.n, 0) AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN n ON n.a = m.vec_id
+"""

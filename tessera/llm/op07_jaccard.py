@@ -304,6 +304,23 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+SQL = fr"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {WORDS - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WORDS - 2}, 2))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (
+  SELECT a, b FROM o JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE {DEN} * o >= {NUM} * (na.n + nb.n - o)),
+r AS (SELECT doc_id, doc_id AS x FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.x)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(x) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the row(s) with the smallest id stay, one
     row where an id repeats; rows with a null id stay."""

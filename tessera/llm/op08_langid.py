@@ -246,8 +246,7 @@ def _predict(model):
                     known, cached = u, score
                 else:
                     known, cached = np.insert(known, pos[new], u[new]), np.insert(cached, pos[new], score[new], axis=0)
-                run_ = np.concatenate([np.zeros((1, len(langs))), np.cumsum(score[back], axis=0)])
-                total[first:first + n] = run_[words.bounds[1:]] - run_[words.bounds[:-1]]
+                total[first:first + n] = tk.sums(score[back], words.bounds)
             for i in np.flatnonzero(~letters):
                 letters[i] = any(c.isalpha() for c in (text[int(i)].as_py() or ""))
             if langs:

@@ -160,9 +160,7 @@ def _score(order: int, words: int, min_count: int, alpha: float):
             parts = told.sort_by("range")["totals"].to_pylist()
             c = np.concatenate([unpack(x, np.uint64) for x in parts]).astype(float)
             score = log_scores(block, lambda h: c[np.searchsorted(u, h)], order, words, min_count, alpha)
-            run_ = np.concatenate([[0.0], np.cumsum(score)])
-            ends = np.cumsum(n)
-            total = run_[ends] - run_[ends - n]
+            total = tk.sums(score, np.concatenate([[0], np.cumsum(n)]))
         else:
             total = np.zeros(len(n))
         mean = total / np.maximum(n, 1)
@@ -192,4 +190,24 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    scores = backoff_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scores.select("doc_id", "n_words", F.round("log_prob", 6).alias("log_prob"), F.round("score", 6).alias("score"))
+
+
+SQL = fr"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM t),
+p AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM w),
+c AS (SELECT w, count(*) AS n FROM w GROUP BY w),
+c2 AS (SELECT v, w, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY v, w),
+s AS (
+  SELECT p.doc_id, CASE WHEN p.v IS NULL THEN log10(c.n / t.n) WHEN c2.n >= {MIN_COUNT} THEN log10(c2.n / cv.n)
+                        ELSE log10(c.n / t.n) + log10({ALPHA}) END AS s
+  FROM p JOIN c ON c.w = p.w LEFT JOIN c cv ON cv.w = p.v LEFT JOIN c2 ON c2.v = p.v AND c2.w = p.w,
+       (SELECT CAST(count(*) AS DOUBLE) AS n FROM w) t)
+SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words, round(coalesce(sum(s.s), 0.0), 6) AS log_prob,
+       round(sum(s.s) / len(t.ws), 6) AS score
+FROM t LEFT JOIN s ON s.doc_id = t.doc_id GROUP BY t.doc_id, t.ws
+"""

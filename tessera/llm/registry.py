@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op03_mixing
+from . import op03_mixing, op05_embeddings, op07_jaccard, op10_lm as lm
 from .op01_decontamination import op1_decontamination
 from .op02_license import op2_license
 from .op03_mixing import op3_mixing
@@ -18,4 +18,5 @@ from .op10_lm import op10_lm
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_license, op3_mixing, op4_quality, op5_embeddings, op6_pii, op7_jaccard, op8_langid,
     op9_token_ids, op10_lm)}
-ORACLE: dict[str, str] = {"op3_mixing": op03_mixing.SQL}
+ORACLE: dict[str, str] = {"op3_mixing": op03_mixing.SQL, "op5_embeddings": op05_embeddings.SQL,
+                          "op7_jaccard": op07_jaccard.SQL, "op10_lm": lm.SQL}

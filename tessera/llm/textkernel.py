@@ -188,6 +188,16 @@ def scan(arr: pa.Array, table: np.ndarray, fold: bool = False):
         yield i, Words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], table, fold)
 
 
+def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of the rows [bounds[i], bounds[i + 1]) for each i, each added up by itself
+    (differences of one running sum would lose digits)."""
+    out = np.zeros((len(bounds) - 1, *values.shape[1:]))
+    some = np.flatnonzero(np.diff(bounds))
+    if len(some):
+        out[some] = np.add.reduceat(values, bounds[some], axis=0)
+    return out
+
+
 def list_array(parts: list[np.ndarray], typ: pa.DataType) -> pa.Array:
     """A list column from one numpy array per row."""
     lens = np.fromiter((len(p) for p in parts), np.int64, len(parts))
