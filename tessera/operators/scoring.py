@@ -180,10 +180,19 @@ def pair_targets(df: DataFrame, keys: list[str], x: str = "x", y: str = "y",
               .agg(F.sum("t_.mask").alias("mask")))
 
 
-def sample_losses(df: DataFrame, scores: DataFrame, keys: list[str], unscored: float | None = None) -> DataFrame:
+def sample_losses(df: DataFrame, scores: DataFrame, keys: list[str], unscored: float | None = None,
+                  merge_pairs: bool = False) -> DataFrame:
     """``keys + (loss_sum, n_tokens, n_unscored)`` per key; ``loss_sum`` counts
-    scored targets, and unscored ones at ``unscored`` each when given."""
-    ce = cross_entropy(pair_targets(df, keys), scores)
+    scored targets, and unscored ones at ``unscored`` each when given.
+
+    ``merge_pairs`` adds up equal (context, target) pairs of a key before the join:
+    worth it when a key covers many samples (a batch), not for single samples,
+    whose pairs hardly repeat."""
+    if merge_pairs:
+        targets = pair_targets(df, keys)
+    else:
+        targets = targets_from_samples(df, keys).filter("mask <> 0")
+    ce = cross_entropy(targets, scores)
     lost = F.col("loss").isNull()
     cost = F.when(lost, F.lit(float(unscored or 0))).otherwise(F.col("loss"))
     return ce.groupBy(*keys).agg(

@@ -131,7 +131,7 @@ def evaluate(batched: DataFrame, scores: DataFrame, batch: str = "batch_id") ->
     """D8: per-token cross-entropy under ``scores``, masked mean per batch
     (token-weighted; null for a batch without counted tokens, or with a target
     that has no score: see ``n_unscored``)."""
-    return S.batch_losses(S.sample_losses(batched, scores, [batch]), batch)
+    return S.batch_losses(S.sample_losses(batched, scores, [batch], merge_pairs=True), batch)
 
 
 __all__ = ["JobResult", "prepare_corpus", "prepare_chats", "prepare_corpus_files",
