@@ -130,10 +130,14 @@ def certain_merges(best: list[tuple[str, int]], complete: bool) -> list[tuple[st
     symbol of a pair taken before, and if no other pair with count n or more has
     one: a merge leaves the counts of pairs without its symbols alone, and a pair
     made by it is at most as frequent as the old pair that it grows from, which
-    holds one of its symbols. ``complete`` says that ``best`` is all there is;
+    holds one of its symbols. A pair of two equal symbols is the last of its round:
+    in a run the new pairs grow from the merged pair itself, so they may be more
+    frequent than all that follow. ``complete`` says that ``best`` is all there is;
     otherwise pairs as frequent as the last one listed are not certain."""
     taken, used = best[:1], set(best[0][0]) if best else set()
     for k in range(1, len(best)):
+        if len(set(taken[-1][0])) == 1:
+            break
         pair, n = best[k]
         tied = [p for p, m in best[k:] if m == n]
         if n == best[-1][1] and not complete or any(used & set(p) for p in tied):

@@ -132,3 +132,17 @@ def test_all_merges_are_used_and_oversized_tables_refused(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_VOCABULARY", 1)
     with pytest.raises(ValueError):
         TK.encode(df, "text", "ids", merges=m)
+
+
+def test_runs_of_equal_symbols_match_python(spark):
+    """The pair (X,X) of a merged run grows from the merged pair itself and can beat the next pairs."""
+    assert [p for p, _ in bpe.certain_merges([("cd", 9), ("aa", 8), ("ef", 7)], True)] == ["cd", "aa"]
+    texts = [" " * 8] * 100 + ["cd"] * 250 + ["ef"] * 90
+    for t, n in (("=" * 40, 60), ("-" * 33, 45), ("." * 7, 300), (" " * 17 + "x", 80), ("=-" * 9, 70), ("gh", 333)):
+        texts += [t] * n
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    first = bpe.train_bpe(docs.limit(440), "text", n_merges=4).orderBy("rank").collect()
+    assert [(r.a, r.b, r.n) for r in first] == _python_merges(texts[:440], 4)[0]
+    want, _ = _python_merges(texts, 24)
+    got = [(r.a, r.b, r.n) for r in bpe.train_bpe(docs, "text", n_merges=24).orderBy("rank").collect()]
+    assert got == want
