@@ -10,9 +10,10 @@ replaced. Per document, item and offset diagonal, the values behind equal
 placeholders are compared: a re-parameterised question replaces a value by the
 same other value everywhere, so the distinct (benchmark value, document value)
 pairs should form a one-to-one relation. Diagonals with a consistency of
-``MIN_CONSISTENCY`` count; a document leaks an item if they cover at least
-``MIN_COVERAGE`` of the item's windows, or ``MIN_WINDOWS`` of them (13 tokens in
-a row, the usual measure of contamination).
+``MIN_CONSISTENCY`` count; of other diagonals the windows count whose values are
+all equal. A document leaks an item if they cover at least ``MIN_COVERAGE`` of the
+item's windows, or ``MIN_WINDOWS`` of them (13 tokens in a row, the usual measure
+of contamination).
 
 Only windows whose hash is set in a bit map of fixed size (2**MAP_BITS bits, from
 all benchmark windows) leave the document scan; the join with the window table
@@ -180,14 +181,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     hits = found.join(small_enough(index, 256), ["h", "k"])
     pairs = F.transform(F.arrays_zip("item_slots", "slots"),
                         lambda p: F.struct(p["item_slots"].alias("b"), p["slots"].alias("d")))
+    same = F.col("item_slots") == F.col("slots")
     lines = (hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
              .agg(F.collect_set("item_pos").alias("at"), F.min("pos").alias("first"),
+                  F.collect_set(F.when(same, F.col("item_pos"))).alias("same_at"),
+                  F.min(F.when(same, F.col("pos"))).alias("same_first"),
                   F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs")))
     ones = F.least(F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))),
                    F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))))
     other = F.size(F.filter("pairs", lambda p: p["b"] != p["d"]))
-    lines = (lines.withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).otherwise(ones / F.size("pairs")))
-             .withColumn("other", other).where(F.col("consistency") >= MIN_CONSISTENCY))
+    consistency = F.when(F.size("pairs") == 0, 1.0).otherwise(ones / F.size("pairs"))
+    whole = consistency >= MIN_CONSISTENCY  # else only windows with equal values count
+    lines = (lines.select("doc_id", "item_id", F.when(whole, consistency).otherwise(1.0).alias("consistency"),
+                          F.when(whole, other).otherwise(0).alias("other"),
+                          F.when(whole, F.col("at")).otherwise(F.col("same_at")).alias("at"),
+                          F.when(whole, F.col("first")).otherwise(F.col("same_first")).alias("first"))
+             .where(F.size("at") > 0))
     docs_ = (lines.groupBy("doc_id", "item_id")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("hit"),
                   F.min("consistency").alias("consistency"), (F.max("other") > 0).alias("reworded"),

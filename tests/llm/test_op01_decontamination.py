@@ -53,3 +53,17 @@ def test_against_substring_search(spark):
     bench = [(r.item_id, flat(r.text)) for r in items.collect()]
     want = {(r.doc_id, i) for r in docs.collect() for i, t in bench if t in flat(r.text)}
     assert want and {(r.doc_id, r.item_id) for r in D.leaks(docs, items).collect()} == want
+
+
+def test_equal_windows_count_beside_an_inconsistent_value(spark):
+    text = ("The farmer keeps 12 brown cows behind the old wooden barn near the river and every single morning his "
+            "younger brother walks along the muddy path to bring 12 fresh buckets of water for all of them")
+    pears = "Each basket holds 3 apples and 5 pears that were picked this very morning in the garden behind the house"
+    docs = [(1, text), (2, text.replace("bring 12", "bring 15")), (3, text.replace("12", "15")),
+            (4, pears.replace("3", "7").replace("5", "7")), (5, "keeps 12 brown cows behind the old wooden barn")]
+    found = {(r.doc_id, r.item_id): r for r in D.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(0, text), (1, pears)], "item_id long, text string")).collect()}
+    assert set(found) == {(1, 0), (2, 0), (3, 0), (4, 1)}
+    assert found[2, 0].coverage < 1 and found[2, 0].consistency == 1.0 and not found[2, 0].reworded
+    assert found[3, 0].reworded and found[3, 0].coverage == 1.0
