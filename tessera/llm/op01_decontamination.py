@@ -17,8 +17,10 @@ of contamination).
 
 Only windows whose hash is set in a bit map of fixed size (2**MAP_BITS bits, from
 all benchmark windows) leave the document scan; the join with the window table
-then decides. Windows with more placeholders than literal tokens are not
-indexed. Items shorter than a window form one window of their own length, with
+then decides. Windows with more placeholders than literal tokens have no template;
+they are joined by their literal tokens, values included, so that copies of sums,
+sequences and tables are found (coverage is that of all windows or of the templates
+alone, whichever is higher). Items shorter than a window form one window of their own length, with
 three tokens at least; shorter items cannot be matched.
 
 Result: one row per leaking (document, item). Rows: null or empty texts have no
@@ -50,7 +52,7 @@ minutes h hour hours day days week weeks month months year years percent degree
 volt volts watt watts kw joule joules newton newtons pascal hz khz mhz ghz byte bytes kb mb gb tb dollar dollars
 usd euro euros eur cent cents pence""".split()
 
-_NUMBER, _UNIT, _NAME = (tk.GRAM[i] for i in (50, 51, 52))
+_NUMBER, _UNIT, _NAME, _LITERAL = (tk.GRAM[i] for i in (50, 51, 52, 53))
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -105,7 +107,8 @@ class Template:
         self.bounds = np.concatenate([[0], np.cumsum(keep)])[words.bounds]
 
     def windows(self, k: int):
-        """(document, position, hash, named) of all indexable windows of k tokens."""
+        """(document, position, hash, typed, place, slots) of all windows of k tokens;
+        windows full of placeholders by their values (typed is false, no slots)."""
         n = len(self.plain) - k + 1
         if n <= 0:
             return
@@ -120,7 +123,13 @@ class Template:
                 held = np.concatenate([[0], np.cumsum(self.name)])
                 ok &= held[k:] > held[:-k]
             at = np.flatnonzero(ok)
-            yield doc[at], at - self.bounds[doc[at]], tk.grams(code, k)[at], named, at, slot
+            yield doc[at], at - self.bounds[doc[at]], tk.grams(code, k)[at], True, at, slot
+        # a leading unit is one only behind a number: with or without it the window is too full
+        filled = np.concatenate([[0], np.cumsum(self.slot)])
+        at = np.flatnonzero(inside & (2 * (filled[k:] - filled[:-k] + 1) > k))
+        if len(at):
+            h = tk.grams(self.value, k)[at] ^ _LITERAL
+            yield doc[at], at - self.bounds[doc[at]], h, False, at, np.zeros(len(self.slot), bool)
 
 
 def _rows(batches, lengths, keep, shortest_only):
@@ -130,7 +139,7 @@ def _rows(batches, lengths, keep, shortest_only):
             t = Template(words)
             size = np.diff(t.bounds)
             for k in lengths:
-                for doc, pos, h, named, at, slot in t.windows(k):
+                for doc, pos, h, typed, at, slot in t.windows(k):
                     ok = keep(h)
                     if shortest_only:  # benchmark items: their own length if short
                         ok &= (size[doc] == k) if k < WINDOW else (size[doc] >= k)
@@ -139,7 +148,8 @@ def _rows(batches, lengths, keep, shortest_only):
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(doc[pick] + first)), pa.array(pos[pick], pa.int64()),
                          pa.array(h[pick].view(np.int64)), pa.array(np.full(len(pick), k), pa.int32()),
-                         tk.list_array(slots, pa.int64())], names=["id", "pos", "h", "k", "slots"])
+                         pa.array(np.full(len(pick), typed), pa.bool_()),
+                         tk.list_array(slots, pa.int64())], names=["id", "pos", "h", "k", "typed", "slots"])
 
 
 def _slot_of(h: np.ndarray) -> np.ndarray:
@@ -159,7 +169,7 @@ def _of_documents(job):
 
 
 def _schema(df: DataFrame, column: str) -> str:
-    return f"id {df.schema[column].dataType.simpleString()}, pos long, h long, k int, slots array<long>"
+    return f"id {df.schema[column].dataType.simpleString()}, pos long, h long, k int, typed boolean, slots array<long>"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -177,14 +187,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     bits[used] = True
     job = sc.broadcast((np.packbits(bits).tobytes(), lengths))
     found = docs.mapInArrow(tk.tidy(_of_documents(job)), _schema(docs, "doc_id")).withColumnRenamed("id", "doc_id")
-    of_item = index.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"))
-    hits = found.join(small_enough(index, 256), ["h", "k"])
+    of_item = index.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"), F.countDistinct(
+        F.when(F.col("typed"), F.col("item_pos"))).alias("templates"))
+    hits = found.join(small_enough(index, 256), ["h", "k", "typed"])
     pairs = F.transform(F.arrays_zip("item_slots", "slots"),
                         lambda p: F.struct(p["item_slots"].alias("b"), p["slots"].alias("d")))
     same = F.col("item_slots") == F.col("slots")
+    place_ = F.struct("item_pos", "typed")
     lines = (hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
-             .agg(F.collect_set("item_pos").alias("at"), F.min("pos").alias("first"),
-                  F.collect_set(F.when(same, F.col("item_pos"))).alias("same_at"),
+             .agg(F.collect_set(place_).alias("at"), F.min("pos").alias("first"),
+                  F.collect_set(F.when(same, place_)).alias("same_at"),
                   F.min(F.when(same, F.col("pos"))).alias("same_first"),
                   F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs")))
     ones = F.least(F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))),
@@ -198,11 +210,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                           F.when(whole, F.col("first")).otherwise(F.col("same_first")).alias("first"))
              .where(F.size("at") > 0))
     docs_ = (lines.groupBy("doc_id", "item_id")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("hit"),
+             .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
                   F.min("consistency").alias("consistency"), (F.max("other") > 0).alias("reworded"),
                   F.min("first").alias("first_token")))
     return (docs_.alias("l").join(of_item.alias("i"), F.expr("l.item_id <=> i.item_id"))
-            .withColumn("coverage", F.col("hit") / F.col("windows"))
+            .withColumn("hit", F.size(F.array_distinct(F.transform("at", lambda p: p["item_pos"]))))
+            .withColumn("typed", F.size(F.array_distinct(F.filter("at", lambda p: p["typed"]))))
+            .withColumn("coverage", F.greatest(F.col("hit") / F.col("windows"), F.expr("try_divide(typed, templates)")))
             .where((F.col("coverage") >= MIN_COVERAGE) | (F.col("hit") >= MIN_WINDOWS))
             .select("doc_id", "l.item_id", "coverage", "consistency", "windows", "reworded", "first_token"))
 

@@ -67,3 +67,17 @@ def test_equal_windows_count_beside_an_inconsistent_value(spark):
     assert set(found) == {(1, 0), (2, 0), (3, 0), (4, 1)}
     assert found[2, 0].coverage < 1 and found[2, 0].consistency == 1.0 and not found[2, 0].reworded
     assert found[3, 0].reworded and found[3, 0].coverage == 1.0
+
+
+def test_copies_full_of_numbers_are_found(spark):
+    total, table = "What is 15 + 27 + 33 + 48 + 52?", "seconds 4 8 15 16 23 42 are the numbers that open the old hatch"
+    mixed = ("Sort the values 9 4 7 1 3 8 2 6 5 14 12 19 18 then write the middle value of the sorted list on the "
+             "line below")
+    items = [(0, total), (1, "1 2 3 4 5 6 7 8 9 10"), (2, table), (3, mixed)]
+    docs = [(1, f"{FILL} {total} {FILL}"), (2, total.replace("48", "49")), (3, "0 1 2 3 4 5 6 7 8 9 10 11 12"),
+            (4, "10 9 8 7 6 5 4 3 2 1"), (5, f"Wait 7 {table}"), (6, mixed), (7, FILL + " 1 2 3")]
+    found = {(r.doc_id, r.item_id): r for r in D.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(found) == {(1, 0), (3, 1), (5, 2), (6, 3)}
+    assert all(r.coverage == 1.0 and r.consistency == 1.0 and not r.reworded for r in found.values())
