@@ -18,7 +18,10 @@ All other numbers cover all rows.
 The encoder splits a text where the byte-level pattern always starts a new piece:
 before a single space between visible characters, around a single line break
 between them, and between an ASCII letter and ASCII punctuation other than an
-apostrophe. So encoding the chunks one by one gives the ids of the whole; each
+apostrophe. Strings of the file's added tokens are split off first, as the library
+does: each is a chunk of its own (a text with an added token that strips its
+neighbours, asks for whole words or sees normalised text is one chunk as a whole).
+So encoding the chunks one by one gives the ids of the whole; each
 distinct chunk is encoded once per worker (128 bits of hash decide equality).
 Plain chunks are encoded many at a time with line breaks between them.
 
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -78,7 +82,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        odd = [t for t in added if t.lstrip or t.rstrip or t.single_word or t.normalized]
+        self.odd = {t.content for t in odd}
+        self.added = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(
+            (t.content for t in added if t.content), key=len, reverse=True))) if added else None
+        self.apart = bool(odd) or any("\n" in t.content for t in added)  # no encoding of many chunks together
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
@@ -88,8 +97,7 @@ class Encoder:
         self.at = np.zeros((2, 0), np.int32)
         self.pool = np.zeros(0, self.type)
 
-    @staticmethod
-    def chunks(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    def chunks(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Start positions of the chunks of a segment."""
         n = len(data)
         kind = _KIND[data]
@@ -102,6 +110,17 @@ class Encoder:
         cut[1:-1] = ((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) & alone
         cut[2:] |= (data[1:-1] == 0x0A) & alone
         cut[1:] |= kind[1:] + kind[:-1] == 5  # a letter (2) beside punctuation (3)
+        raw = data.tobytes() if self.added else b""
+        if self.added and self.added.search(raw):
+            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+                found = list(self.added.finditer(raw, a, b))
+                if any(m.group().decode() in self.odd for m in found):
+                    cut[a:b] = False
+                    continue
+                for m in found:
+                    cut[m.start():m.end()] = False
+                    cut[m.start()] = True
+                    cut[m.end():m.end() + 1] = True
         cut[offs[:-1][offs[:-1] < n]] = True
         return np.flatnonzero(cut)
 
@@ -114,7 +133,7 @@ class Encoder:
         odd = np.concatenate([[0], np.cumsum(odd)])
         spaces = np.concatenate([[0], np.cumsum(data == 0x20)])
         lead = data[start] == 0x20
-        plain = (odd[end] == odd[start]) & (spaces[end] - spaces[start] == lead) & (end - start > lead)
+        plain = (odd[end] == odd[start]) & (spaces[end] - spaces[start] == lead) & (end - start > lead) & (not self.apart)
         sizes = np.zeros(len(texts), np.int64)
         parts: list = [None] * len(texts)
         easy = np.flatnonzero(plain)

@@ -67,3 +67,36 @@ def test_dictionary_is_trained_and_used(spark):
 
 def test_empty_table(nothing):
     assert T.token_ids(nothing).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", " b", "  ", " ", "\n", "'s", "9", "!", "é", "漢", "\t"]),
+                         max_size=9).map("".join), max_size=5))
+def test_ids_equal_those_of_the_unmodified_file(encoder, texts):
+    plain = Tokenizer.from_file(PATH)
+    got = [x.tolist() for x in encoder.documents(pa.array(texts, pa.string()), 2)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_added_tokens_with_and_without_flags(encoder):
+    from tokenizers import AddedToken
+
+    (got,) = encoder.documents(pa.array(["a <|endoftext|> b"]), 2)
+    assert got.tolist() == [64, 220, 50256, 275, 2]
+    texts = ["x <sp>  y", "x <sp>", "<sp><long", "a<long>b <long", "one\n<nl>two", "word in words", "a<|endoftext|>b"]
+    plain = Tokenizer.from_file(PATH)
+    plain.add_tokens([AddedToken("<long", normalized=False), AddedToken("<long>", normalized=False), AddedToken("n<nl", normalized=False)])
+    for extra in ([], [AddedToken("<sp>", lstrip=True, rstrip=True, normalized=False), AddedToken("word", single_word=True)],
+                  [AddedToken("\n<nl>", normalized=False)]):
+        plain.add_tokens(extra)
+        got = [x.tolist() for x in T.Encoder(plain.to_str()).documents(pa.array(texts), 2)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_query_keeps_added_tokens(spark):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "next text"]
+    rows = sorted(T.token_ids(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    ids = [np.array(plain.encode(t, add_special_tokens=False).ids + [2], "<u4") for t in texts]
+    assert [(r.start, r.n_tokens, r.ids_crc32) for r in rows] == [
+        (0, 5, zlib.crc32(ids[0].tobytes())), (5, len(ids[1]), zlib.crc32(ids[1].tobytes()))]
