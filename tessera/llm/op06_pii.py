@@ -11,7 +11,13 @@ Equal values of a kind get equal pseudonyms in all documents (dates also across
 notations), different values different ones; ``unseal`` inverts with the key.
 
 Digit runs of 13 to 19 digits that fail Luhn are account numbers: they are
-permuted among those that fail it. The key is a parameter; keep it secret.
+permuted among those that fail it. Decimal digits of every script count: a value is
+sealed by its ASCII spelling and spelled again in its own digits (in dates and IPv4
+addresses, whose parts may change their length, in those of each part's first digit),
+so equal values link across scripts. Phone numbers with ``+`` keep their country code,
+split off by the public numbering plan, with separators or without. Social security
+and phone numbers written without any separator and without ``+`` cannot be told from
+other numbers and stay. The key is a parameter; keep it secret.
 
 Rows: null text stays null with zero counts; ids may be null or repeat; other
 columns are ignored.
@@ -23,6 +29,7 @@ import datetime
 import hashlib
 import math
 import re
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -49,8 +56,15 @@ FOUND = re.compile(rf"""(?<![\w.+])(?:
  |(?P<secret>(?=[a-fA-F]{{0,63}}\d)(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}))(?!\w)
  |(?P<iban>[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}})(?!\w)
 )|(?P<plus>(?<!\w)\+\d{{1,3}}[ .-]?(?:\(\d{{2,4}}\)[ .-]?)?\d{{2,4}}[ .-]?\d{{3,4}}(?:[ .-]?\d{{3,4}})?(?!\w))""", re.X)
-DIGIT = re.compile(r"\d")
-EMAIL = re.compile(r"([A-Za-z0-9][A-Za-z0-9._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+DIGIT = re.compile(r"[0-9]")
+FOREIGN = re.compile(r"(?![0-9])\d")
+#: starts where a run of its characters starts, so a long run is read once
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[._%+-]*+([A-Za-z0-9][A-Za-z0-9._%+-]*+)@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: country codes of one and two digits of the international numbering plan; all others have three (fixed values)
+ONE_DIGIT = ("1", "7")
+TWO_DIGITS = ("20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+              "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84",
+              "86", "90", "91", "92", "93", "94", "95", "98")
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -175,7 +189,9 @@ class Pseudonyms:
         if kind == "ssn":
             return self._digits(kind, text, allowed=valid_ssn)
         if kind == "phone":
-            country = re.match(r"\+?(\d{1,3})(?=[ .(-])", text) if text[0] == "+" or "(" in text[1:] else None
+            if text[0] == "+":
+                return self._digits(kind, text, keep=country_length(re.sub(r"\D", "", text)))
+            country = re.match(r"(\d{1,3})(?=[ .(-])", text) if "(" in text[1:] else None
             return self._digits(kind, text, keep=len(country[1]) if country else 0)
         if kind == "ip":
             a = [int(p) for p in text.split(".")]
@@ -205,6 +221,22 @@ class Pseudonyms:
         return sep.join(out)
 
 
+def country_length(digits: str) -> int:
+    """Digits of the country code that a full international number starts with."""
+    return 1 if digits.startswith(ONE_DIGIT) else 2 if digits.startswith(TWO_DIGITS) else 3
+
+
+def respelled(new: str, was: str, kind: str) -> str:
+    """``new`` with its digits in the scripts of the digits of ``was``."""
+    def spell(c, model):
+        return chr(ord(model) - unicodedata.decimal(model) + int(c)) if c in DIGITS and model.isdecimal() else c
+
+    if kind not in ("ip", "date"):
+        return "".join(spell(c, m) for c, m in zip(new, was))
+    parts = zip(re.split(r"([-/.])", new), re.split(r"([-/.])", was))
+    return "".join("".join(spell(c, m[0]) for c in p) for p, m in parts)
+
+
 def valid_ssn(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
@@ -244,37 +276,42 @@ def classify(m: re.Match) -> str | None:
     return "phone" if kind and 7 <= len(re.sub(r"\D", "", text)) <= 15 else None
 
 
+def _found(text: str):
+    """(start, end, kind) of all values in a text whose digits are ASCII, in order."""
+    def numbers(lo, hi):
+        """Lines between lo and hi that hold a digit: no kind spans lines."""
+        while m := DIGIT.search(text, lo, hi):
+            start, end = text.rfind("\n", lo, m.start()) + 1, text.find("\n", m.end(), hi)
+            start, end = max(start, lo), hi if end < 0 else end
+            line = text[start:end]
+            for f in FOUND.finditer(line):
+                if kind := classify(f):
+                    yield start + f.start(), start + f.end(), kind
+            lo = end
+
+    at = 0
+    if "@" in text:
+        for m in EMAIL.finditer(text):  # an address is not searched for numbers
+            yield from numbers(at, m.start())
+            yield m.start(1), m.end(1), "email"
+            at = m.end()
+    yield from numbers(at, len(text))
+
+
 def pseudonymise(text: str, names: Pseudonyms) -> tuple[str, dict[str, int]]:
     counts = dict.fromkeys(KINDS, 0)
-
-    def number(m):
-        kind = classify(m)
-        if not kind:
-            return m.group()
-        counts[kind] += 1
-        return names.of(kind, m.group())
-
-    def mail(m):
-        counts["email"] += 1
-        return names.of("email", m[1]) + m.group()[len(m[1]):]
-
-    def numbers(part):
-        """``part`` with its lines that hold a digit searched: no kind spans lines."""
-        out, at = [], 0
-        while m := DIGIT.search(part, at):
-            lo, hi = part.rfind("\n", at, m.start()) + 1, part.find("\n", m.end())
-            lo, hi = max(lo, at), len(part) if hi < 0 else hi
-            out += [part[at:lo], FOUND.sub(number, part[lo:hi])]
-            at = hi
-        return "".join([*out, part[at:]])
-
-    if "@" not in text:
-        return numbers(text), counts
+    plain = text
+    if not text.isascii() and FOREIGN.search(text):
+        plain = FOREIGN.sub(lambda m: str(unicodedata.decimal(m[0])), text)  # of the same length
     out, at = [], 0
-    for m in EMAIL.finditer(text):  # an address is not searched for numbers
-        out += [numbers(text[at:m.start()]), mail(m)]
-        at = m.end()
-    return "".join([*out, numbers(text[at:])]), counts
+    for start, end, kind in _found(plain):
+        counts[kind] += 1
+        new = names.of(kind, plain[start:end])
+        if plain is not text:
+            new = respelled(new, text[start:end], kind)
+        out += [text[at:start], new]
+        at = end
+    return "".join([*out, text[at:]]), counts
 
 
 def _apply(key: bytes):

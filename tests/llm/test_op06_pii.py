@@ -49,6 +49,63 @@ def test_dates_link_across_notations(names):
     assert new == f"{y}-{m:02d}-{d:02d} and {d:02d}/{m:02d}/{y}" and datetime.date(y, m, d)
 
 
+@pytest.mark.parametrize("value,kind", [
+    ("\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669", "ssn"),
+    ("".join(chr(0xFF10 + int(c)) for c in "4111111111111111"), "card"),
+    ("".join(chr(0xFF10 + int(c)) for c in "9807915762804491"), "number"),
+    ("+\u0661 (\u0662\u0660\u0662) \u0665\u0665\u0665-\u0660\u0661\u0662\u0663", "phone"),
+    ("\u0967\u0967.2\u0968.33.4", "ip"), ("\uff12\uff10\uff12\uff10-\uff10\uff12-\uff12\uff19", "date"), ("4111-1111-1111-111\uff11", "card"),
+])
+def test_digits_of_all_scripts_are_sealed(names, value, kind):
+    new, counts = P.pseudonymise(f"x {value} y", names)
+    assert counts[kind] == 1 and value not in new
+    plain = P.FOREIGN.sub(lambda m: str(P.unicodedata.decimal(m[0])), value)
+    assert P.FOREIGN.sub(lambda m: str(P.unicodedata.decimal(m[0])), new) == P.pseudonymise(f"x {plain} y", names)[0]
+    if kind == "ip":  # each part keeps the script of its first digit
+        assert P.FOREIGN.sub("d", new)[2] == "d"
+    else:
+        assert P.pseudonymise(new, P.Pseudonyms(KEY, back=True))[0] == f"x {value} y"
+
+
+def test_long_runs_take_linear_time(names):
+    import time
+
+    for run in ("x" * 1_000_000, "." * 1_000_000, "a." * 500_000, "9" * 1_000_000, "x@" * 300_000, "+1 " * 300_000, "A" * 1_000_000):
+        began = time.process_time()
+        P.pseudonymise(f"{run} a.b@c.org {run}@", names)
+        assert time.process_time() - began < 20
+    assert P.pseudonymise("..jo.e@x.org", names)[1]["email"] == 1
+
+
+def test_phones_link_with_and_without_separators(names):
+    new = P.pseudonymise("+12025550123 and +1 202 555 0123 and 202-555-0123", names)[0].split(" and ")
+    assert new[0] == new[1].replace(" ", "") and new[0][:2] == "+1" and new[2].replace("-", "") == new[0][2:]
+
+
+def test_against_an_independent_finder(spark, names):
+    """Values cut out by splitting at white space and testing by plain string methods."""
+    def ip(t):
+        p = t.split(".")
+        return len(p) == 4 and all(x.isascii() and x.isdigit() and str(int(x)) == x and int(x) < 256 for x in p)
+
+    def ssn(t):
+        p = t.split("-")
+        return [len(x) for x in p] == [3, 2, 4] and all(x.isdigit() for x in p) and P.valid_ssn("".join(p))
+
+    def mail(t):
+        return t.count("@") == 1 and t[0].isalnum() and "." in t.split("@")[1]
+
+    n = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        tokens = [t.strip(".,;:!?()[]\"'") for t in (r.text or "").split()]
+        counts = P.pseudonymise(r.text or "", names)[1]
+        for kind, test in (("ip", ip), ("ssn", ssn), ("email", mail)):
+            want = sum(bool(t) and test(t) for t in tokens)
+            n += want
+            assert counts[kind] >= want, (r.doc_id, kind)
+    assert n > 10
+
+
 def test_other_text_stays(names):
     for text in ("version 1.2.3 of 2020, pi 3.14159, 999.1.1.1, 2020-13-45 000-12-3456", "no digits", "", "a@b c 12345678"):
         assert P.pseudonymise(text, names) == (text, dict.fromkeys(P.KINDS, 0))

@@ -16,7 +16,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -33,10 +32,10 @@ def test_chunked_ids_equal_whole_text_ids(whole, encoder, texts):
     assert got == [whole(t) + [2] for t in texts]
 
 
-def test_special_strings_are_text(whole, encoder):
+def test_special_strings_are_encoded_as_the_library_does(whole, encoder):
     t = "a <|endoftext|> b  don't   <|endoftext|>"
     (got,) = encoder.documents(pa.array([t]), 2)
-    assert got.tolist() == whole(t) + [2] and 50256 not in got
+    assert got.tolist() == whole(t) + [2] and got.tolist().count(50256) == 2
 
 
 def test_round_trip_and_single_document_access(spark, whole, edge):
