@@ -26,11 +26,13 @@ repeat, every row is a document of its own; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +42,9 @@ from .shared import prepare, written
 
 #: a single space between visible characters
 CUT = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
-CACHE_CHUNKS, CACHE_BYTES = 400_000, 64 << 20
+CACHE_CHUNKS, CACHE_BYTES = 250_000, 24 << 20
 TOGETHER = 4096
+PART_CHARACTERS = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -112,16 +115,25 @@ class Aligner:
     def chunks(self, text: str) -> list[str]:
         return [text] if self.whole else CUT.split(text)
 
+    @staticmethod
+    def _covers(ids: list[list[int]], tokens: list[bytes], said: list[bytes]) -> np.ndarray:
+        """Whether each chunk's tokens make up its bytes."""
+        parts = [[tokens[i] for i in x] for x in ids]
+        sizes = [sum(map(len, p)) for p in parts]
+        if sizes == [len(x) for x in said] and b"".join(itertools.chain.from_iterable(parts)) == b"".join(said):
+            return np.ones(len(ids), bool)
+        return np.array([b"".join(p) == x for p, x in zip(parts, said)], bool)
+
     def _learn(self, new: list[str]):
         a_ids = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
         b_ids = self.b.encode(new, num_threads=1)
-        fits = np.array([b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b]) == b" " + c.encode()
-                         for a, b, c in zip(a_ids, b_ids, new)], bool)
+        said = [b" " + c.encode() for c in new]
+        fits = self._covers(a_ids, self.a_bytes, said) & self._covers(b_ids, self.b_bytes, said)
         if not fits.all():
             a_ids = [x if ok else [] for x, ok in zip(a_ids, fits.tolist())]
             b_ids = [x if ok else [] for x, ok in zip(b_ids, fits.tolist())]
         na, nb = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.fromiter((i for x in ids for i in x), np.int64, int(n.sum())) for ids, n in ((a_ids, na), (b_ids, nb)))
+        a, b = (np.array(list(itertools.chain.from_iterable(ids)), np.int64) for ids in (a_ids, b_ids))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         ga, gb = coalesced(a_end - self.a_size[a], a_end, b_end - self.b_size[b], b_end)
         n = int(max(ga.max(initial=-1), gb.max(initial=-1))) + 1
@@ -156,13 +168,14 @@ class Aligner:
             self.clear()
         parts, new, add = [], [], len(self.known)
         for t in texts:
-            row = []
-            for c in self.chunks(t) if t else ():
-                i = self.known.get(c)
-                if i is None:
-                    i = self.known[c] = add + len(new)
-                    new.append(c)
-                row.append(i)
+            cut = self.chunks(t) if t else []
+            row = list(map(self.known.get, cut))
+            if None in row:
+                for i, c in enumerate(cut):
+                    if row[i] is None:
+                        row[i] = self.known.setdefault(c, add + len(new))
+                        if row[i] == add + len(new):
+                            new.append(c)
             parts.append(np.array(row, np.int64))
         for at in range(0, len(new), TOGETHER):
             self._learn(new[at:at + TOGETHER])
@@ -205,13 +218,18 @@ def _align(job):
         aligner = aligner_of(job.value)
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            counts, said, bounds, pairs, links = aligner.texts(batch.column(1).to_pylist())
-            offsets = pa.array(bounds, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, task << 32 | number)), batch.column(0), *(pa.array(c) for c in counts),
-                 pa.array(said, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())),
-                 pa.ListArray.from_arrays(offsets, pa.array(links, pa.int64()))],
-                names=["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "links"])
+            long = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            cuts = np.unique(np.append(np.searchsorted(long, np.arange(0, int(long[-1]) if len(long) else 0, PART_CHARACTERS)),
+                                       batch.num_rows))
+            for lo, hi in zip(np.append(0, cuts[cuts > 0][:-1]).tolist(), cuts[cuts > 0].tolist()):
+                part = batch.slice(lo, hi - lo)
+                counts, said, bounds, pairs, links = aligner.texts(part.column(1).to_pylist())
+                offsets = pa.array(bounds, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(part.num_rows, task << 32 | number)), part.column(0), *(pa.array(c) for c in counts),
+                     pa.array(said, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())),
+                     pa.ListArray.from_arrays(offsets, pa.array(links, pa.int64()))],
+                    names=["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "links"])
     return run
 
 
