@@ -174,18 +174,22 @@ def _schema(df: DataFrame, column: str) -> str:
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, coverage, consistency, windows, reworded, first_token)."""
+    """(doc_id, item_id, coverage, consistency, windows, reworded, first_token). Rows are
+    told apart by id and text, so texts that share an id or have none are each judged alone."""
     sc = docs.sparkSession.sparkContext
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h")).alias("doc_id"),
+                       F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     index = written(items.mapInArrow(tk.tidy(_of_items), _schema(items, "item_id"))
                     .withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}), "windows")
     place = F.shiftrightunsigned("h", 64 - MAP_BITS)
-    used = [r.p for r in index.select(place.alias("p")).distinct().collect()]  # at most 2**MAP_BITS
+    # one row a byte of the map, at most 2**(MAP_BITS - 3)
+    used = (index.select(place.cast("int").alias("p")).groupBy(F.expr("p div 8").alias("byte"))
+            .agg(F.expr("cast(bit_or(shiftleft(1, 7 - p % 8)) as int)").alias("bits")).toPandas())
     lengths = sorted(r.k for r in index.select("k").distinct().collect())
-    bits = np.zeros(1 << MAP_BITS, bool)
-    bits[used] = True
-    job = sc.broadcast((np.packbits(bits).tobytes(), lengths))
+    bits = np.zeros(1 << MAP_BITS >> 3, np.uint8)
+    bits[used["byte"].to_numpy(np.int64)] = used["bits"].to_numpy(np.uint8)
+    job = sc.broadcast((bits.tobytes(), lengths))
     found = docs.mapInArrow(tk.tidy(_of_documents(job)), _schema(docs, "doc_id")).withColumnRenamed("id", "doc_id")
     of_item = index.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"), F.countDistinct(
         F.when(F.col("typed"), F.col("item_pos"))).alias("templates"))
@@ -218,7 +222,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             .withColumn("typed", F.size(F.array_distinct(F.filter("at", lambda p: p["typed"]))))
             .withColumn("coverage", F.greatest(F.col("hit") / F.col("windows"), F.expr("try_divide(typed, templates)")))
             .where((F.col("coverage") >= MIN_COVERAGE) | (F.col("hit") >= MIN_WINDOWS))
-            .select("doc_id", "l.item_id", "coverage", "consistency", "windows", "reworded", "first_token"))
+            .select(F.col("doc_id.id").alias("doc_id"), "l.item_id", "coverage", "consistency", "windows", "reworded", "first_token"))
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,13 +104,12 @@ def _sketches(k: int):
 def _sets(k: int):
     def run(batches):
         for batch in batches:
-            want = batch.column(1).to_numpy(zero_copy_only=False)
+            cid, key, check = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
             keys, parts, at = [], [], 0
             for _, words in tk.scan(batch.column(0), tk.SPACED):
                 for u in set_hashes(words, k):
-                    key = _key(u, 40)
-                    if key == want[at]:
-                        keys.append(key)
+                    if _key(u, 40) == key[at] and _key(u, 41) == check[at]:  # an id may have other texts
+                        keys.append(cid[at])
                         parts.append(u)
                     at += 1
             yield pa.RecordBatch.from_arrays(
@@ -204,19 +203,21 @@ def _sizes_fit(a, b, num: int, den: int):
 
 
 def _sketch_filter(classes: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """Classes (key, rep) whose sketch leaves a link possible."""
-    sketch = sketches.select("key", F.explode("sketch").alias("token"))
+    """Classes whose sketch leaves a link possible."""
+    sketch = sketches.select("key", "check", F.explode("sketch").alias("token"))
     shared = sketch.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    near = sketch.join(shared, "token", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    near = sketch.join(shared, "token", "left_semi").groupBy("key", "check").agg(F.count(F.lit(1)).alias("c"))
     large, most = least_shared(num, den)
     need = F.when(F.col("n") >= SKETCH, large).otherwise(F.least(F.ceil(F.col("n") * num / den), F.lit(most)))
-    return classes.join(near, "key").where(F.col("c") >= need).select("key", "rep")
+    return classes.join(near, ["key", "check"]).where(F.col("c") >= need).drop("c")
 
 
-def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(node, component) over class keys that link with another class."""
-    picked = written(_sketch_filter(classes, sketches, num, den), "picked")
-    texts = docs.join(small_enough(picked, 16), docs["doc_id"] == picked["rep"]).select("text", "key")
+def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k: int, num: int, den: int,
+                   sketched: bool = True) -> DataFrame:
+    """(node, component) over the numbers (cid) of classes that link with another class."""
+    picked = _sketch_filter(classes, sketches, num, den) if sketched else classes
+    picked = written(picked.select("cid", "key", "check", "rep"), "picked")
+    texts = docs.join(small_enough(picked, 48), docs["doc_id"] == picked["rep"]).select("text", "cid", "key", "check")
     sets = written(texts.mapInArrow(tk.tidy(_sets(k)), "key long, n long, items array<long>"), "sets")
     if sets.count() != sets.select("key").distinct().count():  # repeated rows
         sets = written(sets.dropDuplicates(["key"]), "sets")
@@ -279,19 +280,18 @@ def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k:
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
-                 num: int = NUM, den: int = DEN) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
+                 num: int = NUM, den: int = DEN, sketched: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id): one row per row of ``docs``. Without
+    ``sketched`` step 2 is left out, at the cost of indexing all sets."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(docs.mapInArrow(tk.tidy(_sketches(k)),
-                                   docs.select("doc_id").schema.simpleString()[7:-1].replace(":", " ")
-                                   + ", key long, check long, n long, sketch array<long>"), "sketches")
+    rows = written(docs.mapInArrow(tk.tidy(_sketches(k)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
+                                   "key long, check long, n long, sketch array<long>"), "sketches")
     same = rows.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")
-    classes = written(same.agg(F.min("doc_id").alias("rep")), "classes")
+    classes = written(same.agg(F.min("doc_id").alias("rep")).withColumn("cid", F.monotonically_increasing_id()), "classes")
     sketches = same.agg(F.min_by("sketch", "doc_id").alias("sketch"))
-    comp = linked_classes(classes, sketches, docs, k, num, den)
-    named = classes.select("key", "check", "n", "rep").join(
-        comp.select(F.col("node").alias("key"), "component"), "key", "left")
-    named = named.withColumn("component", F.coalesce("component", "key"))
+    comp = linked_classes(classes, sketches, docs, k, num, den, sketched)
+    named = classes.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left")
+    named = named.withColumn("component", F.coalesce("component", "cid"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = written(named.join(smallest, "component").select("key", "check", "n", "component_id"), "named")
     return (rows.select("doc_id", "key", "check", "n")
@@ -322,13 +322,19 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row(s) with the smallest id stay, one
-    row where an id repeats; rows with a null id stay."""
-    found = written(jaccard_join(docs), "groups")
-    lost = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "lost")
-    kept = docs.join(small_enough(lost, 8), "doc_id", "left_anti")
-    ids = found.where("doc_id is not null and doc_id = component_id")
-    if ids.count() != ids.select("doc_id").distinct().count():
-        kept = (kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-                .unionAll(kept.where("doc_id is null")))
-    return kept
+    """Pipeline stage: of each component the row with the smallest id stays. Rows are told
+    apart by id and text, so texts that share an id, and texts without an id (which come
+    after all ids), are each judged by their own text; of rows equal in both one stays.
+    Rows without words link with nothing and all stay."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    found = written(jaccard_join(docs.select(row.alias("row"), "text"), id_col="row"), "groups")
+    lost = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__row")).distinct(), "lost")
+    marked = docs.withColumn("__row", row)
+    kept = marked.join(small_enough(lost, 32), "__row", "left_anti")
+    twice = written(found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+                    .select(F.col("doc_id").alias("__row")), "repeated")
+    if twice.take(1):
+        again = small_enough(twice, 32)
+        kept = (kept.join(again, "__row", "left_anti")
+                .unionAll(kept.join(again, "__row", "left_semi").dropDuplicates(["__row"])))
+    return kept.select(*docs.columns)

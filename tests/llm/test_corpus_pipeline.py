@@ -54,7 +54,20 @@ def test_stages_against_brute_force(spark):
         start += r.n_tokens
 
 
-def test_ten_operators_are_registered():
+def test_edge_rows_and_empty_tables_run_through(spark, edge, nothing, tmp_path):
+    plain = edge.select(*nothing.columns)
+    for name, docs in (("edge", plain), ("none", nothing)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert bool(rows) == (name == "edge") and all(r.n_tokens > 1 for r in rows)
+        start = 0
+        for r in sorted(rows, key=lambda r: r.start):
+            assert r.start == start
+            start += r.n_tokens
+
+
+def test_all_operators_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(registry.ORACLE) <= set(registry.QUERIES)

@@ -81,3 +81,13 @@ def test_copies_full_of_numbers_are_found(spark):
         spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert set(found) == {(1, 0), (3, 1), (5, 2), (6, 3)}
     assert all(r.coverage == 1.0 and r.consistency == 1.0 and not r.reworded for r in found.values())
+
+
+def test_rows_without_id_are_judged_alone(spark):
+    words = LONG.split()
+    docs = spark.createDataFrame([(None, " ".join(words[:12])), (None, " ".join(words[12:24])), (3, " ".join(words[:12])),
+                                  (3, " ".join(words[12:]))], "doc_id long, text string")
+    items = spark.createDataFrame([(6, " ".join(words[:24]))], "item_id long, text string")
+    assert [r.doc_id for r in D.leaks(docs, items).collect()] == []
+    whole = docs.unionAll(spark.createDataFrame([(None, LONG)], docs.schema))
+    assert [r.doc_id for r in D.leaks(whole, items).collect()] == [None]

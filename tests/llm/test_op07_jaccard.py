@@ -96,7 +96,24 @@ def test_stage_keeps_one_of_each_group(spark, edge):
     kept = keep_one_per_group(spark, edge, "")
     assert kept.columns == edge.columns
     ids = Counter(r.doc_id for r in kept.collect())
-    assert ids == Counter([0, 1, 2, 3, 4, 6, 8, 9, 11, 12, None, None])
+    assert ids == Counter([0, 1, 2, 3, 4, 6, 8, 9, 11, 12, None])
+
+
+def test_stage_tells_texts_of_one_id_apart(spark, nothing):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a), (2, a), (2, b), (5, a + " end"), (5, c), (7, b), (None, c), (None, d), (None, d), (None, d + " z"), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as __row2", "1 as component_id", "'h' as row")
+    kept = keep_one_per_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert {k: n for k, n in got.items() if k[1] not in (d, d + " z")} == {(1, a): 1, (2, b): 1, (5, c): 1, (9, None): 2}
+    assert sum(n for k, n in got.items() if k[1] in (d, d + " z")) == 1
+    assert keep_one_per_group(spark, nothing, "").count() == 0
+
+
+def test_without_the_sketch_filter(spark, corpus):
+    got = jaccard_join(spark.createDataFrame(corpus, "doc_id long, text string"), sketched=False).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(corpus)
 
 
 def test_sketch_bound():
