@@ -27,7 +27,7 @@ STAGES = [
 ]
 
 #: language, near-duplicate and token stages cannot be stated in SQL over whole tables;
-#: tests/llm/test_pipeline.py checks the rows against a brute-force version
+#: tests/llm/test_corpus_pipeline.py checks the rows against a brute-force version
 ORACLE_SQL = None
 
 
