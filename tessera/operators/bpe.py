@@ -7,13 +7,22 @@ Training
   2. each distinct word becomes a string with one character per id
      (``id_char``), so a merge is ``replace(word, pair, new)``: linear, left to
      right, without overlaps, in the JVM;
-  3. per round: weighted adjacent-pair counts, and the ``ROUND_PAIRS`` best by
-     count, ties to the smallest ``(a, b)`` (a top-k, no full sort). As many of
-     them as are certain to be the next merges are taken at once (see
-     ``certain_merges``), then all words are rewritten. Each round's word table
-     is computed before the one before it is released, and is written to the
-     checkpoint folder every ``checkpoint_every`` rounds, so a lost executor
-     recomputes from there only.
+  3. a count of all adjacent pairs (one aggregation) lists the ``LISTED`` most
+     frequent ones; the next one's count is the *floor* of the list. Merges never
+     make a pair of old symbols more frequent, so what is not listed stays at or
+     below the floor;
+  4. per round the list gives as many pairs as are certain to be the next merges
+     (``certain_merges``). Only words that hold one of them change, and only
+     their pairs are counted, before and after: the difference, summed by pair,
+     updates the list, and new pairs enter it with their whole count. When the
+     best pair is no longer above the floor, all pairs are counted anew.
+
+A round is one job. Each round's word table is computed in the job of the next one,
+before the one before it is released, and is written to the checkpoint folder every
+``checkpoint_every`` rounds, so a lost executor recomputes from there only. The
+driver holds the list and the pairs with symbols made since it was read: at most
+``LISTED`` plus two rows for each new symbol and each symbol, a matter of the
+vocabulary and not of the corpus.
 
 The merge table ``(rank, a, b, new_id, n, piece)`` has one row per merge and
 is bounded by the vocabulary size; ``piece`` holds the new token's bytes as a
@@ -30,6 +39,7 @@ vocabulary.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -107,9 +117,7 @@ def word_table(df: DataFrame, col: str = "text") -> DataFrame:
 
 def _pairs(words: DataFrame) -> DataFrame:
     """Weighted adjacent pairs ``(pair, n)``, a pair being two id characters."""
-    size = F.length("sym")
-    two = F.when(size >= 2, F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.substring("sym", i, F.lit(2))))
-    return words.select(F.explode(two).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
+    return words.selectExpr(f"explode({_two('sym')}) as pair", "n").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -118,8 +126,8 @@ def pair_counts(words: DataFrame) -> DataFrame:
                                 _char_id(F.substring("pair", 2, 1)).alias("b"), "n")
 
 
-#: best pairs looked at per round
-ROUND_PAIRS = 256
+#: best pairs looked at per round, and pairs listed by a full count
+ROUND_PAIRS, LISTED = 256, 20_000
 
 
 def certain_merges(best: list[tuple[str, int]], complete: bool) -> list[tuple[str, int]]:
@@ -147,38 +155,89 @@ def certain_merges(best: list[tuple[str, int]], complete: bool) -> list[tuple[st
     return taken
 
 
+def _two(sym: str) -> str:
+    """SQL of the adjacent pairs of a word string."""
+    return (f"if(length({sym}) >= 2, transform(sequence(1, length({sym}) - 1), i -> substring({sym}, i, 2)), "
+            "cast(array() as array<string>))")
+
+
+def _changes(words: DataFrame, pairs: list[str], merged: str) -> DataFrame:
+    """``(pair, n)``: how the merges change the counts, from the words that hold them."""
+    held = " or ".join(f"contains(sym, '{p}')" for p in pairs)  # id characters need no quoting
+    signed = (f"concat(transform({_two('sym')}, p -> struct(p as pair, -n as n)), "
+              f"transform({_two('new')}, p -> struct(p as pair, n as n)))")
+    return (words.where(held).selectExpr("sym", "n", f"{merged} as new").selectExpr(f"inline({signed})")
+            .groupBy("pair").agg(F.sum("n").alias("n")).where("n <> 0"))
+
+
+class _Listed:
+    """The most frequent pairs, kept up to date by changes."""
+
+    def __init__(self, words: DataFrame):
+        rows = [(r["pair"], r["n"]) for r in
+                _pairs(words).where("n > 0").orderBy(F.col("n").desc(), "pair").limit(LISTED + 1).collect()]
+        self.floor = rows[LISTED][1] if len(rows) > LISTED else 0
+        self.counts, self.first, self.made = dict(rows[:LISTED]), rows[:1], set()
+
+    def best(self) -> tuple[list[tuple[str, int]], bool]:
+        """(pairs above the floor by count, then by ids; whether these are all of them)."""
+        above = [(-n, p) for p, n in self.counts.items() if n > self.floor]
+        top = [(p, -n) for n, p in heapq.nsmallest(ROUND_PAIRS, above)]
+        if not top and self.first and not self.made:
+            top = self.first  # more pairs tie than are listed: the first of them all
+        return top, len(above) < ROUND_PAIRS
+
+    def change(self, rows, made: set[str]):
+        self.made |= made
+        for r in rows:
+            pair = r["pair"]
+            if pair in self.counts or self.made & set(pair):
+                self.counts[pair] = self.counts.get(pair, 0) + r["n"]
+                if not self.counts[pair]:
+                    del self.counts[pair]
+
+
 def train_bpe(df: DataFrame, col: str = "text", n_merges: int = 100, min_frequency: int = 0,
-              first_id: int = FIRST_MERGE_ID, checkpoint_every: int = 8) -> DataFrame:
+              first_id: int = FIRST_MERGE_ID, checkpoint_every: int = 16, on_round=None) -> DataFrame:
     """Learn up to ``n_merges`` merges from the text column, several per round
     where they are certain. Returns the merge table, ``rank`` 0-based in merge
-    order."""
+    order. ``on_round(rounds, merges)`` is called after every round."""
     spark = df.sparkSession
     pieces = {i: t for i, t in enumerate(SPECIAL_TOKENS)}
     for byte, tid in enumerate(byte_to_id_table()):
         pieces[tid] = chr(byte)
-    words = cut_lineage(word_table(df, col))
-    merges, old, rounds = [], None, 0
+    words = cut_lineage(word_table(df, col).repartition(spark.sparkContext.defaultParallelism, "sym"))
+    merges, old, rounds, listed = [], None, 0, _Listed(words)
     while len(merges) < n_merges:
-        best = [(r["pair"], r["n"]) for r in
-                _pairs(words).orderBy(F.col("n").desc(), "pair").limit(ROUND_PAIRS).collect()]
-        if old is not None:
-            old.unpersist()  # ``words`` has been computed by now
-            old = None
-        found = [(p, n) for p, n in certain_merges(best, len(best) < ROUND_PAIRS) if n > 0 and n >= min_frequency]
+        best, complete = listed.best()
+        if not best and listed.made:
+            listed = _Listed(words)
+            best, complete = listed.best()
+        found = [(p, n) for p, n in certain_merges(best, complete) if n > 0 and n >= min_frequency]
         if not found:
             break
-        sym = F.col("sym")
-        for pair, n in found[:n_merges - len(merges)]:
+        sym, found = "sym", found[:n_merges - len(merges)]
+        made = set()
+        for pair, n in found:
             a, b, new = char_id(pair[0]), char_id(pair[1]), first_id + len(merges)
             pieces[new] = pieces[a] + pieces[b]
             merges.append((len(merges), a, b, new, n, pieces[new]))
-            sym = F.replace(sym, F.lit(pair), F.lit(id_char(new)))
-        nxt, rounds = words.select(sym.alias("sym"), "n"), rounds + 1
-        old = words if words.storageLevel != StorageLevel.NONE else None
-        if checkpoint_every and rounds % checkpoint_every == 0:
-            words = cut_lineage(nxt)
-        else:
-            words = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            made.add(id_char(new))
+            sym = f"replace({sym}, '{pair}', '{id_char(new)}')"
+        rounds += 1
+        if len(merges) < n_merges:
+            changes = _changes(words, [p for p, _ in found], sym).collect()  # bounded by the vocabulary
+            listed.change(changes, made)
+            if old is not None:
+                old.unpersist()  # ``words`` has been computed by now
+            old = words if words.storageLevel != StorageLevel.NONE else None
+            nxt = words.selectExpr(f"{sym} as sym", "n")
+            words = (cut_lineage(nxt) if checkpoint_every and rounds % checkpoint_every == 0
+                     else nxt.persist(StorageLevel.MEMORY_AND_DISK))
+        if on_round:
+            on_round(rounds, len(merges))
+    if old is not None:
+        old.unpersist()
     words.unpersist()
     return spark.createDataFrame(merges, MERGES_SCHEMA)
 
@@ -274,7 +333,7 @@ def make_unit_encoder(merge_rows: list[tuple[int, int, int, int]]):
 
 
 #: a merge table is a vocabulary: more rows than this are refused, never cut
-MAX_VOCABULARY = 1 << 22
+MAX_VOCABULARY = 1 << 20
 
 
 def merge_rows(merges: DataFrame) -> list:
