@@ -115,6 +115,18 @@ def run_plan(spark: SparkSession, n_rows: int | DataFrame, opts: RunOptions = Ru
     )
 
 
+def update_numbers(steps: DataFrame, per_epoch: int, opts: RunOptions = RunOptions(),
+                   epoch: str = "epoch", step: str = "step", out: str = "update_no") -> DataFrame:
+    """Adds the number (from 0) of the optimizer update that uses each step's gradient,
+    null where none does. Updates fall on every ``accumulation_steps``-th step of an epoch;
+    gradients of the steps behind an epoch's last update carry over into the first update
+    of the next epoch, and those behind the last epoch's are lost. The number of updates
+    before a step has a closed form, so there is no window over the steps."""
+    updates = per_epoch // opts.accumulation_steps  # of an epoch
+    number = F.col(epoch) * F.lit(updates) + F.floor(F.col(step) / F.lit(opts.accumulation_steps))
+    return steps.withColumn(out, F.when(number < updates * opts.epochs, number.cast("long")))
+
+
 def progress(metrics: DataFrame, steps_per_epoch_col: str = "steps_per_epoch",
              step: str = "step", spent: str = "spent_sec") -> DataFrame:
     """Minutes left estimate per logged step:

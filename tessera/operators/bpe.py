@@ -353,6 +353,28 @@ def encode_with_merges(df: DataFrame, col: str, merges: DataFrame | list, out: s
     return df.withColumn(out, fn(units(col)))
 
 
+def encode_by_units(df: DataFrame, keys: list[str], col: str, merges: DataFrame | list, out: str = "ids") -> DataFrame:
+    """``keys + ids``: the ids of ``encode_with_merges`` by a join. Every distinct unit
+    (pre-token or special token) of the whole table is encoded once; a text keeps each of
+    its distinct units with the places it has there, so what is shuffled is one row per
+    text and distinct unit. ``keys`` must name a row; texts that are null get null ids.
+
+    Worth it where encoding a unit is dear (large merge tables, long units) or its ids are
+    wanted as a table; ``encode_with_merges`` shuffles nothing."""
+    rows = merges if isinstance(merges, list) else merge_rows(merges)
+    fn = arrow_udf(make_unit_encoder([(r["rank"], r["a"], r["b"], r["new_id"]) for r in rows]),
+                   ArrayType(IntegerType())).asNondeterministic()
+    placed = (df.select(*keys, F.posexplode(units(col)).alias("pos_", "unit_"))
+              .groupBy(*keys, "unit_").agg(F.collect_list("pos_").alias("at_")))
+    encoded = placed.select("unit_").distinct().withColumn("piece_", fn(F.array("unit_")))
+    found = placed.join(encoded, "unit_").select(*keys, F.explode("at_").alias("pos_"), "piece_")
+    ids = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos_", "piece_"))), lambda x: x["piece_"]))
+    whole = found.groupBy(*keys).agg(ids.alias(out))
+    empty = F.when(F.col(col).isNotNull(), F.array().cast("array<int>"))
+    return (df.select(*keys, empty.alias("none_")).join(whole, keys, "left")
+            .select(*keys, F.coalesce(out, "none_").alias(out)))
+
+
 def decode_with_merges(df: DataFrame, ids: str, merges: DataFrame | list, out: str = "text") -> DataFrame:
     from ..functions.arrow_codec import decoder_for_pieces
     rows = merges if isinstance(merges, list) else merge_rows(merges)

@@ -37,7 +37,7 @@ def message_piece(role: Column, content: Column) -> Column:
 
 def to_messages(df: DataFrame, items_col: str = "items", role_map=CHAT_ROLE_MAP,
                 system_prompt: str = PREPARE_SYSTEM_PROMPT, out: str = "messages") -> DataFrame:
-    """Chat items (array<variant> of ``{from, value}``) to messages.
+    """Chat items (array of ``{from, value, missing}``) to messages.
 
     Items whose ``from`` is not in ``role_map`` vanish, order kept; a missing
     ``value`` gives ``''``, a JSON null gives null; the system message is
@@ -45,15 +45,11 @@ def to_messages(df: DataFrame, items_col: str = "items", role_map=CHAT_ROLE_MAP,
     srcs = [s for s, _ in role_map]
 
     def keep(x):
-        return F.coalesce(F.try_variant_get(x, "$.from", "string").isin(*srcs), F.lit(False))
+        return F.coalesce(x["from"].isin(*srcs), F.lit(False))
 
     def make(x):
-        frm = F.try_variant_get(x, "$.from", "string")
-        value_v = F.try_variant_get(x, "$.value", "variant")
-        content = (F.when(value_v.isNull(), F.lit(""))
-                   .when(F.is_variant_null(value_v), F.lit(None).cast("string"))
-                   .otherwise(F.try_variant_get(x, "$.value", "string")))
-        return F.struct(_role_map_expr(frm, role_map).alias("role"), content.alias("content"))
+        content = F.when(x["missing"], F.lit("")).otherwise(x["value"])
+        return F.struct(_role_map_expr(x["from"], role_map).alias("role"), content.alias("content"))
 
     system = F.array(F.struct(F.lit("system").alias("role"),
                               F.lit(system_prompt).cast("string").alias("content")))

@@ -8,8 +8,7 @@ Skew: a group may be very large. Per-group statistics (max, sum, arg-max,
 draws) are aggregates, so partial aggregation runs map-side before the
 shuffle; results are joined back on the group key, where AQE broadcasts the
 per-group table when its measured size is small and splits hot keys
-otherwise. Top-k is a ranked window, before whose shuffle Spark keeps at most k
-ranks of a group per task (``WindowGroupLimit``).
+otherwise. Top-k deals a group into parts and merges their best (``kth_ranks``).
 """
 
 from __future__ import annotations
@@ -74,14 +73,35 @@ def log_softmax(df: DataFrame, group: str, score: str, temperature: float = 1.0,
     return d.withColumn(out, lp).withColumn("prob", F.exp(lp)).drop("s_", "mx_", "lse_")
 
 
+#: parts that a group's candidates are dealt to before its k best are known
+SALTS = 64
+
+
+def kth_ranks(df: DataFrame, group: str, cand: str, score: str, k: int, out: str = "rank") -> DataFrame:
+    """``(group, score, rank)``: the distinct scores of rank at most ``k`` of each group. A
+    mergeable top-k: every group is dealt into ``SALTS`` parts, each part keeps its ``k``
+    largest scores (at most ``k`` rows a task leave for the shuffle), and the ranks come
+    from those few; no task sees a whole group."""
+    salt = F.pmod(F.xxhash64(cand), F.lit(SALTS))
+    part = Window.partitionBy(group, "salt_").orderBy(F.col(score).desc())
+    some = (df.select(group, F.col(score), salt.alias("salt_")).withColumn("n_", F.row_number().over(part))
+            .where(F.col("n_") <= k))
+    ranked = some.withColumn(out, F.rank().over(Window.partitionBy(group).orderBy(F.col(score).desc())))
+    return ranked.where(F.col(out) <= k).select(group, score, out).distinct()
+
+
 def top_k(df: DataFrame, group: str, cand: str, score: str, k: int,
           out: str = "rank") -> DataFrame:
-    """Keep candidates whose score is >= the k-th largest in their group;
-    ties may keep more than k (``rank()``, not ``row_number()``)."""
+    """Keep candidates whose score is >= the k-th largest in their group; ties may keep
+    more than k (``rank()``, not ``row_number()``). The few scores that stay, with their
+    ranks, are joined back on group and score (a hot score is split by AQE, and small
+    tables of ranks are broadcast)."""
     if k is None:
         return df.withColumn(out, F.lit(None).cast("int"))
-    w = Window.partitionBy(group).orderBy(F.col(score).desc())
-    return df.withColumn(out, F.rank().over(w)).filter(F.col(out) <= k)
+    ranks = kth_ranks(df, group, cand, score, k, out).select(
+        F.col(group).alias("g_"), F.col(score).alias("t_"), out)
+    kept = df.join(ranks, F.col(group).eqNullSafe(F.col("g_")) & F.col(score).eqNullSafe(F.col("t_")))
+    return kept.select(*df.columns, out)
 
 
 def softmax_top_k(df: DataFrame, group: str, cand: str, score: str, k: int | None = None,
@@ -126,6 +146,32 @@ def draw(df: DataFrame, group: str, cand: str, score: str, n: int = 1, seed: int
     return d.groupBy(group, "draw").agg(F.max_by(F.col(cand), key).alias(out or cand))
 
 
+def draw_many(df: DataFrame, group: str, cand: str, score: str, n: int, seed: int = SEED,
+              temperature: float = 1.0, k: int | None = None, out: str | None = None) -> DataFrame:
+    """``n`` independent draws per group by inverse transform: ``(group, draw, cand)``.
+
+    A group's candidates, in order of ``cand``, get cumulative probabilities; one uniform
+    number per draw (md5 of seed, group and draw) picks the first that reaches it. Draws
+    and candidates are merged in one order per group, so there are candidates + draws rows
+    and one hash a draw, never candidates x draws. A group's candidates are bounded by
+    ``k`` (ties beside) or by what can be a candidate at all."""
+    d = top_k(df, group, cand, score, k) if k is not None else df
+    by = Window.partitionBy(group)
+    d = d.select(group, F.col(cand).alias("c_"), _scaled(score, temperature).alias("s_"))
+    d = d.withColumn("w_", F.exp(F.col("s_") - F.max("s_").over(by)))
+    d = d.withColumn("cum_", F.sum("w_").over(by.orderBy("c_").rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("x_", F.col("cum_") / F.max("cum_").over(by))
+    draws = (d.select(group).distinct()
+             .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) if n > 0 else
+             d.select(group, F.lit(0).alias("draw")).limit(0))
+    draws = draws.select(group, uniform(F.lit(seed), F.col(group), F.col("draw")).alias("x_"), "draw",
+                         F.lit(None).cast(d.schema["c_"].dataType).alias("c_"))
+    both = draws.unionByName(d.select(group, "x_", F.lit(None).cast("int").alias("draw"), "c_"))
+    ahead = by.orderBy(F.col("x_"), F.col("draw").isNull(), "c_").rowsBetween(0, Window.unboundedFollowing)
+    found = both.withColumn("pick_", F.first("c_", ignorenulls=True).over(ahead)).where("draw is not null")
+    return found.select(group, "draw", F.col("pick_").alias(out or cand))
+
+
 # ---------------------------------------------------------------------------
 # losses
 # ---------------------------------------------------------------------------

@@ -29,7 +29,7 @@ from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, SelectOptio
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS, FIRST_MERGE_ID)
 from ..session import cut_lineage, run_folder
 from ..sinks.writers import append_metrics
-from ..sources.lines import read_chunks, read_messages, read_prompts, read_table
+from ..sources.lines import read_chunks, read_messages, read_prompts, read_table, spread
 from ..streaming.streams import start_corpus_stream
 
 # --------------------------------------------------------------------------
@@ -52,7 +52,7 @@ def _dpiece(role_sql: str, content_sql: str) -> str:
 
 
 def _docs(spark, sf):
-    return read_table(spark, sf, "documents")
+    return spread(read_table(spark, sf, "documents"), "doc_id")
 
 
 def _turns(spark, sf):
@@ -789,13 +789,14 @@ _CUT = f"chr({_PUA + 99})"
 def _sql_words(keys: str = "") -> str:
     """Pre-tokens without look-ahead: a separator goes before the last white space
     of a run that a visible character follows, then the pieces are matched by the
-    pattern's other branches."""
+    pattern's other branches. With ``keys``, ``wd`` has their places (pi, wi) too."""
     k = f"{keys}, " if keys else ""
     return fr"""
-sp AS (SELECT {k}unnest(string_split(regexp_replace(text, '(\s)(\s\S)', '\1' || {_CUT} || '\2', 'g'), {_CUT})) AS part
-       FROM documents),
-wd AS (SELECT {k}unnest(regexp_extract_all(part,
-         '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+')) AS word FROM sp),
+sl AS (SELECT {k}string_split(regexp_replace(text, '(\s)(\s\S)', '\1' || {_CUT} || '\2', 'g'), {_CUT}) AS parts FROM documents),
+sp AS (SELECT {k}unnest(parts) AS part, generate_subscripts(parts, 1) AS pi FROM sl),
+wl AS (SELECT {k}pi, regexp_extract_all(part,
+         '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+') AS ws FROM sp),
+wd AS (SELECT {k}pi, unnest(ws) AS word, generate_subscripts(ws, 1) AS wi FROM wl),
 wc AS (SELECT word, count(*) AS n FROM wd GROUP BY word),
 {_d_encode("SELECT word, n FROM wc", "word, n", "word", "we")}"""
 
@@ -835,14 +836,24 @@ def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
     m = BPE.merge_rows(BPE.train_bpe(d, "text", n_merges=BPE_MERGES))
     e = TK.encode(d, "text", "ids", merges=m)
     back = TK.decode(e, "ids", "back", merges=m)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.md5(_join_ids("ids")).alias("ids_md5"),
                        (F.col("back") == F.col("text")).alias("round_trip"))
 
 
-SQL_BPE_ENCODE = _sql_merges("doc_id") + f"""
-SELECT doc_id, CAST(sum(length(s) - length(replace(s, '<', ''))) AS BIGINT) AS n_ids, true AS round_trip
-FROM wd JOIN w{BPE_MERGES} USING (word) GROUP BY doc_id
-"""
+_SQL_BPE_IDS = _sql_merges("doc_id") + f""",
+en AS (SELECT doc_id, string_agg(s, '' ORDER BY pi, wi) AS s FROM wd JOIN w{BPE_MERGES} USING (word) GROUP BY doc_id)
+SELECT doc_id, CAST(length(s) - length(replace(s, '<', '')) AS BIGINT) AS n_ids,
+       md5(replace(substring(s, 2, length(s) - 2), '><', ' ')) AS ids_md5"""
+SQL_BPE_ENCODE = _SQL_BPE_IDS + ", true AS round_trip FROM en"
+SQL_BPE_UNIT_JOIN = _SQL_BPE_IDS + " FROM en"
+
+
+def q_bpe_unit_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ids by the relational form: distinct units encoded once and joined back."""
+    d = _docs(spark, sf).select("doc_id", "text")
+    m = BPE.merge_rows(BPE.train_bpe(d, "text", n_merges=BPE_MERGES))
+    e = BPE.encode_by_units(d, ["doc_id"], "text", m)
+    return e.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.md5(_join_ids("ids")).alias("ids_md5"))
 
 
 # --------------------------------------------------------------------------
@@ -1146,6 +1157,7 @@ def q_metrics_table(spark: SparkSession, sf: str) -> DataFrame:
     m = plan.join(loss, plan["global_step"] == loss["batch_id"]).select(
         "epoch", "step", "steps_per_epoch", F.round("loss", 6).alias("loss"), F.round("lr", 12).alias("lr"),
         F.col("n_tokens").cast("long").alias("n_tokens"), "is_log")
+    m = cut_lineage(m)  # written in two parts, worked out once
     path = run_folder(spark, "metrics")
     append_metrics(m.filter("is_log"), path)
     append_metrics(m.filter("not is_log"), path)
@@ -1260,6 +1272,7 @@ QUERIES = {
     "bpe_pair_counts": q_bpe_pair_counts,
     "bpe_merges": q_bpe_merges,
     "bpe_encode": q_bpe_encode,
+    "bpe_unit_join": q_bpe_unit_join,
     "held_out_loss": q_held_out_loss,
     "chat_outcomes": q_chat_outcomes,
     "chat_rejects": q_chat_rejects,
@@ -1314,6 +1327,7 @@ ORACLE = {
     "bpe_pair_counts": SQL_BPE_PAIR_COUNTS,
     "bpe_merges": SQL_BPE_MERGES,
     "bpe_encode": SQL_BPE_ENCODE,
+    "bpe_unit_join": SQL_BPE_UNIT_JOIN,
     "corpus_outcomes": SQL_CORPUS_OUTCOMES,
     "prepare_corpus": SQL_PREPARE_CORPUS,
     "reject_samples": SQL_REJECT_SAMPLES,

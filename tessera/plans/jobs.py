@@ -9,17 +9,15 @@ D7 ``select``           prompts x scores -> continuations (beam / greedy / sampl
 D8 ``evaluate``         batched samples x scores -> per-batch masked loss
 
 D1 and D2 outputs are one stage each (no exchange): classification, chunking
-and message building are per-line expressions. The file jobs take the counters
-(chunks written included) with ``observe`` while they write, so output and
-counters cost one read; lines are numbered only for the rejects, a top-k over
-the error lines.
+and message building are per-line expressions. The file jobs read the text once
+into a staged table, from which output, counters and numbered rejects come.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batching as B
@@ -28,11 +26,13 @@ from ..operators import quality as Q
 from ..operators import scoring as S
 from ..operators import tokens as TK
 from ..operators.chat import render_prompt, to_messages
-from ..functions.text import not_blank
+from ..functions.text import excerpt, not_blank
 from ..functions.text import pieces as F_pieces
 from ..options import ChatOptions, CorpusOptions, RunOptions, SelectOptions
 from ..sinks import write_chunks, write_messages
+from ..session import run_folder
 from ..sources import read_lines
+from ..sources.lines import PLACE, numbered, split_offsets, with_places
 from . import samples as SP
 
 
@@ -81,30 +81,67 @@ def prepare_chats(lines: DataFrame, opts: ChatOptions = ChatOptions(),
     return JobResult(_messages(c, ids, opts), Q.run_counters(c), rejects)
 
 
-def _write_counted(classified: DataFrame, output, write, path: str, what: str) -> dict:
-    """Write ``output(classified)`` and count outcomes and written rows on the way."""
-    seen, done = Observation(), Observation()
-    counts = [F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in (Q.OK, Q.SKIP, Q.ERROR, Q.BLANK)]
-    write(output(classified.observe(seen, *counts)).observe(done, F.count(F.lit(1)).alias(what)), path)
-    return {k: n for k, n in {**seen.get, **done.get}.items() if n}
+@dataclass
+class FileJob:
+    """Result of a file job: outcome counts (and written rows), and all rejected lines."""
+    counters: dict
+    rejects: DataFrame
+
+    def samples(self, n: int) -> list[dict]:
+        """The first ``n`` rejects by file and line (a top-k)."""
+        return [r.asDict() for r in self.rejects.orderBy("file", "line_id").limit(n).collect()]
+
+
+def _file_job(spark: SparkSession, in_path: str, out_path: str, classify, payload, write, what: str,
+              excerpt_chars: int) -> FileJob:
+    """One scan of the text: lines are classified and kept as a staged table in the shared
+    folder (place, outcome, excerpt of rejects, output records). Output, counters, split
+    offsets and rejects are column reads of that table, and only rejects get line numbers."""
+    c = classify(with_places(read_lines(spark, in_path)))
+    short = excerpt(Q.strip_blank(F.col("value")), excerpt_chars)
+    staged = c.select(*PLACE, "outcome", "reason", F.when(F.col("outcome") == Q.ERROR, short).alias("excerpt"),
+                      payload.alias("records"))
+    path = run_folder(spark, "classified")
+    staged.write.parquet(path)
+    staged = spark.read.schema(staged.schema).parquet(path)
+    write(staged.select(F.explode("records").alias("record")), out_path)
+    counts = staged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"),
+                                           F.sum(F.greatest(F.size("records"), F.lit(0))).alias("written")).collect()
+    counters = {r["outcome"]: r["n"] for r in counts} | {what: sum(r["written"] for r in counts)}
+    rejects = staged.where(F.col("outcome") == Q.ERROR).select(*PLACE, "reason", "excerpt")
+    return FileJob({k: n for k, n in counters.items() if n}, numbered(rejects, split_offsets(staged)))
+
+
+def corpus_file_job(spark: SparkSession, in_path: str, out_path: str, opts: CorpusOptions = CorpusOptions()) -> FileJob:
+    """D1 over files: chunk JSONL under ``out_path``."""
+    chunks = F.filter(F.when(F.col("outcome") == Q.OK, F_pieces("text", opts.chunk_width)), lambda x: not_blank(x))
+    return _file_job(spark, in_path, out_path, Q.classify_corpus, chunks,
+                     lambda d, path: write_chunks(d.select(F.col("record").alias("text")), path), "chunks", opts.excerpt_chars)
+
+
+def chat_file_job(spark: SparkSession, in_path: str, out_path: str, opts: ChatOptions = ChatOptions()) -> FileJob:
+    """D2 over files: message JSONL under ``out_path``."""
+    def classify(lines):
+        return to_messages(Q.classify_chats(lines), "items", opts.role_map, opts.system_prompt)
+
+    chats = F.when(F.col("outcome") == Q.OK, F.array("messages"))
+    return _file_job(spark, in_path, out_path, classify, chats,
+                     lambda d, path: write_messages(d.select(F.col("record").alias("messages")), path), "chats",
+                     opts.excerpt_chars)
 
 
 def prepare_corpus_files(spark: SparkSession, in_path: str, out_path: str,
                          opts: CorpusOptions = CorpusOptions()) -> dict:
     """Read a JSONL corpus, write chunk JSONL, return the counters (``chunks``
     written included) and the reject samples (small, bounded results)."""
-    counters = _write_counted(Q.classify_corpus(read_lines(spark, in_path)),
-                              lambda c: _chunks(c, [], opts), write_chunks, out_path, "chunks")
-    rejects = prepare_corpus(read_lines(spark, in_path, number=True), opts).rejects
-    return {"counters": counters, "rejects": [x.asDict() for x in rejects.collect()]}
+    job = corpus_file_job(spark, in_path, out_path, opts)
+    return {"counters": job.counters, "rejects": job.samples(opts.reject_samples)}
 
 
 def prepare_chat_files(spark: SparkSession, in_path: str, out_path: str,
                        opts: ChatOptions = ChatOptions()) -> dict:
-    counters = _write_counted(Q.classify_chats(read_lines(spark, in_path)),
-                              lambda c: _messages(c, [], opts), write_messages, out_path, "chats")
-    rejects = prepare_chats(read_lines(spark, in_path, number=True), opts).rejects
-    return {"counters": counters, "rejects": [x.asDict() for x in rejects.collect()]}
+    job = chat_file_job(spark, in_path, out_path, opts)
+    return {"counters": job.counters, "rejects": job.samples(opts.reject_samples)}
 
 
 def plan_run(samples: DataFrame, id_cols: list[str], opts: RunOptions = RunOptions()):
@@ -134,6 +171,6 @@ def evaluate(batched: DataFrame, scores: DataFrame, batch: str = "batch_id") ->
     return S.batch_losses(S.sample_losses(batched, scores, [batch], merge_pairs=True), batch)
 
 
-__all__ = ["JobResult", "prepare_corpus", "prepare_chats", "prepare_corpus_files",
+__all__ = ["FileJob", "JobResult", "corpus_file_job", "chat_file_job", "prepare_corpus", "prepare_chats", "prepare_corpus_files",
            "prepare_chat_files", "plan_run", "render_prompts", "select", "evaluate",
            "SP"]

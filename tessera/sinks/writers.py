@@ -38,6 +38,37 @@ def write_samples(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+#: batches of a file: about 150 MB of samples of 511 positions
+BATCHES_PER_FILE = 512
+
+
+def write_batch_files(df: DataFrame, path: str, batches_per_file: int = BATCHES_PER_FILE, mode: str = "overwrite") -> DataFrame:
+    """Samples with ``epoch, batch_id, batch_pos`` laid out for a loader: under
+    ``path/samples`` one file for every ``batches_per_file`` consecutive batches of an epoch,
+    sorted by batch and place, and under ``path/index`` the file of every batch
+    ``(epoch, batch_id, file, n_samples)``, which is returned. A batch is in one file only:
+    its samples share the task that writes it, and the files' size is a parameter."""
+    spark = df.sparkSession
+    part = F.floor(F.col("batch_id") / batches_per_file).cast("long")
+    laid = df.withColumn("part", part).repartition("epoch", "part").sortWithinPartitions("epoch", "part", "batch_id", "batch_pos")
+    laid.write.mode(mode).partitionBy("epoch", "part").parquet(f"{path}/samples")
+    back = spark.read.parquet(f"{path}/samples")
+    index = (back.select("epoch", "batch_id", F.col("_metadata.file_path").alias("file"))
+             .groupBy("epoch", "batch_id", "file").agg(F.count(F.lit(1)).alias("n_samples")))
+    index.write.mode(mode).parquet(f"{path}/index")
+    return spark.read.parquet(f"{path}/index")
+
+
+def read_batch(spark, path: str, epoch: int, batch_id: int) -> DataFrame:
+    """One batch of ``write_batch_files``, in order: opens the one file that the index names."""
+    rows = spark.read.parquet(f"{path}/index").where((F.col("epoch") == epoch) & (F.col("batch_id") == batch_id)).collect()
+    files = [r["file"] for r in rows]
+    if not files:
+        return spark.read.parquet(f"{path}/samples").limit(0)
+    return (spark.read.option("basePath", f"{path}/samples").parquet(*files)
+            .where(F.col("batch_id") == batch_id).drop("part").orderBy("batch_pos"))
+
+
 def append_metrics(df: DataFrame, path: str) -> None:
     """Append rows to a metrics table (parquet)."""
     df.write.mode("append").parquet(path)

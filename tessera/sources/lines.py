@@ -16,6 +16,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A plain scan dealt by ``keys`` when its files give fewer tasks than there are cores
+    (a file of one row group is one task); as it is otherwise. The rows are the same."""
+    few = scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(*keys) if few else scan
+
+
 def read_lines(spark: SparkSession, path: str, number: bool = False) -> DataFrame:
     """Lines of text files (``\\n``, ``\\r\\n`` and ``\\r`` end a line).
 
@@ -29,20 +36,38 @@ def read_lines(spark: SparkSession, path: str, number: bool = False) -> DataFram
     df = spark.read.text(path)
     if not number:
         return df
-    base = df.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mid"),
-    )
-    stats = base.groupBy("file", "block").agg(F.min("mid").alias("first_mid"),
-                                              F.count(F.lit(1)).alias("n"))
+    base = with_places(df)
+    offsets = split_offsets(base)
+    return (base.join(F.broadcast(offsets), ["file", "block"])
+            .select("value", "file", _line_id().alias("line_id")))
+
+
+PLACE = ("file", "block", "mid")
+
+
+def with_places(lines: DataFrame) -> DataFrame:
+    """``(value, file, block, mid)``: each line's input split and its place in the scan."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("mid"))
+
+
+def split_offsets(placed: DataFrame) -> DataFrame:
+    """``(file, block, first_mid, offset)``: a split's first place and the lines of its
+    file before it. One row per input split, which the scan itself lists on the driver."""
+    stats = placed.groupBy("file", "block").agg(F.min("mid").alias("first_mid"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    return (base.join(F.broadcast(stats.select("file", "block", "first_mid", "offset")),
-                      ["file", "block"])
-            .select("value", "file",
-                    (F.col("offset") + F.col("mid") - F.col("first_mid") + 1).alias("line_id")))
+    return stats.select("file", "block", "first_mid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
+
+
+def _line_id():
+    return F.col("offset") + F.col("mid") - F.col("first_mid") + 1
+
+
+def numbered(placed: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``placed`` (some of the lines) with the 1-based ``line_id`` in their file."""
+    return (placed.join(offsets, ["file", "block"]).withColumn("line_id", _line_id())
+            .drop("block", "mid", "first_mid", "offset"))
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

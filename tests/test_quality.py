@@ -24,11 +24,40 @@ def test_corpus_classes(spark):
         assert got[i] == want, (v, got[i], want)
 
 
-def test_known_gaps_documented(spark):
-    # trailing junk is accepted; duplicate keys are rejected (documented differences)
-    df = spark.createDataFrame([('{"text":"a"} junk',), ('{"text":"d1","text":"d2"}',)], "value string")
-    got = [r.outcome for r in Q.classify_corpus(df).collect()]
-    assert got == ["ok", "error"]
+STRICT = [
+    ('{"text":"a"} junk', "error", "json"), ('{"text":"a"}{"text":"b"}', "error", "json"), ('{"text":"a"}, {"text":"b"}', "error", "json"),
+    ('{"text":"a"}] [', "error", "json"), ('{"text":"a"},1] x', "error", "json"), ('{"text":"d1","text":"d2"}', "ok", "d2"),
+    ('{"text":"d1","text":5}', "error", "type:BIGINT"), ('{"x":NaN,"text":"t"}', "ok", "t"), ('{"x":{"y":1,"y":2},"text":" "}', "skip", None),
+    ('{"x":-Infinity}', "skip", None), ('{"text":NaN}', "error", "type:DOUBLE"), ('"s" junk', "error", "json"), ("[1] [2]", "error", "json"),
+    ('{"text":"a","text":"\\ud800b"}', "ok", "\ufffdb"), ("{" * 5000, "error", "json"), ('{"a":1,}', "error", "json"),
+]
+
+
+def test_strict_route(spark):
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(STRICT)], "line_id long, value string")
+    got = {r.line_id: (r.outcome, r.text if r.outcome == "ok" else r.reason) for r in Q.classify_corpus(df).collect()}
+    for i, (v, outcome, what) in enumerate(STRICT):
+        assert got[i] == (outcome, what), (v[:40], got[i])
+
+
+def test_strict_chat_route(spark):
+    chat = '{"conversations":[{"from":"human","value":"x","value":"h"},{"from":"assistant","value":null},{"from":"human"}%s],"n":NaN}%s'
+    lines = [(chat % ("", ""), "ok"), (chat % (',"s"', ""), "item"), (chat % ("", " x"), "json"), ('{"conversations":1,"conversations":{}}', "type:OBJECT"),
+             ('{"a":1,"a":2}', "missing")]
+    df = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(lines)], "line_id long, value string")
+    c = Q.classify_chats(df)
+    assert {r.line_id: r.reason or r.outcome for r in c.collect()} == {i: w for i, (_, w) in enumerate(lines)}
+    (m,) = to_messages(c.filter(F.col("outcome") == "ok"), "items", system_prompt="S").collect()
+    assert [(x.role, x.content) for x in m.messages] == [("system", "S"), ("user", "h"), ("assistant", None), ("user", "")]
+
+
+def test_a_line_beyond_the_variant_limit_is_kept(spark, tmp_path):
+    n = 135_000_000
+    with open(tmp_path / "long.jsonl", "w") as f:
+        f.write('{"text":"' + "x" * n + '"}\n{"text":"short"}\n')
+    lines = spark.read.text(str(tmp_path / "long.jsonl"))
+    c = Q.classify_corpus(lines).select("outcome", "reason", F.length("text").alias("n"))
+    assert sorted(tuple(r) for r in c.collect()) == [("ok", None, 5), ("ok", None, n)]
 
 
 def test_counters_and_rejects(spark):
