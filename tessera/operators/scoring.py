@@ -167,8 +167,10 @@ def draw_many(df: DataFrame, group: str, cand: str, score: str, n: int, seed: in
     draws = draws.select(group, uniform(F.lit(seed), F.col(group), F.col("draw")).alias("x_"), "draw",
                          F.lit(None).cast(d.schema["c_"].dataType).alias("c_"))
     both = draws.unionByName(d.select(group, "x_", F.lit(None).cast("int").alias("draw"), "c_"))
-    ahead = by.orderBy(F.col("x_"), F.col("draw").isNull(), "c_").rowsBetween(0, Window.unboundedFollowing)
-    found = both.withColumn("pick_", F.first("c_", ignorenulls=True).over(ahead)).where("draw is not null")
+    # from the top down the last candidate seen is the first that reaches the draw
+    down = by.orderBy(F.col("x_").desc(), F.col("draw").isNull().desc(), F.col("c_").desc())
+    down = down.rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("pick_", F.last("c_", ignorenulls=True).over(down)).where("draw is not null")
     return found.select(group, "draw", F.col("pick_").alias(out or cand))
 
 

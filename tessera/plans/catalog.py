@@ -25,7 +25,7 @@ from ..operators import lookup as L
 from ..operators import scoring as S
 from . import jobs as JB
 from . import samples as SP
-from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, SelectOptions, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PREPARE_SYSTEM_PROMPT,
+from ..options import (BATCH_SIZE, SEED, ChatOptions, CorpusOptions, SelectOptions, RunOptions, BOS_TOKEN, CHUNK_WIDTH, GENERATION_PROMPT, MAX_LENGTH, PAD_ID, PREPARE_SYSTEM_PROMPT,
                        SAMPLING_SYSTEM_PROMPT, SPECIAL_TOKENS, FIRST_MERGE_ID)
 from ..session import cut_lineage, run_folder
 from ..sinks.writers import append_metrics
@@ -762,11 +762,12 @@ def q_vector_lookup(spark: SparkSession, sf: str) -> DataFrame:
     smp = _samples(spark, sf).select("doc_id", "chunk_no", "x")
     vec = read_table(spark, sf, "embeddings")
     first = F.element_at("embedding", 1).cast("double").alias("e0")
-    j = L.vector_lookup(smp, "x", ["doc_id", "chunk_no"], vec, "vec_id", (first, "label"))
+    j = L.counted_lookup(smp, "x", ["doc_id", "chunk_no"], vec, "vec_id", (first, "label"), pad=PAD_ID)
+    n = F.col("n")
     return (j.groupBy("doc_id", "chunk_no")
-            .agg(F.count("label").alias("n_found"),
-                 F.sum("label").cast("long").alias("label_sum"),
-                 F.round(F.sum("e0"), 4).alias("e0_sum")))
+            .agg(F.sum(F.when(F.col("label").isNotNull(), n).otherwise(0)).alias("n_found"),
+                 F.sum(F.col("label") * n).cast("long").alias("label_sum"),
+                 F.round(F.sum(F.col("e0") * n), 4).alias("e0_sum")))
 
 
 SQL_VECTOR_LOOKUP = _SQL_PADDED + f"""

@@ -103,7 +103,7 @@ def progress_stream(metrics: DataFrame, run: str = "run", step: str = "step",
     ``(run, step, spent_sec, minutes_left)``. A run starts at its step 0; the state of a run
     is that time, and the steps that arrive before it, so order of arrival does not matter."""
     m = metrics.select(F.col(run).cast("long").alias("run"), F.col(step).cast("long").alias("step"),
-                       F.col(steps_per_epoch).cast("long").alias("steps_per_epoch"), F.unix_micros(ts).alias("micros"))
+                       F.col(steps_per_epoch).cast("long").alias("steps_per_epoch"), F.unix_micros(F.col(ts).cast("timestamp")).alias("micros"))
     return m.groupBy("run").applyInPandasWithState(
         _minutes_left, "run long, step long, spent_sec double, minutes_left long", "start long, waiting string",
         "append", "NoTimeout")

@@ -55,3 +55,20 @@ def test_run_plan(spark):
     assert len(p) == 42 and p[21].epoch == 1 and p[21].step == 0 and p[21].global_step == 21
     assert [r.step for r in p if r.is_update and r.epoch == 0] == [7, 15]
     assert all(r.carries_over == (r.step >= 16) for r in p)
+
+
+def test_update_numbers_carry_over_epochs(spark):
+    from pyspark.sql import functions as F
+
+    for per, epochs, acc in ((11, 3, 4), (3, 2, 4), (8, 2, 4), (1, 1, 1)):
+        opts = B.RunOptions(epochs=epochs, accumulation_steps=acc)
+        steps = spark.range(per * epochs).select((F.col("id") / per).cast("int").alias("epoch"), (F.col("id") % per).alias("step"))
+        got = {(r.epoch, r.step): r.update_no for r in B.update_numbers(steps, per, opts).collect()}
+        pending, n = [], 0
+        for e in range(epochs):
+            for s in range(per):
+                pending.append((e, s))
+                if (s + 1) % acc == 0:
+                    assert all(got[x] == n for x in pending)
+                    pending, n = [], n + 1
+        assert all(got[x] is None for x in pending)

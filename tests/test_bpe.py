@@ -146,3 +146,53 @@ def test_runs_of_equal_symbols_match_python(spark):
     want, _ = _python_merges(texts, 24)
     got = [(r.a, r.b, r.n) for r in bpe.train_bpe(docs, "text", n_merges=24).orderBy("rank").collect()]
     assert got == want
+
+
+def _public_merges(spark):
+    """The 50,000 merges of a public byte-level file in this library's ids."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    lut = byte_to_id_table()
+    ids, piece = {c: lut[b] for c, b in letters.items()}, {c: chr(b) for c, b in letters.items()}
+    rows = []
+    for r, m in enumerate(model["merges"]):
+        a, b = m.split(" ") if isinstance(m, str) else m
+        ids[a + b], piece[a + b] = 261 + r, piece[a] + piece[b]
+        rows.append((r, ids[a], ids[b], 261 + r, 0, piece[a + b]))
+    return spark.createDataFrame(rows, bpe.MERGES_SCHEMA), {ids[t]: i for t, i in model["vocab"].items() if t in ids}
+
+
+def test_ids_of_a_large_merge_table_equal_the_library(spark):
+    """50,000 merges: per batch and by the join of distinct units, against the tokenizers library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    merges, theirs = _public_merges(spark)
+    merges = bpe.merge_rows(merges)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(spark.createDataFrame([(-1, None), (-2, ""), (-3, "  \n\n x's \u3000\u00e9\U0001f600 " * 3)], docs.schema))
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {r.doc_id: lib.encode(r.text, add_special_tokens=False).ids for r in docs.collect() if r.text is not None}
+    batch = {r.doc_id: r.ids for r in TK.encode(docs, "text", "ids", merges=merges).collect()}
+    joined = {r.doc_id: r.ids for r in bpe.encode_by_units(docs, ["doc_id"], "text", merges).collect()}
+    assert batch == joined and batch[-1] is None and batch[-2] == []
+    assert {d: [theirs[i] for i in ids] for d, ids in batch.items() if ids is not None} == want
+
+
+def test_list_of_pairs_runs_out_and_is_counted_again(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    want, _ = _python_merges([r.text for r in docs.collect()], 120)
+    for listed, best in ((40, 256), (3, 2), (1, 1)):
+        monkeypatch.setattr(bpe, "LISTED", listed)
+        monkeypatch.setattr(bpe, "ROUND_PAIRS", best)
+        n = 120 if listed == 40 else 12
+        got = [(r.a, r.b, r.n) for r in bpe.train_bpe(docs, "text", n_merges=n).orderBy("rank").collect()]
+        assert got == want[:n], listed
+    ties = spark.createDataFrame([(w,) for w in ("ab", "cd", "ef", "gh", "ij", "kl")], "text string")
+    assert [r.a for r in bpe.train_bpe(ties, "text", n_merges=9).orderBy("rank").collect()] == [byte_to_id_table()[ord(c)] for c in "acegik"]

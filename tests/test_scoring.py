@@ -84,3 +84,33 @@ def test_render_turns_equals_long_form(spark):
     a = {r.conv_id: r.text for r in C.render_turns(t).collect()}
     b = {r.conv_id: r.text for r in C.render_long(C.messages_long(t)).collect()}
     assert a == b and len(a) > 0
+
+
+def test_top_k_of_a_hot_group_is_spread(spark):
+    """Most rows in one group, heavy ties at the border, nulls; no window over a whole group."""
+    rows = [(1, i, float(i % 50)) for i in range(20_000)] + [(2, 1, 0.5), (2, 2, None), (3, 1, None)] + [(4, i, 1.0) for i in range(70)]
+    df = spark.createDataFrame(rows, "g long, c long, s double")
+    got = sorted((r.g, r.c, r["rank"]) for r in S.top_k(df, "g", "c", "s", 401).collect())
+    key = lambda s: (s is not None, s or 0.0)
+    want = []
+    for g, c, s in rows:
+        rank = 1 + sum(key(t) > key(s) for h, _, t in rows if h == g) if g != 1 else 1 + 400 * (49 - c % 50)
+        if rank <= 401:
+            want.append((g, c, rank))
+    assert got == sorted(want)
+    assert S.kth_ranks(df, "g", "c", "s", 401).where("g = 1").count() == 2
+
+
+def test_many_draws_follow_the_probabilities(spark):
+    import math
+
+    rows = [(g, c, math.log(w)) for g in range(3) for c, w in ((5, 1), (7, 2), (9, 5))] + [(9, 1, 0.3)]
+    df = spark.createDataFrame(rows, "g int, c int, s double")
+    got = S.draw_many(df, "g", "c", "s", 20_000).groupBy("g", "c").count().collect()
+    share = {(r.g, r.c): r["count"] / 20_000 for r in got}
+    for g in range(3):
+        assert all(abs(share[g, c] - w / 8) < 0.02 for c, w in ((5, 1), (7, 2), (9, 5)))
+    assert share[9, 1] == 1.0
+    assert S.draw_many(df, "g", "c", "s", 0).count() == 0
+    plan = S.draw_many(df, "g", "c", "s", 1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "Join Inner" not in plan

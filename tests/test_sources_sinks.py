@@ -115,3 +115,29 @@ def test_file_prompts(spark):
     assert df.count() == 5 and df.columns == p.columns
     with pytest.raises(FileNotFoundError):
         expand_file_prompts(spark, prompts_from_list(spark, ["FILE:" + os.path.join(d, "ta.txt")]))
+
+
+def test_one_file_holds_a_whole_batch(spark, tmp_path):
+    from tessera.sinks.writers import read_batch, write_batch_files
+
+    df = spark.createDataFrame([(i, f"text {i} " * 5) for i in range(200)], "sid long, text string")
+    batches, _ = JB.plan_run(SP.pretrain_samples(df, "text", ["sid"]), ["sid"], B.RunOptions(epochs=2, batch_size=16))
+    index = write_batch_files(batches.select("sid", "epoch", "batch_id", "batch_pos", "x"), str(tmp_path), 4)
+    rows = index.collect()
+    assert len(rows) == len({(r.epoch, r.batch_id) for r in rows}) == 2 * 13 and len({r.file for r in rows}) == 2 * 4
+    want = [r.sid for r in batches.where("epoch = 1 and batch_id = 12").orderBy("batch_pos").collect()]
+    got = read_batch(spark, str(tmp_path), 1, 12)
+    assert [r.sid for r in got.collect()] == want and len(got.inputFiles()) == 1
+    assert read_batch(spark, str(tmp_path), 1, 13).count() == 0
+
+
+def test_counted_lookup_equals_the_plain_one(spark):
+    df = spark.createDataFrame([(1, [3, 0, 3, 9, 0, 0]), (2, [0, 0]), (3, []), (4, [9])], "sid long, ids array<int>")
+    vec = spark.createDataFrame([(0, 10.0), (3, 2.0)], "vec_id long, v double")
+    plain = {}
+    for r in L.vector_lookup(df, "ids", ["sid"], vec, "vec_id", ("v",)).collect():
+        n, v = plain.get((r.sid, r.id), (0, None))
+        plain[r.sid, r.id] = (n + 1, r.v)
+    for pad in (None, 0, 77):
+        got = {(r.sid, r.id): (r.n, r.v) for r in L.counted_lookup(df, "ids", ["sid"], vec, "vec_id", ("v",), pad=pad).collect()}
+        assert got == plain

@@ -90,3 +90,17 @@ def test_streaming_counters(spark):
     for r in spark.read.parquet(os.path.join(d, "tbl")).collect():
         got[r.outcome] = got.get(r.outcome, 0) + r.n
     assert got == {"ok": 3, "skip": 1, "error": 2, "blank": 1}
+
+
+def test_progress_stream_waits_for_the_start_of_a_run(spark, tmp_path):
+    from tessera.streaming.streams import start_progress_stream
+
+    rows = [(1, 0, 100, 0), (1, 9, 100, 60), (2, 4, 10, 700), (2, 0, 10, 100), (3, 5, 10, 50)]
+    schema = "run long, step long, steps_per_epoch long, sec long"
+    for i in (1, 2, 0, 3, 4):  # steps before their run's start, one file a batch
+        df = spark.createDataFrame([rows[i]], schema).selectExpr("run", "step", "steps_per_epoch", "timestamp_seconds(sec) as ts")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    start_progress_stream(stream, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 0, 0.0, 0), (1, 9, 60.0, 9), (2, 0, 0.0, 0), (2, 4, 600.0, 10)]  # run 3 has no start
