@@ -48,5 +48,17 @@ def test_packing_round_trip(values):
 
 def test_edges(edge, nothing):
     rows = M.backoff_scores(edge).collect()
-    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in edge.collect())
+    texts = edge.collect()
+    want = [(r.doc_id, n, None if not n else s) for r, (n, s) in zip(texts, brute([r.text for r in texts], 2, 2, M.ALPHA))]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    for got, (doc_id, n, s) in zip(sorted(((r.doc_id, r.n_words, r.log_prob) for r in rows), key=key), sorted(want, key=key)):
+        assert got[:2] == (doc_id, n) and got[2] == pytest.approx(s or 0.0, rel=1e-9)
     assert M.backoff_scores(nothing).count() == 0
+
+
+def test_counts_and_rows_share_one_exchange(spark):
+    df = spark.createDataFrame([(i, f"a b {i % 3} c") for i in range(50)], "doc_id long, text string")
+    scores = M.backoff_scores(df)
+    scores.collect()
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") == 1
