@@ -55,10 +55,3 @@ def test_edges(edge, nothing):
         assert got[:2] == (doc_id, n) and got[2] == pytest.approx(s or 0.0, rel=1e-9)
     assert M.backoff_scores(nothing).count() == 0
 
-
-def test_counts_and_rows_share_one_exchange(spark):
-    df = spark.createDataFrame([(i, f"a b {i % 3} c") for i in range(50)], "doc_id long, text string")
-    scores = M.backoff_scores(df)
-    scores.collect()
-    plan = scores._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ReusedExchange") == 1
