@@ -6,9 +6,11 @@ The likelihood of a word is the sum over all of its segmentations into pieces
 with the largest likelihood wins, ``score`` is its posterior under equal priors.
 
 A word is a maximal run of ASCII letters and non-ASCII characters, lower-cased
-(characters of one or two bytes), with a word-start mark before it. A run longer than
-``MAX_WORD`` bytes is scored as consecutive words of that length, so whole texts
-count. Every byte is a piece of its own besides, so each word has a segmentation.
+(characters of one or two bytes), with a word-start mark before it. Runs and pieces may
+have any length: runs longer than ``WINDOW`` bytes go through the forward algorithm window
+by window, the last values of one carried over to the next and scaled, so segmentations
+across a border are summed as well. Every byte is a piece of its own besides, so each word
+has a segmentation.
 
 Piece probabilities are learned by expectation-maximisation over the table of
 (language, word, count) of all training rows; only sums per language and piece
@@ -30,17 +32,18 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .shared import written
 
-MAX_WORD = 48
-MAX_PIECE = 8
+WINDOW = 48  # bytes between scalings: FLOOR ** WINDOW is above the smallest double
+CELLS = 1 << 18
 FLOOR = 1e-6
 ROUNDS = 2
+CACHE_WORDS, CACHE_STEP = 600_000, 1 << 17
 MARK = 1
 _VALUE = tk.byte_table(lambda b: False, lower=False, seed=77)
 
 
 def vocabulary(path: str | None = None) -> list[bytes]:
     """Pieces of the public vocabulary that can occur in a word: letters, lower
-    case, at most MAX_PIECE bytes with the word-start mark; then every byte."""
+    case, with the word-start mark where they have it; then every byte."""
     import sentencepiece
 
     if path is None:
@@ -54,7 +57,7 @@ def vocabulary(path: str | None = None) -> list[bytes]:
         piece = model.id_to_piece(i)
         body = piece[1:] if piece.startswith("▁") else piece
         raw = (bytes([MARK]) if body is not piece and len(body) < len(piece) else b"") + body.encode()
-        if body.isalpha() and body == body.lower() and 1 < len(raw) <= MAX_PIECE:
+        if body.isalpha() and body == body.lower() and len(raw) > 1:
             found[raw] = None
     return [*found, *(bytes([b]) for b in range(256))]
 
@@ -66,7 +69,8 @@ class Pieces:
 
     def __init__(self, pieces: list[bytes]):
         self.size = len(pieces)
-        p, _ = tk.powers(MAX_WORD + 2)
+        self.longest = max(map(len, pieces))
+        p, _ = tk.powers(self.longest)
         raw = np.array([int(np.add.reduce(_VALUE[list(x)] * p[:len(x)], dtype=np.uint64)) for x in pieces], np.uint64)
         self.hash = np.append(tk.mix64(raw), np.uint64(0))
         ids = np.arange(self.size, dtype=np.int32)
@@ -90,30 +94,85 @@ class Pieces:
 
     def of(self, m: np.ndarray) -> list[np.ndarray]:
         """Ids of all substrings of the rows: entry l-1 has them by start, for length l."""
-        p, q = tk.powers(MAX_WORD + 2)
         n, w = m.shape
+        p, q = tk.powers(w + 1)
         run = np.zeros((n, w + 1), np.uint64)
         np.cumsum(_VALUE[m] * p[:w], axis=1, out=run[:, 1:])
-        return [self.find(tk.mix64((run[:, k:] - run[:, :-k]) * q[:w + 1 - k])) for k in range(1, min(MAX_PIECE, w) + 1)]
+        return [self.find(tk.mix64((run[:, k:] - run[:, :-k]) * q[:w + 1 - k])) for k in range(1, min(self.longest, w) + 1)]
 
 
 def _rows(data: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """Words as (byte matrix chunks): yields (word numbers, matrix, lengths)."""
-    parts = -(-(end - start) // MAX_WORD)
-    word = np.repeat(np.arange(len(start)), parts)
-    nth = np.arange(len(word)) - np.repeat(np.cumsum(parts) - parts, parts)
-    lo = start[word] + nth * MAX_WORD
-    size = np.minimum(end[word] - lo, MAX_WORD)
+    """Words as byte matrices with the word-start mark: yields (word numbers, matrix,
+    lengths). Words beyond WINDOW bytes come with others of the same length only."""
+    size = end - start
     order = np.argsort(size, kind="stable")
-    for at in range(0, len(order), 8192):
-        pick = order[at:at + 8192]
-        w = int(size[pick].max())
+    sizes = size[order]
+    at = 0
+    while at < len(order):
+        w = int(sizes[at])
+        if w <= WINDOW:
+            stop = min(at + 8192, int(np.searchsorted(sizes, WINDOW, side="right")))
+        else:
+            stop = min(at + max(1, CELLS // w), int(np.searchsorted(sizes, w, side="right")))
+        pick = order[at:stop]
+        w = int(sizes[stop - 1])
         col = np.arange(w)
         m = np.zeros((len(pick), w + 1), np.uint8)
         m[:, 0] = MARK
         inside = col < size[pick][:, None]
-        m[:, 1:][inside] = data[(lo[pick][:, None] + col)[inside]]
-        yield word[pick], m, size[pick] + 1
+        m[:, 1:][inside] = data[(start[pick][:, None] + col)[inside]]
+        yield pick, m, size[pick] + 1
+        at = stop
+
+
+def forward_long(pieces: Pieces, look, m: np.ndarray, shape: tuple, keep: bool = False):
+    """Log probability of rows of one length, window by window; with ``keep`` that of
+    each prefix (entry j: the first j bytes). ``look`` gives the probabilities of piece ids."""
+    n, w = m.shape
+    k_most, scale, lo = pieces.longest, np.zeros(shape), 0
+    carry = np.ones((1, *shape))  # positions lo ... b
+    found = [np.zeros((1, *shape))]
+    for b in range(0, w, WINDOW):
+        e = min(b + WINDOW, w)
+        ids = pieces.of(m[:, lo:e])
+        now = np.zeros((e - lo + 1, *shape))
+        now[:b - lo + 1] = carry
+        for j in range(b - lo + 1, e - lo + 1):
+            for k in range(1, min(k_most, j) + 1):
+                now[j] += now[j - k] * look(ids[k - 1][:, j - k])
+        if keep:
+            found.append(np.log(now[b - lo + 1:]) + scale)
+        new = max(0, e - k_most)
+        carry = now[new - lo:]
+        top = carry.max(axis=0)
+        carry, scale, lo = carry / top, scale + np.log(top), new
+    return np.concatenate(found) if keep else np.log(carry[-1]) + scale
+
+
+def masses_long(pieces: Pieces, look, m: np.ndarray):
+    """Yield (piece ids, posterior mass) for rows of one length, one language each."""
+    n, w = m.shape
+    k_most = pieces.longest
+    before = forward_long(pieces, look, m, (n,), keep=True)
+    carry, scale = np.ones((1, n)), np.zeros(n)  # positions e ... hi
+    for b in reversed(range(0, w, WINDOW)):
+        e = min(b + WINDOW, w)
+        hi = min(w, e + k_most)
+        ids = pieces.of(m[:, b:hi])
+        now = np.zeros((hi - b + 1, n))
+        now[e - b:] = carry[:hi - e + 1]
+        for j in reversed(range(e - b)):
+            for k in range(1, min(len(ids), hi - b - j) + 1):
+                now[j] += look(ids[k - 1][:, j]) * now[j + k]
+        ahead = before[b:e] - before[-1] + scale
+        for k, x in enumerate(ids, 1):
+            c = min(e - b, hi - b - k + 1)
+            with np.errstate(divide="ignore"):
+                mass = np.log(look(x[:, :c]).T * now[k:k + c])
+            yield x[:, :c], np.exp(ahead[:c] + mass).T
+        carry = now[:k_most + 1]
+        top = carry.max(axis=0)
+        carry, scale = carry / top, scale + np.log(top)
 
 
 def forward(ids: list[np.ndarray], prob: np.ndarray, w: int) -> np.ndarray:
@@ -131,8 +190,11 @@ def word_scores(pieces: Pieces, prob: np.ndarray, data, start, end) -> np.ndarra
     """Log likelihood of each word in each language."""
     out = np.zeros((len(start), prob.shape[1]))
     for word, m, size in _rows(data, start, end):
-        alpha = forward(pieces.of(m), prob, m.shape[1])
-        np.add.at(out, word, np.log(alpha[size, np.arange(len(size))]))
+        if m.shape[1] > WINDOW + 1:
+            out[word] = forward_long(pieces, lambda x: prob[x], m, (len(word), prob.shape[1]))
+        else:
+            alpha = forward(pieces.of(m), prob, m.shape[1])
+            out[word] = np.log(alpha[size, np.arange(len(size))])
     return out
 
 
@@ -142,6 +204,12 @@ def expected_counts(pieces: Pieces, prob: np.ndarray, lang: np.ndarray, weight:
     total = np.zeros(prob.shape[1] * k1)
     flat = prob.T.reshape(-1)
     for word, m, size in _rows(data, start, end):
+        if m.shape[1] > WINDOW + 1:
+            own, many = lang[word] * k1, weight[word]
+            look = lambda x: flat[x + (own if x.ndim == 1 else own[:, None])]
+            for x, mass in masses_long(pieces, look, m):
+                total += np.bincount((x + own[:, None]).ravel(), (mass * many[:, None]).ravel(), minlength=len(total))
+            continue
         ids = [x + lang[word][:, None] * k1 for x in pieces.of(m)]
         n, w = m.shape
         alpha = np.zeros((w + 1, n))
@@ -206,7 +274,7 @@ def learn(rows: DataFrame, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[l
     k = len(pieces)
     prob = np.full((k + 1, len(langs)), 1.0 / k)
     prob[k] = 0
-    table = counts.coalesce(max(1, sc.defaultParallelism))
+    table = counts
     for _ in range(rounds if langs else 0):
         mass = table.mapInArrow(tk.tidy(_expect(sc.broadcast((pieces, langs, prob)))), "slot long, mass double")
         got = mass.groupBy("slot").agg(F.sum("mass").alias("mass")).collect()  # languages x pieces at most
@@ -222,6 +290,7 @@ def _predict(model):
         pieces, langs, prob = Pieces(model.value[0]), model.value[1], model.value[2]
         names = pa.array([*langs, "und"], pa.string())
         known, cached = np.zeros(0, np.uint64), np.zeros((0, len(langs)))
+        fresh, fresh_score = known, cached
         for batch in batches:
             total = np.zeros((batch.num_rows, len(langs)))
             letters = np.zeros(batch.num_rows, bool)
@@ -242,10 +311,13 @@ def _predict(model):
                 score[have] = cached[pos[have]]
                 new = ~have
                 score[new] = word_scores(pieces, prob, words.data, words.start[at[new]], words.end[at[new]])
-                if len(known) > 600_000:
-                    known, cached = u, score
-                else:
-                    known, cached = np.insert(known, pos[new], u[new]), np.insert(cached, pos[new], score[new], axis=0)
+                fresh, fresh_score = np.concatenate([fresh, u[new]]), np.concatenate([fresh_score, score[new]])
+                if 4 * len(fresh) > len(known) + CACHE_STEP:  # merged when a quarter is new: each row moves few times
+                    if len(known) > CACHE_WORDS:
+                        known, cached = known[:0], cached[:0]
+                    known, cached = np.concatenate([known, fresh]), np.concatenate([cached, fresh_score])
+                    known, at_ = np.unique(known, return_index=True)
+                    cached, fresh, fresh_score = cached[at_], fresh[:0], fresh_score[:0]
                 total[first:first + n] = tk.sums(score[back], words.bounds)
             for i in np.flatnonzero(~letters):
                 letters[i] = any(c.isalpha() for c in (text[int(i)].as_py() or ""))

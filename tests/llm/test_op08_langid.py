@@ -50,12 +50,74 @@ def test_expected_counts_by_enumeration():
     assert np.allclose(got, want.ravel())
 
 
-def test_long_run_is_scored_whole():
+def plain_forward(pieces, prob, raw, lang):
+    """Log sum over all segmentations, by exact fractions of a plain loop."""
+    from fractions import Fraction
+
+    p = {x: Fraction(float(prob[i, lang])) for i, x in enumerate(pieces)}
+    longest = max(map(len, pieces))
+    alpha = [Fraction(1)]
+    for j in range(1, len(raw) + 1):
+        value = sum((alpha[j - k] * p[raw[j - k:j]] for k in range(1, min(longest, j) + 1) if raw[j - k:j] in p), Fraction(0))
+        alpha.append(value.limit_denominator(10 ** 40) if value > 1 else value)
+    value = alpha[-1]
+    shift = value.denominator.bit_length() - value.numerator.bit_length()
+    return float(np.log(float(value * (1 << shift) if shift > 0 else value))) - shift * np.log(2)
+
+
+def long_words():
+    rng = np.random.default_rng(4)
+    return [bytes(rng.choice(list(b"abcd"), n).astype(np.uint8)) for n in (47, 48, 49, 50, 95, 96, 97, 300, 300)]
+
+
+def test_long_runs_sum_across_windows():
+    pieces, prob = model()
+    words = long_words()
+    got = L.word_scores(L.Pieces(pieces), prob, *buffers(words))
+    for w, s in zip(words, got):
+        for lang in (0, 1):
+            assert abs(plain_forward(pieces, prob, b"\x01" + w, lang) - s[lang]) < 1e-8 * len(w)
+
+
+def test_five_thousand_bytes_and_chinese_text_with_the_public_vocabulary():
+    pieces = L.vocabulary()
+    prob = np.vstack([np.random.default_rng(2).random((len(pieces), 1)) / 1000, np.zeros(1)])
+    chinese = "的一是不了人我在有他这为之大来以个中上们到说国和地也子时道出而要于就下得可你年生".encode() * 2
+    for raw in (b"internationalization" * 250, chinese):
+        at = {x: float(prob[i, 0]) for i, x in enumerate(pieces)}
+        longest = max(map(len, pieces))
+        text, alpha, scale = b"\x01" + raw, [1.0], 0.0
+        for j in range(1, len(text) + 1):  # a plain loop, scaled at every byte
+            alpha.append(sum(alpha[-k] * at.get(text[j - k:j], 0.0) for k in range(1, min(longest, j) + 1)))
+            alpha, scale = [x / alpha[-1] for x in alpha[-longest:]], scale + np.log(alpha[-1])
+        (got,) = L.word_scores(L.Pieces(pieces), prob, *buffers([raw]))
+        assert abs(got[0] - scale) < 1e-6 * len(raw)
+
+
+def test_expected_counts_of_long_runs():
+    """Against the derivative of the log likelihood: the count of a piece is p * d log Z / d p."""
     pieces, prob = model()
-    p = L.Pieces(pieces)
-    run = b"ab" * 100
-    parts = [run[i:i + L.MAX_WORD] for i in range(0, len(run), L.MAX_WORD)]
-    assert np.allclose(L.word_scores(p, prob, *buffers([run])), L.word_scores(p, prob, *buffers(parts)).sum(axis=0))
+    prob[:-1, 1] = prob[:-1, 0]
+    for w in (b"abcd" * 13, b"abca" * 40):
+        got = L.expected_counts(L.Pieces(pieces), prob, np.array([0]), np.array([2.0]), *buffers([w]))
+        for i in range(len(pieces)):
+            up, down = prob.copy(), prob.copy()
+            up[i, 0] *= 1 + 1e-5
+            down[i, 0] *= 1 - 1e-5
+            a, b = (L.word_scores(L.Pieces(pieces), x, *buffers([w]))[0, 0] for x in (up, down))
+            assert abs(got[i] - 2 * (a - b) / 2e-5) < 1e-3 * max(1, got[i])
+
+
+def test_no_piece_is_left_out():
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    have = set(L.vocabulary())
+    for i in range(sp.get_piece_size()):
+        t = sp.id_to_piece(i).replace("\u2581", "", 1)
+        if not sp.is_byte(i) and not sp.is_control(i) and t.isalpha() and t == t.lower():
+            assert (b"\x01" if t != sp.id_to_piece(i) else b"") + t.encode() in have
 
 
 def test_held_out_accuracy_and_columns(spark):
