@@ -12,7 +12,9 @@ and sorted by id; each partition writes one shard into the shared folder:
 so a reader fetches one short document with the footer, the index and one frame.
 The dictionary (hash: BLAKE2b-128) is trained on the serialized ids of at most
 ``SAMPLE_ROWS`` non-empty texts of at most ``SAMPLE_BYTES`` bytes, those with the
-smallest text hash; with too little to train on, frames go without dictionary.
+smallest hash of id and text among the rows below a hash threshold that leaves about
+twice as many, so no task meets more of them than that at any size of the table; with
+too little to train on, frames go without dictionary.
 All other numbers cover all rows.
 
 The encoder splits a text where the byte-level pattern always starts a new piece:
@@ -27,7 +29,8 @@ Plain chunks are encoded many at a time with line breaks between them.
 
 A shard is written under a name of its own and then moved, so a repeated task
 leaves the same file. Rows: null text is the empty text (only the end id); null
-ids come first; rows of equal id are ordered by text; other columns are ignored.
+ids come first; rows of equal id are ordered by a hash of their text (null texts first),
+and may go to several shards, equal rows too; other columns are ignored.
 Ids must be integers.
 """
 
@@ -337,8 +340,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
     kind = np.dtype("<u2" if max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = {"spec": spec, "type": kind, "end": end_id}
-    sample = (docs.where(F.octet_length("text").between(1, SAMPLE_BYTES))
-              .select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(SAMPLE_ROWS).select("text"))
+    fits = F.octet_length("text").between(1, SAMPLE_BYTES)
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(fits, 1)).alias("fit")).first()
+    most = min((1 << 63) - 1, int(((1 << 64) * 2 * SAMPLE_ROWS) // max(1, size.fit)) - (1 << 63))
+    sample = (docs.where(fits).select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.col("h") <= most)
+              .orderBy("h", "text").limit(SAMPLE_ROWS).select("text"))
     rows = sample.mapInArrow(tk.tidy(_sample(sc.broadcast(base))), "ids binary").collect()  # bounded by the sample
     folder = work_folder(spark, "shards")
     store, at = open_store(folder)
@@ -347,8 +353,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
     with store.open_output_stream(f"{at}/dictionary-{_hash(dictionary).hex()}.zdict") as f:
         f.write(dictionary)
     job = sc.broadcast(base | {"folder": folder, "dictionary": dictionary})
-    n = max(2 * sc.defaultParallelism, -(-docs.count() // SHARD_ROWS))
-    ordered = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    n = max(2 * sc.defaultParallelism, -(-size.rows // SHARD_ROWS))
+    order = ["doc_id", "some", "h", "nth"]
+    keyed = docs.select("doc_id", "text", F.col("text").isNotNull().alias("some"), F.xxhash64("text").alias("h"),
+                        F.monotonically_increasing_id().alias("nth"))
+    ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = written(ordered.mapInArrow(tk.tidy(_write(job)), "shard long, path string, docs long, tokens long"), "manifest")
     return manifest, job
 
@@ -371,5 +380,6 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: all documents as token shards, read back."""
+    """Pipeline stage: all documents as token shards, read back. Rows that repeat an id or
+    have none are encoded like all others, in the order that the module states."""
     return token_ids(docs)

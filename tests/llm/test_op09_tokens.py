@@ -99,3 +99,22 @@ def test_query_keeps_added_tokens(spark):
     ids = [np.array(plain.encode(t, add_special_tokens=False).ids + [2], "<u4") for t in texts]
     assert [(r.start, r.n_tokens, r.ids_crc32) for r in rows] == [
         (0, 5, zlib.crc32(ids[0].tobytes())), (5, len(ids[1]), zlib.crc32(ids[1].tobytes()))]
+
+
+def test_rows_without_id_go_to_several_shards(spark, whole):
+    rows = [(None, f"text {i % 700} of a row") for i in range(20_000)] + [(1, "one")] * 20_000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    manifest, job = T.write_shards(df)
+    full = [r.docs for r in manifest.collect() if r.docs]
+    assert len(full) >= 4 and max(full) < 20_000 and sum(full) == 40_000
+    got = T.read_shards(manifest, job).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 20_000 + [1] * 20_000
+    assert sum(r.n_tokens for r in got) == sum(len(whole(t)) + 1 for _, t in rows)
+
+
+def test_sample_is_bounded_by_a_threshold(spark):
+    """What reaches the task that sorts the sample does not grow with the table."""
+    df = spark.range(300_000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    most = int(((1 << 64) * 2 * T.SAMPLE_ROWS) // 300_000) - (1 << 63)
+    n = df.where(f"xxhash64(doc_id, text) <= {most}").count()
+    assert 1.5 * T.SAMPLE_ROWS < n < 2.5 * T.SAMPLE_ROWS
