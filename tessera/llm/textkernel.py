@@ -16,6 +16,9 @@ import gc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+from ..session import ship_package
 
 SEGMENT_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -208,7 +211,12 @@ def list_array(parts: list[np.ndarray], typ: pa.DataType) -> pa.Array:
 
 def tidy(run):
     """A batch function that gives its memory back to the system when its task
-    ends: Python workers stay alive between tasks and stages."""
+    ends: Python workers stay alive between tasks and stages. Makes sure that they can
+    import this package (before the plan that names the function is made)."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)
+
     def inner(batches):
         yield from run(batches)
         gc.collect()
