@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.schedule import learning_rate
 from ..options import BATCH_SIZE, RunOptions, SEED
+from .lookup import BROADCAST_BYTES
 
 
 def shuffle_key(id_cols: list[str], seed: int = SEED, epoch: Column | int = 0) -> Column:
@@ -46,9 +47,10 @@ def hex_bucket(key: Column, buckets: int) -> Column:
 
 
 def global_index(df: DataFrame, key_col: str, tie_cols: list[str], group_col: str,
-                 buckets: int | None = None, out: str = "idx") -> DataFrame:
+                 buckets: int | None = None, out: str = "idx", groups: int = 1) -> DataFrame:
     """0-based position of each row within ``group_col`` in the order of
-    ``(key_col, *tie_cols)``; ``key_col`` must be a uniform hex digest."""
+    ``(key_col, *tie_cols)``; ``key_col`` must be a uniform hex digest. The offsets,
+    ``groups`` x buckets rows, are broadcast while they stay below ``BROADCAST_BYTES``."""
     nb = buckets or BUCKETS
     d = df.withColumn("bkt_", hex_bucket(F.col(key_col), nb))
     counts = d.groupBy(group_col, "bkt_").agg(F.count(F.lit(1)).alias("n_"))
@@ -58,7 +60,7 @@ def global_index(df: DataFrame, key_col: str, tie_cols: list[str], group_col: st
                             F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("off_"))
     within = Window.partitionBy(group_col, "bkt_").orderBy(key_col, *tie_cols)
     return (d.withColumn("rn_", F.row_number().over(within))
-            .join(F.broadcast(offsets), [group_col, "bkt_"])
+            .join(F.broadcast(offsets) if groups * nb * 32 <= BROADCAST_BYTES else offsets, [group_col, "bkt_"])
             .withColumn(out, (F.col("off_") + F.col("rn_") - 1).cast("long"))
             .drop("bkt_", "rn_", "off_"))
 
@@ -75,7 +77,7 @@ def assign_batches(df: DataFrame, id_cols: list[str], batch: int = BATCH_SIZE, e
     d = df.crossJoin(F.broadcast(ep)) if epochs > 1 else df.withColumn("epoch", F.lit(0))
     d = d.withColumn("order_key", shuffle_key(id_cols, seed, F.col("epoch")))
     d = global_index(d, "order_key", list(id_cols), group_col="epoch",
-                     buckets=partitions, out="sample_idx")
+                     buckets=partitions, out="sample_idx", groups=epochs)
     return (d.withColumn("batch_id", F.floor(F.col("sample_idx") / batch).cast("long"))
              .withColumn("batch_pos", (F.col("sample_idx") % batch).cast("int")))
 

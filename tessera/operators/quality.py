@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import excerpt, not_blank
 from ..options import BLANK_CODE_POINTS
+from ..session import ship_package
 from .strict import BLANK, CHAT_ITEMS, ERROR, OK, SKIP, strict_chat, strict_text
 
 
@@ -45,6 +46,7 @@ def _is_object(top: Column) -> Column:
 def _parsed(df: DataFrame, line: Column, key: str, strict) -> DataFrame:
     """Adds ``s_`` (stripped line), ``v_`` (its VARIANT, null if not one value), ``top_`` and
     ``fv_`` (the type and the field of it) and ``r_`` (the strict parser's verdict)."""
+    ship_package(df.sparkSession)
     d = df.withColumn("s_", strip_blank(line)).withColumn("h_", F.xxhash64("s_"))
     d = d.withColumn("w_", F.try_parse_json(F.concat(F.lit("["), "s_", F.lit(","), "h_", F.lit("]"))))
     d = d.withColumn("v_", F.expr("if(try_variant_get(w_, '$[1]', 'bigint') = h_, variant_get(w_, '$[0]'), null)"))

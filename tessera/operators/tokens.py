@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions.bytes import decode_sql, encode_sql
 from ..options import MAX_LENGTH, PAD_ID
+from ..session import ship_package
 
 
 def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame | list | None = None,
@@ -25,6 +26,7 @@ def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame
     ``<|im_end|>`` in content becomes id 4, as when a rendered chat is
     tokenized); everything else becomes byte ids, merged when ``merges`` is
     given."""
+    ship_package(df.sparkSession)
     if merges is None:
         if impl == "sql":
             return df.withColumn(out, F.expr(encode_sql(f"`{col}`")))
@@ -37,6 +39,7 @@ def encode(df: DataFrame, col: str = "text", out: str = "ids", merges: DataFrame
 def decode(df: DataFrame, ids: str = "ids", out: str = "text", merges: DataFrame | list | None = None,
            impl: str = "arrow") -> DataFrame:
     """Token ids back to text (special tokens as their strings)."""
+    ship_package(df.sparkSession)
     if merges is None:
         if impl == "sql":
             return df.withColumn(out, F.expr(decode_sql(f"`{ids}`")))

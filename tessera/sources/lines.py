@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: most bytes of split offsets that are broadcast, bytes of one of them, most ``FILE:`` prompts' files
+BROADCAST_BYTES, PLACE_BYTES, MAX_FILES = 64 << 20, 256, 1 << 20
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 CHUNK_SCHEMA = "text string"
 
@@ -30,15 +32,17 @@ def read_lines(spark: SparkSession, path: str, number: bool = False) -> DataFram
     and ``file``. Lines are numbered per input split: each split's first
     monotonically-increasing id gives the position inside the split, and the
     line counts of the earlier splits of the same file give its offset. The
-    offset table has one row per input split (a size the scan already keeps
-    on the driver), so it is broadcast; no shuffle touches the lines.
+    offset table has one row per input split, a number the scan keeps on the
+    driver: below ``BROADCAST_BYTES`` it is broadcast, and no shuffle touches the lines.
     """
     df = spark.read.text(path)
     if not number:
         return df
     base = with_places(df)
     offsets = split_offsets(base)
-    return (base.join(F.broadcast(offsets), ["file", "block"])
+    rows = len(df.inputFiles()) + df.rdd.getNumPartitions()  # at most one for each file and cut
+    offsets = F.broadcast(offsets) if rows * PLACE_BYTES <= BROADCAST_BYTES else offsets
+    return (base.join(offsets, ["file", "block"])
             .select("value", "file", _line_id().alias("line_id")))
 
 
@@ -105,7 +109,9 @@ def expand_file_prompts(spark: SparkSession, prompts: DataFrame, col: str = "pro
     path that does not name exactly one file is an error."""
     is_file = F.col(col).startswith(prefix)
     path = F.expr(f"substring(`{col}`, {len(prefix) + 1})")
-    paths = [r[0] for r in prompts.filter(is_file).select(path).distinct().collect()]
+    paths = [r[0] for r in prompts.filter(is_file).select(path).distinct().limit(MAX_FILES + 1).collect()]
+    if len(paths) > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files are named by prompts")
     if not paths:
         return prompts
     conf = spark._jsc.hadoopConfiguration()

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import quality as Q
 from ..operators.chat import to_messages
 from ..options import ChatOptions, CorpusOptions
+from ..session import ship_package
 from ..sinks.writers import messages_json
 
 
@@ -102,6 +103,7 @@ def progress_stream(metrics: DataFrame, run: str = "run", step: str = "step",
     """Minutes left at every logged step of a stream of metrics, from event times:
     ``(run, step, spent_sec, minutes_left)``. A run starts at its step 0; the state of a run
     is that time, and the steps that arrive before it, so order of arrival does not matter."""
+    ship_package(metrics.sparkSession)
     m = metrics.select(F.col(run).cast("long").alias("run"), F.col(step).cast("long").alias("step"),
                        F.col(steps_per_epoch).cast("long").alias("steps_per_epoch"), F.unix_micros(F.col(ts).cast("timestamp")).alias("micros"))
     return m.groupBy("run").applyInPandasWithState(
