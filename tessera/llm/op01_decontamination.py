@@ -185,10 +185,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     place = F.shiftrightunsigned("h", 64 - MAP_BITS)
     # one row a byte of the map, at most 2**(MAP_BITS - 3)
     used = (index.select(place.cast("int").alias("p")).groupBy(F.expr("p div 8").alias("byte"))
-            .agg(F.expr("cast(bit_or(shiftleft(1, 7 - p % 8)) as int)").alias("bits")).toPandas())
+            .agg(F.expr("cast(bit_or(shiftleft(1, 7 - p % 8)) as int)").alias("bits")).toArrow())
     lengths = sorted(r.k for r in index.select("k").distinct().collect())
     bits = np.zeros(1 << MAP_BITS >> 3, np.uint8)
-    bits[used["byte"].to_numpy(np.int64)] = used["bits"].to_numpy(np.uint8)
+    bits[used["byte"].to_numpy()] = used["bits"].to_numpy().astype(np.uint8)
     job = sc.broadcast((bits.tobytes(), lengths))
     found = docs.mapInArrow(tk.tidy(_of_documents(job)), _schema(docs, "doc_id")).withColumnRenamed("id", "doc_id")
     of_item = index.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"), F.countDistinct(

@@ -47,7 +47,7 @@ MEASURES = ("words", "upper", "symbol", "digit", "word_length", "variety", "stop
 BINS = 20
 DAMP = 50  # added to the sizes that counts are divided by: shares of short texts move towards 0
 EVIDENCE = 1.0
-BITS, TRAIN_ROWS = 18, 1_000_000
+BITS, TRAIN_ROWS = 16, 1_000_000
 UNIT = 1e9  # sums of probabilities are sums of this many parts
 STRENGTH = (1.0, 1e6)
 
@@ -211,9 +211,9 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_c
     docs = docs.join(known, F.col("doc_id") == F.col("of"), "left").select("doc_id", "host", "path", "part", "text")
     known = docs.where("part is not null")
     table = (known.mapInArrow(tk.tidy(_count_words), "bucket long, part int, n long")
-             .groupBy("bucket", "part").agg(F.sum("n").alias("n")).toPandas())  # four rows a bucket at most
+             .groupBy("bucket", "part").agg(F.sum("n").alias("n")).toArrow())  # four rows a bucket at most
     counts, total = np.zeros((4, 1 << BITS)), np.zeros(4)
-    counts[table["part"].to_numpy(int), table["bucket"].to_numpy(int)] = table["n"].to_numpy(float)
+    counts[table["part"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
     for r in known.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect():
         total[r.part] = r.n
     model = docs.sparkSession.sparkContext.broadcast(word_ratios(counts, total))
