@@ -292,8 +292,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comp = linked_classes(classes, sketches, docs, k, num, den, sketched)
     named = classes.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = written(named.join(smallest, "component").select("key", "check", "n", "component_id"), "named")
+    # a table of its own: broadcast where small, else a join whose hot components can be split
+    smallest = written(named.groupBy("component").agg(F.min("rep").alias("component_id")), "smallest")
+    named = written(named.join(small_enough(smallest, 48), "component").select("key", "check", "n", "component_id"), "named")
     return (rows.select("doc_id", "key", "check", "n")
             .join(named, ["key", "check", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
