@@ -6,13 +6,13 @@ Usage: python tools/plans_md.py  (reads /root/testdata/sf0.01)
 import sys, io, contextlib
 import os
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from tessera.plans import catalog
+from tessera.plans import catalog, catalog_more
 from tessera.session import local_session
 from tools.plan_report import summarise
 spark = local_session(8)
 sf = "/root/testdata/sf0.01"
 rows = []
-for name, fn in catalog.QUERIES.items():
+for name, fn in {**catalog.QUERIES, **catalog_more.QUERIES}.items():
     df = fn(spark, sf)
     d = summarise(df._jdf.queryExecution().executedPlan().toString())
     rows.append((name, d))
