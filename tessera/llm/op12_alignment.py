@@ -42,7 +42,7 @@ from .shared import prepare, written
 
 #: a single space between visible characters
 CUT = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
-CACHE_CHUNKS, CACHE_BYTES = 250_000, 24 << 20
+CACHE_CHUNKS, CACHE_BYTES = 400_000, 40 << 20
 TOGETHER = 4096
 PART_CHARACTERS = 1 << 20
 
