@@ -13,7 +13,8 @@ that is less, so each place of a base phrase is one hit.
 
 The templates are a fixed list in this module, so their gram table (a few
 hundred rows) is broadcast; texts keep only grams whose hash falls in its 2**16
-bit map before the join.
+bit map and whose words are, word for word, those of a template gram before the join.
+Notices of licences that are not in the list are out of reach.
 
 Rows: null and empty texts give zero counts, null positions, empty labels and
 score 0; rows are told apart by their place in a written table, so null or
@@ -86,7 +87,27 @@ def templates() -> list[dict]:
     return rows
 
 
-def _scan(bits: np.ndarray, sizes: list[int]):
+def gram_words() -> dict[int, set[tuple[bytes, ...]]]:
+    """The words of each gram hash of the templates."""
+    known: dict[int, set[tuple[bytes, ...]]] = {}
+    for text, _ in [*BASE, *NOTICES]:
+        raw = text.encode()
+        w = tk.Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tk.ALNUM)
+        words = [raw[a:b].lower() for a, b in zip(w.start.tolist(), w.end.tolist())]
+        k = min(GRAM, len(words))
+        for i, h in enumerate(tk.grams(w.hash, k).view(np.int64).tolist()):
+            known.setdefault(h, set()).add(tuple(words[i:i + k]))
+    return known
+
+
+def _scan(bits: np.ndarray, sizes: list[int], known: dict[int, set[tuple[bytes, ...]]]):
+    """Grams of the texts that are word for word those of a template."""
+    hashes = np.array(sorted(known), np.int64).view(np.uint64)
+
+    def same_words(words: tk.Words, raw: bytes, i: int, k: int, h: int) -> bool:
+        said = tuple(raw[a:b].lower() for a, b in zip(words.start[i:i + k].tolist(), words.end[i:i + k].tolist()))
+        return said in known[h]
+
     def run(batches):
         for batch in batches:
             counts, at, found = [], [], []
@@ -95,9 +116,13 @@ def _scan(bits: np.ndarray, sizes: list[int]):
                 pos = np.arange(len(doc)) - words.bounds[doc]
                 left = words.bounds[doc + 1] - words.bounds[doc] - pos if len(doc) else pos
                 hit_doc, hit_pos, hit_h = [], [], []
+                raw = words.raw.tobytes()
                 for k in sizes:
                     h = tk.grams(words.hash, k)
                     i = np.flatnonzero(bits[(h >> np.uint64(48)).astype(np.int64)] & (left[:len(h)] >= k))
+                    i = i[np.isin(h[i], hashes)]
+                    i = i[[same_words(words, raw, x, k, y) for x, y in zip(i.tolist(), h[i].view(np.int64).tolist())]] \
+                        if len(i) else i
                     hit_doc.append(doc[i])
                     hit_pos.append(pos[i])
                     hit_h.append(h[i].view(np.int64))
@@ -145,7 +170,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bits = np.zeros(1 << 16, bool)
     bits[[(r["h"] >> 48) & 0xFFFF for r in rows]] = True
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.mapInArrow(tk.tidy(_scan(bits, sorted({r["k"] for r in rows}))),
+    found = docs.mapInArrow(tk.tidy(_scan(bits, sorted({r["k"] for r in rows}), gram_words())),
                             f"doc_id {kind}, n_words long, pos array<long>, h array<long>")
     found = written(found.withColumn("row", F.monotonically_increasing_id()), "grams")
     of_base = lambda x: F.when(F.col("base"), x)

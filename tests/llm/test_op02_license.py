@@ -55,3 +55,20 @@ def test_edges(edge, nothing):
     assert all((r.n_base, r.first_word, r.last_word, r.labels, r.score) == (0, None, None, "", 0.0) for r in rows)
     assert {r.doc_id: r.n_words for r in rows if r.doc_id in (0, 1, 2, 4)} == {0: 0, 1: 0, 2: 0, 4: 120_000}
     assert L.scan_licenses(nothing).count() == 0
+
+
+def test_equal_hashes_of_other_words_are_no_hit():
+    """Every gram gets one and the same hash: only the words can tell them apart."""
+    import numpy as np
+    import pyarrow as pa
+
+    known = {7: {w for words in L.gram_words().values() for w in words}}
+    grams = L.tk.grams
+    L.tk.grams = lambda h, k: np.full(max(0, len(h) - k + 1), 7, np.uint64)
+    try:
+        text = "some words, All Rights reserved; and other words follow"
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+        (out,) = L._scan(np.ones(1 << 16, bool), [3], known)([batch])
+    finally:
+        L.tk.grams = grams
+    assert out.column(2).to_pylist() == [[2]]
