@@ -1,8 +1,11 @@
 """Embedding near-duplicates by int8 tile products with error bounds.
 
 Vectors are compared within their label by cosine in double precision. Equal
-vectors of a label form one class with a weight; the classes of a label are dealt
-into tiles of about ``TILE``, and each pair of tiles is one task.
+vectors of a label form one class with a weight. ``PIVOTS`` classes of a label (the
+smallest by hash) are its pivots; every class goes to its nearest pivot and, ordered by
+the angle to it, into tiles of about ``TILE`` classes. A pair of tiles is one task, and is
+skipped if, for any pivot, their ranges of angles to it are further apart than the
+threshold's angle: by the triangle inequality on the sphere none of their vectors link.
 
 A unit vector x is quantised to ``q = round(127 x / max|x|)`` with scale
 ``s = max|x| / 127`` and error norm ``e = |x - s q|``, kept per vector. For two
@@ -26,12 +29,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, written
+from .shared import components, small_enough, written
 
 TILE = 1024
+PIVOTS, BINS = 4, 4096  # bins of a radian that are kept together or split by a hash
 THRESHOLD = 0.98
 ROUNDING = 1e-6
 
@@ -96,6 +100,42 @@ def _tile_pair(threshold: float):
     return run
 
 
+def tile_pairs(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs of tiles (a, b) that may hold a link, classes with their tile), written tables."""
+    scaled = "transform(vec, c -> cast(c as double) / array_max(transform(vec, d -> abs(cast(d as double)))))"
+    unit = f"transform({scaled}, c -> c / sqrt(aggregate({scaled}, 0D, (s, d) -> s + d * d)))"
+    top = Window.partitionBy("label", "dim").orderBy(F.xxhash64("vec"), "cid")
+    pivots = (classes.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= PIVOTS)
+              .select("label", "dim", "nth", F.expr(unit).alias("p")).groupBy("label", "dim")
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "p"))), lambda x: x["p"]).alias("pivots")))
+    pivots = written(pivots, "pivots")
+    width = classes.agg(F.coalesce(F.max("dim"), F.lit(0)).alias("d")).first().d
+    angle = "acos(greatest(-1D, least(1D, aggregate(zip_with(u, p, (x, y) -> x * y), 0D, (s, x) -> s + x))))"
+    placed = (classes.withColumn("u", F.expr(unit)).join(small_enough(pivots, 8 * PIVOTS * (width + 4)), ["label", "dim"])
+              .withColumn("angles", F.expr(f"transform(pivots, p -> {angle})")).drop("u", "pivots")
+              .withColumn("near", F.expr("array_position(angles, array_min(angles))").cast("int"))
+              .withColumn("bin", F.floor(F.array_min("angles") * BINS).cast("int")))
+    placed = written(placed, "placed")
+    bins = placed.groupBy("label", "dim", "near", "bin").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("label", "dim", "near").orderBy("bin")  # at most 3.2 x BINS rows
+    bins = written(bins.withColumn("slot", F.floor((F.sum("n").over(before) - F.col("n")) / TILE))
+                   .withColumn("parts", F.ceil(F.col("n") / TILE)).drop("n"), "bins")
+    keys = ["label", "dim", "near", "slot", "part"]
+    placed = (placed.join(small_enough(bins, 48), ["label", "dim", "near", "bin"])
+              .withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), F.col("parts"))).otherwise(F.lit(0))))
+    ranges = [f(F.get("angles", F.lit(i))).alias(f"{name}{i}") for i in range(PIVOTS) for name, f in (("lo", F.min), ("hi", F.max))]
+    tiles = written(placed.groupBy(*keys).agg(*ranges).withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    rows_of = written(placed.join(small_enough(tiles.select(*keys, "tile"), 48), keys).select("tile", "cid", "weight", "vec"), "tiled")
+    p, q = tiles.alias("p"), tiles.alias("q")
+    most = float(np.arccos(threshold)) + ROUNDING
+    close = F.expr("p.label = q.label and p.dim = q.dim and p.tile <= q.tile")
+    for i in range(PIVOTS):
+        gap = F.greatest(F.col(f"p.lo{i}") - F.col(f"q.hi{i}"), F.col(f"q.lo{i}") - F.col(f"p.hi{i}"))
+        close &= F.coalesce(gap <= most, F.lit(True))
+    work = p.join(q, close).select(F.col("p.tile").alias("a"), F.col("q.tile").alias("b"))
+    return written(work, "work"), rows_of
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                  threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per vector."""
@@ -107,14 +147,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     good = rows.where("usable")
     classes = written(good.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"))
                       .withColumn("cid", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")), "classes")
-    tiles = (classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("long")).drop("n"))
-    dealt = (classes.join(tiles, ["label", "dim"])
-             .withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-             .select("label", "dim", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"),
-                     (F.col("tile") > F.col("other")).cast("int").alias("side"), "cid", "weight", "vec"))
-    found = written(dealt.groupBy("label", "dim", "a", "b")
+    work, rows_of = tile_pairs(classes, threshold)
+    first = work.join(rows_of, F.col("a") == F.col("tile")).select("a", "b", F.lit(0).alias("side"), "cid", "weight", "vec")
+    second = (work.where("a <> b").join(rows_of, F.col("b") == F.col("tile"))
+              .select("a", "b", F.lit(1).alias("side"), "cid", "weight", "vec"))
+    dealt = first.unionAll(second)
+    found = written(dealt.groupBy("a", "b")
                     .applyInArrow(_tile_pair(threshold), "cid long, links long, peer long"), "links")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = components(found, "cid", "peer").select(F.col("node").alias("cid"), "component")

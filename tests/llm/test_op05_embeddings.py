@@ -68,3 +68,21 @@ def test_bound_loses_no_pair(dim):
     x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
     i, j = E.tile_links(x, y, 0.98)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(v.tolist() for v in np.nonzero(x @ y.T >= 0.98))))
+
+
+def test_far_tiles_are_skipped_and_no_link_is_lost(spark, monkeypatch):
+    """Clusters around far centres: most tile pairs go, all links stay."""
+    monkeypatch.setattr(E, "TILE", 16)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 8)) * 5
+    x = np.concatenate([c + rng.normal(size=(40, 8)) * s for c in centres for s in (0.25,)] + [rng.normal(size=(60, 8))])
+    rows = [(i, r.tolist(), 1) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (u @ u.T >= E.THRESHOLD) & ~np.eye(len(x), dtype=bool)
+    got = {r.vec_id: r.n_links for r in E.near_vectors(df.repartition(3)).collect()}
+    assert got == {i: int(n) for i, n in enumerate(links.sum(axis=1))} and links.any()
+    classes = df.selectExpr("label", "embedding as vec", "1L as weight", "vec_id as low", "vec_id as cid", "8 as dim")
+    work, tiled = E.tile_pairs(classes, E.THRESHOLD)
+    n = tiled.select("tile").distinct().count()
+    assert work.count() < 0.7 * n * (n + 1) / 2 and tiled.count() == len(x)
