@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import textkernel as tk
 from .shared import components, small_enough, written
 
 TILE = 1024
@@ -100,18 +101,35 @@ def _tile_pair(threshold: float):
     return run
 
 
+def _units(batches):
+    """Rows with their unit vectors (no vector is empty or zero)."""
+    for batch in batches:
+        vec = batch.column(4)
+        size = vec.value_lengths().to_numpy().astype(np.int64)
+        flat = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        at = np.cumsum(size) - size
+        if len(size):
+            flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), at), size)
+            flat = flat / np.repeat(np.sqrt(np.add.reduceat(flat * flat, at)), size)
+        offsets = pa.array(np.append(at, len(flat)), pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(flat))],
+                                         names=[*batch.schema.names, "u"])
+
+
 def tile_pairs(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(pairs of tiles (a, b) that may hold a link, classes with their tile), written tables."""
-    scaled = "transform(vec, c -> cast(c as double) / array_max(transform(vec, d -> abs(cast(d as double)))))"
-    unit = f"transform({scaled}, c -> c / sqrt(aggregate({scaled}, 0D, (s, d) -> s + d * d)))"
+    schema = classes.select("label", "dim", "cid", "weight", "vec").schema
+    units = classes.select(*schema.names).mapInArrow(
+        tk.tidy(_units), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", u array<double>")
+    classes = written(units, "units")
     top = Window.partitionBy("label", "dim").orderBy(F.xxhash64("vec"), "cid")
     pivots = (classes.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= PIVOTS)
-              .select("label", "dim", "nth", F.expr(unit).alias("p")).groupBy("label", "dim")
+              .select("label", "dim", "nth", F.col("u").alias("p")).groupBy("label", "dim")
               .agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "p"))), lambda x: x["p"]).alias("pivots")))
     pivots = written(pivots, "pivots")
     width = classes.agg(F.coalesce(F.max("dim"), F.lit(0)).alias("d")).first().d
     angle = "acos(greatest(-1D, least(1D, aggregate(zip_with(u, p, (x, y) -> x * y), 0D, (s, x) -> s + x))))"
-    placed = (classes.withColumn("u", F.expr(unit)).join(small_enough(pivots, 8 * PIVOTS * (width + 4)), ["label", "dim"])
+    placed = (classes.join(small_enough(pivots, 8 * PIVOTS * (width + 4)), ["label", "dim"])
               .withColumn("angles", F.expr(f"transform(pivots, p -> {angle})")).drop("u", "pivots")
               .withColumn("near", F.expr("array_position(angles, array_min(angles))").cast("int"))
               .withColumn("bin", F.floor(F.array_min("angles") * BINS).cast("int")))
