@@ -40,7 +40,7 @@ from . import textkernel as tk
 from .shared import written
 
 ORDER, ALPHA, MIN_COUNT = 2, 0.4, 2
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
 MIN_RANGES, MAX_RANGES = 16, 1 << 16
 
@@ -131,6 +131,12 @@ def _requests(order: int, ranges: int):
 
 
 def _count(table: pa.Table) -> pa.Table:
+    told = _totals(table)
+    tk.free_memory()
+    return told
+
+
+def _totals(table: pa.Table) -> pa.Table:
     """Total counts of one hash range, in the order each block asked for them."""
     asked = [unpack(x, np.uint64, True) for x in table["hashes"].to_pylist()]
     n = np.concatenate([unpack(x, np.uint64) for x in table["counts"].to_pylist()]).astype(np.int64)
@@ -161,6 +167,11 @@ def log_scores(block: Block, totals, order: int, words: int, min_count: int, alp
 
 def _score(order: int, words: int, min_count: int, alpha: float):
     def run(store: pa.Table, told: pa.Table) -> pa.Table:
+        scores = scored(store, told)
+        tk.free_memory()
+        return scores
+
+    def scored(store: pa.Table, told: pa.Table) -> pa.Table:
         row = store.slice(0, 1)
         block = Block(*(row[c][0].as_py() for c in ("sizes", "vocabulary", "numbers")))
         ids = row["ids"].combine_chunks().flatten()

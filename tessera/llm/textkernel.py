@@ -219,9 +219,14 @@ def tidy(run):
 
     def inner(batches):
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        libc = ctypes.CDLL(ctypes.util.find_library("c"))
-        if hasattr(libc, "malloc_trim"):
-            libc.malloc_trim(0)
+        free_memory()
     return inner
+
+
+def free_memory():
+    """Give unused memory of this worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c"))
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
