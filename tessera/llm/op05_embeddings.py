@@ -11,12 +11,16 @@ A unit vector x is quantised to ``q = round(127 x / max|x|)`` with scale
 ``s = max|x| / 127`` and error norm ``e = |x - s q|``, kept per vector. For two
 unit vectors ``|x.y - s_x s_y (q_x.q_y)| <= e_x (1 + e_y) + e_y``, plus a margin
 for rounding; the integer products are exact (they stay below 2**24 up to 1,040
-dimensions, where single precision does them; longer vectors use double). Pairs whose upper bound reaches the threshold
-are recomputed in full precision, and only those decide; the bound loses none.
+dimensions, where single precision does them; longer vectors use double). Pairs whose
+upper bound reaches the threshold are recomputed in full precision, and only those
+decide; the bound loses none.
 
-A task returns, for each vector with a link, the (weighted) number of its links
-in the tile pair and the smallest class it is connected to there, never the pairs
-themselves; connected components run over those star edges.
+Two passes: the first sends the tile pairs ``(q, s, e)`` alone, an eighth of the vector
+in double, and marks the vectors that are in a possible pair there; the second sends the
+full vectors of the marked ones to the same tile pair. A task returns, for each vector
+with a link, the (weighted) number of its links in the tile pair and the smallest class
+it is connected to there, never the pairs themselves; connected components run over
+those star edges.
 
 Rows: a null label, and null or zero vectors or ones with null or non-finite
 components, link with nothing; vectors of different length are not compared. A
@@ -49,14 +53,17 @@ def quantise(x: np.ndarray):
     return q, scale, np.linalg.norm(x - q * scale[:, None], axis=1)
 
 
+def upper_bounds(x, y) -> np.ndarray:
+    """What the products of two tiles of quantised rows (q, scale, error norm) are at most."""
+    (qx, sx, ex), (qy, sy, ey) = x, y
+    wide = np.float32 if qx.shape[1] <= 1040 else np.float64
+    near = (qx.astype(wide) @ qy.astype(wide).T) * sx[:, None] * sy
+    return near + (ex[:, None] * (1 + ey) + ey + ROUNDING)
+
+
 def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (i, j) of unit rows with x[i].y[j] >= threshold."""
-    wide = np.float32 if x.shape[1] <= 1040 else np.float64
-    qx, sx, ex = quantise(x)
-    qy, sy, ey = quantise(y)
-    near = (qx.astype(wide) @ qy.astype(wide).T) * sx[:, None] * sy
-    near += ex[:, None] * (1 + ey) + ey + ROUNDING
-    i, j = np.nonzero(near >= threshold)
+    i, j = np.nonzero(upper_bounds(quantise(x), quantise(y)) >= threshold)
     hit = np.zeros(len(i), bool)
     for at in range(0, len(i), 1 << 16):
         some = slice(at, at + (1 << 16))
@@ -77,6 +84,26 @@ def _stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         low = new
 
 
+def _possible(threshold: float):
+    """Of the quantised rows of a tile pair, those in a pair that may reach the threshold."""
+    def run(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy()
+        q = np.frombuffer(b"".join(table["q"].to_pylist()), np.int8).reshape(len(side), -1)
+        scale, error = table["scale"].to_numpy(), table["error"].to_numpy()
+        x, y = ((q[side == s], scale[side == s], error[side == s]) for s in (0, 1))
+        marked = np.zeros(len(side), bool)
+        if len(y[0]):
+            near = upper_bounds(x, y) >= threshold
+            marked[side == 0], marked[side == 1] = near.any(axis=1), near.any(axis=0)
+        else:
+            near = upper_bounds(x, x) >= threshold
+            near |= near.T  # the bound is not symmetric
+            np.fill_diagonal(near, False)
+            marked[:] = near.any(axis=1)
+        return table.select(["a", "b", "side", "cid"]).filter(pa.array(marked))
+    return run
+
+
 def _tile_pair(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
@@ -102,27 +129,35 @@ def _tile_pair(threshold: float):
 
 
 def _units(batches):
-    """Rows with their unit vectors (no vector is empty or zero)."""
+    """Rows with their unit vectors, quantised ones too (no vector is empty or zero)."""
     for batch in batches:
         vec = batch.column(4)
         size = vec.value_lengths().to_numpy().astype(np.int64)
         flat = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         at = np.cumsum(size) - size
+        q, scale, error = np.zeros(len(flat), np.int8), np.zeros(len(size)), np.zeros(len(size))
         if len(size):
             flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), at), size)
             flat = flat / np.repeat(np.sqrt(np.add.reduceat(flat * flat, at)), size)
+        for d in np.unique(size):
+            rows = np.flatnonzero(size == d)
+            cells = at[rows, None] + np.arange(d)
+            some, scale[rows], error[rows] = quantise(flat[cells])
+            q[cells] = some
         offsets = pa.array(np.append(at, len(flat)), pa.int32())
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(flat))],
-                                         names=[*batch.schema.names, "u"])
+        codes = pa.Array.from_buffers(pa.binary(), len(size), [None, offsets.buffers()[1], pa.py_buffer(q.tobytes())])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], codes, pa.array(scale), pa.array(error), pa.ListArray.from_arrays(offsets, pa.array(flat))],
+            names=["label", "dim", "cid", "weight", "q", "scale", "error", "u"])
 
 
 def tile_pairs(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(pairs of tiles (a, b) that may hold a link, classes with their tile), written tables."""
-    schema = classes.select("label", "dim", "cid", "weight", "vec").schema
-    units = classes.select(*schema.names).mapInArrow(
-        tk.tidy(_units), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", u array<double>")
+    """(pairs of tiles (a, b) that may hold a link, quantised classes with their tile), written tables."""
+    rows = classes.select("label", "dim", "cid", "weight", "vec")
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "vec"]
+    units = rows.mapInArrow(tk.tidy(_units), ", ".join(schema) + ", q binary, scale double, error double, u array<double>")
     classes = written(units, "units")
-    top = Window.partitionBy("label", "dim").orderBy(F.xxhash64("vec"), "cid")
+    top = Window.partitionBy("label", "dim").orderBy(F.xxhash64("u"), "cid")
     pivots = (classes.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= PIVOTS)
               .select("label", "dim", "nth", F.col("u").alias("p")).groupBy("label", "dim")
               .agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "p"))), lambda x: x["p"]).alias("pivots")))
@@ -143,7 +178,7 @@ def tile_pairs(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFra
               .withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), F.col("parts"))).otherwise(F.lit(0))))
     ranges = [f(F.get("angles", F.lit(i))).alias(f"{name}{i}") for i in range(PIVOTS) for name, f in (("lo", F.min), ("hi", F.max))]
     tiles = written(placed.groupBy(*keys).agg(*ranges).withColumn("tile", F.monotonically_increasing_id()), "tiles")
-    rows_of = written(placed.join(small_enough(tiles.select(*keys, "tile"), 48), keys).select("tile", "cid", "weight", "vec"), "tiled")
+    rows_of = written(placed.join(small_enough(tiles.select(*keys, "tile"), 48), keys).select("tile", "cid", "q", "scale", "error"), "tiled")
     p, q = tiles.alias("p"), tiles.alias("q")
     most = float(np.arccos(threshold)) + ROUNDING
     close = F.expr("p.label = q.label and p.dim = q.dim and p.tile <= q.tile")
@@ -166,11 +201,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = written(good.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"))
                       .withColumn("cid", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")), "classes")
     work, rows_of = tile_pairs(classes, threshold)
-    first = work.join(rows_of, F.col("a") == F.col("tile")).select("a", "b", F.lit(0).alias("side"), "cid", "weight", "vec")
+    sent = ["cid", "q", "scale", "error"]
+    first = work.join(rows_of, F.col("a") == F.col("tile")).select("a", "b", F.lit(0).alias("side"), *sent)
     second = (work.where("a <> b").join(rows_of, F.col("b") == F.col("tile"))
-              .select("a", "b", F.lit(1).alias("side"), "cid", "weight", "vec"))
-    dealt = first.unionAll(second)
-    found = written(dealt.groupBy("a", "b")
+              .select("a", "b", F.lit(1).alias("side"), *sent))
+    marked = written(first.unionAll(second).groupBy("a", "b")
+                     .applyInArrow(_possible(threshold), "a long, b long, side int, cid long"), "possible")
+    full = marked.join(classes.select("cid", "weight", "vec"), "cid")
+    found = written(full.groupBy("a", "b")
                     .applyInArrow(_tile_pair(threshold), "cid long, links long, peer long"), "links")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = components(found, "cid", "peer").select(F.col("node").alias("cid"), "component")

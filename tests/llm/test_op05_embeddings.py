@@ -60,6 +60,25 @@ def test_edges(spark):
     assert E.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_only_rows_of_possible_pairs_are_marked():
+    """The first pass sees int8 rows only and marks a superset of the linked ones, not all."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 32))
+    x[60:80] = x[:20] + rng.normal(size=(20, 32)) * 0.1
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    q, scale, error = E.quantise(x)
+    for side in (np.zeros(120, np.int32), np.repeat(np.int32([0, 1]), 60)):
+        table = pa.table({"a": np.ones(120, np.int64), "b": np.ones(120, np.int64), "side": side, "cid": np.arange(120),
+                          "q": [r.tobytes() for r in q], "scale": scale, "error": error})
+        marked = set(E._possible(0.98)(table)["cid"].to_pylist())
+        near = x @ x.T
+        np.fill_diagonal(near, 0)
+        assert set(np.flatnonzero((near >= 0.98).any(axis=1)).tolist()) <= marked
+        assert marked and len(marked) <= 2 * 20 and set(np.flatnonzero((near >= 0.96).any(axis=1)).tolist()) >= marked
+
+
 @pytest.mark.parametrize("dim", [3, 64, 1500])
 def test_bound_loses_no_pair(dim):
     rng = np.random.default_rng(dim)
