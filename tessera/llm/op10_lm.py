@@ -12,8 +12,10 @@ numbers); each block sends its distinct n-gram hashes with their counts, split b
 hash range, to that range's count table (grouped by range, one sorted merge) and
 receives the total count of each back; then it sums the logarithms per document.
 A frequent n-gram is one entry per block, not one per occurrence, so no range
-grows with a hot n-gram. The number of ranges follows the size of the texts; a block
-sends at most one row per distinct n-gram, whatever their number.
+grows with a hot n-gram's places. The number of ranges follows the size of the texts
+without a cap, so a range's distinct n-grams stay bounded; a block sends at most one row per
+distinct n-gram, whatever their number, so rows grow no faster than the input. What does
+grow in a range is one entry per block for an n-gram that every block holds.
 
 This is the join of block-wise exploded n-grams with hash-partitioned count tables, with
 the rows of a block and a range packed into one. As single rows (block, n-gram, n),
@@ -42,7 +44,7 @@ from .shared import written
 ORDER, ALPHA, MIN_COUNT = 2, 0.4, 2
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20
-MIN_RANGES, MAX_RANGES = 16, 1 << 16
+MIN_RANGES = 16
 
 
 def pack(x: np.ndarray, rising: bool = False) -> bytes:
@@ -109,9 +111,11 @@ class Block:
         return np.unique(np.concatenate(found), return_counts=True)
 
 
-def _cuts(u: np.ndarray, ranges: int) -> np.ndarray:
-    edges = (np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges))
-    return np.concatenate([[0], np.searchsorted(u, edges), [len(u)]])
+def _parts(u: np.ndarray, ranges: int):
+    """(hash ranges that sorted ``u`` touches, its slice in each); ``ranges`` is a power of two."""
+    of = (u >> np.uint64(65 - int(ranges).bit_length())).astype(np.int64)
+    start = np.flatnonzero(np.diff(of, prepend=-1))
+    return of[start], [slice(i, j) for i, j in zip(start, [*start[1:], len(u)])]
 
 
 def _requests(order: int, ranges: int):
@@ -119,14 +123,14 @@ def _requests(order: int, ranges: int):
         for batch in batches:
             for row in batch.to_pylist():
                 u, c = Block(row["sizes"], row["vocabulary"], row["numbers"]).entries(order)
-                cut = _cuts(u, ranges)
-                some = np.flatnonzero(np.diff(cut))
-                parts = [(slice(cut[r], cut[r + 1])) for r in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["block"]), pa.int64()), pa.array(some, pa.int64()),
-                     pa.array([pack(u[p], True) for p in parts], pa.binary()),
-                     pa.array([pack(c[p].astype(np.uint64)) for p in parts], pa.binary())],
-                    names=["block", "range", "hashes", "counts"])
+                some, parts = _parts(u, ranges)
+                for at in range(0, len(some), 1 << 16):
+                    here = parts[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(here), row["block"]), pa.int64()), pa.array(some[at:at + (1 << 16)], pa.int64()),
+                         pa.array([pack(u[p], True) for p in here], pa.binary()),
+                         pa.array([pack(c[p].astype(np.uint64)) for p in here], pa.binary())],
+                        names=["block", "range", "hashes", "counts"])
     return run
 
 
@@ -197,7 +201,7 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema["doc_id"].dataType.simpleString()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     ranges = MIN_RANGES
-    while ranges < MAX_RANGES and ranges * RANGE_BYTES < size:
+    while ranges * RANGE_BYTES < size:
         ranges *= 2
     store = written(docs.mapInArrow(
         tk.tidy(_blocks), f"block long, words long, ids array<{kind}>, sizes binary, vocabulary binary, numbers binary"), "blocks")

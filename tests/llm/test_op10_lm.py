@@ -46,6 +46,23 @@ def test_packing_round_trip(values):
     assert (M.unpack(M.pack(x[::-1]), np.uint64) == x[::-1]).all()
 
 
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50), st.integers(4, 40))
+def test_every_hash_goes_to_its_range(values, bits):
+    u = np.unique(np.array(values, np.uint64))
+    some, parts = M._parts(u, 1 << bits)
+    assert [int(x) >> (64 - bits) for p in parts for x in u[p]] == [r for r, p in zip(some.tolist(), parts) for _ in u[p]]
+    assert len(set(some.tolist())) == len(some) and sum(len(u[p]) for p in parts) == len(u)
+
+
+def test_more_ranges_than_entries(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(M, "MIN_RANGES", 1 << 22)
+    texts = ["a b c d", "b c a a b", None, "c", "a b c d e"] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.log_prob for r in M.backoff_scores(df).collect()}
+    assert got == {i: pytest.approx(s, abs=1e-9) for i, (_, s) in enumerate(brute(texts, M.ORDER, M.MIN_COUNT, M.ALPHA))}
+
+
 def test_edges(edge, nothing):
     rows = M.backoff_scores(edge).collect()
     texts = edge.collect()
