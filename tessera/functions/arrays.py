@@ -109,3 +109,9 @@ def cut_at(col, stop: int, inclusive: bool) -> Column:
     p = F.array_position(c, F.lit(stop))
     keep = p if inclusive else p - 1
     return F.when(p == 0, c).otherwise(F.slice(c, F.lit(1), keep.cast("int")))
+
+
+def first_numbers(n: int) -> Column:
+    """0, 1, ... n - 1 as an array literal: exploded, each row comes ``n`` times without a join.
+    ``n`` is a caller's count of epochs, draws or runs; its array is held once a task."""
+    return F.slice(F.sequence(F.lit(0), F.lit(n)), 1, n)

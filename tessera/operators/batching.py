@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import first_numbers
 from ..functions.schedule import learning_rate
 from ..options import BATCH_SIZE, RunOptions, SEED
 from .lookup import BROADCAST_BYTES
@@ -70,11 +71,9 @@ def assign_batches(df: DataFrame, id_cols: list[str], batch: int = BATCH_SIZE, e
     """Adds ``epoch, order_key, sample_idx, batch_id, batch_pos``: a fresh
     seeded order per epoch, batches of ``batch`` rows, the last one short.
 
-    Epochs are a cross join with a ``range(epochs)`` literal table (a size the
-    caller states), then every epoch is ordered independently."""
-    spark = df.sparkSession
-    ep = spark.range(epochs).select(F.col("id").cast("int").alias("epoch"))
-    d = df.crossJoin(F.broadcast(ep)) if epochs > 1 else df.withColumn("epoch", F.lit(0))
+    Every row comes once per epoch (rows x epochs, as the result has), then every
+    epoch is ordered independently."""
+    d = df.select("*", F.explode(first_numbers(epochs)).alias("epoch")) if epochs > 1 else df.withColumn("epoch", F.lit(0))
     d = d.withColumn("order_key", shuffle_key(id_cols, seed, F.col("epoch")))
     d = global_index(d, "order_key", list(id_cols), group_col="epoch",
                      buckets=partitions, out="sample_idx", groups=epochs)

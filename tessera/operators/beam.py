@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import first_numbers
 from ..options import SEED, SelectOptions
 from ..session import cut_lineage
 from . import scoring as S
@@ -157,8 +158,7 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
     else:
         table = checked_broadcast(cut_lineage(sc if top_k is None else
                                         S.top_k(sc, "prev_id", "next_id", "score", top_k).drop("rank")))
-    runs = prompts.crossJoin(F.broadcast(
-        prompts.sparkSession.range(num_samples).select(F.col("id").cast("int").alias("sample_no"))))
+    runs = prompts.select("*", F.explode(first_numbers(num_samples)).alias("sample_no"))
     live = runs.select("prompt_id", "sample_no", F.lit(True).alias("alive"),
                        F.array().cast("array<int>").alias("new_ids"),
                        F.try_element_at(ids, F.lit(-1)).cast("int").alias("last_id"))

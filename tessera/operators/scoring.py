@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import first_numbers
 from ..options import SEED
 
 TWO_52 = float(2 ** 52)
@@ -137,10 +138,10 @@ def draw(df: DataFrame, group: str, cand: str, score: str, n: int = 1, seed: int
     ``softmax(score / temperature)`` over the top-k set (Gumbel-max:
     ``argmax(s/t - ln(-ln(u)))``, ``u`` from md5 of seed, group, candidate and
     draw number). Output ``(group, draw, cand)``. The arg-max is an
-    aggregate, so a large group costs one partial result per task."""
+    aggregate, so a large group costs one partial result per task. Each candidate is
+    looked at once a draw; for many draws use ``draw_many``."""
     d = top_k(df, group, cand, score, k) if k is not None else df
-    draws = df.sparkSession.range(n).select(F.col("id").cast("int").alias("draw"))
-    d = d.crossJoin(F.broadcast(draws))
+    d = d.select("*", F.explode(first_numbers(n)).alias("draw"))
     u = uniform(F.lit(seed), F.col(group), F.col(cand), F.col("draw"))
     key = _scaled(score, temperature) - F.log(-F.log(u))
     return d.groupBy(group, "draw").agg(F.max_by(F.col(cand), key).alias(out or cand))

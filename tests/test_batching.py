@@ -72,3 +72,18 @@ def test_update_numbers_carry_over_epochs(spark):
                     assert all(got[x] == n for x in pending)
                     pending, n = [], n + 1
         assert all(got[x] is None for x in pending)
+
+
+def test_rows_come_once_an_epoch_without_a_join(spark):
+    from tessera.functions.arrays import first_numbers
+    from tessera.operators.scoring import draw
+
+    for n in (0, 1, 5):
+        assert [r.i for r in spark.range(1).select(F.explode(first_numbers(n)).alias("i")).collect()] == list(range(n))
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    twice = B.assign_batches(rows, ["k"], batch=4, epochs=2)
+    assert sorted((r.epoch, r.k) for r in twice.collect()) == [(e, k) for e in range(2) for k in range(10)]
+    drawn = draw(rows.selectExpr("k % 2 as g", "k as c", "0D as s"), "g", "c", "s", n=3)
+    assert sorted((r.g, r.draw) for r in drawn.collect()) == [(g, d) for g in range(2) for d in range(3)]
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
