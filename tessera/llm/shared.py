@@ -12,24 +12,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir, ship_package
+from tessera.session import checkpoint_dir, ship_package, small_batches
 
 #: a side is broadcast only after its row count times its row width is known to be below this
 BROADCAST_BYTES = 32 << 20
 
 
-#: bytes of rows handed to a Python worker at once (Spark's own default is 64 MB)
-ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+#: bytes of rows handed to a Python worker at once
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Ship the package to the workers, and keep Arrow batches of long texts small
     unless the session already asks for smaller ones."""
     ship_package(spark)
-    key, most = ARROW_BATCH
-    said = str(spark.conf.get(key)).rstrip("b")  # the default reads 67108864b
-    if not said.isdigit() or int(said) > most:
-        spark.conf.set(key, str(most))
+    small_batches(spark, BATCH_BYTES)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

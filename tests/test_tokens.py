@@ -55,3 +55,29 @@ def test_special_strings_in_a_batch_match_the_sql_form(spark):
     fast = {r.k: r.ids for r in TK.encode(df, "text", "ids").collect()}
     slow = {r.k: r.ids for r in TK.encode(df, "text", "ids", impl="sql").collect()}
     assert fast == slow and fast[3][-1] == 4
+
+
+def test_batches_of_the_codec_stay_small(spark):
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    from tessera.operators import bpe as B
+    from tessera.session import ARROW_BATCH
+
+    size = arrow_udf(lambda a: pa.array([a.nbytes] * len(a), pa.int64()), "long").asNondeterministic()
+    df = spark.range(0, 120, 1, 1).select(F.col("id").alias("k"), F.repeat(F.lit("word and "), 12_000).alias("text"))
+    merges = [(0, 5, 6, 261, 1, "!\"")]
+    merges = B.merge_rows(spark.createDataFrame(merges, B.MERGES_SCHEMA))
+    said = spark.conf.get(ARROW_BATCH)
+    try:
+        for make in (lambda: TK.encode(df, "text", "ids"), lambda: TK.decode(df.withColumn("ids", F.array(F.lit(9))), "ids", "t"),
+                     lambda: TK.encode(df, "text", "ids", merges=merges), lambda: B.encode_by_units(df, ["k"], "text", merges)):
+            spark.conf.set(ARROW_BATCH, str(64 << 20))
+            make()
+            most = df.select(size("text").alias("n")).agg(F.max("n")).first()[0]  # 13 MB of texts in one task
+            assert most <= TK.BATCH_BYTES + 300_000
+            spark.conf.set(ARROW_BATCH, "100000")
+            make()
+            assert spark.conf.get(ARROW_BATCH).rstrip("b") == "100000"  # smaller ones are kept
+    finally:
+        spark.conf.set(ARROW_BATCH, said)
