@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .shared import components, small_enough, written
+from .shared import components, discard, small_enough, written
 
 SKETCH, MISS = 64, 1e-15
 BLOCK = 128
@@ -185,11 +185,11 @@ def _links_in_blocks(num: int, den: int):
 def _candidate_index(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(token, key, n, rest): prefix elements of frequency two and more, with the
     number of elements that stand behind them in their set's order."""
-    items = sets.select("key", "n", F.explode("items").alias("token"))
+    items = sets.select("key", F.explode("items").alias("token"))  # sizes are joined back once per set
     shared = items.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ordered = (items.join(shared, "token").groupBy("key", "n")
+    ordered = (items.join(shared, "token").groupBy("key")
                .agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("s"))
-               .withColumn("c", F.size("s")))
+               .withColumn("c", F.size("s")).join(sets.select("key", "n"), "key"))
     least = F.ceil(F.col("n") * num / F.lit(den)).cast("long")
     return (ordered.where(F.col("c") >= least)
             .withColumn("indexed", (F.col("c") - least + 1).cast("int"))
@@ -202,28 +202,27 @@ def _sizes_fit(a, b, num: int, den: int):
     return F.least(a, b) * den >= F.greatest(a, b) * num
 
 
-def _sketch_filter(classes: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """Classes whose sketch leaves a link possible."""
-    sketch = sketches.select("key", "check", F.explode("sketch").alias("token"))
+def _sketch_filter(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Classes whose sketch leaves a link possible. A hash of a sketch travels with the number
+    of its class, which packs better than the class's two 64-bit keys."""
+    sketch = classes.select("cid", F.explode("sketch").alias("token"))
     shared = sketch.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    near = sketch.join(shared, "token", "left_semi").groupBy("key", "check").agg(F.count(F.lit(1)).alias("c"))
+    near = sketch.join(shared, "token", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("c"))
     large, most = least_shared(num, den)
     need = F.when(F.col("n") >= SKETCH, large).otherwise(F.least(F.ceil(F.col("n") * num / den), F.lit(most)))
-    return classes.join(near, ["key", "check"]).where(F.col("c") >= need).drop("c")
+    return classes.join(near, "cid").where(F.col("c") >= need).drop("c")
 
 
-def linked_classes(classes: DataFrame, sketches: DataFrame, docs: DataFrame, k: int, num: int, den: int,
-                   sketched: bool = True) -> DataFrame:
-    """(node, component) over the numbers (cid) of classes that link with another class."""
-    picked = _sketch_filter(classes, sketches, num, den) if sketched else classes
-    picked = written(picked.select("cid", "key", "check", "rep"), "picked")
+def linked_classes(picked: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(node, component) over the numbers (cid) of the picked classes that link with another one."""
     texts = docs.join(small_enough(picked, 48), docs["doc_id"] == picked["rep"]).select("text", "cid", "key", "check")
     sets = written(texts.mapInArrow(tk.tidy(_sets(k)), "key long, n long, items array<long>"), "sets")
     if sets.count() != sets.select("key").distinct().count():  # repeated rows
-        sets = written(sets.dropDuplicates(["key"]), "sets")
+        every, sets = sets, written(sets.dropDuplicates(["key"]), "sets")
+        discard(every)
     index = written(_candidate_index(sets, num, den), "index")
-    sets = sets.join(index.select("key").distinct(), "key", "left_semi")
-    sets = written(sets, "sets")
+    every, sets = sets, written(sets.join(index.select("key").distinct(), "key", "left_semi"), "sets")
+    discard(every)
 
     # leaders: the two extremes of a fixed random order of the members of each list
     me = F.struct(F.xxhash64("key").alias("o"), "key", "n")
@@ -286,17 +285,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(docs.mapInArrow(tk.tidy(_sketches(k)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
                                    "key long, check long, n long, sketch array<long>"), "sketches")
-    same = rows.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")
-    classes = written(same.agg(F.min("doc_id").alias("rep")).withColumn("cid", F.monotonically_increasing_id()), "classes")
-    sketches = same.agg(F.min_by("sketch", "doc_id").alias("sketch"))
-    comp = linked_classes(classes, sketches, docs, k, num, den, sketched)
+    every, rows = rows, written(rows.select("doc_id", "key", "check", "n"), "rows")
+    found = (every.where("n > 0 and doc_id is not null").groupBy("key", "check", "n")
+             .agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")))
+    found = written(found.withColumn("cid", F.monotonically_increasing_id()), "found")
+    discard(every)
+    picked = _sketch_filter(found, num, den) if sketched else found
+    picked = written(picked.select("cid", "key", "check", "rep"), "picked")
+    classes = written(found.drop("sketch"), "classes")
+    discard(found)
+    comp = linked_classes(picked, docs, k, num, den)
     named = classes.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
     # a table of its own: broadcast where small, else a join whose hot components can be split
     smallest = written(named.groupBy("component").agg(F.min("rep").alias("component_id")), "smallest")
     named = written(named.join(small_enough(smallest, 48), "component").select("key", "check", "n", "component_id"), "named")
-    return (rows.select("doc_id", "key", "check", "n")
-            .join(named, ["key", "check", "n"], "left")
+    return (rows.join(named, ["key", "check", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
 

@@ -43,6 +43,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a ``written`` table that nothing reads any more, so that it takes
+    no disk while the steps behind it run. Nothing lazy may still refer to ``df``. Spark
+    removes the shuffle files of finished steps when the driver collects their plans,
+    which a driver with room may put off until the job ends: so it is asked to here."""
+    jvm = df.sparkSession._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("tessera-"):
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
+
+
 def small_enough(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` (a written table) marked for broadcast if it is known to be small,
     else as it is, for a shuffle join."""

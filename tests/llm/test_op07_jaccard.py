@@ -118,3 +118,17 @@ def test_without_the_sketch_filter(spark, corpus):
 
 def test_sketch_bound():
     assert least_shared(75, 100) == (17, 43)
+
+
+def test_tables_that_nothing_reads_any_more_are_removed(spark, tmp_path):
+    import glob
+
+    before = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    left = lambda name: {d for d in glob.glob(f"{before}/tessera-{name}-*") if glob.glob(f"{d}/*.parquet")}
+    old = {name: left(name) for name in ("sketches", "found", "sets")}
+    rows = [(i, " ".join(f"w{i % 7}x{j}" for j in range(30)) + f" end{i % 3}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join(docs).collect()}
+    assert got == {i: i % 7 for i in range(60)}
+    assert not (left("sketches") - old["sketches"]) and not (left("found") - old["found"])
+    assert len(left("sets") - old["sets"]) == 1  # the one that the lazy result of the last step came from
