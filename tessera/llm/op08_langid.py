@@ -372,10 +372,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     at = names.index("text")
 
     def keep(batches):
-        for batch in batches:
-            probe = pa.RecordBatch.from_arrays([batch.column(at)] * 3, names=["doc_id", "held_out", "text"])
-            for said in _predict(model)(iter([probe])):
-                good = (said.column(3).to_numpy() >= 0.5) & (said.column(2).to_numpy(zero_copy_only=False) != "und")
-                yield batch.filter(pa.array(good))
+        waiting = []  # the batch that is with the predictor, which lives as long as the task
+
+        def probes():
+            for batch in batches:
+                waiting.append(batch)
+                yield pa.RecordBatch.from_arrays([batch.column(at)] * 3, names=["doc_id", "held_out", "text"])
+
+        for said in _predict(model)(probes()):
+            good = (said.column(3).to_numpy() >= 0.5) & (said.column(2).to_numpy(zero_copy_only=False) != "und")
+            yield waiting.pop().filter(pa.array(good))
 
     return docs.mapInArrow(tk.tidy(keep), types)

@@ -213,11 +213,13 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder_of(spec: str) -> Encoder:
-    """The worker's encoder of a tokenizer file: its cache outlives the task."""
+    """The worker's encoder of a tokenizer file: its cache outlives the task, for more of
+    this operator's tasks."""
     key = hashlib.blake2b(spec.encode()).hexdigest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(spec)
+        tk.keep("op09", _ENCODERS)
     return _ENCODERS[key]
 
 
@@ -345,7 +347,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
     most = min((1 << 63) - 1, int(((1 << 64) * 2 * SAMPLE_ROWS) // max(1, size.fit)) - (1 << 63))
     sample = (docs.where(fits).select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.col("h") <= most)
               .orderBy("h", "text").limit(SAMPLE_ROWS).select("text"))
-    rows = sample.mapInArrow(tk.tidy(_sample(sc.broadcast(base))), "ids binary").collect()  # bounded by the sample
+    rows = sample.mapInArrow(tk.tidy(_sample(sc.broadcast(base)), "op09"), "ids binary").collect()  # bounded by the sample
     folder = work_folder(spark, "shards")
     store, at = open_store(folder)
     store.create_dir(at, recursive=True)
@@ -358,7 +360,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
     keyed = docs.select("doc_id", "text", F.col("text").isNotNull().alias("some"), F.xxhash64("text").alias("h"),
                         F.monotonically_increasing_id().alias("nth"))
     ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    manifest = written(ordered.mapInArrow(tk.tidy(_write(job)), "shard long, path string, docs long, tokens long"), "manifest")
+    manifest = written(ordered.mapInArrow(tk.tidy(_write(job), "op09"), "shard long, path string, docs long, tokens long"), "manifest")
     return manifest, job
 
 

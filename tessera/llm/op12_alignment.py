@@ -205,11 +205,13 @@ _ALIGNERS: dict[str, Aligner] = {}
 
 
 def aligner_of(job: dict) -> Aligner:
-    """The worker's aligner of a pair of files: its cache outlives the task."""
+    """The worker's aligner of a pair of files: its cache outlives the task, for more
+    of this operator's tasks."""
     key = hashlib.blake2b(job["a"].encode() + job["b"]).hexdigest()
     if key not in _ALIGNERS:
         _ALIGNERS.clear()
         _ALIGNERS[key] = Aligner(job["a"], job["b"])
+        tk.keep("op12", _ALIGNERS)
     return _ALIGNERS[key]
 
 
@@ -264,7 +266,7 @@ def tokens_linked(docs: DataFrame, a_path: str | None = None, b_path: str | None
     job = spark.sparkContext.broadcast({"a": a_spec, "b": b_model})
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = written(docs.mapInArrow(tk.tidy(_align(job)), f"block long, doc_id {kind}, n_a long, n_b long, n_groups long, "
+    found = written(docs.mapInArrow(tk.tidy(_align(job), "op12"), f"block long, doc_id {kind}, n_a long, n_b long, n_groups long, "
                                     "n_links long, groups_sha256 string, pairs array<long>, links array<long>"), "links")
     counts = found.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
     counts = written(counts.withColumn("a", F.shiftright("pair", 32).cast("int")), "counts")

@@ -209,15 +209,35 @@ def list_array(parts: list[np.ndarray], typ: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, typ))
 
 
-def tidy(run):
+#: caches of this worker that outlive a task, by the operator that they belong to
+_KEPT: dict[str, dict] = {}
+
+
+def keep(owner: str, cache: dict):
+    """Have ``cache`` emptied when this worker's next task is not one of ``owner``."""
+    _KEPT[owner] = cache
+
+
+def drop_kept(owner: str | None = None):
+    """Empty the caches that other operators left in this worker."""
+    held = [c for o, c in _KEPT.items() if o != owner and c]
+    for cache in held:
+        cache.clear()
+    if held:
+        free_memory()
+
+
+def tidy(run, owner: str | None = None):
     """A batch function that gives its memory back to the system when its task
-    ends: Python workers stay alive between tasks and stages. Makes sure that they can
+    ends: Python workers stay alive between tasks and stages. What other operators than
+    ``owner`` keep there goes before it begins. Makes sure that the workers can
     import this package (before the plan that names the function is made)."""
     spark = SparkSession.getActiveSession()
     if spark is not None:
         ship_package(spark)
 
     def inner(batches):
+        drop_kept(owner)
         yield from run(batches)
         free_memory()
     return inner

@@ -62,3 +62,12 @@ def test_components_against_union_find(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_caches_of_other_operators_go_when_a_task_begins():
+    mine, other = {"a": 1}, {"b": 2}
+    tk.keep("mine", mine)
+    tk.keep("other", other)
+    assert list(tk.tidy(lambda batches: batches, "mine")([1, 2])) == [1, 2]
+    assert mine and not other
+    assert list(tk.tidy(lambda batches: batches)([])) == [] and not mine

@@ -152,3 +152,31 @@ def test_edges(spark, edge, nothing):
     assert kept.columns == edge.columns
     ids = [r.doc_id for r in kept.collect()]
     assert {4, 5, 6, 7}.issubset(ids) and not {0, 1, 2, 3} & set(ids)
+
+
+def test_the_stage_has_one_predictor_a_task(spark, monkeypatch):
+    """The piece tables and the word cache are made once, not anew for every batch."""
+    from tessera.llm import op08_langid as m
+
+    made = spark.sparkContext.accumulator(0)
+    real = m._predict
+
+    def counted(model):
+        def run(batches):
+            made.add(1)
+            yield from real(model)(batches)
+        return run
+
+    monkeypatch.setattr(m, "_predict", counted)
+    rows = [(i, f"some english words here {i} and more" if i % 2 else f"quelques mots ici {i} et encore", "en" if i % 2 else "fr")
+            for i in range(40)] + [(40, "12 34", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    said = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        got = m.known_language(spark, docs, "").collect()
+    finally:
+        spark.conf.set(key, said)
+    assert {r.doc_id: r.text for r in got} == {i: t for i, t, _ in rows if i != 40}
+    assert made.value == 1
