@@ -196,3 +196,22 @@ def test_list_of_pairs_runs_out_and_is_counted_again(spark, monkeypatch):
         assert got == want[:n], listed
     ties = spark.createDataFrame([(w,) for w in ("ab", "cd", "ef", "gh", "ij", "kl")], "text string")
     assert [r.a for r in bpe.train_bpe(ties, "text", n_merges=9).orderBy("rank").collect()] == [byte_to_id_table()[ord(c)] for c in "acegik"]
+
+
+def test_unit_join_meets_the_units_once_a_block(spark):
+    """Not once a text: what is shuffled to the encoded units follows a block's distinct units."""
+    from tessera.operators import bpe as m
+
+    merges = m.merge_rows(spark.createDataFrame([(0, 36 + 32, 36 + 40, 261, 1, "ab")], m.MERGES_SCHEMA))
+    rows = [(i, "the same words in every text <|im_end|> and more") for i in range(400)] + [(400, None), (401, ""), (None, "lost key")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    joined = m.encode_by_units(df, ["k"], "text", merges)
+    assert {r.k: r.ids for r in joined.collect() if r.k is not None} == {
+        r.k: r.ids for r in m.encode_with_merges(df, "text", merges).collect() if r.k is not None}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+    twice = spark.createDataFrame([(1, "a b"), (1, "a c"), (1, None), (None, "a")], "k long, text string")
+    got = sorted((r.k is None, r.k, r.ids) for r in m.encode_by_units(twice, ["k"], "text", merges).collect())
+    one = m.encode_with_merges(spark.createDataFrame([(1, "aa b c")], "k long, text string"), "text", merges).first().ids
+    assert got == [(False, 1, one)] * 3 + [(True, None, [])]  # rows of one key by place, as the key names a row
