@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import first_numbers
 from ..options import SEED
+from ..session import cut_lineage
+from .lookup import checked_broadcast
 
 TWO_52 = float(2 ** 52)
 
@@ -187,14 +189,17 @@ def cross_entropy(targets: DataFrame, scores: DataFrame, prev: str = "prev_id",
     ``targets`` holds one row per predicted position with the context id in
     ``prev`` and the target in ``target``. The score table is read once: the
     log-sum-exp is a window per context, whose rows are that context's
-    candidate ids and so at most the vocabulary size; the lookup is one
-    equi-join on ``(prev, target)`` (AQE broadcasts the score side when small
-    and splits hot pairs of the target side otherwise)."""
+    candidate ids and so at most the vocabulary size. The lookup is one
+    equi-join on ``(prev, target)``: the scores are worked out once and broadcast
+    below ``BROADCAST_BYTES``, so the positions are not shuffled to them (left to AQE,
+    they are written out before the size of the scores is known); a larger table is
+    joined by shuffle, where AQE splits hot pairs of the target side."""
     w = Window.partitionBy(prev)
     sc = (scores.select(F.col(prev), F.col(target), F.col(score).alias("s_"))
           .withColumn("mx_", F.max("s_").over(w)))
     sc = sc.withColumn("lse_", F.col("mx_") + F.log(F.sum(F.exp(F.col("s_") - F.col("mx_"))).over(w)))
-    d = targets.join(sc.select(prev, target, "s_", "lse_"), [prev, target], "left")
+    sc = checked_broadcast(cut_lineage(sc.select(prev, target, "s_", "lse_")))
+    d = targets.join(sc, [prev, target], "left")
     loss = F.when(F.col(target) == F.lit(ignore), F.lit(0.0)).otherwise(F.col("lse_") - F.col("s_"))
     return d.withColumn(out, loss).drop("lse_", "s_")
 

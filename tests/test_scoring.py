@@ -114,3 +114,19 @@ def test_many_draws_follow_the_probabilities(spark):
     assert S.draw_many(df, "g", "c", "s", 0).count() == 0
     plan = S.draw_many(df, "g", "c", "s", 1000)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan and "Join Inner" not in plan
+
+
+def test_positions_are_not_shuffled_to_the_scores(spark):
+    """Left to AQE, every position was written out before the scores' size was known."""
+    df = spark.createDataFrame([(k, [1, 2, 3], [2, 3, 1], [1, 1, 1]) for k in range(4)], "k long, x array<int>, y array<int>, loss_mask array<int>")
+    scores = spark.createDataFrame([(1, 2, -1.0), (2, 3, -2.0), (3, 1, -3.0)], "prev_id int, next_id int, score double")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    said = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = S.sample_losses(df, scores, ["k"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [(r.k, r.loss_sum, r.n_tokens, r.n_unscored) for r in out.orderBy("k").collect()] == [(k, 0.0, 3, 0) for k in range(4)]
+    finally:
+        spark.conf.set(key, said)
