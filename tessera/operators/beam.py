@@ -24,7 +24,7 @@ continuation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import first_numbers
@@ -141,6 +141,27 @@ def _next_greedy(cands_all: DataFrame) -> DataFrame:
     return S.greedy(cands_all, "prev_id", "next_id", "score").withColumnRenamed("next_id", "pick")
 
 
+def _noisy(next_id: Column, score: Column, seed: int, step: int, temperature: float) -> Column:
+    """The score of a candidate with its seeded Gumbel noise."""
+    u = S.uniform(F.lit(seed), F.col("prompt_id"), F.col("sample_no"), F.lit(step), next_id)
+    return score / F.lit(float(temperature)) - F.log(-F.log(u))
+
+
+def _drawn(cands: str, seed: int, step: int, temperature: float) -> Column:
+    """The candidate of an array with the largest noisy score, null where none has one."""
+    noisy = F.transform(cands, lambda c: F.struct(_noisy(c["next_id"], c["score"], seed, step, temperature).alias("g"),
+                                                  c["next_id"].alias("next_id")))
+    return F.array_max(F.filter(noisy, lambda x: x["g"].isNotNull()))["next_id"]
+
+
+def _candidate_sets(table: DataFrame) -> DataFrame:
+    """``(prev_id, cands)``: the candidates of each context in one row, broadcast when the
+    table is small; a row holds one context's candidates, so at most the vocabulary."""
+    sets = cut_lineage(table.groupBy("prev_id").agg(F.collect_list(F.struct("next_id", "score")).alias("cands")))
+    n, contexts = table.count(), max(1, sets.count())
+    return checked_broadcast(sets, 32 * (1 + n // contexts))
+
+
 def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | None = None,
              temperature: float = 1.0, top_k: int | None = None, greedy: bool = False,
              num_samples: int = 1, seed: int = SEED, ids: str = "ids",
@@ -162,19 +183,28 @@ def generate(prompts: DataFrame, scores: DataFrame, steps: int, stop_id: int | N
     live = runs.select("prompt_id", "sample_no", F.lit(True).alias("alive"),
                        F.array().cast("array<int>").alias("new_ids"),
                        F.try_element_at(ids, F.lit(-1)).cast("int").alias("last_id"))
+    if not greedy:
+        sets = _candidate_sets(table)
+        spark = prompts.sparkSession
+        # the state is few bytes but much work a row: it is dealt to all tasks, not merged by size
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     for s in range(steps):
         if greedy:
             picked = live.join(table, live["last_id"] == table["prev_id"], "left") \
                 .select("prompt_id", "sample_no", "alive", "new_ids", "last_id", "pick")
-        else:
-            # one aggregate per step: state columns ride along with the draw
+        elif s == 0:
+            # one aggregate, which also merges prompts that share an id
             cond = (live["last_id"] == table["prev_id"]) & live["alive"]
-            e = live.join(table, cond, "left")
-            u = S.uniform(F.lit(seed), F.col("prompt_id"), F.col("sample_no"), F.lit(s), F.col("next_id"))
-            g = F.col("score") / F.lit(float(temperature)) - F.log(-F.log(u))
+            e = live.repartition(parts, "prompt_id", "sample_no").join(table, cond, "left")
             picked = e.groupBy("prompt_id", "sample_no").agg(
                 F.first("alive").alias("alive"), F.first("new_ids").alias("new_ids"),
-                F.first("last_id").alias("last_id"), F.max_by("next_id", g).alias("pick"))
+                F.first("last_id").alias("last_id"),
+                F.max_by("next_id", _noisy(F.col("next_id"), F.col("score"), seed, s, temperature)).alias("pick"))
+        else:
+            # every run is one row: the draw is taken inside its context's candidates
+            cond = (live["last_id"] == sets["prev_id"]) & live["alive"]
+            picked = live.join(sets, cond, "left").select(
+                "prompt_id", "sample_no", "alive", "new_ids", "last_id", _drawn("cands", seed, s, temperature).alias("pick"))
         stop = F.col("pick").isNull() | ((F.col("pick") == F.lit(stop_id)) if stop_id is not None
                                          else F.lit(False))
         live = picked.select(

@@ -119,3 +119,30 @@ def test_empty_prompt_and_ignored_options(spark):
         assert got == {1: [], 2: [2, 1]}
     with pytest.raises(ValueError):
         BM.beam_search(prompts, scores, 2, 2, temperature=0.5, normalise=False)
+
+
+def test_sampling_merges_once_and_draws_inside_the_candidates(spark):
+    """Steps behind the first neither expand a run into its candidates nor group them again."""
+    import hashlib
+    import math
+
+    prompts = spark.createDataFrame([(f"p{i}", [i % 3]) for i in range(12)], "prompt_id string, ids array<int>")
+    table = {a: [(b, -0.5 * ((a + b) % 4)) for b in range(3)] for a in range(3)}
+    scores = spark.createDataFrame([(a, b, s) for a, x in table.items() for b, s in x], "prev_id int, next_id int, score double")
+    out = BM.generate(prompts, scores, 5, temperature=0.7, num_samples=2, seed=7)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Aggregate") <= 2
+    got = {(r.prompt_id, r.sample_no): r.new_ids for r in out.collect()}
+
+    def noise(*parts):
+        u = (int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        return -math.log(-math.log(u))
+
+    want = {}
+    for i in range(12):
+        for k in range(2):
+            last, ids = i % 3, []
+            for s in range(5):
+                last = max(table[last], key=lambda c: c[1] / 0.7 + noise(7, f"p{i}", k, s, c[0]))[0]
+                ids.append(last)
+            want[f"p{i}", k] = ids
+    assert got == want
