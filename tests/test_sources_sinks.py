@@ -141,3 +141,16 @@ def test_counted_lookup_equals_the_plain_one(spark):
     for pad in (None, 0, 77):
         got = {(r.sid, r.id): (r.n, r.v) for r in L.counted_lookup(df, "ids", ["sid"], vec, "vec_id", ("v",), pad=pad).collect()}
         assert got == plain
+
+
+def test_counted_lookup_counts_inside_the_sample(spark):
+    rows = [(1, [3, None, 3, 9, None, 2**62, -2**62]), (2, None), (3, []), (1, [3])]
+    df = spark.createDataFrame(rows, "sid long, ids array<long>")
+    vec = spark.createDataFrame([(3, 2.0), (2**62, 5.0), (3, 4.0)], "vec_id long, v double")
+    out = L.counted_lookup(df, "ids", ["sid"], vec, "vec_id", ("v",), pad=3)
+    assert sorted((r.sid, str(r.id), r.n, str(r.v)) for r in out.collect()) == sorted([
+        (1, "3", 2, "2.0"), (1, "3", 2, "4.0"), (1, "None", 2, "None"), (1, "9", 1, "None"), (1, str(2**62), 1, "5.0"),
+        (1, str(-2**62), 1, "None"), (1, "3", 1, "2.0"), (1, "3", 1, "4.0")])
+    # no table of all samples' ids in a task, and the samples are made once
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Union" not in plan
