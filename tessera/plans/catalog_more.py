@@ -15,13 +15,14 @@ from ..operators import scoring as S
 from ..operators import tokens as TK
 from ..options import (BATCH_SIZE, MAX_LENGTH, SEED, SPECIAL_TOKENS, CorpusOptions, RunOptions)
 from ..session import run_folder
-from ..sinks.writers import write_batch_files, write_generations
+from ..sinks.writers import read_batch_files, write_batch_files, write_generations
 from ..sources.lines import expand_file_prompts, read_chunks, read_lines, read_messages, read_table
 from ..sources.vocab import byte_vocab
 from ..streaming.streams import (start_chat_stream, start_corpus_stream, start_counters_stream, start_progress_stream)
 from ..operators import chat as C
 from . import catalog as K
 from . import jobs as JB
+from . import samples as SP
 
 
 # --------------------------------------------------------------------------
@@ -148,14 +149,16 @@ LAYOUT_BATCHES = 8
 
 def q_batch_files(spark: SparkSession, sf: str) -> DataFrame:
     """Samples laid out for a loader and read back through the batch index: the files that
-    hold a batch, its samples in order, and their ids."""
+    hold a batch, its samples in order, and their ids. Chunks get their places in the run as
+    texts; the tasks that write the files make their samples."""
     keys = ["doc_id", "chunk_no"]
-    samples = K._samples(spark, sf)
-    batches, _ = JB.plan_run(samples, keys, RunOptions())
+    chunks = K._chunks(spark, sf).select(*keys, F.col("chunk").alias("text"))
+    batches, _ = JB.plan_run(chunks, keys, RunOptions())
     path = run_folder(spark, "samples")
-    index = write_batch_files(batches.select(*keys, "epoch", "batch_id", "batch_pos", "x", "y", "loss_mask"), path, LAYOUT_BATCHES)
+    index = write_batch_files(batches.select(*keys, "epoch", "batch_id", "batch_pos", "text"), path, LAYOUT_BATCHES,
+                              build=lambda laid: SP.pretrain_samples(laid, "text").drop("n_real"))
     total = F.aggregate("x", F.lit(0).cast("long"), lambda a, i: a + i)
-    back = (spark.read.parquet(f"{path}/samples").groupBy("epoch", "batch_id")
+    back = (read_batch_files(spark, path).groupBy("epoch", "batch_id")
             .agg(F.sum(total).alias("id_sum"), F.max("batch_pos").cast("long").alias("last_pos")))
     files = index.groupBy("epoch", "batch_id").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_samples").alias("n_samples"))
     return files.join(back, ["epoch", "batch_id"]).select("batch_id", "n_files", "n_samples", "id_sum", "last_pos")

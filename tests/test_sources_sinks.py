@@ -131,6 +131,71 @@ def test_one_file_holds_a_whole_batch(spark, tmp_path):
     assert read_batch(spark, str(tmp_path), 1, 13).count() == 0
 
 
+def test_batch_files_are_built_behind_the_shuffle(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tessera.sinks.writers import read_batch, write_batch_files
+
+    df = spark.createDataFrame([(i, f"text {i} " * 5) for i in range(200)], "sid long, text string")
+    texts, _ = JB.plan_run(df, ["sid"], B.RunOptions(epochs=2, batch_size=4))
+    made = []
+
+    def build(laid):
+        made.append(SP.pretrain_samples(laid, "text").drop("n_real"))
+        return made[0]
+
+    index = write_batch_files(texts.select("sid", "text", "epoch", "batch_id", "batch_pos"), str(tmp_path / "built"), 1, build=build)
+    rows = index.collect()
+    assert len(rows) == len({(r.epoch, r.batch_id) for r in rows}) == len({r.file for r in rows}) == 2 * 50
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Exchange") and plan.count("ArrowEvalPython") == 1
+    # the same files as of samples made first, and each in order as it lies on disk
+    batches, _ = JB.plan_run(SP.pretrain_samples(df, "text", ["sid"]), ["sid"], B.RunOptions(epochs=2, batch_size=4))
+    write_batch_files(batches.select("sid", "epoch", "batch_id", "batch_pos", "x", "y", "loss_mask"), str(tmp_path / "first"), 1)
+    for epoch, batch in ((0, 0), (1, 49), (1, 7)):
+        got, want = (read_batch(spark, str(tmp_path / k), epoch, batch) for k in ("built", "first"))
+        assert got.collect() == want.collect() and got.columns == want.columns and got.count() == 4
+    big = write_batch_files(texts.select("sid", "text", "epoch", "batch_id", "batch_pos"), str(tmp_path / "big"), 7,
+                            build=lambda d: SP.pretrain_samples(d, "text").drop("n_real"))
+    for name in {r.file for r in big.collect()}:
+        t = pq.ParquetFile(name.removeprefix("file:")).read(["batch_id", "batch_pos"])
+        places = list(zip(t["batch_id"].to_pylist(), t["batch_pos"].to_pylist()))
+        assert places == sorted(places) and len(places) in (28, 4)
+
+
+def test_batch_files_query_shuffles_texts(spark, tmp_path, monkeypatch):
+    from tessera.plans import catalog_more as KM
+
+    docs = [(i, f"text {i} " * 200, "en", "web", 0) for i in range(40)] + [(40, None, "en", "web", 0), (41, " ", "en", "web", 0)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    laid, whole = [], KM.write_batch_files
+    monkeypatch.setattr(KM, "write_batch_files", lambda df, *a, **k: laid.append(df) or whole(df, *a, **k))
+    n = sum(-(-len(t) // 512) for _, t, *_ in docs[:40])
+    got = {r.batch_id: r for r in KM.q_batch_files(spark, str(tmp_path)).collect()}
+    assert sum(r.n_samples for r in got.values()) == n and len(got) == -(-n // 48)
+    assert all(r.n_files == 1 and r.last_pos == r.n_samples - 1 for r in got.values())
+    assert "ArrowEvalPython" not in laid[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from tessera.session import LISTING_TASKS
+    from tessera.sinks.writers import read_batch_files, write_batch_files
+
+    df = spark.range(80).selectExpr("0 AS epoch", "id AS batch_id", "0 AS batch_pos")
+    write_batch_files(df, str(tmp_path), 1)
+    before = spark.conf.get(LISTING_TASKS)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert read_batch_files(spark, str(tmp_path)).count() == 80
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(LISTING_TASKS) == before
+
+
 def test_counted_lookup_equals_the_plain_one(spark):
     df = spark.createDataFrame([(1, [3, 0, 3, 9, 0, 0]), (2, [0, 0]), (3, []), (4, [9])], "sid long, ids array<int>")
     vec = spark.createDataFrame([(0, 10.0), (3, 2.0)], "vec_id long, v double")
